@@ -1 +1,183 @@
-"""Registered graph queries."""
+"""Registered graph queries (G1-G13) over lineitem supplier/part edges."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import graph as G
+from . import fixtures as fx
+from .oracle_sql import LINKS_IN, LINKS_OUT, r6 as s6
+from .registry import r6, register
+
+GAMMA = 0.15
+PR_ITERS = 5
+# Rounds allowed to the registered WL queries; refinement stops earlier as
+# soon as the number of colours is unchanged, and the SQL twin applies the
+# same stop rule to its unrolled rounds.
+WL_ROUNDS = 6
+
+
+def _w_sql(edges: str) -> str:
+    return f"""e AS ({edges}),
+w AS (SELECT src, dst, cnt::DOUBLE / sum(cnt) OVER (PARTITION BY src) AS w
+      FROM (SELECT src, dst, count(*) AS cnt FROM e GROUP BY src, dst)),
+nodes AS (SELECT src AS id FROM e UNION SELECT dst FROM e),
+n AS (SELECT count(*)::DOUBLE AS n FROM nodes)"""
+
+
+def _pagerank_sql(edges: str, k: int) -> str:
+    parts = [_w_sql(edges),
+             "s0 AS MATERIALIZED (SELECT id, 1.0::DOUBLE / (SELECT n FROM n) AS score FROM nodes)"]
+    for i in range(1, k + 1):
+        parts.append(
+            f"s{i} AS MATERIALIZED (SELECT w.dst AS id, "
+            f"{1.0 - GAMMA!r} * sum(p.score * w.w) + {GAMMA!r} / (SELECT n FROM n) AS score "
+            f"FROM w JOIN s{i - 1} p ON p.id = w.src GROUP BY w.dst)")
+    return "WITH " + ",\n".join(parts)
+
+
+def _final_sql(k: int) -> str:
+    return (f"SELECT nodes.id, {s6(f'coalesce(s{k}.score, {GAMMA!r} / (SELECT n FROM n))', 9)} AS score "
+            f"FROM nodes LEFT JOIN s{k} USING (id)")
+
+
+@register("transition_weights", f"WITH {_w_sql(LINKS_OUT)} SELECT src, dst, {s6('w', 9)} AS w FROM w")
+def transition_weights(spark, sf_dir):
+    w = G.out_links(fx.links_out(spark, sf_dir))
+    return w.select("src", "dst", r6("w", 9).alias("w"))
+
+
+@register("graph_nodes", f"WITH {_w_sql(LINKS_OUT)} SELECT id FROM nodes")
+def graph_nodes(spark, sf_dir):
+    return G.graph_nodes(fx.links_out(spark, sf_dir))
+
+
+@register("node_count", f"WITH {_w_sql(LINKS_OUT)} SELECT count(*) AS n_nodes FROM nodes")
+def node_count(spark, sf_dir):
+    return G.node_count(fx.links_out(spark, sf_dir))
+
+
+@register("degree", f"""WITH e AS ({LINKS_OUT})
+SELECT id, count(*) AS degree FROM (SELECT src AS id FROM e UNION ALL SELECT dst FROM e) GROUP BY id""")
+def degree(spark, sf_dir):
+    return G.degree(fx.links_out(spark, sf_dir))
+
+
+def _pagerank(spark, sf_dir, edges_fn=fx.links_out):
+    return G.pagerank(edges_fn(spark, sf_dir), gamma=GAMMA, max_iter=PR_ITERS, eps=0.0)
+
+
+@register("pagerank_k5", _pagerank_sql(LINKS_OUT, PR_ITERS) + "\n" + _final_sql(PR_ITERS))
+def pagerank_k5(spark, sf_dir):
+    res = _pagerank(spark, sf_dir)
+    return res.scores.select("id", r6("score", 9).alias("score"))
+
+
+@register("pagerank_links_in_k5", _pagerank_sql(LINKS_IN, PR_ITERS) + "\n" + _final_sql(PR_ITERS))
+def pagerank_links_in_k5(spark, sf_dir):
+    res = _pagerank(spark, sf_dir, fx.links_in)
+    return res.scores.select("id", r6("score", 9).alias("score"))
+
+
+@register("pagerank_delta", _pagerank_sql(LINKS_OUT, PR_ITERS) + "\n" + "\nUNION ALL\n".join(
+    f"SELECT {i}::INTEGER AS iteration, {s6(f'coalesce(sum(abs(a.score - b.score)), 0.0)', 9)} AS err "
+    f"FROM s{i - 1} a JOIN s{i} b USING (id)" for i in range(1, PR_ITERS + 1)))
+def pagerank_delta(spark, sf_dir):
+    res = _pagerank(spark, sf_dir)
+    return res.history_df(spark).select("iteration", r6("err", 9).alias("err"))
+
+
+@register("sourceless_nodes", f"""WITH {_w_sql(LINKS_IN)}
+SELECT id, {s6(f'{GAMMA!r} / (SELECT n FROM n)', 9)} AS score
+FROM nodes WHERE id NOT IN (SELECT dst FROM e)""")
+def sourceless_nodes(spark, sf_dir):
+    """Nodes that no step can reach (no in-edge), filled with gamma / n."""
+    edges = fx.links_in(spark, sf_dir)
+    nodes = G.graph_nodes(edges)
+    n = G.node_count(edges).scalar()
+    targets = edges.select(F.col("dst").alias("id"))
+    return (nodes.join(targets, "id", "left_anti")
+            .select("id", r6(F.lit(GAMMA) / n, 9).alias("score")))
+
+
+@register("pagerank_top", _pagerank_sql(LINKS_OUT, PR_ITERS)
+          + f"\nSELECT * FROM ({_final_sql(PR_ITERS)}) ORDER BY score DESC, id LIMIT 20")
+def pagerank_top(spark, sf_dir):
+    res = _pagerank(spark, sf_dir)
+    scores = res.scores.select("id", r6("score", 9).alias("score"))
+    return scores.orderBy(F.desc("score"), F.asc("id")).limit(20)
+
+
+# --------------------------------------------------------------------------
+# Weisfeiler-Lehman
+
+def _wl_sql(graph_edges: str, k: int) -> str:
+    """CTEs ``ge`` (g, src, dst) -> ... -> ``final`` (g, id, color)."""
+    h = "('0x' || substr(md5(c.color), 1, 15))::UBIGINT"
+    parts = [f"ge AS ({graph_edges})",
+             "adj AS (SELECT g, src AS node, dst AS nbr FROM ge UNION ALL SELECT g, dst, src FROM ge)",
+             "c0 AS MATERIALIZED (SELECT DISTINCT g, node AS id, '1' AS color FROM adj)"]
+    for i in range(1, k + 1):
+        parts.append(
+            f"c{i} AS MATERIALIZED (SELECT a.g, a.node AS id, md5(CAST(sum({h}) AS VARCHAR)) AS color "
+            f"FROM adj a JOIN c{i - 1} c ON c.g = a.g AND c.id = a.nbr GROUP BY a.g, a.node)")
+    counts = ", ".join(f"(SELECT count(DISTINCT color) FROM c{i}) AS n{i}" for i in range(k + 1))
+    cases = " ".join(f"WHEN n{i} = n{i - 1} THEN {i}" for i in range(1, k + 1))
+    parts.append(f"stop AS (SELECT CASE {cases} ELSE {k} END AS r FROM (SELECT {counts}))")
+    parts.append("final AS (" + " UNION ALL ".join(
+        f"SELECT g, id, color FROM c{i} WHERE (SELECT r FROM stop) = {i}" for i in range(1, k + 1)) + ")")
+    return ",\n".join(parts)
+
+
+_ONE = f"SELECT 1 AS g, src, dst FROM ({LINKS_OUT})"
+_TWO = (f"SELECT 1 AS g, src, dst FROM ({LINKS_OUT}) UNION ALL "
+        f"SELECT 2 AS g, src * 7919 + 13, dst * 7919 + 13 FROM ({LINKS_OUT})")
+
+
+def _joint(spark, sf_dir):
+    edges = fx.links_out(spark, sf_dir)
+    return G.joint_colors(edges, fx.relabelled(edges), WL_ROUNDS)
+
+
+@register(f"wl_colors_k{WL_ROUNDS}", f"WITH {_wl_sql(_ONE, WL_ROUNDS)} SELECT id, color FROM final")
+def wl_colors(spark, sf_dir):
+    return G.wl_colors(fx.links_out(spark, sf_dir), WL_ROUNDS)
+
+
+@register("color_distribution", f"""WITH {_wl_sql(_ONE, WL_ROUNDS)}
+SELECT class_size, count(*) AS n_classes FROM (SELECT color, count(*) AS class_size FROM final GROUP BY color)
+GROUP BY class_size""")
+def color_distribution(spark, sf_dir):
+    return G.color_distribution(G.wl_colors(fx.links_out(spark, sf_dir), WL_ROUNDS))
+
+
+@register("graph_verdict", f"""WITH {_wl_sql(_TWO, WL_ROUNDS)},
+sizes AS (SELECT g, color, count(*) AS s FROM final GROUP BY g, color),
+mism AS (SELECT count(*) AS m FROM (SELECT color, s FROM sizes WHERE g = 1) a
+         FULL OUTER JOIN (SELECT color, s FROM sizes WHERE g = 2) b USING (color)
+         WHERE a.s IS NULL OR b.s IS NULL OR a.s <> b.s),
+summ AS (SELECT count_if(g = 1) AS n_nodes_1, count_if(g = 2) AS n_nodes_2,
+                count(DISTINCT CASE WHEN g = 1 THEN color END) AS n_colors_1,
+                count(DISTINCT CASE WHEN g = 2 THEN color END) AS n_colors_2 FROM final)
+SELECT CASE WHEN n_nodes_1 <> n_nodes_2 THEN 'not isomorphic'
+            WHEN (SELECT m FROM mism) > 0 THEN 'not isomorphic'
+            WHEN n_colors_1 = n_nodes_1 THEN 'isomorphic' ELSE 'maybe isomorphic' END AS verdict,
+       n_nodes_1, n_nodes_2, n_colors_1, n_colors_2 FROM summ""")
+def graph_verdict(spark, sf_dir):
+    return G.compare_colorings(_joint(spark, sf_dir))
+
+
+@register("node_mapping", f"""WITH {_wl_sql(_TWO, WL_ROUNDS)},
+single AS (SELECT color FROM final GROUP BY color HAVING count_if(g = 1) = 1 AND count_if(g = 2) = 1)
+SELECT a.id AS node_1, b.id AS node_2 FROM final a JOIN single USING (color)
+JOIN final b ON b.color = a.color AND b.g = 2 WHERE a.g = 1""")
+def node_mapping(spark, sf_dir):
+    return G.node_mapping(_joint(spark, sf_dir))
+
+
+@register("candidate_mapping", f"""WITH {_wl_sql(_TWO, WL_ROUNDS)},
+sizes AS (SELECT color, count_if(g = 1) AS size_1, count_if(g = 2) AS size_2 FROM final GROUP BY color
+          HAVING count_if(g = 1) > 0 AND count_if(g = 2) > 0)
+SELECT color, g, id, size_1, size_2 FROM final JOIN sizes USING (color)""")
+def candidate_mapping(spark, sf_dir):
+    return G.candidate_mapping(_joint(spark, sf_dir))

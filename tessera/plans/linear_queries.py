@@ -1 +1,146 @@
-"""Registered linear queries."""
+"""Registered ridge-regression queries (R1-R11) over the ``dense`` view."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import linear as L
+from . import fixtures as fx
+from .oracle_sql import DENSE, r6 as s6
+from .registry import r6, register
+
+X = ["x1", "x2"]
+Y = "y"
+BETA = [1.0, 0.5]          # fixed probe model for the single-pass queries
+LAM = 1.0
+DELTA = 1e-4
+FIT_EPS = 1e-7
+FIT_MAX_ITER = 100_000
+SWEEP = list(range(0, 11))
+
+_D = f"""d AS ({DENSE}),
+tr AS (SELECT x1, x2, y FROM d WHERE NOT is_test),
+te AS (SELECT x1, x2, y FROM d WHERE is_test)"""
+_PRED = "(x1 * 1.0::DOUBLE + x2 * 0.5::DOUBLE)"
+_GRAM = """g AS (SELECT avg(x1 * x1) AS a11, avg(x1 * x2) AS a12, avg(x2 * x2) AS a22,
+                avg(x1 * y) AS b1, avg(x2 * y) AS b2, avg(y * y) AS c FROM tr)"""
+
+
+@register("linear_predict", f"""WITH {_D}
+SELECT {s6('x1')} AS x1, {s6('x2')} AS x2, {s6('y')} AS y, {s6(_PRED)} AS yhat FROM te""")
+def linear_predict(spark, sf_dir):
+    te = fx.dense_test(spark, sf_dir)
+    return te.select(r6("x1").alias("x1"), r6("x2").alias("x2"), r6("y").alias("y"),
+                     r6(L.predict(X, BETA)).alias("yhat"))
+
+
+@register("ridge_objective", f"""WITH {_D}
+SELECT {s6(f'avg((y - {_PRED}) * (y - {_PRED})) + 1.0 * (1.0 + 0.25)')} AS objective FROM tr""")
+def ridge_objective(spark, sf_dir):
+    out = L.ridge_objective(fx.dense_train(spark, sf_dir), X, Y, BETA, LAM)
+    return out.select(r6("objective").alias("objective"))
+
+
+@register("ridge_gradient", f"""WITH {_D}
+SELECT 0 AS idx, {s6(f'avg(-2.0 * (y - {_PRED}) * x1) + 2.0 * 1.0 * 1.0')} AS gradient FROM tr
+UNION ALL
+SELECT 1, {s6(f'avg(-2.0 * (y - {_PRED}) * x2) + 2.0 * 1.0 * 0.5')} FROM tr""")
+def ridge_gradient(spark, sf_dir):
+    out = L.ridge_gradient(fx.dense_train(spark, sf_dir), X, Y, BETA, LAM)
+    return out.select(F.col("idx").cast("int").alias("idx"), r6("gradient").alias("gradient"))
+
+
+@register("gram_matrix", f"""WITH {_D}
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, {s6(f'avg({a} * {b})')} AS moment, count(*) AS n FROM tr"
+    for i, a in enumerate(X + [Y]) for b in (X + [Y])[i:]))
+def gram_matrix(spark, sf_dir):
+    cols = X + [Y]
+    m = L.moments(fx.dense_train(spark, sf_dir), X, Y)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    stack = ", ".join(f"'{a}', '{b}', m__{a}__{b} / n" for a, b in pairs)
+    long = m.selectExpr("n", f"stack({len(pairs)}, {stack}) AS (a, b, moment)")
+    return long.select("a", "b", r6("moment").alias("moment"), "n")
+
+
+def _rows_df(spark, rows, schema):
+    return spark.createDataFrame(rows, schema)
+
+
+@register("ridge_step", f"""WITH {_D}, {_GRAM},
+grad AS (SELECT -2.0 * b1 AS g1, -2.0 * b2 AS g2 FROM g),
+f0 AS (SELECT avg(y * y) AS f FROM tr),
+grid AS (SELECT range AS k, pow(0.6, range) AS t FROM range(60)),
+trial AS (SELECT k, t, avg((y + t * (g1 * x1 + g2 * x2)) * (y + t * (g1 * x1 + g2 * x2)))
+                 + 1.0 * t * t * (g1 * g1 + g2 * g2) AS f
+          FROM grid, grad, tr GROUP BY k, t, g1, g2),
+ok AS (SELECT min(k) AS k FROM trial, f0, grad
+       WHERE trial.f <= f0.f - 0.2 * trial.t * (g1 * g1 + g2 * g2))
+SELECT {s6('trial.t')} AS step, CAST(trial.k AS INTEGER) AS k, {s6('f0.f')} AS objective_before,
+       {s6('trial.f')} AS objective_after
+FROM trial JOIN ok USING (k), f0""")
+def ridge_step(spark, sf_dir):
+    """Backtracking step from beta = 0 with lambda = 1."""
+    g = L.gram(fx.dense_train(spark, sf_dir), X, Y)
+    s = L.backtracking_step(g, [0.0, 0.0], LAM)
+    row = (float(s["step"]), int(s["k"]), float(s["objective_before"]), float(s["objective_after"]))
+    df = _rows_df(spark, [row], "step double, k int, objective_before double, objective_after double")
+    return df.select(r6("step").alias("step"), "k", r6("objective_before").alias("objective_before"),
+                     r6("objective_after").alias("objective_after"))
+
+
+def _cramer(lam: str) -> str:
+    det = f"((a11 + {lam}) * (a22 + {lam}) - a12 * a12)"
+    return (f"(b1 * (a22 + {lam}) - a12 * b2) / {det}", f"((a11 + {lam}) * b2 - a12 * b1) / {det}")
+
+
+_B1, _B2 = _cramer("1.0")
+
+
+@register("ridge_fit", f"""WITH {_D}, {_GRAM}
+SELECT 0 AS idx, {s6(_B1, 4)} AS beta FROM g UNION ALL SELECT 1, {s6(_B2, 4)} FROM g""")
+def ridge_fit(spark, sf_dir):
+    fit = L.train_ridge(fx.dense_train(spark, sf_dir), X, Y, LAM, FIT_MAX_ITER, FIT_EPS)
+    df = L.beta_frame(spark, fit.beta)
+    return df.select("idx", r6("value", 4).alias("beta"))
+
+
+@register("ridge_mse", f"""WITH {_D}
+SELECT {s6(f'avg((y - {_PRED}) * (y - {_PRED}))')} AS mse FROM te""")
+def ridge_mse(spark, sf_dir):
+    return L.mse(fx.dense_test(spark, sf_dir), X, Y, BETA).select(r6("mse").alias("mse"))
+
+
+_SB1, _SB2 = _cramer("lam")
+
+
+@register("ridge_sweep", f"""WITH {_D}, {_GRAM},
+tg AS (SELECT avg(x1 * x1) AS t11, avg(x1 * x2) AS t12, avg(x2 * x2) AS t22,
+              avg(x1 * y) AS u1, avg(x2 * y) AS u2, avg(y * y) AS tc FROM te),
+lams AS (SELECT range::DOUBLE AS lam FROM range({SWEEP[0]}, {SWEEP[-1] + 1})),
+b AS (SELECT lam, {_SB1} AS beta_1, {_SB2} AS beta_2, g.* FROM lams, g)
+SELECT lam, {s6('beta_1', 4)} AS beta_1, {s6('beta_2', 4)} AS beta_2,
+       {s6('c - 2 * (beta_1 * b1 + beta_2 * b2) + beta_1 * beta_1 * a11 + 2 * beta_1 * beta_2 * a12 + beta_2 * beta_2 * a22 + lam * (beta_1 * beta_1 + beta_2 * beta_2)', 4)} AS train_objective,
+       {s6('tc - 2 * (beta_1 * u1 + beta_2 * u2) + beta_1 * beta_1 * t11 + 2 * beta_1 * beta_2 * t12 + beta_2 * beta_2 * t22', 4)} AS test_mse
+FROM b, tg""")
+def ridge_sweep(spark, sf_dir):
+    res = L.lambda_sweep(fx.dense(spark, sf_dir), X, Y, "is_test", SWEEP, FIT_MAX_ITER, FIT_EPS)
+    rows = [(r["lam"], float(r["beta"][0]), float(r["beta"][1]), r["train_objective"], r["test_mse"])
+            for r in res]
+    df = _rows_df(spark, rows, "lam double, beta_1 double, beta_2 double, train_objective double, test_mse double")
+    return df.select("lam", *[r6(c, 4).alias(c) for c in ("beta_1", "beta_2", "train_objective", "test_mse")])
+
+
+def _fd_sql(i: int) -> str:
+    b = list(BETA)
+    b[i] += DELTA
+    pert = f"(x1 * {b[0]!r}::DOUBLE + x2 * {b[1]!r}::DOUBLE)"
+    reg_p = LAM * (b[0] ** 2 + b[1] ** 2)
+    reg_0 = LAM * (BETA[0] ** 2 + BETA[1] ** 2)
+    return (f"SELECT {i} AS idx, {s6(f'((avg((y - {pert}) * (y - {pert})) + {reg_p!r}) - (avg((y - {_PRED}) * (y - {_PRED})) + {reg_0!r})) / {DELTA!r}')} AS gradient FROM tr")
+
+
+@register("numeric_gradient", f"WITH {_D}\n" + "\nUNION ALL\n".join(_fd_sql(i) for i in range(len(X))))
+def numeric_gradient(spark, sf_dir):
+    out = L.numeric_gradient(fx.dense_train(spark, sf_dir), X, Y, BETA, LAM, DELTA)
+    return out.select(F.col("idx").cast("int").alias("idx"), r6("gradient").alias("gradient"))

@@ -108,11 +108,10 @@ def gram(df: DataFrame, x_cols, y: str) -> Gram:
 def backtracking(f0: float, grad_sq: float, f_of_t, a: float = LINE_SEARCH_A,
                  b: float = LINE_SEARCH_B, steps: int = LINE_SEARCH_STEPS) -> tuple[float, int]:
     """First ``t = b^k`` with ``f(t) <= f0 - a t |g|^2``; ``(0.0, steps)`` if none."""
-    t = 1.0
     for k in range(steps):
+        t = b ** k
         if f_of_t(t) <= f0 - a * t * grad_sq:
             return t, k
-        t *= b
     return 0.0, steps
 
 

@@ -11,11 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import normalize_term, split_words
+from ..plans.layout import spread
 
 
 def tokenize(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per non-empty term occurrence: ``(*keep, term)``."""
-    words = df.select(*keep, F.explode(split_words(text)).alias("_w"))
+    words = spread(df.select(*keep, text), keep).select(
+        *keep, F.explode(split_words(text)).alias("_w"))
     return (words.select(*keep, normalize_term("_w").alias("term"))
             .where(F.col("term") != ""))
 

@@ -14,11 +14,16 @@ from pyspark.sql import DataFrame, functions as F
 # Upper bound on rows we are willing to ship to every executor when the
 # count is known exactly (e.g. node counts, profile counts).
 MAX_BROADCAST_ROWS = 2_000_000
+# Upper bound on the estimated in-memory size of a hinted broadcast.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def broadcast_if_bounded(df: DataFrame, known_rows: int | None,
-                         limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when an exact row count is below ``limit``."""
-    if known_rows is not None and known_rows <= limit:
+                         limit: int = MAX_BROADCAST_ROWS, row_bytes: int = 16) -> DataFrame:
+    """Hint a broadcast only when an exact row count is below ``limit`` and
+    ``known_rows * row_bytes`` is below ``MAX_BROADCAST_BYTES``; otherwise
+    leave the choice to AQE."""
+    if (known_rows is not None and known_rows <= limit
+            and known_rows * row_bytes <= MAX_BROADCAST_BYTES):
         return F.broadcast(df)
     return df

@@ -15,11 +15,14 @@ from ..plans.layout import spread
 
 
 def tokenize(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per non-empty term occurrence: ``(*keep, term)``."""
-    words = spread(df.select(*keep, text), keep).select(
-        *keep, F.explode(split_words(text)).alias("_w"))
-    return (words.select(*keep, normalize_term("_w").alias("term"))
-            .where(F.col("term") != ""))
+    """One row per non-empty term occurrence: ``(*keep, term)``.
+
+    Words are normalised and empty results dropped inside the array, before
+    the explode, so each word is normalised exactly once (a filter after the
+    explode would be pushed below the projection and evaluate it twice).
+    """
+    terms = F.filter(F.transform(split_words(text), normalize_term), lambda t: t != "")
+    return spread(df.select(*keep, text)).select(*keep, F.explode(terms).alias("term"))
 
 
 def term_frequency(df: DataFrame, text: str = "text", by: tuple[str, ...] = ()) -> DataFrame:
@@ -33,9 +36,22 @@ def term_frequency(df: DataFrame, text: str = "text", by: tuple[str, ...] = ())
 
 
 def document_frequency(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Number of documents containing each term: ``(term, df)``."""
-    pairs = tokenize(docs, text, keep=(doc,)).select(doc, "term").distinct()
-    return pairs.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    """Number of documents containing each term: ``(term, df)``.
+
+    Counted from the per-document term counts (one row per document and
+    term), so a query that also needs those counts shares one tokenising
+    pass: identical sub-plans reuse the same shuffle.
+    """
+    return term_stats(term_frequency(docs, text, by=(doc,))).select("term", "df")
+
+
+def term_stats(doc_tf: DataFrame) -> DataFrame:
+    """``(term, tf, df)`` -- corpus-wide count and document count per term --
+    in one aggregate over per-document counts ``(doc, term, tf)``."""
+    # df counts documents whose term count is positive (all rows here); it
+    # reads tf so that the per-document counts keep one shape in every
+    # branch of a query and their shuffle is reused
+    return doc_tf.groupBy("term").agg(F.sum("tf").alias("tf"), F.count_if(F.col("tf") > 0).alias("df"))
 
 
 def corpus_size(docs: DataFrame) -> DataFrame:
@@ -68,12 +84,20 @@ def tfidf(tf: DataFrame, idf: DataFrame, tf_col: str = "tf", idf_col: str = "idf
 
 
 def doc_tfidf(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, term, tfidf)`` for every document in one job."""
+    """``(doc_id, term, tfidf)`` for every document in one job (the corpus is
+    tokenised once; the per-document counts feed both sides of the join)."""
     tf = term_frequency(docs, text, by=(doc,))
     idf = inverse_document_frequency(docs, doc, text)
     return tfidf(tf, idf, keys=(doc,))
 
 
+def corpus_tfidf(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Corpus-wide ``(term, tfidf)``: count * ln(N / df) from one aggregate."""
+    n = corpus_size(docs).scalar()
+    stats = term_stats(term_frequency(docs, text, by=(doc,)))
+    return stats.select("term", (F.col("tf") * F.ln(n.cast("double") / F.col("df"))).alias("tfidf"))
+
+
 def top_terms(scores: DataFrame, score: str, k: int = 20, term: str = "term") -> DataFrame:
     """The ``k`` rows with the largest score; ties broken by term.
 

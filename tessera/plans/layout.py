@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Spread rows over the cluster when the input has too few partitions.
 
     A scan of a few large files can yield fewer partitions than there are
     cores, leaving CPU-heavy per-row work (regex tokenising of long texts)
-    to a handful of tasks.  Then rows are hash-partitioned by ``keys``
-    (deterministic on retry) into ``defaultParallelism`` partitions.  When
-    the input is already wide -- the normal case at scale -- nothing changes
-    and no shuffle is added.
+    to a handful of tasks.  Then rows are dealt round-robin (Spark sorts
+    before dealing, so a retried task gets the same rows) into
+    ``defaultParallelism`` partitions.  Round-robin rather than by key: the
+    following per-key aggregate then keeps its own exchange, which Spark
+    reuses when the same aggregate feeds several branches of one query --
+    exactly the plan shape of a wide input, where this function is a no-op.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+    return df.repartition(target)

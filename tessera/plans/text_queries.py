@@ -86,8 +86,7 @@ WITH {_IDF},
 tf AS (SELECT term, count(*) AS tf FROM toks GROUP BY term)
 SELECT term, {s6('tf * idf')} AS tfidf FROM tf JOIN idf USING (term)""")
 def tfidf(spark, sf_dir):
-    docs = fx.corpus(spark, sf_dir)
-    out = T.tfidf(T.term_frequency(docs), T.inverse_document_frequency(docs))
+    out = T.corpus_tfidf(fx.corpus(spark, sf_dir))
     return out.select("term", r6("tfidf").alias("tfidf"))
 
 
@@ -114,7 +113,7 @@ def cosine_similarity(spark, sf_dir):
     (both weighted by the corpus IDF)."""
     docs = fx.corpus(spark, sf_dir)
     idf = T.inverse_document_frequency(docs)
-    a = T.tfidf(T.term_frequency(docs), idf)
+    a = T.corpus_tfidf(docs)
     b = T.tfidf(T.term_frequency(fx.benchmark_texts(spark, sf_dir)), idf)
     out = T.cosine_similarity(a, b, score="tfidf")
     return out.select(r6("cosine").alias("cosine"))

@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def md5_prefix60(c: Column) -> Column:
-    """First 60 bits of ``md5(c)`` as an exact ``decimal(38,0)``.
+def md5_halves(c: Column) -> tuple[Column, Column]:
+    """Two 32-bit unsigned ints from the first 64 bits of ``md5(c)``.
 
-    Summing these over a multiset gives an order-independent multiset hash
-    that Spark can aggregate partially (no lists), and the decimal sum cannot
-    overflow for fewer than ~10^20 terms.
+    Summing each half over a multiset gives an order-independent multiset
+    hash that Spark aggregates partially with plain ``bigint`` sums (exact
+    for fewer than 2^31 elements), so no group ever gathers a list.
     """
-    return F.conv(F.substring(F.md5(c.cast("string")), 1, 15), 16, 10).cast("decimal(38,0)")
+    m = F.md5(c.cast("string"))
+    hi = F.conv(F.substring(m, 1, 8), 16, 10).cast("bigint")
+    lo = F.conv(F.substring(m, 9, 8), 16, 10).cast("bigint")
+    return hi, lo
 
 
-def multiset_color(sum_col: Column) -> Column:
-    """New colour from a summed multiset hash."""
-    return F.md5(sum_col.cast("string"))
+def multiset_color(sum_hi: Column, sum_lo: Column) -> Column:
+    """New colour from the two summed halves."""
+    return F.md5(F.concat_ws(":", sum_hi.cast("string"), sum_lo.cast("string")))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.hashing import md5_prefix60, multiset_color
+from ..functions.hashing import md5_halves, multiset_color
 from ..plans.iterate import Materializer
 from ..plans.joins import broadcast_if_bounded
 
@@ -124,17 +124,23 @@ def _undirected(edges: DataFrame, by: tuple[str, ...]) -> DataFrame:
             .unionAll(edges.select(*by, F.col("dst").alias("node"), F.col("src").alias("nbr"))))
 
 
-def wl_refine(adjacent: DataFrame, colors: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+def wl_refine(adjacent: DataFrame, colors: DataFrame, by: tuple[str, ...] = (),
+              n_nodes: int | None = None) -> DataFrame:
     """One refinement round: colour of v = hash of the multiset of its
     neighbours' colours (own colour not included, multi-edges repeated).
 
     The multiset hash is a sum, so the aggregate is partial per task and a
-    hub node never gathers its neighbour list in one place.
+    hub node never gathers its neighbour list in one place.  The colour
+    table (one row per node) is broadcast when its exact size is bounded;
+    the explicit hint also keeps the planner from broadcasting the
+    adjacency list on a low size estimate.
     """
-    c = colors.select(*by, F.col("id").alias("nbr"), md5_prefix60(F.col("color")).alias("_h"))
+    hi, lo = md5_halves(F.col("color"))
+    c = colors.select(*by, F.col("id").alias("nbr"), hi.alias("_hi"), lo.alias("_lo"))
+    c = broadcast_if_bounded(c, n_nodes, row_bytes=32)
     j = adjacent.join(c, [*by, "nbr"])
     return (j.groupBy(*by, F.col("node").alias("id"))
-            .agg(multiset_color(F.sum("_h")).alias("color")))
+            .agg(multiset_color(F.sum("_hi"), F.sum("_lo")).alias("color")))
 
 
 def _n_colors(colors: DataFrame) -> int:
@@ -154,11 +160,12 @@ def wl_colors(edges: DataFrame, max_rounds: int | None = None,
     mat = Materializer(spark)
     adjacent = mat(_undirected(edges, by))
     colors = mat(graph_nodes(edges, by).select(*by, "id", F.lit(INITIAL_COLOR).alias("color")))
+    n_nodes = colors.count()
     count = _n_colors(colors)
     rounds = 0
     while True:
         rounds += 1
-        new = mat(wl_refine(adjacent, colors, by))
+        new = mat(wl_refine(adjacent, colors, by, n_nodes))
         new_count = _n_colors(new)
         mat.release_all_but(adjacent, new)
         if new_count == count or (max_rounds is not None and rounds >= max_rounds):

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import log1p_exp_neg, logistic_coefficient
 from ..plans.iterate import Materializer
+from ..plans.joins import broadcast_if_bounded
 from .linear import LINE_SEARCH_A, LINE_SEARCH_B, LINE_SEARCH_STEPS
 
 
@@ -29,9 +30,12 @@ def dataset_summary(data: DataFrame, rows: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n_points"), n_features.alias("n_features"))
 
 
-def margins(data: DataFrame, rows: DataFrame, beta: DataFrame, name: str = "z") -> DataFrame:
-    """``(row_id, label, z)`` with ``z = <beta, x>``; 0.0 when nothing is shared."""
-    b = beta.select("feature", F.col("value").alias("_b"))
+def margins(data: DataFrame, rows: DataFrame, beta: DataFrame, name: str = "z",
+            n_features: int | None = None) -> DataFrame:
+    """``(row_id, label, z)`` with ``z = <beta, x>``; 0.0 when nothing is shared.
+
+    The model is broadcast when an exact bound on its rows is given."""
+    b = broadcast_if_bounded(beta.select("feature", F.col("value").alias("_b")), n_features, row_bytes=48)
     partial = (data.select("row_id", "feature", "value").join(b, "feature")
                .groupBy("row_id").agg(F.sum(F.col("value") * F.col("_b")).alias("_z")))
     return (rows.select("row_id", "label").join(partial, "row_id", "left")
@@ -56,12 +60,15 @@ def total_logistic_loss(data, rows, beta, lam: float) -> DataFrame:
     return margins(data, rows, beta).agg((F.sum(row_loss()) + F.lit(lam) * bb).alias("loss"))
 
 
-def gradient_from_margins(data: DataFrame, z: DataFrame, beta: DataFrame, lam: float) -> DataFrame:
+def gradient_from_margins(data: DataFrame, z: DataFrame, beta: DataFrame, lam: float,
+                          n_rows: int | None = None) -> DataFrame:
     """``(feature, b, g)``: b = current value (0.0 if absent), g = gradient.
 
-    Keys are the union of data features and model features.
+    Keys are the union of data features and model features.  The per-row
+    coefficients are broadcast when an exact bound on rows is given.
     """
     coef = z.select("row_id", logistic_coefficient(F.col("label").cast("double"), F.col("z")).alias("_c"))
+    coef = broadcast_if_bounded(coef, n_rows, row_bytes=16)
     gsum = (data.select("row_id", "feature", "value").join(coef, "row_id")
             .groupBy("feature").agg(F.sum(F.col("_c") * F.col("value")).alias("_g")))
     b = beta.select("feature", F.col("value").alias("_b"))
@@ -76,10 +83,11 @@ def logistic_gradient(data, rows, beta, lam: float) -> DataFrame:
     return g.select("feature", F.col("g").alias("gradient"))
 
 
-def with_direction(data: DataFrame, z: DataFrame, grad: DataFrame) -> DataFrame:
+def with_direction(data: DataFrame, z: DataFrame, grad: DataFrame,
+                   n_features: int | None = None) -> DataFrame:
     """``(row_id, label, z, h)`` with ``h = <grad, x>`` per row."""
     hz = margins(data, z.select("row_id", "label"),
-                 grad.select("feature", F.col("g").alias("value")), "h")
+                 grad.select("feature", F.col("g").alias("value")), "h", n_features)
     return z.join(hz.select("row_id", "h"), "row_id")
 
 
@@ -161,13 +169,17 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
     mat = Materializer(spark)
     data = mat(data.select("row_id", "feature", F.col("value").cast("double").alias("value")))
     beta = mat(beta0 if beta0 is not None else empty_model(data))
-    z = mat(margins(data, rows, beta))
+    rows = mat(rows.select("row_id", "label"))
+    n_rows = rows.count()
+    # model and gradient keys: the data's features plus the start model's
+    n_features = data.select("feature").union(beta.select("feature")).distinct().count()
+    z = mat(margins(data, rows, beta, n_features=n_features))
     history = []
     k, norm = 0, float("inf")  # not measured yet
     start = time.time()
     while k < max_iter and norm > eps:
-        grad = mat(gradient_from_margins(data, z, beta, lam))
-        zh = mat(with_direction(data, z, grad))
+        grad = mat(gradient_from_margins(data, z, beta, lam, n_rows))
+        zh = mat(with_direction(data, z, grad, n_features))
         ls = line_search_frame(zh, grad, lam).first()
         norm = float(ls["grad_norm_sq"]) ** 0.5
         t = float(ls["step"])
@@ -178,7 +190,7 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
             m = binary_metrics(test[0], test[1], new_beta).first()
             acc, pre, rec = m["accuracy"], m["precision"], m["recall"]
         history.append((k, float(ls["objective"]), norm, t, acc, pre, rec, time.time() - start))
-        mat.release_all_but(data, new_beta, new_z)
+        mat.release_all_but(data, rows, new_beta, new_z)
         beta, z = new_beta, new_z
         k += 1
         if t == 0.0:

@@ -19,7 +19,16 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        def run(spark, sf_dir):
+            from ..session import apply_recommended
+
+            apply_recommended(spark)
+            return fn(spark, sf_dir)
+
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

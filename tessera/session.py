@@ -4,17 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings the operators are tuned for.  AQE re-plans joins at runtime from
-# measured shuffle sizes (broadcast only below the threshold, split skewed
-# partitions otherwise) and coalesces small shuffle partitions.
+# Settings the operators are tuned for.  No broadcast is chosen from
+# *estimated* sizes (a compressed-file estimate can be far below the real
+# size); AQE re-plans joins at runtime from *measured* shuffle sizes --
+# broadcast only below its threshold, otherwise sort-merge with skewed
+# partitions split -- and coalesces small shuffle partitions.  Operators
+# that know an exact row count hint broadcasts themselves.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
+def apply_recommended(spark: SparkSession) -> None:
+    """Set the recommended SQL options on an existing session."""
+    for key, value in RECOMMENDED_CONF.items():
+        spark.conf.set(key, value)
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(master).appName(app_name)

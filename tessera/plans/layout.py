@@ -17,6 +17,8 @@ def spread(df: DataFrame) -> DataFrame:
     reuses when the same aggregate feeds several branches of one query --
     exactly the plan shape of a wide input, where this function is a no-op.
     """
+    if df.isStreaming:
+        return df
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df

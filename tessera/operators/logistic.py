@@ -91,47 +91,75 @@ def with_direction(data: DataFrame, z: DataFrame, grad: DataFrame,
     return z.join(hz.select("row_id", "h"), "row_id")
 
 
-def line_search_frame(zh: DataFrame, grad: DataFrame, lam: float,
-                      a: float = LINE_SEARCH_A, b: float = LINE_SEARCH_B,
-                      steps: int = LINE_SEARCH_STEPS) -> DataFrame:
-    """All backtracking trials in one aggregate pass.
+LINE_SEARCH_BATCH = 10
+
+
+def line_search_frame(zh: DataFrame, grad: DataFrame, lam: float, first: int = 0,
+                      count: int = LINE_SEARCH_BATCH, a: float = LINE_SEARCH_A,
+                      b: float = LINE_SEARCH_B, steps: int = LINE_SEARCH_STEPS) -> DataFrame:
+    """Backtracking trials ``t = b^k`` for ``first <= k < first + count`` in
+    one aggregate pass over ``zh`` (no grid join).
 
     The objective at ``beta - t grad`` is
-    ``sum l(y (z - t h)) + lam (|b|^2 - 2 t <b,g> + t^2 |g|^2)``.  One
-    aggregate over ``zh`` computes the loss at t = 0 and at every t = b^k
-    (k < steps); the result row holds ``(objective, grad_norm_sq, step, k,
-    objective_after)`` with step 0.0 when no trial passes.
+    ``sum l(y (z - t h)) + lam (|b|^2 - 2 t <b,g> + t^2 |g|^2)``.  The row
+    holds ``(objective, grad_norm_sq, step, k, objective_after)``; ``k`` is
+    the first passing trial of the batch, or NULL if none passes (then
+    ``step`` is 0.0 and ``objective_after`` the objective).
     """
     y = F.col("label").cast("double")
-    ts = [b ** k for k in range(steps)]
+    ks = [k for k in range(first, min(first + count, steps))]
+    ts = [b ** k for k in ks]
     sums = [F.sum(log1p_exp_neg(y * F.col("z"))).alias("l0")]
-    sums += [F.sum(log1p_exp_neg(y * (F.col("z") - F.lit(t) * F.col("h")))).alias(f"l{k + 1}")
-             for k, t in enumerate(ts)]
+    sums += [F.sum(log1p_exp_neg(y * (F.col("z") - F.lit(t) * F.col("h")))).alias(f"l{k}_")
+             for k, t in zip(ks, ts)]
     norms = grad.agg(F.struct(F.sum(F.col("b") * F.col("b")).alias("bb"),
                               F.sum(F.col("b") * F.col("g")).alias("bg"),
                               F.sum(F.col("g") * F.col("g")).alias("gg"))).scalar()
     agg = zh.agg(*sums).select("*", norms.alias("_nrm"))
     bb, bg, gg = F.col("_nrm.bb"), F.col("_nrm.bg"), F.col("_nrm.gg")
     f0 = F.col("l0") + F.lit(lam) * bb
-    trial = [F.col(f"l{k + 1}") + F.lit(lam) * (bb - F.lit(2 * t) * bg + F.lit(t * t) * gg)
-             for k, t in enumerate(ts)]
-    # staged projections: every trial objective is computed once
+    trial = {k: F.col(f"l{k}_") + F.lit(lam) * (bb - F.lit(2 * t) * bg + F.lit(t * t) * gg)
+             for k, t in zip(ks, ts)}
     s1 = agg.select(f0.alias("objective"), gg.alias("grad_norm_sq"),
-                    *[tr.alias(f"f{k}") for k, tr in enumerate(trial)])
+                    *[tr.alias(f"f{k}") for k, tr in trial.items()])
     passed = [F.when(F.col(f"f{k}") <= F.col("objective") - F.lit(a * t) * F.col("grad_norm_sq"), F.lit(k))
-              for k, t in enumerate(ts)]
-    s2 = s1.select("*", F.coalesce(*passed, F.lit(steps)).alias("k"))
-    trials = F.array(*[F.col(f"f{k}") for k in range(steps)], F.col("objective"))
-    tcol = F.array(*[F.lit(t) for t in ts], F.lit(0.0))
-    return s2.select("objective", "grad_norm_sq",
-                     F.element_at(tcol, F.col("k") + 1).alias("step"), F.col("k").cast("int").alias("k"),
-                     F.element_at(trials, F.col("k") + 1).alias("objective_after"))
+              for k, t in zip(ks, ts)]
+    s2 = s1.select("*", F.coalesce(*passed).alias("k"))
+    step = F.coalesce(*[F.when(F.col("k") == k, F.lit(t)) for k, t in zip(ks, ts)], F.lit(0.0))
+    after = F.coalesce(*[F.when(F.col("k") == k, F.col(f"f{k}")) for k in ks], F.col("objective"))
+    return s2.select("objective", "grad_norm_sq", step.alias("step"), F.col("k").cast("int").alias("k"),
+                     after.alias("objective_after"))
+
+
+def line_search(zh: DataFrame, grad: DataFrame, lam: float,
+                steps: int = LINE_SEARCH_STEPS) -> tuple[DataFrame, dict]:
+    """First passing backtracking step: batches of trials until one passes.
+
+    Returns the deciding one-row frame and its values; after ``steps``
+    trials without a pass the step is 0.0 and ``k`` is ``steps``.
+    """
+    for first in range(0, steps, LINE_SEARCH_BATCH):
+        frame = line_search_frame(zh, grad, lam, first, steps=steps)
+        row = frame.first().asDict()
+        if row["k"] is not None:
+            return frame, row
+    frame = frame.select("objective", "grad_norm_sq", "step",
+                         F.lit(steps).cast("int").alias("k"), "objective_after")
+    row["k"] = steps
+    return frame, row
 
 
 def logistic_step(data, rows, beta, lam: float) -> DataFrame:
+    """One-row frame ``(objective, grad_norm_sq, step, k, objective_after)``.
+
+    The gradient and directions are checkpointed once, then the batches of
+    trials are read from them."""
+    mat = Materializer(data.sparkSession)
     z = margins(data, rows, beta)
-    grad = gradient_from_margins(data, z, beta, lam)
-    return line_search_frame(with_direction(data, z, grad), grad, lam)
+    grad = mat(gradient_from_margins(data, z, beta, lam))
+    zh = mat(with_direction(data, z, grad))
+    frame, _ = line_search(zh, grad, lam)
+    return frame
 
 
 @dataclass
@@ -180,7 +208,7 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
     while k < max_iter and norm > eps:
         grad = mat(gradient_from_margins(data, z, beta, lam, n_rows))
         zh = mat(with_direction(data, z, grad, n_features))
-        ls = line_search_frame(zh, grad, lam).first()
+        _, ls = line_search(zh, grad, lam)
         norm = float(ls["grad_norm_sq"]) ** 0.5
         t = float(ls["step"])
         new_z = mat(zh.select("row_id", "label", (F.col("z") - F.lit(t) * F.col("h")).alias("z")))

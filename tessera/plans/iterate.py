@@ -3,7 +3,8 @@
 Each iteration's state is materialised with a *reliable* checkpoint (written
 to ``spark.checkpoint.dir``), which both cuts the lineage -- so planning time
 stays flat -- and survives executor loss, unlike cached or local-checkpointed
-blocks.  The previous state is released once the new one is written.
+blocks.  States that are no longer needed are released and their checkpoint
+files deleted, so a long loop keeps only the live iterations on storage.
 """
 
 from __future__ import annotations
@@ -13,11 +14,29 @@ from pyspark.sql import DataFrame
 from ..session import ensure_checkpoint_dir
 
 
+def _checkpoint_file(df: DataFrame) -> str | None:
+    try:
+        opt = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        return opt.get() if opt.isDefined() else None
+    except Exception:  # not a checkpointed frame
+        return None
+
+
+def _delete(spark, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    except Exception:
+        pass
+
+
 class Materializer:
-    """Keeps at most a few live iteration states and drops older ones."""
+    """Checkpoints iteration states and deletes the ones released."""
 
     def __init__(self, spark):
         ensure_checkpoint_dir(spark)
+        self._spark = spark
         self._live: list[DataFrame] = []
 
     def __call__(self, df: DataFrame) -> DataFrame:
@@ -26,11 +45,15 @@ class Materializer:
         return out
 
     def release_all_but(self, *keep: DataFrame) -> None:
+        """Drop every state not in ``keep``.  Only pass states whose lazy
+        descendants are no longer needed."""
         keep_ids = {id(k) for k in keep}
         still = []
         for df in self._live:
             if id(df) in keep_ids:
                 still.append(df)
-            else:
-                df.unpersist()
+                continue
+            path = _checkpoint_file(df)
+            if path:
+                _delete(self._spark, path)
         self._live = still

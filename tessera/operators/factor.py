@@ -239,3 +239,14 @@ def fold_summary(ratings_with_folds: DataFrame) -> DataFrame:
                       (total - F.col("n_test")).alias("n_train"), "n_test",
                       (n_u - F.coalesce(F.col("_lu"), F.lit(0))).alias("n_users"),
                       (n_i - F.coalesce(F.col("_li"), F.lit(0))).alias("n_items"))
+
+
+def fit_full(ratings: DataFrame, output: str | None = None, **train_args) -> MFFit:
+    """Train on all ratings without cross validation (the "test" RMSE is
+    measured on the training ratings) and, if ``output`` is given, write the
+    profiles to ``{output}_U`` and ``{output}_V`` as parquet."""
+    fit = train_mf(ratings, test=None, **train_args)
+    if output:
+        fit.U.write.mode("overwrite").parquet(f"{output}_U")
+        fit.V.write.mode("overwrite").parquet(f"{output}_V")
+    return fit

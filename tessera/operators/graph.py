@@ -85,14 +85,30 @@ class PageRankResult:
         return spark.createDataFrame(self.history, "iteration int, err double")
 
 
-def pagerank(edges: DataFrame, gamma: float = 0.15, max_iter: int = 50,
-             eps: float = 0.01) -> PageRankResult:
-    """PageRank with the reference's sparse semantics.
+def standard_step(weights: DataFrame, scores: DataFrame, nodes: DataFrame, gamma: float,
+                  n: int, known_nodes: int | None = None) -> DataFrame:
+    """Textbook step: every node keeps a row (``gamma / n`` plus what it
+    receives), and the mass of nodes without out-edges is spread uniformly."""
+    received = pagerank_step(weights, scores, 0.0, n, known_nodes).select(
+        "id", F.col("score").alias("_r"))
+    sources = weights.select(F.col("src").alias("id")).distinct()
+    dangling = (scores.join(sources, "id", "left_anti")
+                .agg(F.coalesce(F.sum("score"), F.lit(0.0))).scalar())
+    return (nodes.join(received, "id", "left")
+            .select("id", (F.lit(1.0 - gamma) * (F.coalesce(F.col("_r"), F.lit(0.0)) + dangling / F.lit(float(n)))
+                           + F.lit(gamma / n)).alias("score")))
+
 
-    Start at 1/n; each step keeps only nodes that receive a contribution;
-    mass of nodes without out-edges is lost; stop after ``max_iter`` steps or
-    when the L1 change over common nodes is at most ``eps`` (0 when there are
-    no common nodes).  Nodes without a final score get ``gamma / n``.
+def pagerank(edges: DataFrame, gamma: float = 0.15, max_iter: int = 50,
+             eps: float = 0.01, mode: str = "sparse") -> PageRankResult:
+    """PageRank.
+
+    ``mode='sparse'`` (default) keeps the reference's semantics: start at
+    1/n; each step keeps only nodes that receive a contribution; mass of
+    nodes without out-edges is lost; stop after ``max_iter`` steps or when
+    the L1 change over common nodes is at most ``eps`` (0 when there are no
+    common nodes); nodes without a final score get ``gamma / n``.
+    ``mode='standard'`` is the textbook variant (see ``standard_step``).
     """
     spark = edges.sparkSession
     mat = Materializer(spark)
@@ -104,7 +120,10 @@ def pagerank(edges: DataFrame, gamma: float = 0.15, max_iter: int = 50,
     i, err = 0, eps + 1.0
     while i < max_iter and err > eps:
         i += 1
-        new = mat(pagerank_step(weights, scores, gamma, n, known_nodes=n))
+        if mode == "standard":
+            new = mat(standard_step(weights, scores, nodes, gamma, n, known_nodes=n))
+        else:
+            new = mat(pagerank_step(weights, scores, gamma, n, known_nodes=n))
         err = float(score_change(scores, new).first()["err"])
         history.append((i, err))
         mat.release_all_but(weights, nodes, new)

@@ -165,3 +165,13 @@ def sparse_numeric_gradient(spark, sf_dir):
     data, rows = _data(spark, sf_dir)
     out = LG.numeric_gradient(data, rows, _probe(data), LAM, DELTA)
     return out.select("feature", r6("gradient").alias("gradient"))
+
+
+@register(f"logistic_history_k{TRAIN_ITERS}")
+def logistic_history(spark, sf_dir):
+    """Training history (S13): one row per iteration with objective, gradient
+    norm, step, test metrics (the training rows serve as test set) and
+    elapsed time.  Elapsed time is not reproducible, so no SQL twin."""
+    data, rows = _data(spark, sf_dir)
+    fit = LG.train_logistic(data, rows, LAM, max_iter=TRAIN_ITERS, eps=0.0, test=(data, rows))
+    return fit.history_df(spark)

@@ -58,3 +58,15 @@ def test_fold_summary(spark):
         "fold", F.when(F.col("item_id") == 3, 1).otherwise(0))
     got = {r["fold"]: tuple(r[1:]) for r in M.fold_summary(R).collect()}
     assert got == {0: (1, 2, 1, 1), 1: (2, 1, 1, 2)}
+
+
+def test_fit_full_writes_profiles(spark, tmp_dir):
+    import os
+
+    rows = [(u, i, float((u * i) % 4) / 2) for u in range(1, 5) for i in range(1, 6)]
+    R = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    out = os.path.join(tmp_dir, "model")
+    fit = M.fit_full(R, out, d=2, gain=0.01, max_iter=2)
+    assert spark.read.parquet(out + "_U").count() == 4
+    assert spark.read.parquet(out + "_V").count() == 5
+    assert fit.history[-1][3] == len(rows)

@@ -94,3 +94,11 @@ def test_color_distribution(spark):
     colors = G.wl_colors(edges(spark, [(1, 2), (2, 3)], "long"))
     dist = {r["class_size"]: r["n_classes"] for r in G.color_distribution(colors).collect()}
     assert dist == {2: 1, 1: 1}
+
+
+def test_standard_pagerank_keeps_mass(spark):
+    # a -> b, b -> c, c dangling: the textbook variant keeps total mass 1
+    res = G.pagerank(edges(spark, [("a", "b"), ("b", "c")]), 0.15, max_iter=100, eps=1e-12, mode="standard")
+    s = scores(res)
+    assert sum(s.values()) == pytest.approx(1.0)
+    assert s["c"] > s["b"] > s["a"]

@@ -19,10 +19,11 @@ MAX_BROADCAST_BYTES = 64 << 20
 
 
 def broadcast_if_bounded(df: DataFrame, known_rows: int | None,
-                         limit: int = MAX_BROADCAST_ROWS, row_bytes: int = 16) -> DataFrame:
-    """Hint a broadcast only when an exact row count is below ``limit`` and
-    ``known_rows * row_bytes`` is below ``MAX_BROADCAST_BYTES``; otherwise
-    leave the choice to AQE."""
+                         limit: int | None = None, row_bytes: int = 16) -> DataFrame:
+    """Hint a broadcast only when an exact row count is below ``limit``
+    (default ``MAX_BROADCAST_ROWS``) and ``known_rows * row_bytes`` is below
+    ``MAX_BROADCAST_BYTES``; otherwise leave the choice to AQE."""
+    limit = MAX_BROADCAST_ROWS if limit is None else limit
     if (known_rows is not None and known_rows <= limit
             and known_rows * row_bytes <= MAX_BROADCAST_BYTES):
         return F.broadcast(df)

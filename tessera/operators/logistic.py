@@ -185,11 +185,13 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
                    test: tuple[DataFrame, DataFrame] | None = None) -> LogisticFit:
     """Gradient descent with backtracking, from an empty model by default.
 
-    Each iteration: gradient (data joined with per-row coefficients, summed
-    per feature), one model join for h = <grad, x>, one aggregate for all
-    line-search trials, then ``beta - t grad`` and ``z - t h`` are
-    checkpointed.  As in the reference, the update is applied before the
-    loop checks the gradient norm of the pre-update model.
+    Each iteration checkpoints two states: the gradient (data joined with
+    per-row coefficients, summed per feature, carrying the current model)
+    and the per-row directions h = <grad, x> (carrying the margins).  The
+    line search reads them in one aggregate per batch of trials; the new
+    model ``beta - t grad`` and margins ``z - t h`` stay projections of
+    those checkpoints.  As in the reference, the update is applied before
+    the loop checks the gradient norm of the pre-update model.
     """
     import time
 
@@ -208,18 +210,20 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
     while k < max_iter and norm > eps:
         grad = mat(gradient_from_margins(data, z, beta, lam, n_rows))
         zh = mat(with_direction(data, z, grad, n_features))
+        # beta and z of the previous step were projections of the previous
+        # checkpoints; both are now folded into grad and zh
+        mat.release_all_but(data, rows, grad, zh)
         _, ls = line_search(zh, grad, lam)
         norm = float(ls["grad_norm_sq"]) ** 0.5
         t = float(ls["step"])
-        new_z = mat(zh.select("row_id", "label", (F.col("z") - F.lit(t) * F.col("h")).alias("z")))
-        new_beta = mat(grad.select("feature", (F.col("b") - F.lit(t) * F.col("g")).alias("value")))
+        # new state: one narrow projection over each checkpoint
+        z = zh.select("row_id", "label", (F.col("z") - F.lit(t) * F.col("h")).alias("z"))
+        beta = grad.select("feature", (F.col("b") - F.lit(t) * F.col("g")).alias("value"))
         acc = pre = rec = None
         if test is not None:
-            m = binary_metrics(test[0], test[1], new_beta).first()
+            m = binary_metrics(test[0], test[1], beta).first()
             acc, pre, rec = m["accuracy"], m["precision"], m["recall"]
         history.append((k, float(ls["objective"]), norm, t, acc, pre, rec, time.time() - start))
-        mat.release_all_but(data, rows, new_beta, new_z)
-        beta, z = new_beta, new_z
         k += 1
         if t == 0.0:
             break

@@ -34,7 +34,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v  # exact: the driver hashes values
     if hasattr(v, "item"):
         return _norm(v.item())
     return v

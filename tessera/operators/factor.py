@@ -155,7 +155,9 @@ def train_mf(train: DataFrame, d: int = 10, gain: float = 0.001, power: float =
     spark = train.sparkSession
     mat = Materializer(spark)
     train = mat(train.select("user_id", "item_id", F.col("rating").cast("double")))
-    test = train if test is None else test.select("user_id", "item_id", "rating")
+    same_test = test is None
+    test = train if same_test else mat(test.select("user_id", "item_id", F.col("rating").cast("double")))
+    n_test = test.count()
     U = mat(init_user_profiles(train, d, seed))
     V = mat(init_item_profiles(train, d, seed))
     n_users, n_items = U.count(), V.count()
@@ -165,18 +167,27 @@ def train_mf(train: DataFrame, d: int = 10, gain: float = 0.001, power: float =
     while i < max_iter and change > eps:
         i += 1
         joined = predict_ratings(train, U, V, d, n_users, n_items).persist()
-        se = squared_error_total(joined).first()["se"]
-        norms = U.agg(profile_norm(U, d, lam).alias("n")).first()["n"] + \
-            V.agg(profile_norm(V, d, mu).alias("n")).first()["n"]
-        old, obj = obj, se + norms
+        # one action: squared error and matched count over the joined ratings
+        # plus both profile norms as scalar subqueries
+        norms = (U.agg(profile_norm(U, d, lam)).scalar()
+                 + V.agg(profile_norm(V, d, mu)).scalar())
+        row = joined.agg(F.coalesce(F.sum(F.col("delta") * F.col("delta")), F.lit(0.0)).alias("se"),
+                         F.count(F.lit(1)).alias("n")).select("se", "n", norms.alias("norms")).first()
+        old, obj = obj, row["se"] + row["norms"]
         change = abs(obj - old)
-        r = rmse(test, U, V, d, n_users, n_items).first()
+        if same_test:  # "test" = training ratings: RMSE from the same aggregate
+            se_t, n_matched = row["se"], row["n"]
+        else:
+            t = predict_ratings(test, U, V, d, n_users, n_items).agg(
+                F.sum(F.col("delta") * F.col("delta")).alias("se"), F.count(F.lit(1)).alias("n")).first()
+            se_t, n_matched = t["se"], t["n"]
+        test_rmse = math.sqrt(se_t / n_matched) if n_matched else None
         gamma = gain_at(i, gain, power)
         new_U = mat(update_users(joined, gamma, lam, d))
         new_V = mat(update_items(joined, gamma, mu, d))
         joined.unpersist()
-        history.append((i, obj, r["rmse"], r["n_matched"], gamma, time.time() - start))
-        mat.release_all_but(train, new_U, new_V)
+        history.append((i, obj, test_rmse, n_matched, gamma, time.time() - start))
+        mat.release_all_but(train, test, new_U, new_V)
         U, V = new_U, new_V  # same ids as before: every profile has a rating
     return MFFit(U, V, history)
 

@@ -177,7 +177,8 @@ class LogisticFit:
 
 
 def empty_model(data: DataFrame) -> DataFrame:
-    return data.select("feature", F.col("value").cast("double").alias("value")).limit(0)
+    """The all-zero model: no ``(feature, value)`` rows."""
+    return data.sparkSession.createDataFrame([], "feature string, value double")
 
 
 def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int = 100,

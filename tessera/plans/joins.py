@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, functions as F
 # Upper bound on rows we are willing to ship to every executor when the
 # count is known exactly (e.g. node counts, profile counts).
 MAX_BROADCAST_ROWS = 2_000_000
+# Sources with more distinct targets than this are "hot" when edges are
+# co-partitioned by source; there are at most |E| / MIN_HOT_DEGREE of them.
+MIN_HOT_DEGREE = 10_000
 # Upper bound on the estimated in-memory size of a hinted broadcast.
 MAX_BROADCAST_BYTES = 64 << 20
 

@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.sources import readers as S
 from tessera.sources import writers as W

@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators import logistic as LG
 from tessera.operators import sparse as V

@@ -76,56 +76,6 @@ def fill_sourceless(nodes: DataFrame, scores: DataFrame, gamma: float, n: int) -
             .select("id", F.coalesce(F.col("score"), F.lit(gamma / n)).alias("score")))
 
 
-class SplitEdges:
-    """Edges for graphs whose score table is too large to broadcast.
-
-    Sources with at most ``hot_degree`` distinct targets ("cold") have their
-    edges hash-partitioned by source once and checkpointed, so each
-    iteration only shuffles the score table to meet them.  Sources above
-    the threshold ("hot") are at most ``|E| / hot_degree`` many -- a proven
-    bound -- so their scores are broadcast while their edges stay spread
-    evenly; a hub never lands in a single task.
-    """
-
-    def __init__(self, weights: DataFrame, mat: Materializer, partitions: int, hot_degree: int):
-        import uuid
-
-        from ..session import ensure_checkpoint_dir
-
-        spark = weights.sparkSession
-        self.spark = spark
-        self.partitions = partitions
-        deg = weights.groupBy("src").agg(F.count(F.lit(1)).alias("_d"))
-        hot = mat(deg.where(F.col("_d") > hot_degree).select("src"))
-        self.n_hot = hot.count()
-        self.hot_src = hot
-        # cold edges: a bucketed table in the checkpoint folder, so the
-        # planner knows they are hash-partitioned by source in every join
-        self.table = f"tessera_cold_edges_{uuid.uuid4().hex}"
-        self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{self.table}"
-        (weights.join(F.broadcast(hot), "src", "left_anti")
-         .write.bucketBy(partitions, "src").option("path", self.path).saveAsTable(self.table))
-        self.cold = spark.table(self.table)
-        self.hot = mat(weights.join(F.broadcast(hot), "src"))
-
-    def close(self) -> None:
-        from ..plans.iterate import _delete
-
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-        _delete(self.spark, self.path)
-
-    def step(self, scores: DataFrame, gamma: float, n: int) -> DataFrame:
-        s = scores.select(F.col("id").alias("src"), "score")
-        s_cold = s.repartition(self.partitions, "src").hint("shuffle_hash")
-        cold = self.cold.join(s_cold, "src")
-        s_hot = F.broadcast(s.join(F.broadcast(self.hot_src), "src"))
-        hot = self.hot.join(s_hot, "src")
-        contrib = cold.select("dst", "w", "score").unionAll(hot.select("dst", "w", "score"))
-        return (contrib.groupBy(F.col("dst").alias("id"))
-                .agg((F.lit(1.0 - gamma) * F.sum(F.col("score") * F.col("w"))
-                      + F.lit(gamma / n)).alias("score")))
-
-
 class PageRankResult:
     def __init__(self, scores: DataFrame, history: list[tuple[int, float]], n: int):
         self.scores = scores
@@ -169,11 +119,10 @@ def pagerank(edges: DataFrame, gamma: float = 0.15, max_iter: int = 50,
     scores = mat(nodes.select("id", F.lit(1.0 / n).alias("score")))
     split = None
     if mode != "standard" and broadcast_if_bounded(scores, n, row_bytes=16) is scores:
-        # scores too large to broadcast: co-partition the edges once
+        # scores too large to broadcast: bucket the edges by source once
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        n_edges = weights.count()
-        hot_degree = max(joins.MIN_HOT_DEGREE, n_edges // max(1, joins.MAX_BROADCAST_ROWS))
-        split = SplitEdges(weights, mat, partitions, hot_degree)
+        split = joins.SkewSplitTable(weights, ["src"], mat, partitions,
+                                     joins.hot_threshold(weights.count()))
     history: list[tuple[int, float]] = []
     i, err = 0, eps + 1.0
     while i < max_iter and err > eps:
@@ -181,12 +130,15 @@ def pagerank(edges: DataFrame, gamma: float = 0.15, max_iter: int = 50,
         if mode == "standard":
             new = mat(standard_step(weights, scores, nodes, gamma, n, known_nodes=n))
         elif split is not None:
-            new = mat(split.step(scores, gamma, n))
+            contrib = split.join(scores.select(F.col("id").alias("src"), "score"))
+            new = mat(contrib.groupBy(F.col("dst").alias("id"))
+                      .agg((F.lit(1.0 - gamma) * F.sum(F.col("score") * F.col("w"))
+                            + F.lit(gamma / n)).alias("score")))
         else:
             new = mat(pagerank_step(weights, scores, gamma, n, known_nodes=n))
         err = float(score_change(scores, new).first()["err"])
         history.append((i, err))
-        keep = (split.hot, split.hot_src) if split is not None else ()
+        keep = split.live() if split is not None else ()
         mat.release_all_but(weights, nodes, new, *keep)
         scores = new
     if split is not None:
@@ -206,7 +158,7 @@ def _undirected(edges: DataFrame, by: tuple[str, ...]) -> DataFrame:
             .unionAll(edges.select(*by, F.col("dst").alias("node"), F.col("src").alias("nbr"))))
 
 
-def wl_refine(adjacent: DataFrame, colors: DataFrame, by: tuple[str, ...] = (),
+def wl_refine(adjacent, colors: DataFrame, by: tuple[str, ...] = (),
               n_nodes: int | None = None) -> DataFrame:
     """One refinement round: colour of v = hash of the multiset of its
     neighbours' colours (own colour not included, multi-edges repeated).
@@ -219,8 +171,10 @@ def wl_refine(adjacent: DataFrame, colors: DataFrame, by: tuple[str, ...] = (),
     """
     hi, lo = md5_halves(F.col("color"))
     c = colors.select(*by, F.col("id").alias("nbr"), hi.alias("_hi"), lo.alias("_lo"))
-    c = broadcast_if_bounded(c, n_nodes, row_bytes=32)
-    j = adjacent.join(c, [*by, "nbr"])
+    if isinstance(adjacent, joins.SkewSplitTable):
+        j = adjacent.join(c)
+    else:
+        j = adjacent.join(broadcast_if_bounded(c, n_nodes, row_bytes=32), [*by, "nbr"])
     return (j.groupBy(*by, F.col("node").alias("id"))
             .agg(multiset_color(F.sum("_hi"), F.sum("_lo")).alias("color")))
 
@@ -243,14 +197,24 @@ def wl_colors(edges: DataFrame, max_rounds: int | None = None,
     adjacent = mat(_undirected(edges, by))
     colors = mat(graph_nodes(edges, by).select(*by, "id", F.lit(INITIAL_COLOR).alias("color")))
     n_nodes = colors.count()
+    target = adjacent
+    keep = (adjacent,)
+    if broadcast_if_bounded(colors, n_nodes, row_bytes=32) is colors:
+        # colours too large to broadcast: bucket the adjacency by neighbour once
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        target = joins.SkewSplitTable(adjacent, [*by, "nbr"], mat, partitions,
+                                      joins.hot_threshold(adjacent.count()))
+        keep = target.live()
     count = _n_colors(colors)
     rounds = 0
     while True:
         rounds += 1
-        new = mat(wl_refine(adjacent, colors, by, n_nodes))
+        new = mat(wl_refine(target, colors, by, n_nodes))
         new_count = _n_colors(new)
-        mat.release_all_but(adjacent, new)
+        mat.release_all_but(*keep, new)
         if new_count == count or (max_rounds is not None and rounds >= max_rounds):
+            if target is not adjacent:
+                target.close()
             return new
         colors, count = new, new_count
 

@@ -31,3 +31,56 @@ def broadcast_if_bounded(df: DataFrame, known_rows: int | None,
             and known_rows * row_bytes <= MAX_BROADCAST_BYTES):
         return F.broadcast(df)
     return df
+
+
+def hot_threshold(n_rows: int) -> int:
+    """Rows per key above which a key is "hot"; keeps the number of hot keys
+    at most ``MAX_BROADCAST_ROWS`` (there are at most n_rows / threshold)."""
+    return max(MIN_HOT_DEGREE, n_rows // max(1, MAX_BROADCAST_ROWS))
+
+
+class SkewSplitTable:
+    """A large table joined once per iteration with a changing per-key table
+    that is too large to broadcast (scores per node, colours per node).
+
+    Rows of ordinary keys are written once as a table bucketed by the key
+    (in the checkpoint folder), so every later join shuffles only the
+    per-key table.  Keys with more than ``threshold`` rows are "hot"; there
+    are at most ``n_rows / threshold`` of them, so their per-key rows are
+    broadcast and their large-table rows stay spread evenly -- a hot key
+    never lands in one task.  Call ``close()`` to drop the bucketed table.
+    """
+
+    def __init__(self, fact: DataFrame, keys: list[str], mat, partitions: int,
+                 threshold: int):
+        import uuid
+
+        from ..session import ensure_checkpoint_dir
+
+        spark = fact.sparkSession
+        self.spark, self.keys, self.partitions = spark, list(keys), partitions
+        per_key = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        self.hot_keys = mat(per_key.where(F.col("_n") > threshold).select(*keys))
+        self.n_hot = self.hot_keys.count()
+        self.table = f"tessera_bucketed_{uuid.uuid4().hex}"
+        self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{self.table}"
+        (fact.join(F.broadcast(self.hot_keys), self.keys, "left_anti")
+         .write.bucketBy(partitions, *self.keys).option("path", self.path).saveAsTable(self.table))
+        self.cold = spark.table(self.table)
+        self.hot = mat(fact.join(F.broadcast(self.hot_keys), self.keys))
+
+    def join(self, per_key: DataFrame) -> DataFrame:
+        """Inner join of the large table with ``per_key`` on the keys."""
+        cold = self.cold.join(per_key.repartition(self.partitions, *self.keys).hint("shuffle_hash"),
+                              self.keys)
+        hot_rows = F.broadcast(per_key.join(F.broadcast(self.hot_keys), self.keys))
+        return cold.unionByName(self.hot.join(hot_rows, self.keys))
+
+    def live(self) -> tuple:
+        return (self.hot_keys, self.hot)
+
+    def close(self) -> None:
+        from .iterate import _delete
+
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        _delete(self.spark, self.path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, simhash
+from . import mixing, piece_codec, simhash, token_counts
 from .common import read_table, share_package
 
 
@@ -16,7 +16,9 @@ def _over(name, table, fn):
 
 
 TABLES = {
+    "op4_token_counts": ("documents", token_counts.op4),
     "op6_mixing": ("documents", mixing.op6),
+    "op8_piece_codec": ("documents", piece_codec.op8),
     "op10_simhash": ("documents", simhash.op10),
 }
 

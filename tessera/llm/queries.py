@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import mixing, piece_codec, simhash, token_counts
+from . import (embedding_dedup, html_extract, mixing, piece_codec, quality, simhash, spotsigs, suffix_dedup,
+               token_counts, url_filter)
 from .common import read_table, share_package
 
 
@@ -16,15 +17,26 @@ def _over(name, table, fn):
 
 
 TABLES = {
+    "op1_html_extraction": ("pages", html_extract.op1),
+    "op2_suffix_dedup": ("documents", suffix_dedup.op2),
+    "op3_embedding_dedup": ("embeddings", embedding_dedup.op3),
     "op4_token_counts": ("documents", token_counts.op4),
     "op6_mixing": ("documents", mixing.op6),
+    "op7_url_filter": ("pages", url_filter.op7),
     "op8_piece_codec": ("documents", piece_codec.op8),
+    "op9_spotsigs": ("documents", spotsigs.op9),
     "op10_simhash": ("documents", simhash.op10),
 }
 
 
+def op5_quality(spark, sf_dir):
+    """Quality score of every document, learnt from the labelled ones."""
+    share_package(spark)
+    return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
-    return {name: _over(name, table, fn) for name, (table, fn) in TABLES.items()}
+    return {name: _over(name, table, fn) for name, (table, fn) in TABLES.items()} | {"op5_quality": op5_quality}
 
 
 def oracle_sql() -> dict[str, str]:

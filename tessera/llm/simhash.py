@@ -120,6 +120,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(classes, "fp").select("id", "fp", "component")
 
 
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+               max_bits: int = 3) -> DataFrame:
+    """``docs`` with one document of each group: that of the smallest id, once.
+    Rows without an id stay; all columns are kept."""
+    found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
+    first = written(found.where("id = component").select(F.col("id").alias(id_col)).distinct(), "first")
+    kept = docs.join(first, id_col, "left_semi").dropDuplicates([id_col])
+    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def op10(docs: DataFrame) -> DataFrame:
     """Contract columns of ``near_duplicates`` over whole ``documents``."""
     found = near_duplicates(docs)

@@ -387,16 +387,20 @@ def _runs(splitters: list[bytes], parts: int):
         if later:
             done.append(np.array(later))
         if done:
-            out.append((0, DONE, number, _ranges(np.unique(np.concatenate(done)))))
-        yield from _rows(PART_SCHEMA, out)
+            out.append(((number >> 24) % parts, DONE, number, _ranges(np.unique(np.concatenate(done)))))
+        pack = zstandard.ZstdCompressor(level=3).compress
+        yield from _rows(PART_SCHEMA, [(p, kind, n, pack(blob)) for p, kind, n, blob in out])
 
     return run
 
 
 def _merge_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 4: the runs of one range to the later windows of each block."""
-    rows = [(k, b, blob) for batch in batches for k, b, blob in
+    unpack = zstandard.ZstdDecompressor().decompress
+    rows = [(k, b, unpack(blob)) for batch in batches for k, b, blob in
             zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+    # what a block has settled alone only passes through
+    yield from _rows(NOTE_SCHEMA, [(b, 0, blob) for k, b, blob in rows if k == DONE])
     later: dict[int, list[tuple[int, int]]] = {}
 
     runs, where = [], []
@@ -480,11 +484,8 @@ def later_windows(blocks: DataFrame, parts: int) -> DataFrame:
     sample = blocks.select(F.explode("sample").alias("s")).where(F.rand(7) <= share)
     cuts = sorted(bytes(r.s) for r in sample.collect())
     splitters = sorted({cuts[len(cuts) * k // parts] for k in range(1, parts)}) if cuts else []
-    runs = written(_with_notes(blocks, _codes(blocks, parts), parts, _runs(splitters, parts), PART_SCHEMA), "runs")
-    merged = (runs.where(F.col("kind") != DONE).repartitionById(parts, F.col("part"))
-              .mapInArrow(_merge_range, NOTE_SCHEMA))
-    local = runs.where(F.col("kind") == DONE).select("block", F.lit(0).alias("note"), "blob")
-    return merged.unionByName(local)
+    runs = _with_notes(blocks, _codes(blocks, parts), parts, _runs(splitters, parts), PART_SCHEMA)
+    return runs.repartitionById(parts, F.col("part")).mapInArrow(_merge_range, NOTE_SCHEMA)
 
 
 def _kept(block: Block, notes: list[tuple[int, bytes]]) -> np.ndarray:

@@ -35,6 +35,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from .blocks import NOTE_SCHEMA, PART_SCHEMA, dicts, first_block_number, range_edges, rows_of, with_notes
 from .common import written
 from .front_coding import Run, encode, merge
 
@@ -192,9 +193,7 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataF
         cols += [F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 24
+        number = first_block_number()
         ids, texts, extra, size = [], [], [], 0
 
         def block():
@@ -222,60 +221,19 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataF
     return written(docs.select(*cols).mapInArrow(run, BLOCK_SCHEMA), "blocks")
 
 
-def _slot(parts: int):
-    """Evenly dealt: blocks of a scan task follow each other."""
-    return F.pmod(F.shiftright("block", 24) + F.col("block").bitwiseAND(F.lit((1 << 24) - 1)) * 7919, F.lit(parts)).cast("int")
-
-
-def _with_notes(blocks: DataFrame, notes: DataFrame, parts: int, fn, schema: str) -> DataFrame:
-    """``fn(block row, its notes)`` per block: notes ``(block, note int, blob)``
-    and block rows meet in the block's slot, the notes first."""
-    names = [f.split()[0] for f in BLOCK_SCHEMA.split(", ")][1:]
-    left = blocks.select("block", F.lit(None).cast("int").alias("note"), F.lit(None).cast("binary").alias("blob"),
-                         *[c for c in names if c != "sample"])
-    both = notes.select("block", "note", "blob").unionByName(left, allowMissingColumns=True)
-    met = (both.withColumn("slot", _slot(parts)).repartitionById(parts, F.col("slot")).drop("slot")
-           .sortWithinPartitions("block", F.asc_nulls_last("note")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, bytes]] = []
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = {name: batch.column(i)[k].as_py() for i, name in enumerate(batch.schema.names)}
-                if row["note"] is not None:
-                    held.append((row["note"], row["blob"]))
-                else:
-                    yield from fn(row, held)
-                    held = []
-
-    return met.mapInArrow(run, schema)
-
-
-def _rows(schema: str, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-    fields = [f.split() for f in schema.split(", ")]
-    for at in range(0, len(rows), 256):
-        cols = zip(*rows[at:at + 256])
-        yield pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(cols, fields)], [n for n, _ in fields])
-
-
-PART_SCHEMA = "part int, kind int, block long, blob binary"
-NOTE_SCHEMA = "block long, note int, blob binary"
 RUN, HOT, DONE = 0, 1, 2
 
 
 def _codes(blocks: DataFrame, parts: int) -> DataFrame:
     """Per block and hash range: a code for each distinct entry of the block."""
-    edges = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
+    edges = np.array(range_edges(parts), np.uint64)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = {n: batch.column(i)[k].as_py() for i, n in enumerate(batch.schema.names)}
-                g, mark, _, _ = Block(row).entries()
-                cut = np.concatenate([[0], np.searchsorted(g, edges), [len(g)]])
-                yield from _rows(PART_SCHEMA, [(p, 0, row["block"], g[a:b].tobytes() + mark[a:b].tobytes())
-                                               for p, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if a < b])
+        for row in dicts(batches):
+            g, mark, _, _ = Block(row).entries()
+            cut = np.concatenate([[0], np.searchsorted(g, edges), [len(g)]])
+            yield from rows_of(PART_SCHEMA, [(p, 0, row["block"], g[a:b].tobytes() + mark[a:b].tobytes())
+                                             for p, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if a < b])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, who, gs, marks = 0, [], [], []
@@ -304,7 +262,7 @@ def _codes(blocks: DataFrame, parts: int) -> DataFrame:
         for b, x in zip(who, gs):
             rows.append((b, part, packer.compress(code[at:at + len(x)].tobytes())))
             at += len(x)
-        yield from _rows(NOTE_SCHEMA, rows)
+        yield from rows_of(NOTE_SCHEMA, rows)
 
     sent = blocks.select("block", "ids", "ends", "data", "size", "anchors").mapInArrow(send, PART_SCHEMA)
     return sent.repartitionById(parts, F.col("part")).mapInArrow(meet, NOTE_SCHEMA)
@@ -389,7 +347,7 @@ def _runs(splitters: list[bytes], parts: int):
         if done:
             out.append(((number >> 24) % parts, DONE, number, _ranges(np.unique(np.concatenate(done)))))
         pack = zstandard.ZstdCompressor(level=3).compress
-        yield from _rows(PART_SCHEMA, [(p, kind, n, pack(blob)) for p, kind, n, blob in out])
+        yield from rows_of(PART_SCHEMA, [(p, kind, n, pack(blob)) for p, kind, n, blob in out])
 
     return run
 
@@ -400,7 +358,7 @@ def _merge_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = [(k, b, unpack(blob)) for batch in batches for k, b, blob in
             zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist())]
     # what a block has settled alone only passes through
-    yield from _rows(NOTE_SCHEMA, [(b, 0, blob) for k, b, blob in rows if k == DONE])
+    yield from rows_of(NOTE_SCHEMA, [(b, 0, blob) for k, b, blob in rows if k == DONE])
     later: dict[int, list[tuple[int, int]]] = {}
 
     runs, where = [], []
@@ -473,7 +431,7 @@ def _merge_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in np.unique(number[again]):
             pairs = np.frombuffer(_ranges(np.sort(at[again][number[again] == b])), np.int32).reshape(-1, 2)
             later.setdefault(int(b), []).extend(map(tuple, pairs.tolist()))
-    yield from _rows(NOTE_SCHEMA, [(b, 0, np.array(pairs, np.int32).tobytes()) for b, pairs in later.items()])
+    yield from rows_of(NOTE_SCHEMA, [(b, 0, np.array(pairs, np.int32).tobytes()) for b, pairs in later.items()])
 
 
 def later_windows(blocks: DataFrame, parts: int) -> DataFrame:
@@ -484,7 +442,7 @@ def later_windows(blocks: DataFrame, parts: int) -> DataFrame:
     sample = blocks.select(F.explode("sample").alias("s")).where(F.rand(7) <= share)
     cuts = sorted(bytes(r.s) for r in sample.collect())
     splitters = sorted({cuts[len(cuts) * k // parts] for k in range(1, parts)}) if cuts else []
-    runs = _with_notes(blocks, _codes(blocks, parts), parts, _runs(splitters, parts), PART_SCHEMA)
+    runs = with_notes(blocks.drop("sample", "extra"), _codes(blocks, parts), parts, _runs(splitters, parts), PART_SCHEMA)
     return runs.repartitionById(parts, F.col("part")).mapInArrow(_merge_range, NOTE_SCHEMA)
 
 
@@ -530,9 +488,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out.append((None if i == np.iinfo(np.int64).min else i, len(k), removed, spans,
                         hashlib.sha256(raw).digest() if digest else raw))
             at = end
-        yield from _rows(RESULT, out)
+        yield from rows_of(RESULT, out)
 
-    return _with_notes(blocks, later, parts, cut, RESULT)
+    return with_notes(blocks.drop("sample"), later, parts, cut, RESULT)
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
@@ -560,7 +518,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             cols[k] = pa.chunked_array([pa.array(list(map(len, texts)), cols[k].type)])
         yield from pa.table(cols, names=names).to_batches(4096)
 
-    return _with_notes(blocks, later, parts, cut, docs.schema)
+    return with_notes(blocks.drop("sample"), later, parts, cut, docs.schema)
 
 
 def op2(docs: DataFrame) -> DataFrame:

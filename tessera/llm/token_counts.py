@@ -1,27 +1,33 @@
 """Token counts from distinct pre-tokens.
 
 Documents are cut into blocks.  A block keeps, per document, which of the
-block's distinct pre-tokens occur how often (written once, as packed columns).
-The blocks' vocabularies meet in one shuffle that leaves each pre-token once;
-its pieces are counted there with the tokenizer.  The counts are joined back
-to the blocks' vocabularies and summed against the documents' frequencies.
-Token ids are never kept.
+block's distinct pre-tokens occur how often (written once, packed).  The
+blocks' vocabularies meet by hash range, where each distinct pre-token's pieces
+are counted once with the tokenizer.  The counts join the blocks' vocabularies
+again and are summed against the documents' frequencies.  Token ids are never
+kept.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import per_batch, written
+from .blocks import NOTE_SCHEMA, PART_SCHEMA, dicts, first_block_number, range_edges, rows_of, with_notes
+from .common import written
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Characters of text per block; a longer document is a block of its own.
 BLOCK_CHARS = 24 << 20
+#: Packed vocabulary per hash range.
+RANGE_BYTES = 16 << 20
 LIMIT = 512
 #: The tokenizer's own split pattern (a fixed value of its file format).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -63,45 +69,61 @@ def count_pieces(words: list[str], path: str) -> np.ndarray:
     return np.fromiter((len(e.ids) for e in t.encode_batch_fast(words, add_special_tokens=False)), np.int32, len(words))
 
 
-def _blocks(path: str):
-    """Batches to blocks ``(block, n_words, words, ids, n_bytes, ends, word, times)``."""
-    def block(ids: list, texts: list[str]) -> pa.RecordBatch:
-        import uuid
-
-        seen: dict[str, int] = {}
-        word, times, ends, n_bytes = [], [], [], []
-        for text in texts:
-            found: dict[str, int] = {}
-            for w in pre_tokens(text, path):
-                found[w] = found.get(w, 0) + 1
-            word.append(np.fromiter((seen.setdefault(w, len(seen)) for w in found), np.int32, len(found)))
-            times.append(np.fromiter(found.values(), np.int32, len(found)))
-            ends.append(len(found))
-            n_bytes.append(len(text.encode()))
-        return pa.RecordBatch.from_pydict({
-            "block": [uuid.uuid4().int >> 65], "words": [list(seen)], "ids": pa.array([ids], pa.list_(pa.int64())),
-            "n_bytes": pa.array([n_bytes], pa.list_(pa.int64())), "ends": pa.array([np.cumsum(ends)], pa.list_(pa.int64())),
-            "word": pa.array([np.concatenate(word)], pa.list_(pa.int32())),
-            "times": pa.array([np.concatenate(times)], pa.list_(pa.int32()))})
-
-    def run(batches):
-        ids, texts, size = [], [], 0
-        for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                t = t or ""
-                if texts and size + len(t) > BLOCK_CHARS:
-                    yield block(ids, texts)
-                    ids, texts, size = [], [], 0
-                ids.append(i)
-                texts.append(t)
-                size += len(t) + 16
-        if texts:
-            yield block(ids, texts)
-    return run
+BLOCK_SCHEMA = "block long, ids binary, n_bytes binary, ends binary, places binary, times binary, words binary"
+NO_ID = np.iinfo(np.int64).min
+
+
+def _pack(raw: bytes) -> bytes:
+    return zstandard.compress(raw, 3)
+
+
+def _unpack(blob: bytes) -> bytes:
+    return zstandard.decompress(blob)
+
+
+def _pack_words(words: list[bytes]) -> bytes:
+    sizes = np.fromiter(map(len, words), np.int32, len(words))
+    return _pack(np.int32(len(words)).tobytes() + sizes.tobytes() + b"".join(words))
 
 
-BLOCK_SCHEMA = ("block long, words array<string>, ids array<long>, n_bytes array<long>, ends array<long>, "
-                "word array<int>, times array<int>")
+def _unpack_words(blob: bytes) -> list[bytes]:
+    raw = _unpack(blob)
+    n = int(np.frombuffer(raw, np.int32, 1)[0])
+    ends = (np.cumsum(np.frombuffer(raw, np.int32, n, 4)) + 4 + 4 * n).tolist()
+    return [raw[a:b] for a, b in zip([4 + 4 * n, *ends], ends)]
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def _block(number: int, ids: list, texts: list[str], path: str) -> pa.RecordBatch:
+    """Documents as (place of pre-token, times); a block's distinct pre-tokens
+    are numbered by their hash, so that ranges of hashes are ranges of places."""
+    seen: dict[str, int] = {}
+    found_in, n_bytes = [], []
+    for text in texts:
+        found: dict[str, int] = {}
+        for w in pre_tokens(text, path):
+            found[w] = found.get(w, 0) + 1
+        found_in.append((np.fromiter((seen.setdefault(w, len(seen)) for w in found), np.int32, len(found)),
+                         np.fromiter(found.values(), np.int32, len(found))))
+        n_bytes.append(len(text.encode()))
+    words = [w.encode() for w in seen]
+    order = np.argsort(_hashes(words), kind="stable")
+    place = np.empty(len(words), np.int32)
+    place[order] = np.arange(len(words), dtype=np.int32)
+    places, times = [], []
+    for word, n in found_in:
+        p = place[word]
+        o = np.argsort(p)
+        places.append(np.diff(p[o], prepend=0).astype(np.int32))  # steps are small
+        times.append(n[o])
+    out = (np.array([NO_ID if i is None else i for i in ids], np.int64), np.array(n_bytes, np.int64),
+           np.cumsum(list(map(len, places))), np.concatenate(places), np.concatenate(times).astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([number]), *(pa.array([_pack(x.tobytes())]) for x in out), pa.array([_pack_words([words[i] for i in order])])],
+        [f.split()[0] for f in BLOCK_SCHEMA.split(", ")])
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
@@ -109,38 +131,61 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     tokens; rows repeat as they come, with null ids too; other columns are
     ignored; an empty table gives an empty one."""
     path = tokenizer or tokenizer_path()
+
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, ids, texts, size = first_block_number(), [], [], 0
+        for batch in batches:
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                t = t or ""
+                if texts and size + len(t) > BLOCK_CHARS:
+                    yield _block(number, ids, texts, path)
+                    number, ids, texts, size = number + 1, [], [], 0
+                ids.append(i)
+                texts.append(t)
+                size += len(t) + 16
+        if texts:
+            yield _block(number, ids, texts, path)
+
     blocks = written(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-                     .mapInArrow(_blocks(path), BLOCK_SCHEMA), "blocks")
-    vocabulary = blocks.select("block", F.posexplode("words").alias("place", "pre"))
-
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = batch.column(0)
-        return pa.RecordBatch.from_arrays([words, pa.array(count_pieces(words.to_pylist(), path))], ["pre", "pieces"])
-
-    pieces = written(vocabulary.select("pre").distinct().mapInArrow(per_batch(count), "pre string, pieces int"), "pieces")
-    # one list of counts per block, as long as the block's own vocabulary
-    counted = (vocabulary.join(pieces, "pre").groupBy("block")
-               .agg(F.collect_list(F.struct("place", "pieces")).alias("found"))
-               .select("block", F.col("found.place").alias("place"), F.col("found.pieces").alias("pieces")))
-
-    def total(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for row in range(batch.num_rows):
-            get = lambda name: batch.column(name)[row].values.to_numpy(zero_copy_only=False)
-            place, ends, word = get("place"), get("ends"), get("word")
-            n = np.zeros(len(place), np.int64)
-            n[place] = get("pieces")
-            sums = np.concatenate([[0], np.cumsum(n[word] * get("times"))])
-            out.append(pa.RecordBatch.from_arrays(
-                [batch.column("ids")[row].values, batch.column("n_bytes")[row].values,
-                 pa.array(np.diff(np.concatenate([[0], sums[ends]])))], ["id", "n_bytes", "n_tokens"]))
-        return pa.Table.from_batches(out).combine_chunks().to_batches()[0]
-
-    none = F.array().cast("array<int>")
-    return (blocks.drop("words").join(counted, "block", "left")
-            .select("ids", "n_bytes", "ends", "word", "times", F.coalesce("place", none).alias("place"),
-                    F.coalesce("pieces", none).alias("pieces"))
-            .mapInArrow(per_batch(total), "id long, n_bytes long, n_tokens long"))
+                     .mapInArrow(block, BLOCK_SCHEMA), "blocks")
+    size = blocks.agg(F.sum(F.length("words"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+    edges = np.array(range_edges(parts), np.uint64)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in dicts(batches):
+            words = _unpack_words(row["words"])
+            cut = [0, *np.searchsorted(_hashes(words), edges).tolist(), len(words)]
+            yield from rows_of(PART_SCHEMA, [(p, 0, row["block"], _pack_words(words[a:b]))
+                                             for p, (a, b) in enumerate(zip(cut, cut[1:])) if a < b])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # each distinct pre-token of the range gets a number, then its pieces are counted once
+        seen: dict[bytes, int] = {}
+        asked = []
+        for row in dicts(batches):
+            words = _unpack_words(row["blob"])
+            asked.append((row["block"], row["part"], np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int32, len(words))))
+        if asked:
+            pieces = count_pieces([w.decode() for w in seen], path)
+            yield from rows_of(NOTE_SCHEMA, [(b, p, _pack(pieces[at].tobytes())) for b, p, at in asked])
+
+    notes = (blocks.select("block", "words").mapInArrow(send, PART_SCHEMA)
+             .repartitionById(parts, F.col("part")).mapInArrow(count, NOTE_SCHEMA))
+
+    def total(row: dict, found: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        get = lambda name, kind: np.frombuffer(_unpack(row[name]), kind)
+        pieces = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(_unpack(blob), np.int32) for _, blob in sorted(found))])
+        ends, steps = get("ends", np.int64), get("places", np.int32)
+        starts = np.concatenate([[0], ends[:-1]])
+        run = np.cumsum(steps, dtype=np.int64)
+        before = np.repeat(np.concatenate([[0], run])[starts], ends - starts)  # steps start anew with each document
+        sums = np.concatenate([[0], np.cumsum(pieces[run - before] * get("times", np.int32), dtype=np.int64)])
+        ids = [None if i == NO_ID else i for i in get("ids", np.int64).tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(get("n_bytes", np.int64)),
+                                          pa.array(sums[ends] - sums[starts])], ["id", "n_bytes", "n_tokens"])
+
+    return with_notes(blocks.drop("words"), notes, parts, total, "id long, n_bytes long, n_tokens long")
 
 
 def op4(docs: DataFrame) -> DataFrame:

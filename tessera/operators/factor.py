@@ -17,13 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..plans.iterate import Materializer
 from ..plans.joins import broadcast_if_bounded
 
-# Fixed values of the deterministic normal generator: a Park-Miller style
-# modulus and multipliers, and the id/coordinate mixing constants.
-MODULUS = 2147483647
-MULT_RADIUS = 48271
-MULT_ANGLE = 16807
-MIX_ID = 7919
-MIX_COORD = 104729
+# 48 bits for each uniform
+UNIFORM = float(1 << 48)
 
 
 def fcols(d: int, prefix: str = "f") -> list[str]:
@@ -32,12 +27,11 @@ def fcols(d: int, prefix: str = "f") -> list[str]:
 
 def hashed_normal(id_col: Column, k: int, salt: int) -> Column:
     """Standard normal value for (id, coordinate k) by Box-Muller on two
-    hash-derived uniforms.  Independent of partitioning, so retries and
-    re-runs give the same profile; all products stay far inside bigint."""
-    p = F.lit(MODULUS)
-    h = F.pmod(F.pmod(id_col, p) * MIX_ID + F.lit(k * MIX_COORD + salt), p)
-    u1 = (F.pmod(h * MULT_RADIUS, p) + 1).cast("double") / F.lit(float(MODULUS + 1))
-    u2 = F.pmod(h * MULT_ANGLE, p).cast("double") / F.lit(float(MODULUS))
+    uniforms, taken from separate parts of the md5 of id, coordinate and salt.
+    Independent of partitioning, so retries and re-runs give the same profile."""
+    m = F.md5(F.concat(id_col.cast("string"), F.lit(f":{k}:{salt}")).cast("binary"))
+    u1 = (F.conv(F.substring(m, 1, 12), 16, 10).cast("double") + 1.0) / F.lit(UNIFORM)
+    u2 = F.conv(F.substring(m, 13, 12), 16, 10).cast("double") / F.lit(UNIFORM)
     return F.sqrt(F.lit(-2.0) * F.ln(u1)) * F.cos(F.lit(2 * math.pi) * u2)
 
 

@@ -205,9 +205,11 @@ def lambda_sweep(df: DataFrame, x_cols, y: str, split: str, lams, max_iter: int
     """Train per lambda on rows with ``split`` false, test on rows with it true.
 
     One aggregate pass grouped by the split column yields both summaries;
-    every lambda is then solved and scored from them.
+    every lambda is then solved and scored from them.  Rows with a null split
+    belong to neither side.
     """
-    rows = {bool(r[split]): r for r in moments(df, x_cols, y, by=(split,)).collect()}
+    known = df.where(F.col(split).isNotNull())
+    rows = {bool(r[split]): r for r in moments(known, x_cols, y, by=(split,)).collect()}
     train = Gram.from_row(rows[False], x_cols, y)
     test = Gram.from_row(rows[True], x_cols, y) if True in rows else None
     out = []

@@ -17,13 +17,12 @@ GAIN, POWER, LAM, MU = 0.001, 0.2, 1.0, 1.0
 TRAIN_ITERS = 4
 CV_FOLDS, CV_ITERS = 2, 2
 FOLDS = 5
-P = M.MODULUS
 
 
 def _normal_sql(idc: str, k: int, salt: int) -> str:
-    h = f"((({idc} % {P}) * {M.MIX_ID} + {k * M.MIX_COORD + salt}) % {P})"
-    u1 = f"((({h} * {M.MULT_RADIUS}) % {P}) + 1)::DOUBLE / {float(P + 1)!r}"
-    u2 = f"(({h} * {M.MULT_ANGLE}) % {P})::DOUBLE / {float(P)!r}"
+    m = f"md5({idc}::VARCHAR || ':{k}:{salt}')"
+    u1 = f"((('0x' || substr({m}, 1, 12))::BIGINT::DOUBLE + 1.0) / {M.UNIFORM!r})"
+    u2 = f"(('0x' || substr({m}, 13, 12))::BIGINT::DOUBLE / {M.UNIFORM!r})"
     return f"sqrt(-2.0 * ln({u1})) * cos({2 * math.pi!r} * {u2})"
 
 

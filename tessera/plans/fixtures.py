@@ -2,7 +2,7 @@
 
 Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
 whole table; column pruning and filters reach the parquet scan.  The DuckDB
-twins of these views live in ``oracles.py`` as SQL fragments.
+twins of these views live in ``oracle_sql.py`` as SQL fragments.
 """
 
 from __future__ import annotations

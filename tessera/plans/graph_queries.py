@@ -11,10 +11,11 @@ from .registry import r6, register
 
 GAMMA = 0.15
 PR_ITERS = 5
-# Rounds allowed to the registered WL queries; refinement stops earlier as
-# soon as the number of colours is unchanged, and the SQL twin applies the
-# same stop rule to its unrolled rounds.
+# Rounds of the query that is named by them.  All other WL queries refine until
+# the number of colours is unchanged; their SQL twins unroll more rounds than
+# the tables need and apply the same stop rule.
 WL_ROUNDS = 6
+WL_SQL_ROUNDS = 10
 
 
 def _w_sql(edges: str) -> str:
@@ -108,6 +109,13 @@ def pagerank_top(spark, sf_dir):
     return scores.orderBy(F.desc("score"), F.asc("id")).limit(20)
 
 
+@register("pagerank_ranked", _pagerank_sql(LINKS_OUT, PR_ITERS)
+          + f"\nSELECT * FROM ({_final_sql(PR_ITERS)}) ORDER BY score DESC, id")
+def pagerank_ranked(spark, sf_dir):
+    """The whole ranking, best first (a range-partitioned sort)."""
+    return pagerank_k5(spark, sf_dir).orderBy(F.desc("score"), F.asc("id"))
+
+
 # --------------------------------------------------------------------------
 # Weisfeiler-Lehman
 
@@ -138,7 +146,7 @@ _TWO = (f"SELECT 1 AS g, src, dst FROM ({LINKS_OUT}) UNION ALL "
 
 def _joint(spark, sf_dir):
     edges = fx.links_out(spark, sf_dir)
-    return G.joint_colors(edges, fx.relabelled(edges), WL_ROUNDS)
+    return G.joint_colors(edges, fx.relabelled(edges))
 
 
 @register(f"wl_colors_k{WL_ROUNDS}", f"WITH {_wl_sql(_ONE, WL_ROUNDS)} SELECT id, color FROM final")
@@ -146,14 +154,19 @@ def wl_colors(spark, sf_dir):
     return G.wl_colors(fx.links_out(spark, sf_dir), WL_ROUNDS)
 
 
-@register("color_distribution", f"""WITH {_wl_sql(_ONE, WL_ROUNDS)}
+@register("wl_colors", f"WITH {_wl_sql(_ONE, WL_SQL_ROUNDS)} SELECT id, color FROM final")
+def wl_colors_final(spark, sf_dir):
+    return G.wl_colors(fx.links_out(spark, sf_dir))
+
+
+@register("color_distribution", f"""WITH {_wl_sql(_ONE, WL_SQL_ROUNDS)}
 SELECT class_size, count(*) AS n_classes FROM (SELECT color, count(*) AS class_size FROM final GROUP BY color)
 GROUP BY class_size""")
 def color_distribution(spark, sf_dir):
-    return G.color_distribution(G.wl_colors(fx.links_out(spark, sf_dir), WL_ROUNDS))
+    return G.color_distribution(G.wl_colors(fx.links_out(spark, sf_dir)))
 
 
-@register("graph_verdict", f"""WITH {_wl_sql(_TWO, WL_ROUNDS)},
+@register("graph_verdict", f"""WITH {_wl_sql(_TWO, WL_SQL_ROUNDS)},
 sizes AS (SELECT g, color, count(*) AS s FROM final GROUP BY g, color),
 mism AS (SELECT count(*) AS m FROM (SELECT color, s FROM sizes WHERE g = 1) a
          FULL OUTER JOIN (SELECT color, s FROM sizes WHERE g = 2) b USING (color)
@@ -169,7 +182,7 @@ def graph_verdict(spark, sf_dir):
     return G.compare_colorings(_joint(spark, sf_dir))
 
 
-@register("node_mapping", f"""WITH {_wl_sql(_TWO, WL_ROUNDS)},
+@register("node_mapping", f"""WITH {_wl_sql(_TWO, WL_SQL_ROUNDS)},
 single AS (SELECT color FROM final GROUP BY color HAVING count_if(g = 1) = 1 AND count_if(g = 2) = 1)
 SELECT a.id AS node_1, b.id AS node_2 FROM final a JOIN single USING (color)
 JOIN final b ON b.color = a.color AND b.g = 2 WHERE a.g = 1""")
@@ -177,7 +190,7 @@ def node_mapping(spark, sf_dir):
     return G.node_mapping(_joint(spark, sf_dir))
 
 
-@register("candidate_mapping", f"""WITH {_wl_sql(_TWO, WL_ROUNDS)},
+@register("candidate_mapping", f"""WITH {_wl_sql(_TWO, WL_SQL_ROUNDS)},
 sizes AS (SELECT color, count_if(g = 1) AS size_1, count_if(g = 2) AS size_2 FROM final GROUP BY color
           HAVING count_if(g = 1) > 0 AND count_if(g = 2) > 0)
 SELECT color, g, id, size_1, size_2 FROM final JOIN sizes USING (color)""")

@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         configured = f"{warehouse}/_tessera_checkpoints"
     sc.setCheckpointDir(configured)

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 #   edges   (1, 2) or ('a', 'b')   -> src, dst
 #   sparse  ({"f": 1.0, ...}, -1)  -> map text, label
 SCORE_LINE = r"""^\(u?['"](.*)['"],\s*(.*)\)$"""
-EDGE_LINE = r"""^\(\s*u?['"]?([^,'"]*)['"]?\s*,\s*u?['"]?([^,'"]*)['"]?\s*\)$"""
+_ITEM = r"""(?:u?'((?:[^'\\]|\\.)*)'|u?"((?:[^"\\]|\\.)*)"|([^,'"()]+?))"""
+EDGE_LINE = rf"""^\s*\(\s*{_ITEM}\s*,\s*{_ITEM}\s*\)\s*$"""
 SPARSE_LINE = r"""^\(\s*(\{.*\})\s*,\s*\+?(-?\d+)\s*\)$"""
 
 
@@ -70,10 +71,17 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_edges(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
-    """``(src, dst)`` from ``(a, b)`` lines; duplicates kept."""
-    lines = spark.read.text(path).where(F.col("value").rlike(EDGE_LINE))
-    return lines.select(F.regexp_extract("value", EDGE_LINE, 1).cast(id_type).alias("src"),
-                        F.regexp_extract("value", EDGE_LINE, 2).cast(id_type).alias("dst"))
+    """``(src, dst)`` from ``(a, b)`` lines; duplicates kept, blank lines
+    skipped, any other line is an error."""
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0).select(
+        F.when(F.col("value").rlike(EDGE_LINE), F.col("value"))
+        .otherwise(F.raise_error(F.concat(F.lit("not an edge: "), F.col("value")))).alias("value"))
+
+    def item(first: int):
+        # one of the three forms matched; the others are empty
+        return _py_string(F.concat(*[F.regexp_extract("value", EDGE_LINE, first + k) for k in range(3)]))
+
+    return lines.select(item(1).cast(id_type).alias("src"), item(4).cast(id_type).alias("dst"))
 
 
 def read_dense(spark: SparkSession, path: str, d: int | None = None) -> DataFrame:
@@ -85,8 +93,11 @@ def read_dense(spark: SparkSession, path: str, d: int | None = None) -> DataFram
         F.split(F.trim("value"), ",").alias("_p"))
     if d is None:
         d = parts.select(F.size("_p")).first()[0] - 1
-    return parts.select(*[F.col("_p")[i].cast("double").alias(f"x{i}") for i in range(d)],
-                        F.col("_p")[d].cast("double").alias("y"))
+    whole = F.when(F.size("_p") == d + 1, F.col("_p")).otherwise(
+        F.raise_error(F.concat(F.lit(f"expected {d + 1} values: "), F.array_join("_p", ","))))
+    rows = parts.select(whole.alias("_p"))
+    return rows.select(*[F.col("_p")[i].cast("double").alias(f"x{i}") for i in range(d)],
+                       F.col("_p")[d].cast("double").alias("y"))
 
 
 def read_sparse(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -14,7 +14,7 @@ def _repr(c: Column, dtype: str) -> Column:
 
 def tuple_lines(df: DataFrame) -> DataFrame:
     """One ``value`` line per row: ``(a, b, ...)`` with quoted strings."""
-    parts = [_repr(F.col(f.name), f.dataType.simpleString()) for f in df.schema.fields]
+    parts = [F.coalesce(_repr(F.col(f.name), f.dataType.simpleString()), F.lit("None")) for f in df.schema.fields]
     sep = []
     for i, p in enumerate(parts):
         if i:

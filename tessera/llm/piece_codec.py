@@ -30,7 +30,7 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Units up to this many characters are remembered, and this many units and
 #: verdicts on pairs at once; the rest is encoded again. Bounds memory, not results.
-UNIT_CHARS, UNITS, PAIRS = 48, 600_000, 1_000_000
+UNIT_CHARS, UNITS, PAIRS = 48, 300_000, 400_000
 
 
 def model_path(name: str = MODEL) -> str:
@@ -214,14 +214,17 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
                 hashlib.sha256(decoded.encode()).hexdigest())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        table = piece_table(path)
-        rows = [one(table, t or "") for t in batch.column(1).to_pylist()]
+        rows = [one(piece_table(path), t or "") for t in batch.column(1).to_pylist()]
         n, a, b = zip(*rows)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b)],
                                           ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
+    def task(batches):
+        yield from per_batch(run)(batches)
+        piece_table(path).known.clear()  # a worker that other stages use again holds no units
+
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(per_batch(run), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
+            .mapInArrow(task, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
 
 
 def op8(docs: DataFrame) -> DataFrame:

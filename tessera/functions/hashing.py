@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# A colour is hashed into this many parts of six hex digits: 120 bits.
+COLOR_PARTS = 5
 
-def md5_halves(c: Column) -> tuple[Column, Column]:
-    """Two 32-bit unsigned ints from the first 64 bits of ``md5(c)``.
 
-    Summing each half over a multiset gives an order-independent multiset
+def md5_parts(c: Column) -> list[Column]:
+    """Five 24-bit numbers from the first 120 bits of ``md5(c)``.
+
+    Summing each part over a multiset gives an order-independent multiset
     hash that Spark aggregates partially with plain ``bigint`` sums (exact
-    for fewer than 2^31 elements), so no group ever gathers a list.
+    for fewer than 2^39 elements), so no group ever gathers a list.
     """
     m = F.md5(c.cast("string"))
-    hi = F.conv(F.substring(m, 1, 8), 16, 10).cast("bigint")
-    lo = F.conv(F.substring(m, 9, 8), 16, 10).cast("bigint")
-    return hi, lo
+    return [F.conv(F.substring(m, 1 + 6 * k, 6), 16, 10).cast("bigint") for k in range(COLOR_PARTS)]
 
 
-def multiset_color(sum_hi: Column, sum_lo: Column) -> Column:
-    """New colour from the two summed halves."""
-    return F.md5(F.concat_ws(":", sum_hi.cast("string"), sum_lo.cast("string")))
+def multiset_color(sums: list[Column]) -> Column:
+    """New colour from the summed parts."""
+    return F.md5(F.concat_ws(":", *[s.cast("string") for s in sums]))

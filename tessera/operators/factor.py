@@ -151,7 +151,6 @@ def train_mf(train: DataFrame, d: int = 10, gain: float = 0.001, power: float =
     train = mat(train.select("user_id", "item_id", F.col("rating").cast("double")))
     same_test = test is None
     test = train if same_test else mat(test.select("user_id", "item_id", F.col("rating").cast("double")))
-    n_test = test.count()
     U = mat(init_user_profiles(train, d, seed))
     V = mat(init_item_profiles(train, d, seed))
     n_users, n_items = U.count(), V.count()

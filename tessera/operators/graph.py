@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.hashing import md5_halves, multiset_color
+from ..functions.hashing import md5_parts, multiset_color
 from ..plans import joins
 from ..plans.iterate import Materializer
 from ..plans.joins import broadcast_if_bounded
@@ -150,6 +150,8 @@ def pagerank(edges: DataFrame, gamma: float = 0.15, max_iter: int = 50,
 # Weisfeiler-Lehman colour refinement
 
 INITIAL_COLOR = "1"
+# a graph number, an id and five parts of 8 bytes
+COLOR_ROW_BYTES = 56
 
 
 def _undirected(edges: DataFrame, by: tuple[str, ...]) -> DataFrame:
@@ -169,14 +171,14 @@ def wl_refine(adjacent, colors: DataFrame, by: tuple[str, ...] = (),
     the explicit hint also keeps the planner from broadcasting the
     adjacency list on a low size estimate.
     """
-    hi, lo = md5_halves(F.col("color"))
-    c = colors.select(*by, F.col("id").alias("nbr"), hi.alias("_hi"), lo.alias("_lo"))
+    parts = [p.alias(f"_p{k}") for k, p in enumerate(md5_parts(F.col("color")))]
+    c = colors.select(*by, F.col("id").alias("nbr"), *parts)
     if isinstance(adjacent, joins.SkewSplitTable):
         j = adjacent.join(c)
     else:
-        j = adjacent.join(broadcast_if_bounded(c, n_nodes, row_bytes=32), [*by, "nbr"])
+        j = adjacent.join(broadcast_if_bounded(c, n_nodes, row_bytes=COLOR_ROW_BYTES), [*by, "nbr"])
     return (j.groupBy(*by, F.col("node").alias("id"))
-            .agg(multiset_color(F.sum("_hi"), F.sum("_lo")).alias("color")))
+            .agg(multiset_color([F.sum(f"_p{k}") for k in range(len(parts))]).alias("color")))
 
 
 def _n_colors(colors: DataFrame) -> int:
@@ -199,7 +201,7 @@ def wl_colors(edges: DataFrame, max_rounds: int | None = None,
     n_nodes = colors.count()
     target = adjacent
     keep = (adjacent,)
-    if broadcast_if_bounded(colors, n_nodes, row_bytes=32) is colors:
+    if broadcast_if_bounded(colors, n_nodes, row_bytes=COLOR_ROW_BYTES) is colors:
         # colours too large to broadcast: bucket the adjacency by neighbour once
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         target = joins.SkewSplitTable(adjacent, [*by, "nbr"], mat, partitions,
@@ -261,13 +263,27 @@ def compare_colorings(colors: DataFrame) -> DataFrame:
 
 
 def compare_graphs(g1: DataFrame, g2: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """Verdict on two graphs; colours are only refined if the graphs have as
+    many nodes (without refinement each graph has its one first colour)."""
+    if graph_nodes(g1).count() != graph_nodes(g2).count():
+        joint = (graph_nodes(g1).select(F.lit(1).alias("g"), "id", F.lit(INITIAL_COLOR).alias("color"))
+                 .unionAll(graph_nodes(g2).select(F.lit(2).alias("g"), "id", F.lit(INITIAL_COLOR).alias("color"))))
+        return compare_colorings(joint)
     return compare_colorings(joint_colors(g1, g2, max_rounds))
 
 
+def _where_equal(colors: DataFrame) -> DataFrame:
+    """The colouring, or none of its rows if the verdict is "not isomorphic"."""
+    verdict = compare_colorings(colors).select("verdict").scalar()
+    return colors.where(verdict != "not isomorphic")
+
+
 def node_mapping(colors: DataFrame) -> DataFrame:
     """``(node_1, node_2)`` for every colour held by exactly one node in each
-    graph.  When the colouring is discrete this is the full bijection; larger
-    classes are never expanded into all pairs."""
+    graph; no rows if the graphs are not isomorphic.  When the colouring is
+    discrete this is the full bijection; larger classes are never expanded
+    into all pairs."""
+    colors = _where_equal(colors)
     single = (colors.groupBy("color")
               .agg(F.count_if(F.col("g") == 1).alias("_c1"), F.count_if(F.col("g") == 2).alias("_c2"))
               .where((F.col("_c1") == 1) & (F.col("_c2") == 1)).select("color"))
@@ -278,9 +294,11 @@ def node_mapping(colors: DataFrame) -> DataFrame:
 
 def candidate_mapping(colors: DataFrame) -> DataFrame:
     """Candidate table in long form ``(color, g, id, size_1, size_2)``: every
-    node whose colour occurs in both graphs, with both class sizes.  Grouping
+    node of both graphs with both class sizes, or no rows if the graphs are
+    not isomorphic.  Grouping
     it by colour gives the reference's per-colour node lists without ever
     building an unbounded list."""
+    colors = _where_equal(colors)
     sizes = (colors.groupBy("color")
              .agg(F.count_if(F.col("g") == 1).alias("size_1"),
                   F.count_if(F.col("g") == 2).alias("size_2"))

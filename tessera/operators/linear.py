@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 GRAM_MAX_FEATURES = 32
 LINE_SEARCH_A = 0.2
 LINE_SEARCH_B = 0.6
-LINE_SEARCH_STEPS = 60
 
 
 def predict(x_cols: list[str], beta) -> Column:
@@ -106,13 +105,19 @@ def gram(df: DataFrame, x_cols, y: str) -> Gram:
 
 
 def backtracking(f0: float, grad_sq: float, f_of_t, a: float = LINE_SEARCH_A,
-                 b: float = LINE_SEARCH_B, steps: int = LINE_SEARCH_STEPS) -> tuple[float, int]:
-    """First ``t = b^k`` with ``f(t) <= f0 - a t |g|^2``; ``(0.0, steps)`` if none."""
-    for k in range(steps):
-        t = b ** k
+                 b: float = LINE_SEARCH_B) -> tuple[float, int]:
+    """First ``t = b^k`` with ``f(t) <= f0 - a t |g|^2``.
+
+    The trials have no bound; they end by themselves, at the latest where
+    ``t`` is so small that ``beta - t g`` is ``beta``.  Not-a-number values,
+    which pass no test, end with the step 0.0.
+    """
+    k = 0
+    while (t := b ** k) > 0.0:
         if f_of_t(t) <= f0 - a * t * grad_sq:
             return t, k
-    return 0.0, steps
+        k += 1
+    return 0.0, k
 
 
 def backtracking_step(g: Gram, beta, lam: float) -> dict:
@@ -149,7 +154,7 @@ def train_ridge_gram(g: Gram, lam: float, max_iter: int = 100, eps: float = 0.01
         if norm < eps or k >= max_iter:
             break
         t, _ = backtracking(f0, norm * norm, lambda t: g.objective(beta - t * grad, lam))
-        if t == 0.0:
+        if t == 0.0 or g.objective(beta - t * grad, lam) >= f0:  # no further descent in double precision
             break
         beta = beta - t * grad
         k += 1
@@ -181,7 +186,7 @@ def train_ridge_passes(df: DataFrame, x_cols, y: str, lam: float, max_iter: int
             return (q["rr"] + 2 * t * q["rh"] + t * t * q["hh"]
                     + lam * (bb - 2 * t * bg + t * t * gg))
         t, _ = backtracking(f0, norm * norm, f_of_t)
-        if t == 0.0:
+        if t == 0.0 or f_of_t(t) >= f0:  # no further descent in double precision
             break
         beta = beta - t * grad
         k += 1

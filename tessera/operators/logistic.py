@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.numeric import log1p_exp_neg, logistic_coefficient
 from ..plans.iterate import Materializer
 from ..plans.joins import broadcast_if_bounded
-from .linear import LINE_SEARCH_A, LINE_SEARCH_B, LINE_SEARCH_STEPS
+from .linear import LINE_SEARCH_A, LINE_SEARCH_B
 
 
 def feature_universe(data: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ LINE_SEARCH_BATCH = 10
 
 def line_search_frame(zh: DataFrame, grad: DataFrame, lam: float, first: int = 0,
                       count: int = LINE_SEARCH_BATCH, a: float = LINE_SEARCH_A,
-                      b: float = LINE_SEARCH_B, steps: int = LINE_SEARCH_STEPS) -> DataFrame:
+                      b: float = LINE_SEARCH_B) -> DataFrame:
     """Backtracking trials ``t = b^k`` for ``first <= k < first + count`` in
     one aggregate pass over ``zh`` (no grid join).
 
@@ -107,7 +107,7 @@ def line_search_frame(zh: DataFrame, grad: DataFrame, lam: float, first: int = 0
     ``step`` is 0.0 and ``objective_after`` the objective).
     """
     y = F.col("label").cast("double")
-    ks = [k for k in range(first, min(first + count, steps))]
+    ks = list(range(first, first + count))
     ts = [b ** k for k in ks]
     sums = [F.sum(log1p_exp_neg(y * F.col("z"))).alias("l0")]
     sums += [F.sum(log1p_exp_neg(y * (F.col("z") - F.lit(t) * F.col("h")))).alias(f"l{k}_")
@@ -132,21 +132,27 @@ def line_search_frame(zh: DataFrame, grad: DataFrame, lam: float, first: int = 0
 
 
 def line_search(zh: DataFrame, grad: DataFrame, lam: float,
-                steps: int = LINE_SEARCH_STEPS) -> tuple[DataFrame, dict]:
+                b: float = LINE_SEARCH_B) -> tuple[DataFrame, dict]:
     """First passing backtracking step: batches of trials until one passes.
 
-    Returns the deciding one-row frame and its values; after ``steps``
-    trials without a pass the step is 0.0 and ``k`` is ``steps``.
+    Returns the deciding one-row frame and its values.  The trials have no
+    bound: a step too small to change the sums passes.  Without any rows, or
+    with values that are not numbers, no trial can pass; then the step is 0.0
+    once ``b^k`` is zero.
     """
-    for first in range(0, steps, LINE_SEARCH_BATCH):
-        frame = line_search_frame(zh, grad, lam, first, steps=steps)
+    first = 0
+    while True:
+        frame = line_search_frame(zh, grad, lam, first, b=b)
         row = frame.first().asDict()
+        first += LINE_SEARCH_BATCH
+        value, norm = row["objective"], row["grad_norm_sq"]
+        hopeless = value is None or norm is None or value != value or norm != norm
         if row["k"] is not None:
             return frame, row
-    frame = frame.select("objective", "grad_norm_sq", "step",
-                         F.lit(steps).cast("int").alias("k"), "objective_after")
-    row["k"] = steps
-    return frame, row
+        if hopeless or b ** first == 0.0:
+            row["k"] = first
+            return frame.select("objective", "grad_norm_sq", "step", F.lit(first).cast("int").alias("k"),
+                                "objective_after"), row
 
 
 def logistic_step(data, rows, beta, lam: float) -> DataFrame:
@@ -207,13 +213,17 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
     z = mat(margins(data, rows, beta, n_features=n_features))
     history = []
     k, norm = 0, float("inf")  # not measured yet
+    if test is not None:
+        test = (mat(test[0].select("row_id", "feature", F.col("value").cast("double").alias("value"))),
+                mat(test[1].select("row_id", "label")))
+    held = test or ()
     start = time.time()
     while k < max_iter and norm > eps:
         grad = mat(gradient_from_margins(data, z, beta, lam, n_rows))
         zh = mat(with_direction(data, z, grad, n_features))
         # beta and z of the previous step were projections of the previous
         # checkpoints; both are now folded into grad and zh
-        mat.release_all_but(data, rows, grad, zh)
+        mat.release_all_but(data, rows, *held, grad, zh)
         _, ls = line_search(zh, grad, lam)
         norm = float(ls["grad_norm_sq"]) ** 0.5
         t = float(ls["step"])
@@ -226,7 +236,7 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
             acc, pre, rec = m["accuracy"], m["precision"], m["recall"]
         history.append((k, float(ls["objective"]), norm, t, acc, pre, rec, time.time() - start))
         k += 1
-        if t == 0.0:
+        if t == 0.0 or ls["objective_after"] >= ls["objective"]:  # no further descent in double precision
             break
     return LogisticFit(beta, norm, k, norm <= eps, history)
 

@@ -111,16 +111,18 @@ def cosine_similarity(a: DataFrame, b: DataFrame, score: str = "score",
                       term: str = "term") -> DataFrame:
     """One row ``cosine``: dot over shared terms / (|a| |b|).
 
-    No shared term gives 0.0; a zero norm gives NULL.  Both norms are scalar
-    subqueries over the full vectors.
+    No shared term gives 0.0; a zero norm gives NULL.  Both vectors meet in
+    one aggregate per term, from which the dot product and both norms are
+    summed in one pass.
     """
-    na = a.agg(F.sum(F.col(score) * F.col(score))).scalar()
-    nb = b.agg(F.sum(F.col(score) * F.col(score))).scalar()
-    dot = (a.select(term, F.col(score).alias("_a"))
-           .join(b.select(term, F.col(score).alias("_b")), term)
-           .agg(F.coalesce(F.sum(F.col("_a") * F.col("_b")), F.lit(0.0)).alias("_dot")))
-    denom = F.sqrt(na * nb)
-    return dot.select(F.when(denom > 0, F.col("_dot") / denom).alias("cosine"))
+    none = F.lit(None).cast("double")
+    both = (a.select(F.col(term).alias("_t"), F.col(score).cast("double").alias("_a"), none.alias("_b"))
+            .unionByName(b.select(F.col(term).alias("_t"), none.alias("_a"), F.col(score).cast("double").alias("_b")))
+            .groupBy("_t").agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b")))
+    sums = both.agg(F.coalesce(F.sum(F.col("_a") * F.col("_b")), F.lit(0.0)).alias("_dot"),
+                    F.sum(F.col("_a") * F.col("_a")).alias("_na"), F.sum(F.col("_b") * F.col("_b")).alias("_nb"))
+    denom = F.sqrt(F.col("_na") * F.col("_nb"))
+    return sums.select(F.when(denom > 0, F.col("_dot") / denom).alias("cosine"))
 
 
 def pairwise_cosine(vectors: DataFrame, pairs: DataFrame, key: str = "doc_id",

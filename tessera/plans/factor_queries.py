@@ -142,6 +142,14 @@ def mf_k4(spark, sf_dir):
     return _prof_df(fit.U, "user_id")
 
 
+@register(f"mf_k{TRAIN_ITERS}_items", f"WITH r AS ({RATINGS}),\n{_train_sql('r', TRAIN_ITERS)}\n"
+          f"SELECT {_prof_out('item_id')} FROM v{TRAIN_ITERS}")
+def mf_k4_items(spark, sf_dir):
+    """Item profiles of the same training without folds, by ``fit_full``."""
+    fit = M.fit_full(_ratings(spark, sf_dir), d=D, gain=GAIN, power=POWER, lam=LAM, mu=MU, max_iter=TRAIN_ITERS, seed=SEED)
+    return _prof_df(fit.V, "item_id")
+
+
 @register("fold_sizes", f"""WITH r AS ({RATINGS})
 SELECT CAST((31 * user_id + item_id) % {FOLDS} AS INTEGER) AS fold, count(*) AS n_ratings FROM r GROUP BY fold""")
 def fold_sizes(spark, sf_dir):

@@ -80,12 +80,21 @@ def sparse(spark, sf_dir) -> DataFrame:
     """Long-form sparse examples ``(row_id, label, feature, value)``.
 
     value = occurrences of the term / all term occurrences of the document.
+
+    The labels are broadcast where their exact count (from Parquet footers)
+    is bounded, so only labelled texts are tokenised; otherwise terms are
+    counted per document first and only the counts move to the join.  The
+    text itself is never shuffled for it.
     """
     from ..operators.text import term_frequency
+    from .joins import broadcast_if_bounded
 
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    docs = corpus(spark, sf_dir).join(labels, "doc_id")
-    tf = term_frequency(docs, by=("doc_id", "quality"))
+    few = broadcast_if_bounded(labels, labels.count(), row_bytes=16)
+    if few is labels:
+        tf = term_frequency(corpus(spark, sf_dir), by=("doc_id",)).join(labels, "doc_id")
+    else:
+        tf = term_frequency(corpus(spark, sf_dir).join(few, "doc_id"), by=("doc_id", "quality"))
     total = tf.groupBy("doc_id").agg(F.sum("tf").alias("_total"))
     return (tf.join(total, "doc_id")
             .select(F.col("doc_id").alias("row_id"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.hashing import COLOR_PARTS
 from ..operators import graph as G
 from . import fixtures as fx
 from .oracle_sql import LINKS_IN, LINKS_OUT, r6 as s6
@@ -121,15 +122,15 @@ def pagerank_ranked(spark, sf_dir):
 
 def _wl_sql(graph_edges: str, k: int) -> str:
     """CTEs ``ge`` (g, src, dst) -> ... -> ``final`` (g, id, color)."""
-    hi = "('0x' || substr(md5(c.color), 1, 8))::BIGINT"
-    lo = "('0x' || substr(md5(c.color), 9, 8))::BIGINT"
+    sums = " || ':' || ".join(f"CAST(sum(('0x' || substr(md5(c.color), {1 + 6 * p}, 6))::BIGINT) AS VARCHAR)"
+                              for p in range(COLOR_PARTS))
     parts = [f"ge AS ({graph_edges})",
              "adj AS (SELECT g, src AS node, dst AS nbr FROM ge UNION ALL SELECT g, dst, src FROM ge)",
              "c0 AS MATERIALIZED (SELECT DISTINCT g, node AS id, '1' AS color FROM adj)"]
     for i in range(1, k + 1):
         parts.append(
             f"c{i} AS MATERIALIZED (SELECT a.g, a.node AS id, "
-            f"md5(CAST(sum({hi}) AS VARCHAR) || ':' || CAST(sum({lo}) AS VARCHAR)) AS color "
+            f"md5({sums}) AS color "
             f"FROM adj a JOIN c{i - 1} c ON c.g = a.g AND c.id = a.nbr GROUP BY a.g, a.node)")
     counts = ", ".join(f"(SELECT count(DISTINCT color) FROM c{i}) AS n{i}" for i in range(k + 1))
     cases = " ".join(f"WHEN n{i} = n{i - 1} THEN {i}" for i in range(1, k + 1))

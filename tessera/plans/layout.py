@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Data that fills a scan partition: Spark's default for its size.
+FULL_PARTITION = 128 << 20
+
 
 def spread(df: DataFrame) -> DataFrame:
     """Spread rows over the cluster when the input has too few partitions.
@@ -16,10 +19,17 @@ def spread(df: DataFrame) -> DataFrame:
     following per-key aggregate then keeps its own exchange, which Spark
     reuses when the same aggregate feeds several branches of one query --
     exactly the plan shape of a wide input, where this function is a no-op.
+
+    An input is narrow if it has fewer files than there are cores and less
+    data than would fill a scan partition per core.  Both come from the file
+    listing and the optimizer's statistics: no job runs, and an input of
+    unknown size is left alone.
     """
     if df.isStreaming:
         return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= target * FULL_PARTITION or len(df.inputFiles()) >= target:
         return df
     return df.repartition(target)

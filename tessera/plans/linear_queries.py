@@ -17,6 +17,7 @@ DELTA = 1e-4
 FIT_EPS = 1e-7
 FIT_MAX_ITER = 100_000
 SWEEP = list(range(0, 11))
+WIDE_SWEEP = list(range(0, 21))
 
 _D = f"""d AS ({DENSE}),
 tr AS (SELECT x1, x2, y FROM d WHERE NOT is_test),
@@ -114,23 +115,37 @@ def ridge_mse(spark, sf_dir):
 _SB1, _SB2 = _cramer("lam")
 
 
-@register("ridge_sweep", f"""WITH {_D}, {_GRAM},
+def _sweep_sql(lams) -> str:
+    return f"""WITH {_D}, {_GRAM},
 tg AS (SELECT avg(x1 * x1) AS t11, avg(x1 * x2) AS t12, avg(x2 * x2) AS t22,
               avg(x1 * y) AS u1, avg(x2 * y) AS u2, avg(y * y) AS tc FROM te),
-lams AS (SELECT range::DOUBLE AS lam FROM range({SWEEP[0]}, {SWEEP[-1] + 1})),
+lams AS (SELECT range::DOUBLE AS lam FROM range({lams[0]}, {lams[-1] + 1})),
 b AS (SELECT lam, {_SB1} AS beta_1, {_SB2} AS beta_2, g.* FROM lams, g)
 SELECT lam, {s6('beta_1', 4)} AS beta_1, {s6('beta_2', 4)} AS beta_2,
        {s6('c - 2 * (beta_1 * b1 + beta_2 * b2) + beta_1 * beta_1 * a11 + 2 * beta_1 * beta_2 * a12 + beta_2 * beta_2 * a22 + lam * (beta_1 * beta_1 + beta_2 * beta_2)', 4)} AS train_objective,
        {s6('tc - 2 * (beta_1 * u1 + beta_2 * u2) + beta_1 * beta_1 * t11 + 2 * beta_1 * beta_2 * t12 + beta_2 * beta_2 * t22', 4)} AS test_mse
-FROM b, tg""")
-def ridge_sweep(spark, sf_dir):
-    res = L.lambda_sweep(fx.dense(spark, sf_dir), X, Y, "is_test", SWEEP, FIT_MAX_ITER, FIT_EPS)
+FROM b, tg"""
+
+
+def _sweep(spark, sf_dir, lams):
+    res = L.lambda_sweep(fx.dense(spark, sf_dir), X, Y, "is_test", lams, FIT_MAX_ITER, FIT_EPS)
     rows = [(r["lam"], float(r["beta"][0]), float(r["beta"][1]), r["train_objective"], r["test_mse"])
             for r in res]
     df = _rows_df(spark, rows, "lam double, beta_1 double, beta_2 double, train_objective double, test_mse double")
     return df.select("lam", *[r6(c, 4).alias(c) for c in ("beta_1", "beta_2", "train_objective", "test_mse")])
 
 
+@register("ridge_sweep", _sweep_sql(SWEEP))
+def ridge_sweep(spark, sf_dir):
+    return _sweep(spark, sf_dir, SWEEP)
+
+
+@register("ridge_sweep_wide", _sweep_sql(WIDE_SWEEP))
+def ridge_sweep_wide(spark, sf_dir):
+    """Lambdas 0 to 20."""
+    return _sweep(spark, sf_dir, WIDE_SWEEP)
+
+
 def _fd_sql(i: int) -> str:
     b = list(BETA)
     b[i] += DELTA

@@ -21,9 +21,11 @@ RECOMMENDED_CONF = {
 
 
 def apply_recommended(spark: SparkSession) -> None:
-    """Set the recommended SQL options on an existing session."""
+    """Set the recommended SQL options that the session leaves open; what its
+    owner has set stays."""
     for key, value in RECOMMENDED_CONF.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,

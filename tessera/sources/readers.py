@@ -1,7 +1,8 @@
 """Readers for the reference's file formats, built from Spark column
 functions (never ``eval``).
 
-Every reader returns a lazy DataFrame; paths may be files, directories or
+Every reader returns a lazy DataFrame and refuses lines that it does not
+understand; paths may be files, directories or
 globs, as with ``spark.read``.
 """
 
@@ -9,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # Line patterns of the tuple text formats.
 #   scores  (u'term', 3)           -> term, value
 #   edges   (1, 2) or ('a', 'b')   -> src, dst
@@ -16,7 +19,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 SCORE_LINE = r"""^\(u?['"](.*)['"],\s*(.*)\)$"""
 _ITEM = r"""(?:u?'((?:[^'\\]|\\.)*)'|u?"((?:[^"\\]|\\.)*)"|([^,'"()]+?))"""
 EDGE_LINE = rf"""^\s*\(\s*{_ITEM}\s*,\s*{_ITEM}\s*\)\s*$"""
-SPARSE_LINE = r"""^\(\s*(\{.*\})\s*,\s*\+?(-?\d+)\s*\)$"""
+SPARSE_LINE = r"""^\s*\(\s*\{(.*)\}\s*,\s*\+?(-?\d+)(?:\.0*)?\s*\)\s*$"""
+_QUOTED = r"""(?:u?'([^'\\]*(?:\\.[^'\\]*)*)'|u?"([^"\\]*(?:\\.[^"\\]*)*)")"""
+SPARSE_ITEM = rf"""\s*{_QUOTED}\s*:\s*([-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?)\s*"""
+RATING_LINE = r"""^\s*[-+]?\d+\s*,\s*[-+]?\d+\s*,\s*[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?\s*$"""
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -24,35 +30,36 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Data files under a file, directory or glob (hidden ``_``/``.`` names
-    skipped), via the Hadoop FileSystem API -- metadata only."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(conf)
-    out = []
-    for st in fs.globStatus(hpath) or []:
-        it = fs.listFiles(st.getPath(), True)
-        while it.hasNext():
-            p = it.next().getPath()
-            if not p.getName().startswith(("_", ".")):
-                out.append(p.toString())
-    return out
+def _or_error(ok, value, what: str):
+    """``value`` where ``ok``, else an error that shows it."""
+    return F.when(ok, value).otherwise(F.raise_error(F.concat(F.lit(f"{what}: "), F.coalesce(value, F.lit("null")))))
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: ``(doc_id = file path, text)``.
+    """One row per file below ``path``: ``(doc_id = file path, text)``.
 
-    Spark's file sources skip zero-length files, but an empty file is still
-    a document (it counts in N for IDF), so the file listing is the row set
-    and the whole-text read is joined onto it; empty files get ``''``.
+    Files are read whole by the tasks.  An empty file, which Spark's file
+    sources skip, is a document with an empty text (it counts in N for IDF);
+    names that start with ``_`` or ``.`` are no documents.
     """
-    files = spark.createDataFrame([(f,) for f in list_files(spark, path)], "doc_id string")
-    text = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
-    return (files.join(text, "doc_id", "left")
-            .select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    empty = spark.createDataFrame([(f, "") for f in empty_files(spark, path)], "doc_id string, text string")
+    return files.select(F.col("path").alias("doc_id"), F.col("content").cast("string").alias("text")).unionByName(empty)
+
+
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the empty data files below a file, directory or glob (metadata only)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for status in fs.globStatus(root) or []:
+        found = fs.listFiles(status.getPath(), True)
+        while found.hasNext():
+            entry = found.next()
+            if entry.getLen() == 0 and not entry.getPath().getName().startswith(("_", ".")):
+                out.append(entry.getPath().toString())
+    return out
 
 
 def _py_string(raw):
@@ -64,10 +71,12 @@ def _py_string(raw):
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
-    """``(term, score)`` from ``(u'term', value)`` lines."""
-    lines = spark.read.text(path)
-    return lines.select(_py_string(F.regexp_extract("value", SCORE_LINE, 1)).alias("term"),
-                        F.regexp_extract("value", SCORE_LINE, 2).cast("double").alias("score"))
+    """``(term, score)`` from ``(u'term', value)`` lines; blank lines are
+    skipped, any other line is an error."""
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    line = lines.select(_or_error(F.col("value").rlike(SCORE_LINE), F.col("value"), "not a score").alias("value"))
+    return line.select(_py_string(F.regexp_extract("value", SCORE_LINE, 1)).alias("term"),
+                       F.regexp_extract("value", SCORE_LINE, 2).cast("double").alias("score"))
 
 
 def read_edges(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
@@ -104,38 +113,60 @@ def read_sparse(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``({"f": v, ...}, y)`` lines -> (long data, rows).
 
     Long data is ``(row_id, label, feature, value)``, rows is
-    ``(row_id, label)`` so that examples without features still count.
-    ``row_id`` is assigned per input split and line position, which is
-    stable for the same files.  Labels other than -1/+1 are rejected.
+    ``(row_id, label)`` so that examples without features still count.  Keys
+    are Python strings of either kind with their escapes; a label may be
+    written as a float.  Blank lines are skipped; any other line, and a label
+    other than -1/+1, is an error.
+
+    ``row_id`` numbers the lines of one materialised read, so both results
+    carry the same ids whatever the splits.
     """
-    lines = spark.read.text(path).where(F.col("value").rlike(SPARSE_LINE))
-    keyed = F.regexp_replace(F.regexp_extract("value", SPARSE_LINE, 1),
-                             r"""([{,]\s*)u?'([^']*)'\s*:""", '$1"$2":')
-    keyed = F.regexp_replace(keyed, r"""([{,]\s*)u(")""", "$1$2")
-    parsed = lines.select(F.monotonically_increasing_id().alias("row_id"),
-                          F.regexp_extract("value", SPARSE_LINE, 2).cast("int").alias("label"),
-                          F.from_json(keyed, "map<string,double>").alias("_x"))
+    v = F.col("value")
+    lines = spark.read.text(path).where(F.length(F.trim(v)) > 0)
+    body = F.regexp_extract(v, SPARSE_LINE, 1)
+    # what is left without the items: commas, one fewer than items
+    item = F.lit(SPARSE_ITEM)
+    rest, n = F.regexp_replace(body, item, F.lit("")), F.size(F.regexp_extract_all(body, item, F.lit(3)))
+    whole = v.rlike(SPARSE_LINE) & (F.trim(rest) == F.repeat(F.lit(","), F.greatest(n - 1, F.lit(0))))
+    line = lines.select(_or_error(whole, v, "not a sparse example").alias("value"))
+    values = [F.regexp_extract_all(body, item, F.lit(k)) for k in (1, 2, 3)]
+    parsed = line.select(F.monotonically_increasing_id().alias("row_id"),
+                         F.regexp_extract(v, SPARSE_LINE, 2).cast("int").alias("label"),
+                         F.arrays_zip(values[0].alias("a"), values[1].alias("b"), values[2].alias("x")).alias("_x"))
     checked = parsed.select("row_id", F.when(F.col("label").isin(-1, 1), F.col("label"))
                             .otherwise(F.raise_error(F.lit("label must be -1 or +1"))).alias("label"), "_x")
+    ensure_checkpoint_dir(spark)
+    checked = checked.checkpoint(eager=False)
     rows = checked.select("row_id", "label")
-    data = checked.select("row_id", "label", F.explode("_x").alias("feature", "value"))
+    items = checked.select("row_id", "label", F.explode("_x").alias("_i"))
+    # one of the two quoted forms matched; the other is empty
+    data = items.select("row_id", "label", _py_string(F.concat(F.col("_i")["a"], F.col("_i")["b"])).alias("feature"),
+                        F.col("_i")["x"].cast("double").alias("value"))
     return data, rows
 
 
 RATING_SCHEMA = "user_id long, item_id long, rating double"
 
 
+def _ratings(lines: DataFrame, *keep: str) -> DataFrame:
+    """``i,j,r`` lines -> ratings; blank lines skipped, any other is an error."""
+    v = F.col("value")
+    lines = lines.where(F.length(F.trim(v)) > 0)
+    parts = lines.select(F.split(_or_error(v.rlike(RATING_LINE), v, "not a rating"), ",").alias("_p"), *keep)
+    return parts.select(F.trim(F.col("_p")[0]).cast("long").alias("user_id"), F.trim(F.col("_p")[1]).cast("long").alias("item_id"),
+                        F.trim(F.col("_p")[2]).cast("double").alias("rating"), *keep)
+
+
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     """CSV ``i,j,r`` -> ``(user_id, item_id, rating)``."""
-    return spark.read.schema(RATING_SCHEMA).csv(path)
+    return _ratings(spark.read.text(path))
 
 
 def read_folds(spark: SparkSession, directory: str, k: int) -> DataFrame:
     """Files ``fold0 .. fold{k-1}`` of a directory -> ratings with ``fold``."""
-    paths = [f"{directory.rstrip('/')}/fold{i}" for i in range(k)]
-    df = spark.read.schema(RATING_SCHEMA).csv(paths)
+    lines = spark.read.text([f"{directory.rstrip('/')}/fold{i}" for i in range(k)])
     name = F.regexp_extract(F.col("_metadata.file_path"), r"/fold(\d+)(/[^/]*)?$", 1)
-    return df.select("user_id", "item_id", "rating", name.cast("int").alias("fold"))
+    return _ratings(lines.select("value", name.cast("int").alias("fold")), "fold")
 
 
 def load_dense_model(spark: SparkSession, path: str) -> list[float]:

@@ -51,3 +51,77 @@ def test_ragged_rows_and_null_columns(spark, tmp_dir):
         readers.read_dense(spark, f"{tmp_dir}/dense").collect()
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert writers.tuple_lines(df).first().value == "(1, None)"
+
+
+def test_sparse_lines_keep_escapes_and_float_labels(spark, tmp_dir):
+    with open(f"{tmp_dir}/good", "w") as f:
+        f.write("({u'caf\\xe9': 1.0, 'a\"b': -2e-1, \"it's\": 3}, -1.0)\n({}, +1)\n\n({'x, y: 1': .5}, 1)\n")
+    data, rows = readers.read_sparse(spark, f"{tmp_dir}/good")
+    assert sorted((r.label, r.feature, r.value) for r in data.collect()) == [
+        (-1, 'a"b', -0.2), (-1, "caf\u00e9", 1.0), (-1, "it's", 3.0), (1, "x, y: 1", 0.5)]
+    assert sorted(r.label for r in rows.collect()) == [-1, 1, 1]
+    assert data.select("row_id").distinct().join(rows, "row_id").count() == 2
+    for k, bad in enumerate(["({'a': b}, 1)", "({'a': 1.0 'b': 2.0}, 1)", "nonsense", "({'a': 1.0}, 2)", "({'a': 1.0,}, 1)"]):
+        with open(f"{tmp_dir}/bad{k}", "w") as f:
+            f.write(bad + "\n")
+        with pytest.raises(Exception, match="not a sparse example|label must be"):
+            readers.read_sparse(spark, f"{tmp_dir}/bad{k}")[0].collect()
+
+
+def test_corpus_keeps_every_file(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/c/sub")
+    for name, text in {"a b.txt": "one", "sub/c.txt": "two\nlines", "empty": ""}.items():
+        with open(f"{tmp_dir}/c/{name}", "w") as f:
+            f.write(text)
+    got = {r.doc_id.rsplit("/", 1)[1]: r.text for r in readers.read_corpus(spark, f"{tmp_dir}/c").collect()}
+    assert got == {"a b.txt": "one", "c.txt": "two\nlines", "empty": ""}
+
+
+def test_other_lines_are_refused(spark, tmp_dir):
+    with open(f"{tmp_dir}/r", "w") as f:
+        f.write("1,2,3.5\n1,x,2\n")
+    with pytest.raises(Exception, match="not a rating"):
+        readers.read_ratings(spark, f"{tmp_dir}/r").collect()
+    with open(f"{tmp_dir}/s", "w") as f:
+        f.write("(u'a', 1)\nb 2\n")
+    with pytest.raises(Exception, match="not a score"):
+        readers.read_scores(spark, f"{tmp_dir}/s").collect()
+
+
+def test_line_search_goes_on_past_sixty_trials():
+    step, k = linear.backtracking(1.0, 1.0, lambda t: 1.0 - t if t < 0.6 ** 70 else 2.0)
+    assert k > 60 and step == 0.6 ** k
+
+
+def test_verdict_rules_the_mappings(spark):
+    colors = graph.joint_colors(path_graph(spark, 3), path_graph(spark, 4))
+    assert graph.node_mapping(colors).collect() == [] and graph.candidate_mapping(colors).collect() == []
+    assert graph.compare_graphs(path_graph(spark, 3), path_graph(spark, 4)).first().verdict == "not isomorphic"
+    ring = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 1)], "src long, dst long")
+    same = graph.joint_colors(ring, ring)
+    assert graph.compare_colorings(same).first().verdict == "maybe isomorphic"
+    assert graph.candidate_mapping(same).count() == 8
+
+
+def test_cosine_of_one_pair(spark):
+    from tessera.operators import text
+
+    def vector(*rows):
+        return spark.createDataFrame(list(rows), "term string, score double")
+
+    a, b = vector(("x", 3.0), ("y", 4.0)), vector(("x", 3.0), ("z", 4.0))
+    assert abs(text.cosine_similarity(a, b).first().cosine - 9 / 25) < 1e-12
+    assert text.cosine_similarity(a, vector(("q", 1.0))).first().cosine == 0.0
+    assert text.cosine_similarity(a, vector(("x", 0.0))).first().cosine is None
+    assert text.cosine_similarity(a, vector()).first().cosine is None
+
+
+def test_settings_of_the_caller_stay(spark):
+    from tessera.session import apply_recommended
+
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    apply_recommended(other)
+    assert other.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"

@@ -48,16 +48,19 @@ def degree(edges: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # PageRank
 
-def pagerank_step(weights: DataFrame, scores: DataFrame, gamma: float, n: int,
-                  known_nodes: int | None = None) -> DataFrame:
+def pagerank_step(weights, scores: DataFrame, gamma: float, n: int,
+                  known_nodes: int | None = None, limit: int | None = None) -> DataFrame:
     """One update: ``(1-gamma) * sum(score(src) * w) + gamma / n`` per target.
 
     Inner join: a node that receives nothing gets no row.  The score table
     (one row per node) is broadcast only when its exact size is bounded;
-    otherwise AQE plans a shuffle join and splits skewed (hub) partitions.
+    beyond that ``weights`` is a ``SkewSplitTable`` of the edges by source.
     """
-    s = broadcast_if_bounded(scores.select(F.col("id").alias("src"), "score"), known_nodes)
-    contrib = weights.join(s, "src")
+    s = scores.select(F.col("id").alias("src"), "score")
+    if isinstance(weights, joins.SkewSplitTable):
+        contrib = weights.join(s)
+    else:
+        contrib = weights.join(broadcast_if_bounded(s, known_nodes, limit), "src")
     return (contrib.groupBy(F.col("dst").alias("id"))
             .agg((F.lit(1.0 - gamma) * F.sum(F.col("score") * F.col("w"))
                   + F.lit(gamma / n)).alias("score")))
@@ -86,22 +89,21 @@ class PageRankResult:
         return spark.createDataFrame(self.history, "iteration int, err double")
 
 
-def standard_step(weights: DataFrame, scores: DataFrame, nodes: DataFrame, gamma: float,
-                  n: int, known_nodes: int | None = None) -> DataFrame:
+def standard_step(received: DataFrame, scores: DataFrame, sources: DataFrame, nodes: DataFrame,
+                  gamma: float, n: int) -> DataFrame:
     """Textbook step: every node keeps a row (``gamma / n`` plus what it
-    receives), and the mass of nodes without out-edges is spread uniformly."""
-    received = pagerank_step(weights, scores, 0.0, n, known_nodes).select(
-        "id", F.col("score").alias("_r"))
-    sources = weights.select(F.col("src").alias("id")).distinct()
+    ``received`` undamped), and the mass of nodes without out-edges (not in
+    ``sources``) is spread uniformly."""
     dangling = (scores.join(sources, "id", "left_anti")
                 .agg(F.coalesce(F.sum("score"), F.lit(0.0))).scalar())
-    return (nodes.join(received, "id", "left")
+    return (nodes.join(received.select("id", F.col("score").alias("_r")), "id", "left")
             .select("id", (F.lit(1.0 - gamma) * (F.coalesce(F.col("_r"), F.lit(0.0)) + dangling / F.lit(float(n)))
                            + F.lit(gamma / n)).alias("score")))
 
 
 def pagerank(edges: DataFrame, gamma: float = 0.15, max_iter: int = 50,
-             eps: float = 0.01, mode: str = "sparse") -> PageRankResult:
+             eps: float = 0.01, mode: str = "sparse",
+             broadcast_rows: int | None = None) -> PageRankResult:
     """PageRank.
 
     ``mode='sparse'`` (default) keeps the reference's semantics: start at
@@ -110,6 +112,8 @@ def pagerank(edges: DataFrame, gamma: float = 0.15, max_iter: int = 50,
     the L1 change over common nodes is at most ``eps`` (0 when there are no
     common nodes); nodes without a final score get ``gamma / n``.
     ``mode='standard'`` is the textbook variant (see ``standard_step``).
+    Scores of more than ``broadcast_rows`` nodes (default: the library's
+    bound) are joined with edges bucketed by source instead of broadcast.
     """
     spark = edges.sparkSession
     mat = Materializer(spark)
@@ -117,32 +121,30 @@ def pagerank(edges: DataFrame, gamma: float = 0.15, max_iter: int = 50,
     nodes = mat(graph_nodes(edges))
     n = nodes.count()
     scores = mat(nodes.select("id", F.lit(1.0 / n).alias("score")))
-    split = None
-    if mode != "standard" and broadcast_if_bounded(scores, n, row_bytes=16) is scores:
+    standard = mode == "standard"
+    sources = mat(weights.select(F.col("src").alias("id")).distinct()) if standard else None
+    target, keep = weights, (weights,)
+    if broadcast_if_bounded(scores, n, broadcast_rows, row_bytes=16) is scores:
         # scores too large to broadcast: bucket the edges by source once
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        split = joins.SkewSplitTable(weights, ["src"], mat, partitions,
-                                     joins.hot_threshold(weights.count()))
+        target = joins.SkewSplitTable(weights, ["src"], mat, weights.count())
+        keep = target.live()
+    if standard:
+        keep += (sources,)
     history: list[tuple[int, float]] = []
     i, err = 0, eps + 1.0
-    while i < max_iter and err > eps:
-        i += 1
-        if mode == "standard":
-            new = mat(standard_step(weights, scores, nodes, gamma, n, known_nodes=n))
-        elif split is not None:
-            contrib = split.join(scores.select(F.col("id").alias("src"), "score"))
-            new = mat(contrib.groupBy(F.col("dst").alias("id"))
-                      .agg((F.lit(1.0 - gamma) * F.sum(F.col("score") * F.col("w"))
-                            + F.lit(gamma / n)).alias("score")))
-        else:
-            new = mat(pagerank_step(weights, scores, gamma, n, known_nodes=n))
-        err = float(score_change(scores, new).first()["err"])
-        history.append((i, err))
-        keep = split.live() if split is not None else ()
-        mat.release_all_but(weights, nodes, new, *keep)
-        scores = new
-    if split is not None:
-        split.close()
+    try:
+        while i < max_iter and err > eps:
+            i += 1
+            step = pagerank_step(target, scores, 0.0 if standard else gamma, n, n, broadcast_rows)
+            new = mat(standard_step(step, scores, sources, nodes, gamma, n) if standard else step)
+            err = float(score_change(scores, new).first()["err"])
+            history.append((i, err))
+            mat.release_all_but(nodes, new, *keep)
+            scores = new
+    finally:
+        if target is not weights:
+            target.close()
+    mat.release_all_but(nodes, scores)
     return PageRankResult(fill_sourceless(nodes, scores, gamma, n), history, n)
 
 
@@ -161,7 +163,7 @@ def _undirected(edges: DataFrame, by: tuple[str, ...]) -> DataFrame:
 
 
 def wl_refine(adjacent, colors: DataFrame, by: tuple[str, ...] = (),
-              n_nodes: int | None = None) -> DataFrame:
+              n_nodes: int | None = None, limit: int | None = None) -> DataFrame:
     """One refinement round: colour of v = hash of the multiset of its
     neighbours' colours (own colour not included, multi-edges repeated).
 
@@ -176,7 +178,7 @@ def wl_refine(adjacent, colors: DataFrame, by: tuple[str, ...] = (),
     if isinstance(adjacent, joins.SkewSplitTable):
         j = adjacent.join(c)
     else:
-        j = adjacent.join(broadcast_if_bounded(c, n_nodes, row_bytes=COLOR_ROW_BYTES), [*by, "nbr"])
+        j = adjacent.join(broadcast_if_bounded(c, n_nodes, limit, COLOR_ROW_BYTES), [*by, "nbr"])
     return (j.groupBy(*by, F.col("node").alias("id"))
             .agg(multiset_color([F.sum(f"_p{k}") for k in range(len(parts))]).alias("color")))
 
@@ -186,39 +188,41 @@ def _n_colors(colors: DataFrame) -> int:
 
 
 def wl_colors(edges: DataFrame, max_rounds: int | None = None,
-              by: tuple[str, ...] = ()) -> DataFrame:
+              by: tuple[str, ...] = (), broadcast_rows: int | None = None) -> DataFrame:
     """Final colouring ``(*by, id, color)``.
 
     Starts with one colour for all nodes and refines until the number of
     distinct colours stops changing (or ``max_rounds`` rounds ran); returns
     the newest colouring.  With ``by`` several graphs run together and their
-    colours stay comparable.
+    colours stay comparable.  Colours of more than ``broadcast_rows`` nodes
+    (default: the library's bound) are joined with an adjacency bucketed by
+    neighbour instead of broadcast.
     """
     spark = edges.sparkSession
     mat = Materializer(spark)
     adjacent = mat(_undirected(edges, by))
     colors = mat(graph_nodes(edges, by).select(*by, "id", F.lit(INITIAL_COLOR).alias("color")))
     n_nodes = colors.count()
-    target = adjacent
-    keep = (adjacent,)
-    if broadcast_if_bounded(colors, n_nodes, row_bytes=COLOR_ROW_BYTES) is colors:
+    target, keep = adjacent, (adjacent,)
+    if broadcast_if_bounded(colors, n_nodes, broadcast_rows, COLOR_ROW_BYTES) is colors:
         # colours too large to broadcast: bucket the adjacency by neighbour once
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        target = joins.SkewSplitTable(adjacent, [*by, "nbr"], mat, partitions,
-                                      joins.hot_threshold(adjacent.count()))
+        target = joins.SkewSplitTable(adjacent, [*by, "nbr"], mat, adjacent.count())
         keep = target.live()
     count = _n_colors(colors)
     rounds = 0
-    while True:
-        rounds += 1
-        new = mat(wl_refine(target, colors, by, n_nodes))
-        new_count = _n_colors(new)
-        mat.release_all_but(*keep, new)
-        if new_count == count or (max_rounds is not None and rounds >= max_rounds):
-            if target is not adjacent:
-                target.close()
-            return new
-        colors, count = new, new_count
+    try:
+        while True:
+            rounds += 1
+            new = mat(wl_refine(target, colors, by, n_nodes, broadcast_rows))
+            new_count = _n_colors(new)
+            mat.release_all_but(*keep, new)
+            if new_count == count or (max_rounds is not None and rounds >= max_rounds):
+                mat.release_all_but(new)
+                return new
+            colors, count = new, new_count
+    finally:
+        if target is not adjacent:
+            target.close()
 
 
 def color_distribution(colors: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

@@ -43,6 +43,12 @@ def links_in(spark, sf_dir) -> DataFrame:
         F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst"))
 
 
+def stars(spark, sf_dir) -> DataFrame:
+    """Edges customer -> nation (negative ids): one star per nation."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("src"), (-1 - F.col("c_nationkey")).alias("dst"))
+
+
 def relabelled(edges: DataFrame) -> DataFrame:
     """Isomorphic copy with ids ``id * 7919 + 13``."""
     return edges.select((F.col("src") * 7919 + 13).alias("src"),

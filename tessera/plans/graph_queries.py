@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import COLOR_PARTS
 from ..operators import graph as G
 from . import fixtures as fx
-from .oracle_sql import LINKS_IN, LINKS_OUT, r6 as s6
+from .oracle_sql import LINKS_IN, LINKS_OUT, STARS, r6 as s6
 from .registry import r6, register
 
 GAMMA = 0.15
@@ -89,6 +89,33 @@ def pagerank_delta(spark, sf_dir):
     return res.history_df(spark).select("iteration", r6("err", 9).alias("err"))
 
 
+@register("pagerank_split_k5", _pagerank_sql(LINKS_OUT, PR_ITERS) + "\n" + _final_sql(PR_ITERS))
+def pagerank_split_k5(spark, sf_dir):
+    """The plan for scores that are too many to broadcast, at any size."""
+    res = G.pagerank(fx.links_out(spark, sf_dir), gamma=GAMMA, max_iter=PR_ITERS, eps=0.0, broadcast_rows=0)
+    return res.scores.select("id", r6("score", 9).alias("score"))
+
+
+def _standard_sql(edges: str, k: int) -> str:
+    parts = [_w_sql(edges),
+             "s0 AS MATERIALIZED (SELECT id, 1.0::DOUBLE / (SELECT n FROM n) AS score FROM nodes)"]
+    for i in range(1, k + 1):
+        lost = f"(SELECT coalesce(sum(score), 0.0) FROM s{i - 1} WHERE id NOT IN (SELECT src FROM e))"
+        parts.append(
+            f"s{i} AS MATERIALIZED (SELECT id, {1.0 - GAMMA!r} * (coalesce(r.got, 0.0) + {lost} / (SELECT n FROM n)) "
+            f"+ {GAMMA!r} / (SELECT n FROM n) AS score FROM nodes LEFT JOIN "
+            f"(SELECT w.dst AS id, sum(p.score * w.w) AS got FROM w JOIN s{i - 1} p ON p.id = w.src GROUP BY w.dst) r "
+            f"USING (id))")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT id, {s6(f's{k}.score', 9)} AS score FROM s{k}"
+
+
+@register("pagerank_standard_k5", _standard_sql(LINKS_OUT, PR_ITERS))
+def pagerank_standard_k5(spark, sf_dir):
+    """Textbook PageRank: scores sum to 1."""
+    res = G.pagerank(fx.links_out(spark, sf_dir), gamma=GAMMA, max_iter=PR_ITERS, eps=0.0, mode="standard")
+    return res.scores.select("id", r6("score", 9).alias("score"))
+
+
 @register("sourceless_nodes", f"""WITH {_w_sql(LINKS_IN)}
 SELECT id, {s6(f'{GAMMA!r} / (SELECT n FROM n)', 9)} AS score
 FROM nodes WHERE id NOT IN (SELECT dst FROM e)""")
@@ -145,6 +172,16 @@ _TWO = (f"SELECT 1 AS g, src, dst FROM ({LINKS_OUT}) UNION ALL "
         f"SELECT 2 AS g, src * 7919 + 13, dst * 7919 + 13 FROM ({LINKS_OUT})")
 
 
+# Customers and their nations: a star per nation, so customers of a nation share a colour.
+_STARS = f"""SELECT 1 AS g, src, dst FROM ({STARS}) UNION ALL
+SELECT 2 AS g, src * 7919 + 13, dst * 7919 + 13 FROM ({STARS})"""
+
+
+def _star_joint(spark, sf_dir):
+    edges = fx.stars(spark, sf_dir)
+    return G.joint_colors(edges, fx.relabelled(edges))
+
+
 def _joint(spark, sf_dir):
     edges = fx.links_out(spark, sf_dir)
     return G.joint_colors(edges, fx.relabelled(edges))
@@ -160,6 +197,12 @@ def wl_colors_final(spark, sf_dir):
     return G.wl_colors(fx.links_out(spark, sf_dir))
 
 
+@register("wl_colors_split", f"WITH {_wl_sql(_ONE, WL_SQL_ROUNDS)} SELECT id, color FROM final")
+def wl_colors_split(spark, sf_dir):
+    """The plan for colours that are too many to broadcast, at any size."""
+    return G.wl_colors(fx.links_out(spark, sf_dir), broadcast_rows=0)
+
+
 @register("color_distribution", f"""WITH {_wl_sql(_ONE, WL_SQL_ROUNDS)}
 SELECT class_size, count(*) AS n_classes FROM (SELECT color, count(*) AS class_size FROM final GROUP BY color)
 GROUP BY class_size""")
@@ -167,7 +210,8 @@ def color_distribution(spark, sf_dir):
     return G.color_distribution(G.wl_colors(fx.links_out(spark, sf_dir)))
 
 
-@register("graph_verdict", f"""WITH {_wl_sql(_TWO, WL_SQL_ROUNDS)},
+def _verdict_sql(pair: str) -> str:
+    return f"""WITH {_wl_sql(pair, WL_SQL_ROUNDS)},
 sizes AS (SELECT g, color, count(*) AS s FROM final GROUP BY g, color),
 mism AS (SELECT count(*) AS m FROM (SELECT color, s FROM sizes WHERE g = 1) a
          FULL OUTER JOIN (SELECT color, s FROM sizes WHERE g = 2) b USING (color)
@@ -178,7 +222,10 @@ summ AS (SELECT count_if(g = 1) AS n_nodes_1, count_if(g = 2) AS n_nodes_2,
 SELECT CASE WHEN n_nodes_1 <> n_nodes_2 THEN 'not isomorphic'
             WHEN (SELECT m FROM mism) > 0 THEN 'not isomorphic'
             WHEN n_colors_1 = n_nodes_1 THEN 'isomorphic' ELSE 'maybe isomorphic' END AS verdict,
-       n_nodes_1, n_nodes_2, n_colors_1, n_colors_2 FROM summ""")
+       n_nodes_1, n_nodes_2, n_colors_1, n_colors_2 FROM summ"""
+
+
+@register("graph_verdict", _verdict_sql(_TWO))
 def graph_verdict(spark, sf_dir):
     return G.compare_colorings(_joint(spark, sf_dir))
 
@@ -191,9 +238,30 @@ def node_mapping(spark, sf_dir):
     return G.node_mapping(_joint(spark, sf_dir))
 
 
-@register("candidate_mapping", f"""WITH {_wl_sql(_TWO, WL_SQL_ROUNDS)},
+def _candidates_sql(pair: str) -> str:
+    return f"""WITH {_wl_sql(pair, WL_SQL_ROUNDS)},
 sizes AS (SELECT color, count_if(g = 1) AS size_1, count_if(g = 2) AS size_2 FROM final GROUP BY color
           HAVING count_if(g = 1) > 0 AND count_if(g = 2) > 0)
-SELECT color, g, id, size_1, size_2 FROM final JOIN sizes USING (color)""")
+SELECT color, g, id, size_1, size_2 FROM final JOIN sizes USING (color)"""
+
+
+@register("candidate_mapping", _candidates_sql(_TWO))
 def candidate_mapping(spark, sf_dir):
     return G.candidate_mapping(_joint(spark, sf_dir))
+
+
+@register("star_verdict", _verdict_sql(_STARS))
+def star_verdict(spark, sf_dir):
+    return G.compare_colorings(_star_joint(spark, sf_dir))
+
+
+@register("star_candidates", _candidates_sql(_STARS))
+def star_candidates(spark, sf_dir):
+    return G.candidate_mapping(_star_joint(spark, sf_dir))
+
+
+@register("star_color_distribution", f"""WITH {_wl_sql(f"SELECT 1 AS g, src, dst FROM ({STARS})", WL_SQL_ROUNDS)}
+SELECT class_size, count(*) AS n_classes FROM (SELECT color, count(*) AS class_size FROM final GROUP BY color)
+GROUP BY class_size""")
+def star_color_distribution(spark, sf_dir):
+    return G.color_distribution(G.wl_colors(fx.stars(spark, sf_dir)))

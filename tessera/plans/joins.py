@@ -19,6 +19,8 @@ MAX_BROADCAST_ROWS = 2_000_000
 MIN_HOT_DEGREE = 10_000
 # Upper bound on the estimated in-memory size of a hinted broadcast.
 MAX_BROADCAST_BYTES = 64 << 20
+# Rows of the large side that one bucket (one task per iteration) holds.
+BUCKET_ROWS = 4_000_000
 
 
 def broadcast_if_bounded(df: DataFrame, known_rows: int | None,
@@ -39,33 +41,40 @@ def hot_threshold(n_rows: int) -> int:
     return max(MIN_HOT_DEGREE, n_rows // max(1, MAX_BROADCAST_ROWS))
 
 
+def bucket_count(spark, n_rows: int) -> int:
+    """Buckets for a table of ``n_rows`` rows: the shuffle partitions, and more
+    where a bucket would otherwise hold over ``BUCKET_ROWS`` rows."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // BUCKET_ROWS))
+
+
 class SkewSplitTable:
     """A large table joined once per iteration with a changing per-key table
     that is too large to broadcast (scores per node, colours per node).
 
     Rows of ordinary keys are written once as a table bucketed by the key
-    (in the checkpoint folder), so every later join shuffles only the
-    per-key table.  Keys with more than ``threshold`` rows are "hot"; there
-    are at most ``n_rows / threshold`` of them, so their per-key rows are
+    (in the checkpoint folder, one file per bucket), so every later join
+    shuffles only the per-key table.  Keys with more than ``hot_threshold(n_rows)`` rows are "hot"; there
+    are at most ``MAX_BROADCAST_ROWS`` of them, so their per-key rows are
     broadcast and their large-table rows stay spread evenly -- a hot key
     never lands in one task.  Call ``close()`` to drop the bucketed table.
     """
 
-    def __init__(self, fact: DataFrame, keys: list[str], mat, partitions: int,
-                 threshold: int):
+    def __init__(self, fact: DataFrame, keys: list[str], mat, n_rows: int):
         import uuid
 
         from ..session import ensure_checkpoint_dir
 
         spark = fact.sparkSession
-        self.spark, self.keys, self.partitions = spark, list(keys), partitions
+        self.spark, self.keys, self.partitions = spark, list(keys), bucket_count(spark, n_rows)
         per_key = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        self.hot_keys = mat(per_key.where(F.col("_n") > threshold).select(*keys))
+        self.hot_keys = mat(per_key.where(F.col("_n") > hot_threshold(n_rows)).select(*keys))
         self.n_hot = self.hot_keys.count()
         self.table = f"tessera_bucketed_{uuid.uuid4().hex}"
         self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{self.table}"
+        # the exchange hashes as buckets do, so each task writes one bucket file
         (fact.join(F.broadcast(self.hot_keys), self.keys, "left_anti")
-         .write.bucketBy(partitions, *self.keys).option("path", self.path).saveAsTable(self.table))
+         .repartition(self.partitions, *self.keys)
+         .write.bucketBy(self.partitions, *self.keys).option("path", self.path).saveAsTable(self.table))
         self.cold = spark.table(self.table)
         self.hot = mat(fact.join(F.broadcast(self.hot_keys), self.keys))
 

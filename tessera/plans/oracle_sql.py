@@ -23,6 +23,7 @@ def r6(expr: str, digits: int = 6) -> str:
 CORPUS = "SELECT doc_id, text FROM documents"
 LINKS_OUT = "SELECT l_suppkey AS src, l_partkey AS dst FROM lineitem"
 LINKS_IN = "SELECT l_partkey AS src, l_suppkey AS dst FROM lineitem"
+STARS = "SELECT c_custkey AS src, -1 - c_nationkey AS dst FROM customer"
 DENSE = """SELECT l_quantity / 50.0 AS x1, l_discount * 10.0 + 0.0 AS x2,
        l_extendedprice / 1e4 AS y, l_linenumber = 7 AS is_test FROM lineitem"""
 RATINGS = """SELECT l_suppkey AS user_id, l_partkey AS item_id,

@@ -44,5 +44,5 @@ def r6(c, digits: int = 6) -> Column:
 def load_all():
     """Import every query module so that the registry is filled."""
     from . import text_queries, graph_queries, linear_queries  # noqa: F401
-    from . import sparse_queries, logistic_queries, factor_queries  # noqa: F401
+    from . import sparse_queries, logistic_queries, factor_queries, format_queries  # noqa: F401
     return QUERIES, ORACLES

@@ -17,7 +17,7 @@ from ..session import ensure_checkpoint_dir
 #   edges   (1, 2) or ('a', 'b')   -> src, dst
 #   sparse  ({"f": 1.0, ...}, -1)  -> map text, label
 SCORE_LINE = r"""^\(u?['"](.*)['"],\s*(.*)\)$"""
-_ITEM = r"""(?:u?'((?:[^'\\]|\\.)*)'|u?"((?:[^"\\]|\\.)*)"|([^,'"()]+?))"""
+_ITEM = r"""(?:u?'([^'\\]*(?:\\.[^'\\]*)*)'|u?"([^"\\]*(?:\\.[^"\\]*)*)"|([^,'"()]+?))"""
 EDGE_LINE = rf"""^\s*\(\s*{_ITEM}\s*,\s*{_ITEM}\s*\)\s*$"""
 SPARSE_LINE = r"""^\s*\(\s*\{(.*)\}\s*,\s*\+?(-?\d+)(?:\.0*)?\s*\)\s*$"""
 _QUOTED = r"""(?:u?'([^'\\]*(?:\\.[^'\\]*)*)'|u?"([^"\\]*(?:\\.[^"\\]*)*)")"""
@@ -62,27 +62,54 @@ def empty_files(spark: SparkSession, path: str) -> list[str]:
     return out
 
 
+# The escapes of a Python string literal that its repr writes.
+_PIECE = r"(?:\\u[0-9a-fA-F]{4})+|\\x[0-9a-fA-F]{2}|\\U[0-9a-fA-F]{8}|\\.|[^\\]+"
+_PLAIN_ESCAPES = {"\\n": "\n", "\\r": "\r", "\\t": "\t", "\\a": "\a", "\\b": "\b", "\\f": "\f", "\\v": "\v"}
+
+
+def _piece(p):
+    """One escape of a Python string literal, or a run without any, decoded.
+    Neighbouring ``\\u`` escapes go together: they may be a surrogate pair."""
+    def bytes_of(hexed, charset):
+        return F.decode(F.unhex(hexed), charset)
+
+    out = (F.when(p.rlike(r"^\\u[0-9a-fA-F]{4}"), bytes_of(F.replace(p, F.lit("\\u"), F.lit("")), "UTF-16BE"))
+           .when(p.rlike(r"^\\x[0-9a-fA-F]{2}"), bytes_of(p.substr(F.lit(3), F.lit(2)), "ISO-8859-1"))
+           .when(p.rlike(r"^\\U[0-9a-fA-F]{8}"), bytes_of(p.substr(F.lit(3), F.lit(8)), "UTF-32")))
+    for written, char in _PLAIN_ESCAPES.items():
+        out = out.when(p == written, F.lit(char))
+    return out.when(p.startswith("\\"), p.substr(F.lit(2), F.lit(1))).otherwise(p)
+
+
 def _py_string(raw):
-    """Decode a Python string literal body (``\\xNN``, ``\\uNNNN``, ``\\'``)."""
-    body = F.regexp_replace(raw, r"\\'", "'")
-    body = F.regexp_replace(body, '"', '\\\\"')
-    body = F.regexp_replace(body, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
-    return F.from_json(F.concat(F.lit('["'), body, F.lit('"]')), "array<string>")[0]
+    """Decode a Python string literal body (``\\xNN``, ``\\uNNNN``, ``\\'``, ...)."""
+    pieces = F.regexp_extract_all(raw, F.lit(_PIECE), F.lit(0))
+    return F.when(F.contains(raw, F.lit("\\")), F.array_join(F.transform(pieces, _piece), "")).otherwise(raw)
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    """``parse_scores`` of a text file."""
+    return parse_scores(spark.read.text(path))
+
+
+def parse_scores(lines: DataFrame) -> DataFrame:
     """``(term, score)`` from ``(u'term', value)`` lines; blank lines are
     skipped, any other line is an error."""
-    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    lines = lines.where(F.length(F.trim("value")) > 0)
     line = lines.select(_or_error(F.col("value").rlike(SCORE_LINE), F.col("value"), "not a score").alias("value"))
     return line.select(_py_string(F.regexp_extract("value", SCORE_LINE, 1)).alias("term"),
                        F.regexp_extract("value", SCORE_LINE, 2).cast("double").alias("score"))
 
 
 def read_edges(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+    """``parse_edges`` of a text file."""
+    return parse_edges(spark.read.text(path), id_type)
+
+
+def parse_edges(lines: DataFrame, id_type: str = "bigint") -> DataFrame:
     """``(src, dst)`` from ``(a, b)`` lines; duplicates kept, blank lines
     skipped, any other line is an error."""
-    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0).select(
+    lines = lines.where(F.length(F.trim("value")) > 0).select(
         F.when(F.col("value").rlike(EDGE_LINE), F.col("value"))
         .otherwise(F.raise_error(F.concat(F.lit("not an edge: "), F.col("value")))).alias("value"))
 
@@ -94,11 +121,16 @@ def read_edges(spark: SparkSession, path: str, id_type: str = "bigint") -> DataF
 
 
 def read_dense(spark: SparkSession, path: str, d: int | None = None) -> DataFrame:
+    """``parse_dense`` of a text file."""
+    return parse_dense(spark.read.text(path), d)
+
+
+def parse_dense(lines: DataFrame, d: int | None = None) -> DataFrame:
     """CSV lines ``x1,...,xd,y`` -> ``(x0 .. x{d-1}, y)`` doubles.
 
     ``d`` is taken from the first line when not given (one row is read).
     """
-    parts = spark.read.text(path).where(F.length(F.trim("value")) > 0).select(
+    parts = lines.where(F.length(F.trim("value")) > 0).select(
         F.split(F.trim("value"), ",").alias("_p"))
     if d is None:
         d = parts.select(F.size("_p")).first()[0] - 1
@@ -110,6 +142,11 @@ def read_dense(spark: SparkSession, path: str, d: int | None = None) -> DataFram
 
 
 def read_sparse(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``parse_sparse`` of a text file."""
+    return parse_sparse(spark.read.text(path))
+
+
+def parse_sparse(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``({"f": v, ...}, y)`` lines -> (long data, rows).
 
     Long data is ``(row_id, label, feature, value)``, rows is
@@ -122,7 +159,7 @@ def read_sparse(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     carry the same ids whatever the splits.
     """
     v = F.col("value")
-    lines = spark.read.text(path).where(F.length(F.trim(v)) > 0)
+    lines = lines.where(F.length(F.trim(v)) > 0)
     body = F.regexp_extract(v, SPARSE_LINE, 1)
     # what is left without the items: commas, one fewer than items
     item = F.lit(SPARSE_ITEM)
@@ -135,7 +172,7 @@ def read_sparse(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
                          F.arrays_zip(values[0].alias("a"), values[1].alias("b"), values[2].alias("x")).alias("_x"))
     checked = parsed.select("row_id", F.when(F.col("label").isin(-1, 1), F.col("label"))
                             .otherwise(F.raise_error(F.lit("label must be -1 or +1"))).alias("label"), "_x")
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(lines.sparkSession)
     checked = checked.checkpoint(eager=False)
     rows = checked.select("row_id", "label")
     items = checked.select("row_id", "label", F.explode("_x").alias("_i"))
@@ -148,7 +185,7 @@ def read_sparse(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 RATING_SCHEMA = "user_id long, item_id long, rating double"
 
 
-def _ratings(lines: DataFrame, *keep: str) -> DataFrame:
+def parse_ratings(lines: DataFrame, *keep: str) -> DataFrame:
     """``i,j,r`` lines -> ratings; blank lines skipped, any other is an error."""
     v = F.col("value")
     lines = lines.where(F.length(F.trim(v)) > 0)
@@ -159,14 +196,14 @@ def _ratings(lines: DataFrame, *keep: str) -> DataFrame:
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     """CSV ``i,j,r`` -> ``(user_id, item_id, rating)``."""
-    return _ratings(spark.read.text(path))
+    return parse_ratings(spark.read.text(path))
 
 
 def read_folds(spark: SparkSession, directory: str, k: int) -> DataFrame:
     """Files ``fold0 .. fold{k-1}`` of a directory -> ratings with ``fold``."""
     lines = spark.read.text([f"{directory.rstrip('/')}/fold{i}" for i in range(k)])
     name = F.regexp_extract(F.col("_metadata.file_path"), r"/fold(\d+)(/[^/]*)?$", 1)
-    return _ratings(lines.select("value", name.cast("int").alias("fold")), "fold")
+    return parse_ratings(lines.select("value", name.cast("int").alias("fold")), "fold")
 
 
 def load_dense_model(spark: SparkSession, path: str) -> list[float]:

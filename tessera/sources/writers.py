@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 def _repr(c: Column, dtype: str) -> Column:
     if dtype == "string":
         esc = F.regexp_replace(F.regexp_replace(c, r"\\", r"\\\\"), "'", r"\\'")
+        for char, escape in (("\n", "\\n"), ("\r", "\\r")):  # a row stays on its line
+            esc = F.replace(esc, F.lit(char), F.lit(escape))
         return F.concat(F.lit("'"), esc, F.lit("'"))
     return c.cast("string")
 

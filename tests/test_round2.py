@@ -125,3 +125,30 @@ def test_settings_of_the_caller_stay(spark):
     other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     apply_recommended(other)
     assert other.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+
+
+def test_python_escapes_are_decoded_in_order(spark):
+    body = r"a\\x41 \x41\'\" é😀 \U0001f600\n\t\\"
+    lines = spark.createDataFrame([(f"(u'{body}', 1)",)], "value string")
+    assert readers.parse_scores(lines).first().term == "a\\x41 A'\" é\U0001f600 \U0001f600\n\t\\"
+
+
+def test_written_text_comes_back(spark):
+    texts = ["it's", 'say "x"', "back\\slash \\n", "two\nlines\r\n", "", "é\U0001f600", "', 3)"]
+    df = spark.createDataFrame([(t, float(k)) for k, t in enumerate(texts)], "term string, score double")
+    lines = writers.tuple_lines(df)
+    assert all("\n" not in r.value and "\r" not in r.value for r in lines.collect())
+    assert sorted(map(tuple, readers.parse_scores(lines).collect())) == sorted((t, float(k)) for k, t in enumerate(texts))
+
+
+def test_bucketed_table_has_a_file_per_bucket_and_is_dropped(spark):
+    from tessera.plans import joins
+    from tessera.plans.iterate import Materializer
+
+    fact = spark.range(0, 5000, 1, 7).select((F.col("id") % 97).alias("k"), "id")
+    split = joins.SkewSplitTable(fact, ["k"], Materializer(spark), 5000)
+    assert len(spark.table(split.table).inputFiles()) <= split.partitions
+    per_key = spark.range(97).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    assert split.join(per_key).agg(F.sum(F.col("v") - F.col("k"))).first()[0] == 0
+    split.close()
+    assert not spark.catalog.tableExists(split.table)

@@ -46,6 +46,7 @@ RANGE_BYTES = 16 << 20
 CHUNK = 900_000  # places hashed at a time; with a window more it fits in PLACE bits
 PLACE = np.uint64((1 << 20) - 1)
 HOT_CONTEXTS = 4096
+MARK_BITS = np.uint64(16)
 SAMPLES, PREFIX = 64, 16
 
 _rng = np.random.default_rng(2024)
@@ -133,7 +134,8 @@ class Block:
         self.raw, self.data = raw, np.frombuffer(raw, np.uint8)
         self.ends = np.frombuffer(row["ends"], np.int64)
         self.ids = np.frombuffer(row["ids"], np.int64)
-        found = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["anchors"]), np.int32).reshape(3, -1).astype(np.int64)
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["anchors"]), np.uint8).reshape(4, -1)
+        found = np.ascontiguousarray(planes.T).view(np.int32).reshape(3, -1).astype(np.int64)
         found[0] = np.cumsum(found[0])
         self.place, self.first, self.last = found[0], found[0] - found[1], found[0] - found[2]
 
@@ -167,9 +169,11 @@ def _pack(number: int, ids: list, texts: list[bytes], extra: pa.Table | None) ->
     data = np.frombuffer(raw, np.uint8)
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
     place, first, last = anchors(data, ends)
-    packer = zstandard.ZstdCompressor(level=3)
-    # places as steps, windows as distances before the anchor
+    packer = zstandard.ZstdCompressor(level=6)  # a block is written once and moves twice
+    # places as steps, windows as distances before the anchor: mostly under 256,
+    # so the bytes of equal weight go together
     small = np.stack([np.diff(place, prepend=0), place - first, place - last]).astype(np.int32)
+    planes = np.ascontiguousarray(small.view(np.uint8).reshape(-1, 4).T)
     g = gram_hashes(data, place)
     low = place[np.argpartition(g, SAMPLES)[:SAMPLES]] if len(g) > SAMPLES else place
     stored = b""
@@ -180,7 +184,7 @@ def _pack(number: int, ids: list, texts: list[bytes], extra: pa.Table | None) ->
         stored = packer.compress(sink.getvalue().to_pybytes())
     return pa.RecordBatch.from_arrays(
         [pa.array([number]), pa.array([key[order].tobytes()]), pa.array([ends.tobytes()]), pa.array([packer.compress(raw)]),
-         pa.array([len(raw)]), pa.array([packer.compress(small.tobytes())]),
+         pa.array([len(raw)]), pa.array([packer.compress(planes.tobytes())]),
          pa.array([[raw[p:p + PREFIX] for p in low.tolist()]], pa.list_(pa.binary())), pa.array([stored])],
         [f.split()[0] for f in BLOCK_SCHEMA.split(", ")])
 
@@ -225,41 +229,44 @@ RUN, HOT, DONE = 0, 1, 2
 
 
 def _codes(blocks: DataFrame, parts: int) -> DataFrame:
-    """Per block and hash range: a code for each distinct entry of the block."""
+    """Per block and hash range: a code for each distinct entry of the block.
+
+    An entry travels as 48 bits of its hash and its 16-bit mark.  Different
+    anchors that agree in 48 bits only count as repeats, whose elements are
+    compared in full later.
+    """
     edges = np.array(range_edges(parts), np.uint64)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in dicts(batches):
             g, mark, _, _ = Block(row).entries()
             cut = np.concatenate([[0], np.searchsorted(g, edges), [len(g)]])
-            yield from rows_of(PART_SCHEMA, [(p, 0, row["block"], g[a:b].tobytes() + mark[a:b].tobytes())
+            key = (g >> MARK_BITS << MARK_BITS) | mark
+            yield from rows_of(PART_SCHEMA, [(p, 0, row["block"], key[a:b].tobytes())
                                              for p, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if a < b])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, who, gs, marks = 0, [], [], []
+        part, who, keys = 0, [], []
         for batch in batches:
             for p, b, blob in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                n = len(blob) // 10
                 part = p
                 who.append(b)
-                gs.append(np.frombuffer(blob, np.uint64, n))
-                marks.append(np.frombuffer(blob, np.uint16, n, 8 * n))
+                keys.append(np.frombuffer(blob, np.uint64))
         if not who:
             return
-        g, mark = np.concatenate(gs), np.concatenate(marks)
-        order = np.lexsort((mark, g))
-        gs_, ms = g[order], mark[order]
-        new = np.concatenate([[True], gs_[1:] != gs_[:-1]])
+        key = np.concatenate(keys)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        other = np.concatenate([[True], key[1:] != key[:-1]])
+        new = np.concatenate([[True], key[1:] >> MARK_BITS != key[:-1] >> MARK_BITS])
         group = np.cumsum(new) - 1
-        other = new.copy()
-        other[1:] |= ms[1:] != ms[:-1]
         times = np.bincount(group)
         contexts = np.bincount(group, other)
-        code = np.empty(len(g), np.uint8)
+        code = np.empty(len(key), np.uint8)
         code[order] = ((times > 1).astype(np.uint8) + (contexts > HOT_CONTEXTS).astype(np.uint8))[group]
         at, rows = 0, []
         packer = zstandard.ZstdCompressor(level=1)
-        for b, x in zip(who, gs):
+        for b, x in zip(who, keys):
             rows.append((b, part, packer.compress(code[at:at + len(x)].tobytes())))
             at += len(x)
         yield from rows_of(NOTE_SCHEMA, rows)

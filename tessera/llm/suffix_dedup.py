@@ -191,10 +191,12 @@ def _pack(number: int, ids: list, texts: list[bytes], extra: pa.Table | None) ->
 
 def blocks_of(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
     """Documents packed into blocks of about ``BLOCK_BYTES``, written once.
-    ``carry`` keeps all columns of ``docs`` with the block."""
+    ``carry`` keeps all columns of ``docs`` with the block; the text is there
+    already, so its column goes along empty."""
     cols = [F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text")]
     if carry:
-        cols += [F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]
+        cols += [(F.lit(None).cast(docs.schema[c].dataType) if c == text_col else F.col(c)).alias(f"c{k}")
+                 for k, c in enumerate(docs.columns)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = first_block_number()

@@ -1,8 +1,11 @@
 """SpotSigs fingerprints.
 
 A signature is a common word (the anchor) with the chain of the next
-``CHAIN`` content words after it.  The set of a text's signatures is its
-fingerprint, and the likeness of two texts is the Jaccard index of their sets.
+``CHAIN`` content words after it.  A text's fingerprint is one set, of the same
+kind at every size: its signatures, the words and symbols that no chain spans,
+and its ``FEW`` words of least hash.  An edit of one word changes the chains it
+stands in and a few words, never the whole set of a longer text.  The likeness
+of two texts is the Jaccard index of their sets.
 Sets are matched by length: a pair can reach a threshold only if the shorter
 set has at least that share of the longer one.
 """
@@ -28,15 +31,17 @@ der die das und zu von den mit ist des im dem nicht ein eine für auf sich er al
 le la les de des et un une du en que qui dans est pour sur au pas par il avec ce se plus ne
 el los las del y que en un una por con no para se al lo como más su es ha
 """.split())
-WORD = re.compile(r"\w+")
+TOKEN = re.compile(r"\w+|[^\w\s]")
 WORDS_KEPT = 500_000
 
 
 @lru_cache(maxsize=WORDS_KEPT)
-def _hash(word: str) -> int:
-    """63 bits of the word's digest; the lowest bit marks an anchor."""
-    h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-    return (h & ~1) | (word in ANCHORS)
+def _hash(token: str) -> int:
+    """62 bits of the token's digest; the lowest bit marks an anchor, the next
+    one a symbol."""
+    h = int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "little")
+    symbol = len(token) == 1 and not (token.isalnum() or token == "_")
+    return (h & ~3) | symbol << 1 | (token in ANCHORS)
 
 
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -50,26 +55,31 @@ def _fold(acc: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def signatures(text: str, chain: int = CHAIN) -> np.ndarray:
-    """Sorted distinct signatures of a text as 64-bit numbers.
-
-    An anchor with fewer than ``chain`` content words after it gives none.  A
-    text with fewer than ``FEW`` signatures, which an edit would change all at
-    once, has its distinct words instead; a text without words has one
-    signature of its characters, and an empty text has none.
+    """Sorted distinct members of a text's set as 64-bit numbers.
+
+    An anchor with fewer than ``chain`` content words after it gives no
+    signature.  What stands outside every span from an anchor to the end of its
+    chain counts word by word and symbol by symbol, so a text without anchors
+    is the set of its words.  The ``FEW`` words of least hash are a sample that
+    an edit of one word changes in one place; they keep a short text, whose few
+    chains one edit can change all at once, comparable.  White space alone
+    gives an empty set.
     """
-    words = WORD.findall(text.lower())
-    h = np.array(list(map(_hash, words)), np.uint64)
-    anchor = (h & np.uint64(1)).astype(bool)
-    content = h[~anchor]
-    after = np.cumsum(~anchor)[anchor]  # content words before each anchor
-    keep = after + chain <= len(content)
-    at, sig = after[keep], h[anchor][keep]
+    tokens = TOKEN.findall(text.lower())
+    h = np.array(list(map(_hash, tokens)), np.uint64)
+    anchors = np.flatnonzero(h & np.uint64(1))
+    contents = np.flatnonzero((h & np.uint64(3)) == 0)
+    after = np.searchsorted(contents, anchors)  # content words before each anchor
+    keep = after + chain <= len(contents)
+    at, starts = after[keep], anchors[keep]
+    content, sig = h[contents], h[starts]
     for k in range(chain):
         sig = _fold(sig, content[at + k])
-    sig = np.unique(sig)
-    if len(sig) >= FEW:
-        return sig
-    return np.unique(h) if words else np.array([_hash(text)] if text else [], np.uint64)
+    ends = contents[at + chain - 1] + 1 if chain else starts + 1
+    n = len(h) + 1
+    spans = np.cumsum(np.bincount(starts, minlength=n) - np.bincount(ends, minlength=n))[:-1]
+    sample = np.unique(h[(h & np.uint64(2)) == 0])[:FEW]
+    return np.unique(np.concatenate([sig, h[spans == 0], sample]))
 
 
 def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:

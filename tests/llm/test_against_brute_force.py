@@ -164,6 +164,27 @@ def test_spotsigs(spark, texts):
         assert tuple(got[i])[1:] == (len(a), sha(e), spotsigs.as_text(spotsigs.signatures(a)), spotsigs.as_text(spotsigs.signatures(e)), jac(s, se), jac(s, sb))
 
 
+def test_spotsigs_sets_are_of_one_kind_at_every_size():
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(300)]
+    anchors = sorted(spotsigs.ANCHORS)
+    like = lambda a, b: spotsigs.likeness(*map(spotsigs.signatures, (a, b)))
+    for n_anchors in range(0, 20):  # the number of signatures crosses every small size
+        text = [rng.choice(words) for _ in range(200)]
+        for at in rng.sample(range(190), n_anchors):
+            text[at] = rng.choice(anchors)
+        before = " ".join(text)
+        assert like(before, before) == 1
+        for at in range(0, 200, 7):  # a word or an anchor taken out or put in
+            for new in ([], ["other"], ["the"], [text[at], "the"]):
+                assert like(before, " ".join(text[:at] + new + text[at + 1:])) > 0.85
+    for n in range(2, 12):  # in a short text one edit may change every chain
+        text = ["the", "of"] + rng.sample(words, n)
+        for at in range(len(text)):
+            assert like(" ".join(text), " ".join(text[:at] + ["other"] + text[at + 1:])) > 0
+    assert like("?!", "?! word") > 0 and like(" ", "") == 1 and like("", "word") == 0
+
+
 def test_quality_on_held_out_labels(spark):
     labels = {r.doc_id: r.quality for r in read_table(spark, "/root/testdata/sf0.01", "labels").collect()}
     rows = [r for r in queries.op5_quality(spark, "/root/testdata/sf0.01").collect() if r.held_out and r.doc_id in labels]

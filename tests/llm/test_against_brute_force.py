@@ -210,3 +210,24 @@ def test_pages_without_article_lose_what_their_host_repeats(spark):
     got = {r.page_id: r.text for r in html_extract.op1(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[k] == f"own{k} text{k} here{k}" for k in range(5))
     assert got[9].split("\n")[1] == "alone" and line in got[9]
+
+
+def test_near_copies_and_shared_passages_of_a_host_are_kept(spark):
+    rng = random.Random(8)
+    prose = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    line = "All rights reserved by the people who run this site"
+    page = lambda text, tag="div": f"<body><{tag}>{text}</{tag}><p>{line}</p></body>"
+    own = [prose(300) for _ in range(3)]
+    own += [own[0].replace(own[0].split()[k], "changed", 1) for k in (5, 150, 290, 295)]  # near copies of the first
+    quote = prose(30)
+    own += [prose(100) + " " + quote + " " + prose(100) for _ in range(3)]  # on 3 of the host's distinct pages
+    n = len(own)
+    rows = [(k, f"http://h.example.com/{k}", page(t)) for k, t in enumerate(own)]
+    rows += [(n + k, f"http://h.example.com/a{k}", page(prose(200), "article")) for k in range(20)]
+    two = [prose(300)]
+    two += [two[0].replace(two[0].split()[77], "changed", 1)]  # a host of one page and its near copy
+    rows += [(100 + k, f"http://two.example.com/{k}", page(t)) for k, t in enumerate(two)]
+    got = {r.page_id: r.text for r in html_extract.op1(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
+    assert len(got) == len(rows)
+    assert [got[k] for k in range(n)] == own
+    assert [got[100 + k] for k in range(2)] == [f"{t}\n{line}" for t in two]

@@ -8,10 +8,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir
 
+#: Keys that hold more than one in so many of a table's rows are joined by broadcast.
+HOT_PART = 200
+
 
 def share_package(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package from where the
@@ -36,6 +39,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_join(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Inner join of a written table with one that has a row per key.  Keys
+    with over one in ``HOT_PART`` of the rows, which are about ``HOT_PART`` at
+    most, are joined where their rows are."""
+    most = rows.count() // HOT_PART
+    hot = written(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(1, most)).select(key), "hot")
+    known = table.join(F.broadcast(hot), key, "left_semi")
+    even = rows.join(F.broadcast(hot), key, "left_anti").join(table, key)
+    return even.unionByName(rows.join(F.broadcast(known), key))
+
+
 def text_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """``(bytes, offsets)`` of a string or binary column; a null is empty.
 

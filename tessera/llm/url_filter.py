@@ -7,25 +7,29 @@ multinomial naive Bayes model then scores host and path words.  Its training
 labels are weak: a URL whose host has one of the ``SEEDS`` among its words
 counts as bad, any other as good; what else those hosts and paths share is
 learnt from the counts over all rows.
+
+No model is gathered anywhere: unigrams and word odds are tables.  The Viterbi
+split of a label looks up the label's own substrings, and the score of a URL is
+the sum over its host's words and its path's words, each found once per distinct
+host and path.  Odds are added in units of ``1 / UNIT``, so that the order in
+which they meet does not show.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import per_batch
+from .common import per_batch, spread_join, written
 
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 SEEDS = frozenset("""ads adserver adult bet bets betting casino escort gambling loan loans lottery malware payday pharma
 phishing pills poker porn sex spam track tracker viagra warez xxx""".split())
-#: Size of the fitted models that tasks get: the most frequent words.
-MODEL_WORDS = 200_000
 LONGEST = 24
+UNIT = 1 << 36
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -70,78 +74,115 @@ def segment(name: str, cost: dict[str, float], unknown: float) -> list[str]:
 _LABEL = re.compile(r"[a-z]+|[0-9]+|[^\W\da-z_]+")
 
 
-def words_of(host: str, path: str, split) -> tuple[list[str], list[str]]:
-    """Words of host and path; numbers are all one word."""
-    host_words = [w for label in _LABEL.findall(host) for w in (["0"] if label.isdigit() else split(label))]
-    path_words = ["0" if w.isdigit() else w for w in _LABEL.findall(path.lower())]
-    return host_words, ["/" + w for w in path_words]
+def is_number(word: str) -> bool:
+    """Numbers are all one word, ``0``."""
+    return word.isdigit()
 
 
-def unigrams(urls: DataFrame, most: int = MODEL_WORDS) -> dict[str, int]:
-    """Counts of separated words over all rows of ``(host, path)``: in how many
-    hosts a part of a hyphenated label occurs, and in how many URLs a path
-    part.  The counts cover every row; the ``most`` frequent words are kept."""
+def unigrams(pairs: DataFrame) -> DataFrame:
+    """``(w, n)``, counts of separated words over ``(host, path, times)``: in
+    how many hosts a part of a hyphenated label occurs, and in how many URLs a
+    path part; each seed word once more."""
     part = r"[a-z]{2,}"
     hyphenated = F.filter(F.split("host", r"\."), lambda x: x.contains("-"))
-    in_hosts = (urls.select("host").distinct()
-                .select("host", F.explode(F.array_distinct(F.regexp_extract_all(F.array_join(hyphenated, "."), F.lit(part), F.lit(0)))).alias("w")))
-    in_paths = urls.select(F.explode(F.regexp_extract_all(F.lower("path"), F.lit(part), F.lit(0))).alias("w"))
-    counts = in_hosts.select("w").unionByName(in_paths).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    return {r.w: r.n for r in counts.orderBy(F.desc("n"), "w").limit(most).collect()}
-
-
-class UrlModel:
-    """Fitted word costs and log odds; small and bounded by ``MODEL_WORDS``."""
-
-    def __init__(self, counts: dict[str, int]):
-        counts = dict(counts)
-        for seed in SEEDS:
-            counts[seed] = counts.get(seed, 0) + 1
-        total = sum(counts.values())
-        self.cost = {w: math.log(total / n) for w, n in counts.items()}
-        self.unknown = math.log(total)
-        self.odds: dict[str, float] = {}
-        self.default = 0.0
-
-    def splitter(self):
-        return lru_cache(maxsize=100_000)(lambda name: segment(name, self.cost, self.unknown))
-
-    def learn(self, rows: list[tuple[str, int, int]], bad: int, good: int, vocabulary: int) -> None:
-        """``rows``: word, times in bad URLs, times in good ones; Laplace
-        smoothing over ``vocabulary`` words, equal priors."""
-        if not bad:
-            return
-        self.odds = {w: math.log((b + 1) / (bad + vocabulary)) - math.log((g + 1) / (good + vocabulary)) for w, b, g in rows}
-        self.default = math.log(1 / (bad + vocabulary)) - math.log(1 / (good + vocabulary))
-
-    def score(self, words: list[str]) -> float:
-        """Log odds of bad; 0 without words or without bad examples."""
-        return sum(self.odds.get(w, self.default) for w in words)
-
-
-def fit(urls: DataFrame, most: int = MODEL_WORDS) -> UrlModel:
-    """Model from all rows of ``(host, path)``."""
-    model = UrlModel(unigrams(urls, most))
-    split_model = model
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        split = split_model.splitter()
-        words, bad = [], []
-        for host, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            h, p = words_of(host, path, split)
-            words.append(h + p)
-            bad.append(not SEEDS.isdisjoint(h))
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.string())), pa.array(bad, pa.bool_())], ["words", "bad"])
-
-    counted = (urls.select("host", "path").mapInArrow(per_batch(run), "words array<string>, bad boolean")
-               .select(F.explode("words").alias("w"), "bad").groupBy("w")
-               .agg(F.sum(F.col("bad").cast("long")).alias("b"), F.sum((~F.col("bad")).cast("long")).alias("g")))
-    counted = counted.persist()
-    total = counted.agg(F.sum("b"), F.sum("g"), F.count(F.lit(1))).first()
-    rows = [tuple(r) for r in counted.orderBy(F.desc(F.col("b") + F.col("g")), "w").limit(most).collect()]
-    counted.unpersist()
-    model.learn(rows, total[0] or 0, total[1] or 0, total[2])
-    return model
+    in_hosts = (pairs.select("host").distinct()
+                .select(F.explode(F.array_distinct(F.regexp_extract_all(F.array_join(hyphenated, "."), F.lit(part), F.lit(0)))).alias("w"))
+                .withColumn("n", F.lit(1).cast("long")))
+    in_paths = pairs.select(F.explode(F.regexp_extract_all(F.lower("path"), F.lit(part), F.lit(0))).alias("w"), F.col("times").alias("n"))
+    seeds = pairs.sparkSession.createDataFrame([(w, 1) for w in sorted(SEEDS)], "w string, n long")
+    return in_hosts.unionByName(in_paths).unionByName(seeds).groupBy("w").agg(F.sum("n").alias("n"))
+
+
+def _strings(columns: str, fn) -> tuple:
+    """Arguments of ``mapInArrow``: each string gives the rows ``(string, other)``
+    that ``fn`` yields, in batches of bounded size."""
+    names = [c.split()[0] for c in columns.split(", ")]
+
+    def batch_of(a: list, b: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names)
+
+    def run(batches):
+        a, b = [], []
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                for y in fn(x):
+                    a.append(x)
+                    b.append(y)
+                    if len(a) >= 1 << 14:
+                        yield batch_of(a, b)
+                        a, b = [], []
+        if a:
+            yield batch_of(a, b)
+
+    return run, columns
+
+
+def split_labels(labels: DataFrame, counts: DataFrame) -> DataFrame:
+    """``(label, words array)``: the Viterbi split of each distinct ``label``
+    by the unigrams ``(w, n)``, of which each label meets those inside it."""
+    total = counts.agg(F.sum("n")).first()[0]
+    fits = counts.where(F.length("w") <= LONGEST)
+    lengths = sorted(r[0] for r in fits.select(F.length("w")).distinct().collect())
+
+    def pieces(label: str):
+        return {label[k:k + n] for n in lengths for k in range(len(label) - n + 1)}
+
+    inside = written(labels.mapInArrow(*_strings("label string, w string", pieces)), "pieces")
+    met = spread_join(inside, fits, "w").groupBy("label").agg(F.collect_list("w").alias("w"), F.collect_list("n").alias("n"))
+
+    def split(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = [segment(x, {u: math.log(total / k) for u, k in zip(w or [], n or [])}, math.log(total))
+                 for x, w, n in zip(*(batch.column(k).to_pylist() for k in range(3)))]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.string()))], ["label", "words"])
+
+    return (labels.join(met, "label", "left").select("label", "w", "n")
+            .mapInArrow(per_batch(split), "label string, words array<string>"))
+
+
+def host_words(hosts: DataFrame, counts: DataFrame) -> DataFrame:
+    """``(host, w)``: each word of each distinct host, as often as it stands there."""
+    parts = written(hosts.mapInArrow(*_strings("host string, label string", lambda h: (
+        "0" if is_number(x) else x for x in _LABEL.findall(h)))), "labels")
+    labels = written(parts.where("label <> '0'").select("label").distinct(), "labels")
+    split = written(split_labels(labels, counts), "split")
+    words = spread_join(parts.where("label <> '0'"), split, "label").select("host", F.explode("words").alias("w"))
+    return words.unionByName(parts.where("label = '0'").select("host", F.col("label").alias("w")))
+
+
+def path_words(paths: DataFrame) -> DataFrame:
+    """``(path, w)``: each word of each distinct path, as often as it stands there."""
+    return paths.mapInArrow(*_strings("path string, w string", lambda p: (
+        "/0" if is_number(x) else "/" + x for x in _LABEL.findall(p.lower()))))
+
+
+def word_odds(in_hosts: DataFrame, in_paths: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(w, odds)`` of every word: log odds of bad over good URLs in units of
+    ``1 / UNIT``, by Laplace smoothing over all words with equal priors; 0
+    without bad examples."""
+    bad = written(in_hosts.where(F.col("w").isin(sorted(SEEDS))).select("host").distinct().withColumn("bad", F.lit(True)), "bad")
+    of_host = written(pairs.groupBy("host").agg(F.sum("times").alias("times"))
+                      .join(bad, "host", "left").withColumn("bad", F.coalesce("bad", F.lit(False))), "hosts")
+    marked = pairs.join(bad, "host", "left_anti").withColumn("bad", F.lit(False)).unionByName(
+        spread_join(pairs, bad, "host").select(*pairs.columns, "bad"))
+    of_path = written(marked.groupBy("path").agg(*(F.sum(F.when(F.col("bad") == b, F.col("times")).otherwise(0)).alias(n)
+                                                   for n, b in (("b", True), ("g", False)))), "paths")
+    by_host = of_host.select("host", F.when(F.col("bad"), F.col("times")).otherwise(0).alias("b"),
+                             F.when(F.col("bad"), 0).otherwise(F.col("times")).alias("g"))
+    counted = written(spread_join(in_hosts, by_host, "host").select("w", "b", "g")
+                      .unionByName(spread_join(in_paths, of_path, "path").select("w", "b", "g"))
+                      .groupBy("w").agg(F.sum("b").alias("b"), F.sum("g").alias("g")), "counts")
+    n_bad, n_good, words = counted.agg(F.sum("b"), F.sum("g"), F.count(F.lit(1))).first()
+    if not n_bad:
+        return counted.select("w", F.lit(0).cast("long").alias("odds"))
+    odds = F.log((F.col("b") + 1) / (n_bad + words)) - F.log((F.col("g") + 1) / (n_good + words))
+    return written(counted.select("w", F.round(odds * UNIT).cast("long").alias("odds")), "odds")
+
+
+def scores(words: DataFrame, odds: DataFrame, every: DataFrame, key: str) -> DataFrame:
+    """``(key, <key>_score)`` of every distinct host or path; 0 without words."""
+    found = spread_join(words, odds, "w").select(key, "odds")
+    return written(found.unionByName(every.select(key, F.lit(0).cast("long").alias("odds")))
+                   .groupBy(key).agg(F.sum("odds").alias(f"{key}_score")), f"{key}-scores")
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
@@ -153,19 +194,18 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     empty one.  ``score`` is the model's log odds of bad.
     """
     host, path = host_and_path(F.coalesce(F.col(url_col), F.lit("")))
-    urls = pages.select(F.col(id_col).cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    model = fit(urls.select("host", "path"))
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        split = model.splitter()
-        scores = []
-        for h, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            a, b = words_of(h, p, split)
-            scores.append(model.score(a + b))
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], ["page_id", "host", "path", "score"])
+    urls = written(pages.select(F.col(id_col).cast("long").alias("page_id"), host.alias("host"), path.alias("path")), "urls")
+    pairs = written(urls.groupBy("host", "path").agg(F.count(F.lit(1)).alias("times")), "pairs")
+    hosts, paths = (written(pairs.select(c).distinct(), c) for c in ("host", "path"))
+    in_hosts = written(host_words(hosts, written(unigrams(pairs), "unigrams")), "host-words")
+    in_paths = written(path_words(paths), "path-words")
+    odds = word_odds(in_hosts, in_paths, pairs)
+    scored = written(spread_join(urls, scores(in_hosts, odds, hosts, "host"), "host"), "scored")
+    scored = (spread_join(scored, scores(in_paths, odds, paths, "path"), "path")
+              .select("page_id", "host", "path", ((F.col("host_score") + F.col("path_score")) / UNIT).alias("score")))
 
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    return (urls.mapInArrow(per_batch(run), "page_id long, host string, path string, score double")
+    return (scored
             .withColumn("rule", rule)
             .withColumn("verdict", F.coalesce(verdict, F.when(F.col("score") > 0, "block").otherwise("allow"))))
 

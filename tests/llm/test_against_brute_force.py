@@ -1,8 +1,10 @@
 """Operators against plain versions on the small tables."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,7 +12,7 @@ import sentencepiece
 import xxhash
 from tokenizers import Tokenizer
 
-from tessera.llm import components, front_coding, html_extract, piece_codec, quality, queries, simhash, spotsigs, suffix_dedup, token_counts
+from tessera.llm import components, front_coding, html_extract, piece_codec, quality, queries, simhash, spotsigs, suffix_dedup, token_counts, url_filter
 from tessera.llm.common import read_table, share_package
 
 SF = "/root/testdata/sf0.001"
@@ -231,3 +233,39 @@ def test_near_copies_and_shared_passages_of_a_host_are_kept(spark):
     assert len(got) == len(rows)
     assert [got[k] for k in range(n)] == own
     assert [got[100 + k] for k in range(2)] == [f"{t}\n{line}" for t in two]
+
+
+def slow_url_scores(urls):
+    """Scores of ``(host, path)`` with every word in one dictionary."""
+    uni = Counter(url_filter.SEEDS)
+    for h in {h for h, _ in urls}:
+        uni.update({w for x in h.split(".") if "-" in x for w in re.findall("[a-z]{2,}", x)})
+    for _, p in urls:
+        uni.update(re.findall("[a-z]{2,}", p.lower()))
+    total = sum(uni.values())
+    cost = {w: math.log(total / n) for w, n in uni.items()}
+    words = []
+    for h, p in urls:
+        in_host = [w for x in url_filter._LABEL.findall(h) for w in (["0"] if x.isdigit() else url_filter.segment(x, cost, math.log(total)))]
+        words.append((in_host + ["/0" if w.isdigit() else "/" + w for w in url_filter._LABEL.findall(p.lower())], not url_filter.SEEDS.isdisjoint(in_host)))
+    n = {True: Counter(), False: Counter()}
+    for w, bad in words:
+        n[bad].update(w)
+    b, g = (n[x].total() + len(n[True] | n[False]) for x in (True, False))
+    return [sum(math.log((n[True][x] + 1) / b) - math.log((n[False][x] + 1) / g) for x in w) if n[True] else 0.0 for w, _ in words]
+
+
+def test_url_scores_keep_every_word(spark):
+    rng = random.Random(5)
+    rows = [("blog-news.example.com", "/a/b"), ("www.casinobet.example", "/win/2020"), ("my-poker.example", "/win"), ("é-ü.example", "/Ü/x"), ("", ""), ("12.34", "/")] * 3
+    rows += [(f"h{rng.randrange(60)}.blognewswin.example", "/" + "/".join("w" + "".join(rng.choices("abcdefghij", k=6)) for _ in range(60))) for _ in range(4000)]
+    rows += rows[30:60]
+    assert len({w for _, p in rows for w in p.split("/")}) > 200_000  # more words than one dictionary once held
+    df = spark.createDataFrame([(k, f"http://{h}{p}") for k, (h, p) in enumerate(rows)], "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.judge(df, rules=()).collect()}
+    want = slow_url_scores(rows)
+    assert len(got) == len(rows)
+    for k, x in enumerate(want):
+        assert abs(got[k].score - x) < 1e-6 and (got[k].host, got[k].path) == rows[k]
+        assert got[k].verdict == ("block" if x > 0 else "allow")
+    assert max(want) > 0 > min(want)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .buckets import Links, compare_buckets, pairs_in_groups
-from .common import per_batch, written
+from .common import per_batch, spread_join, written
 from .components import connected_components
 
 COSINE = 0.95
@@ -117,8 +117,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     ``n_links`` counts the other rows linked directly (copies each count),
     ``component`` is the smallest id reachable.  Vectors that are null, empty,
     zero or hold a null or non-finite component link with nothing; vectors of
-    different lengths never link; rows may repeat (equal rows link); other
-    columns are ignored.
+    different lengths never link; rows may repeat (equal rows link); a row
+    with a null id counts like any other, and ``component`` is null only where no
+    id is reachable; other columns are ignored.
     """
     v = F.col("v")
     usable = F.coalesce(v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
@@ -131,8 +132,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["id", "vector"])
 
     good = written(rows.where(usable).mapInArrow(per_batch(pack), "id long, vector binary"), "vectors")
-    distinct = written(good.groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("times"))
-                       .where("id is not null").withColumn("dim", (F.length("vector") / 8).cast("int")), "distinct")
+    distinct = written(good.groupBy("vector").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("times"))
+                       .withColumn("id", F.monotonically_increasing_id()).withColumn("dim", (F.length("vector") / 8).cast("int")), "distinct")
     widths = {r.dim: bucket_width(r.n, r.dim) for r in distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def index(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -153,9 +154,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     found = written(compare_buckets(keyed, _compare(least), "a long, b long, n long"), "links")
     comps = connected_components(found)
     counts = found.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
-    classes = written(distinct.join(counts, "id", "left").join(comps.withColumnRenamed("node", "id"), "id", "left")
-                      .select("vector", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"),
-                              F.coalesce("component", "id").alias("component")), "classes")
+    # inside, each distinct vector has a key of its own; ids may be null
+    grouped = written(distinct.join(counts, "id", "left").join(comps.withColumnRenamed("node", "id"), "id", "left")
+                      .select("vector", "first", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"),
+                              F.coalesce("component", "id").alias("group")), "groups")
+    least_id = written(grouped.groupBy("group").agg(F.min("first").alias("component")), "least")
+    classes = written(spread_join(grouped, least_id, "group").select("vector", "n_links", "component"), "classes")
     linked = good.join(classes, "vector").select("id", "n_links", "component")
     alone = rows.where(~usable).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     return linked.unionByName(alone)

@@ -80,3 +80,11 @@ def test_vectors(spark):
     alone = [(i, 0, i) for i in (1, 2, 3, 4, 5, 6, 10, 11)]
     assert got == sorted(alone + [(i, 5, 7) for i in (7, 7, 8, 9, 12, 13)])
     assert embedding_dedup.op3(df.where("false")).collect() == []
+
+
+def test_vectors_without_an_id(spark):
+    share_package(spark)
+    rows = [(None, [0.0, 1.0]), (None, [0.0, 1.0]), (1, [1.0, 0.0]), (None, [1.0, 0.001]), (0, [-1.0, 0.0]), (None, None)]
+    got = embedding_dedup.op3(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == [
+        ("0", 0, "0"), ("1", 1, "1"), ("None", 0, "None"), ("None", 1, "1"), ("None", 1, "None"), ("None", 1, "None")]

@@ -28,7 +28,6 @@ from .common import per_batch, spread_join, written
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 SEEDS = frozenset("""ads adserver adult bet bets betting casino escort gambling loan loans lottery malware payday pharma
 phishing pills poker porn sex spam track tracker viagra warez xxx""".split())
-LONGEST = 24
 UNIT = 1 << 36
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -56,12 +55,18 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 def segment(name: str, cost: dict[str, float], unknown: float) -> list[str]:
     """Cheapest split of a name into words; a word that is not known costs
-    ``unknown`` and more for each character.  Linear in the name's length."""
+    ``unknown`` and more for each character, which is over any known word's
+    cost.  Linear in the name's length times that of the longest known word."""
+    longest = max(map(len, cost), default=0)
     best = [0.0] + [math.inf] * len(name)
     cut = [0] * (len(name) + 1)
+    start_of_unknown = 0  # the cheapest start of an unknown word that is still open
     for end in range(1, len(name) + 1):
-        for start in range(max(0, end - LONGEST), end):
-            c = best[start] + cost.get(name[start:end], unknown + 2.3 * (end - start))
+        if best[end - 1] - 2.3 * (end - 1) < best[start_of_unknown] - 2.3 * start_of_unknown:
+            start_of_unknown = end - 1
+        best[end], cut[end] = best[start_of_unknown] + unknown + 2.3 * (end - start_of_unknown), start_of_unknown
+        for start in range(max(0, end - longest), end):
+            c = best[start] + cost.get(name[start:end], math.inf)
             if c < best[end]:
                 best[end], cut[end] = c, start
     out, at = [], len(name)
@@ -121,14 +126,16 @@ def split_labels(labels: DataFrame, counts: DataFrame) -> DataFrame:
     """``(label, words array)``: the Viterbi split of each distinct ``label``
     by the unigrams ``(w, n)``, of which each label meets those inside it."""
     total = counts.agg(F.sum("n")).first()[0]
-    fits = counts.where(F.length("w") <= LONGEST)
-    lengths = sorted(r[0] for r in fits.select(F.length("w")).distinct().collect())
+    lengths = sorted(r[0] for r in counts.select(F.length("w")).distinct().collect())
 
     def pieces(label: str):
-        return {label[k:k + n] for n in lengths for k in range(len(label) - n + 1)}
+        for n in lengths:
+            if n > len(label):
+                break
+            yield from {label[k:k + n] for k in range(len(label) - n + 1)}
 
     inside = written(labels.mapInArrow(*_strings("label string, w string", pieces)), "pieces")
-    met = spread_join(inside, fits, "w").groupBy("label").agg(F.collect_list("w").alias("w"), F.collect_list("n").alias("n"))
+    met = spread_join(inside, counts, "w").groupBy("label").agg(F.collect_list("w").alias("w"), F.collect_list("n").alias("n"))
 
     def split(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = [segment(x, {u: math.log(total / k) for u, k in zip(w or [], n or [])}, math.log(total))

@@ -5,6 +5,7 @@ import math
 import random
 import re
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -244,9 +245,10 @@ def slow_url_scores(urls):
         uni.update(re.findall("[a-z]{2,}", p.lower()))
     total = sum(uni.values())
     cost = {w: math.log(total / n) for w, n in uni.items()}
+    split = lru_cache(maxsize=None)(lambda x: url_filter.segment(x, cost, math.log(total)))
     words = []
     for h, p in urls:
-        in_host = [w for x in url_filter._LABEL.findall(h) for w in (["0"] if x.isdigit() else url_filter.segment(x, cost, math.log(total)))]
+        in_host = [w for x in url_filter._LABEL.findall(h) for w in (["0"] if x.isdigit() else split(x))]
         words.append((in_host + ["/0" if w.isdigit() else "/" + w for w in url_filter._LABEL.findall(p.lower())], not url_filter.SEEDS.isdisjoint(in_host)))
     n = {True: Counter(), False: Counter()}
     for w, bad in words:
@@ -269,3 +271,20 @@ def test_url_scores_keep_every_word(spark):
         assert abs(got[k].score - x) < 1e-6 and (got[k].host, got[k].path) == rows[k]
         assert got[k].verdict == ("block" if x > 0 else "allow")
     assert max(want) > 0 > min(want)
+
+
+def test_known_words_of_any_length_stay_whole(spark):
+    rng = random.Random(12)
+    long = "pneumonoultramicroscopicsilicovolcanoconiosis"
+    counts = spark.createDataFrame([(long, 4), ("blog", 9), ("my", 9)], "w string, n long")
+    labels = spark.createDataFrame([("my" + long + "blog",), (long,), ("q" * 40,)], "label string")
+    got = {r.label: r.words for r in url_filter.split_labels(labels, counts).collect()}
+    assert got == {"my" + long + "blog": ["my", long, "blog"], long: [long], "q" * 40: ["q" * 40]}
+    for _ in range(300):  # every split of a name, against the cheapest one
+        name = "".join(rng.choices("ab", k=rng.randint(1, 9)))
+        cost = {"".join(rng.choices("ab", k=rng.randint(1, 5))): rng.uniform(1, 6) for _ in range(6)}
+        price = lambda ws: sum(cost.get(w, 6 + 2.3 * len(w)) for w in ws)
+        splits = [[]]
+        for c in name:
+            splits = [s + [c] for s in splits] + [s[:-1] + [s[-1] + c] for s in splits if s]
+        assert abs(price(url_filter.segment(name, cost, 6)) - min(map(price, splits))) < 1e-9

@@ -72,6 +72,11 @@ def text_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def read_blob(blob: bytes, kind) -> np.ndarray:
+    """A packed column of numbers."""
+    return np.frombuffer(blob, kind)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 

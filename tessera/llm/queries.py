@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (embedding_dedup, html_extract, mixing, piece_codec, quality, simhash, spotsigs, suffix_dedup,
-               token_counts, url_filter)
+from . import (embedding_dedup, html_extract, lexical_search, license_scan, merkle, mixing, piece_codec, quality,
+               simhash, spotsigs, suffix_dedup, token_counts, url_filter)
 from .common import read_table, share_package
 
 
@@ -26,6 +26,8 @@ TABLES = {
     "op8_piece_codec": ("documents", piece_codec.op8),
     "op9_spotsigs": ("documents", spotsigs.op9),
     "op10_simhash": ("documents", simhash.op10),
+    "op11_merkle_manifest": ("documents", merkle.op11),
+    "op13_license_scan": ("documents", license_scan.op13),
 }
 
 
@@ -35,9 +37,16 @@ def op5_quality(spark, sf_dir):
     return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op12_lexical_search(spark, sf_dir):
+    """The 50 best documents of every benchmark item, by weighted terms."""
+    share_package(spark)
+    return lexical_search.op12(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
-    return {name: _over(name, table, fn) for name, (table, fn) in TABLES.items()} | {"op5_quality": op5_quality}
+    own = {"op5_quality": op5_quality, "op12_lexical_search": op12_lexical_search}
+    return {name: _over(name, table, fn) for name, (table, fn) in TABLES.items()} | own
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mixing": mixing.ORACLE}
+    return {"op6_mixing": mixing.ORACLE, "op12_lexical_search": lexical_search.ORACLE}

@@ -12,8 +12,11 @@ import math
 import time
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..plans.grid import COL, ROW, SparseGrid
 from ..plans.iterate import Materializer
 from ..plans.joins import broadcast_if_bounded
 
@@ -135,54 +138,183 @@ class MFFit:
                           "gamma double, elapsed_s double")
 
 
+#: Fold number of a model that is trained on every rating.
+NO_FOLD = -1
+KINDS = {"user_id": ROW, "item_id": COL}
+
+
+class GridModels:
+    """Models of several folds, trained together on ratings in a grid.
+
+    Model ``k`` learns from the ratings of all other folds and is tested on
+    those of fold ``k``; model ``NO_FOLD`` learns from all and is tested on
+    them too.  Its state is one table ``(kind, model, id, mask, f0 ..)`` of user
+    and item profiles.  A step sends the profiles to the grid's cells, which
+    answer with gradient sums per model, user and item and with the errors of
+    the profiles they got: the ratings are read once per step, and the number
+    of jobs does not depend on the number of models.
+    """
+
+    def __init__(self, ratings: DataFrame, models: list[int], d: int, lam: float, mu: float, seed: int,
+                 side: int | None = None, hot_entries: int | None = None):
+        self.spark, self.d, self.reg = ratings.sparkSession, d, {ROW: lam, COL: mu}
+        self.mat = Materializer(self.spark)
+        # equal ratings are one entry with a count, so a repeated one is no hot pair
+        entries = self.mat(ratings.groupBy(F.col("user_id").cast("long").alias("row"), F.col("item_id").cast("long").alias("col"),
+                                           F.col("rating").cast("double").alias("rating"), F.col("fold").cast("int").alias("fold"))
+                           .agg(F.count(F.lit(1)).alias("times")).where("row is not null and col is not null and rating is not null"))
+        self.grid = SparseGrid(entries, entries.count(), side, hot_entries)
+        self.mat.release_all_but()
+        self.state = self.mat(self._start(ROW, models, seed).unionByName(self._start(COL, models, seed + 1)))
+
+    def _start(self, kind: int, models: list[int], salt: int) -> DataFrame:
+        """First profiles: each model has those with a rating outside its fold."""
+        ids = self.grid.masks(kind, F.min("fold").alias("_lo"), F.max("fold").alias("_hi"))
+        per = ids.withColumn("model", F.explode(F.array(*map(F.lit, models)))).where(
+            (F.col("model") != F.col("_lo")) | (F.col("model") != F.col("_hi")))
+        return per.select(F.lit(kind).alias("kind"), "model", "id", "mask",
+                          *[hashed_normal(F.col("id"), k, salt).alias(c) for k, c in enumerate(fcols(self.d))])
+
+    def norms(self) -> dict[int, float]:
+        """``lam sum |u|^2 + mu sum |v|^2`` per model."""
+        f = fcols(self.d)
+        weight = F.when(F.col("kind") == ROW, F.lit(float(self.reg[ROW]))).otherwise(F.lit(float(self.reg[COL])))
+        rows = self.state.groupBy("model").agg(F.sum(weight * _dot(f, f)).alias("norm")).collect()  # one row a model
+        return {r["model"]: r["norm"] for r in rows}
+
+    def step(self, gamma: dict[int, float]) -> dict[int, tuple[float, int, float, int]]:
+        """Update the models in ``gamma`` by their gains; returns each one's
+        squared error and count on its training and on its test ratings, both
+        of the profiles before the update."""
+        f, g = fcols(self.d), fcols(self.d, "g")
+        live = self.state.where(F.col("model").isin(list(gamma)))
+        found = self.grid.answer(self.grid.sent(live), cell_step(sorted(gamma), self.d), _answer_schema(self.d))
+        none = [F.lit(None).cast("double").alias(c) for c in g]
+        errors = [F.lit(None).cast(kind).alias(c) for c, kind in ERRORS.items()]
+        own = self.state.select("kind", "model", "id", "mask", *f, *none, *errors)
+        back = found.select("kind", "model", "id", F.lit(None).cast("long").alias("mask"),
+                            *[F.lit(None).cast("double").alias(c) for c in f], *g, *ERRORS)
+        summed = own.unionByName(back).groupBy("kind", "model", "id").agg(
+            F.max("mask").alias("mask"), *[F.max(c).alias(c) for c in f], *[F.sum(c).alias(c) for c in (*g, *ERRORS)])
+        gain = F.coalesce(*[F.when(F.col("model") == m, F.lit(v)) for m, v in gamma.items()], F.lit(0.0))
+        twice = F.when(F.col("kind") == ROW, F.lit(2.0 * self.reg[ROW])).otherwise(F.lit(2.0 * self.reg[COL]))
+        moved = [(F.col(a) - gain * (F.coalesce(F.col(b), F.lit(0.0)) + twice * F.col(a))).alias(a) for a, b in zip(f, g)]
+        new = self.mat(summed.select("kind", "model", "id", "mask", *moved, *ERRORS))
+        rows = new.where(F.col("kind") == ERROR_ROWS).collect()  # one row a model
+        self.state = new.where(F.col("kind") != ERROR_ROWS).select("kind", "model", "id", "mask", *f)
+        self.mat.release_all_but(new)
+        out = {m: (0.0, 0, 0.0, 0) for m in gamma}
+        return out | {r["model"]: tuple(r[c] for c in ERRORS) for r in rows}
+
+    def profiles(self, key: str, model: int = NO_FOLD) -> DataFrame:
+        return (self.state.where((F.col("kind") == KINDS[key]) & (F.col("model") == model))
+                .select(F.col("id").alias(key), *fcols(self.d)))
+
+    def close(self) -> None:
+        self.grid.close()
+
+
+ERROR_ROWS = 2
+ERRORS = {"se": "double", "n": "long", "test_se": "double", "test_n": "long"}
+
+
+def _answer_schema(d: int) -> str:
+    return ", ".join(["kind int", "model int", "id long", *(f"{c} double" for c in fcols(d, "g")),
+                      *(f"{c} {kind}" for c, kind in ERRORS.items())])
+
+
+def cell_step(models: list[int], d: int):
+    """What one cell answers: per model, gradient sums of its users and items, and a row of errors."""
+    names = ["kind", "model", "id", *fcols(d, "g"), *ERRORS]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.float64()] * d, pa.float64(), pa.int64(), pa.float64(), pa.int64()]
+
+    def part(kind: int, model: int, ids: np.ndarray, sums: list, errors: tuple) -> list[pa.Array]:
+        n = len(ids)
+        cols = [np.full(n, kind, np.int32), np.full(n, model, np.int32), ids, *sums]
+        return [pa.array(c, k) for c, k in zip(cols, kinds)] + [pa.array([e] * n, k) for e, k in zip(errors, kinds[-4:])]
+
+    def run(entries: pa.Table, values: pa.Table) -> pa.Table:
+        parts = []
+        if entries.num_rows and values.num_rows:
+            row, col, rating, fold, times = (entries[c].to_numpy() for c in ("row", "col", "rating", "fold", "times"))
+            kind, of, ids = (values[c].to_numpy() for c in ("kind", "model", "id"))
+            f = np.stack([values[c].to_numpy() for c in fcols(d)], axis=1)
+            for model in models:
+                sides = [_lookup(ids, f, (kind == k) & (of == model), keys) for k, keys in ((ROW, row), (COL, col))]
+                (users, u, at_u), (items, v, at_v) = sides
+                known = (at_u >= 0) & (at_v >= 0)
+                at_u, at_v = at_u[known], at_v[known]
+                pu, pv = u[at_u], v[at_v]
+                delta = np.einsum("ij,ij->i", pu, pv) - rating[known]
+                count, held = times[known], fold[known] == model
+                square = count * delta * delta
+                weight = np.where(held, 0.0, 2.0 * count * delta)
+                parts.append(part(ROW, model, users, [np.bincount(at_u, weight * pv[:, k], len(users)) for k in range(d)], (None,) * 4))
+                parts.append(part(COL, model, items, [np.bincount(at_v, weight * pu[:, k], len(items)) for k in range(d)], (None,) * 4))
+                tested = held if model != NO_FOLD else np.ones(len(held), bool)
+                errors = (square[~held].sum(), int(count[~held].sum()), square[tested].sum(), int(count[tested].sum()))
+                parts.append(part(ERROR_ROWS, model, np.zeros(1, np.int64), [np.zeros(1)] * d, errors))
+        if not parts:
+            return pa.Table.from_arrays([pa.array([], k) for k in kinds], names)
+        return pa.concat_tables(pa.Table.from_arrays(p, names) for p in parts)
+
+    return run
+
+
+def _lookup(ids: np.ndarray, f: np.ndarray, mine: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(ids, profiles, place of each key or -1)`` of the profiles chosen by ``mine``."""
+    ids, f = ids[mine], f[mine]
+    order = np.argsort(ids)
+    ids, f = ids[order], f[order]
+    if not len(ids):
+        return ids, f, np.full(len(keys), -1)
+    at = np.minimum(np.searchsorted(ids, keys), len(ids) - 1)
+    return ids, f, np.where(ids[at] == keys, at, -1)
+
+
+def train_models(ratings: DataFrame, models: list[int], d: int, gain: float, power: float, lam: float, mu: float,
+                 max_iter: int, eps: float, seed: int, side: int | None = None,
+                 hot_entries: int | None = None) -> tuple[GridModels, dict[int, list]]:
+    """Train ``models`` on ``(user_id, item_id, rating, fold)``; their state, still open, and a history each.
+
+    Iteration i: objective and test RMSE are measured on the current profiles,
+    then users and items are updated by the gain ``gain / i^power``.  A model
+    stops after ``max_iter`` iterations or when its objective changes by at
+    most ``eps``; the others go on.
+    """
+    fit = GridModels(ratings, models, d, lam, mu, seed, side, hot_entries)
+    history: dict[int, list] = {m: [] for m in models}
+    objective = {m: 1e99 for m in models}
+    active, i, start = list(models), 0, time.time()
+    while active and i < max_iter:
+        i += 1
+        norms, gamma = fit.norms(), gain_at(i, gain, power)
+        for m, (se, _, test_se, test_n) in fit.step({m: gamma for m in active}).items():
+            old, objective[m] = objective[m], se + norms.get(m, 0.0)
+            history[m].append((i, objective[m], math.sqrt(test_se / test_n) if test_n else None, test_n, gamma, time.time() - start))
+            if abs(objective[m] - old) <= eps:
+                active.remove(m)
+    return fit, history
+
+
 def train_mf(train: DataFrame, d: int = 10, gain: float = 0.001, power: float = 0.2,
              lam: float = 1.0, mu: float = 1.0, max_iter: int = 20, eps: float = 1e-99,
-             seed: int = 1234567, test: DataFrame | None = None) -> MFFit:
-    """Gradient descent from hashed-normal profiles.
-
-    Iteration i: join ratings with both profiles (persisted: read by both
-    updates), objective and test RMSE measured on the current profiles,
-    gain ``gain / i^power``, new U and V from the *same* joined frame; U and
-    V are checkpointed.  Stops after ``max_iter`` iterations or when the
-    objective changes by at most ``eps``.
+             seed: int = 1234567, test: DataFrame | None = None, side: int | None = None,
+             hot_entries: int | None = None) -> MFFit:
+    """Gradient descent from hashed-normal profiles (see ``train_models``).
+
+    ``test`` ratings, if given, are those that the RMSE is measured on; they
+    lie in the same grid, as the one fold that the model does not learn from.
+    Ratings with a null id or value are left out.  ``side`` and ``hot_entries``
+    are those of the grid.
     """
-    spark = train.sparkSession
-    mat = Materializer(spark)
-    train = mat(train.select("user_id", "item_id", F.col("rating").cast("double")))
-    same_test = test is None
-    test = train if same_test else mat(test.select("user_id", "item_id", F.col("rating").cast("double")))
-    U = mat(init_user_profiles(train, d, seed))
-    V = mat(init_item_profiles(train, d, seed))
-    n_users, n_items = U.count(), V.count()
-    history = []
-    obj, change, i = 1e99, 1e99, 0
-    start = time.time()
-    while i < max_iter and change > eps:
-        i += 1
-        joined = predict_ratings(train, U, V, d, n_users, n_items).persist()
-        # one action: squared error and matched count over the joined ratings
-        # plus both profile norms as scalar subqueries
-        norms = (U.agg(profile_norm(U, d, lam)).scalar()
-                 + V.agg(profile_norm(V, d, mu)).scalar())
-        row = joined.agg(F.coalesce(F.sum(F.col("delta") * F.col("delta")), F.lit(0.0)).alias("se"),
-                         F.count(F.lit(1)).alias("n")).select("se", "n", norms.alias("norms")).first()
-        old, obj = obj, row["se"] + row["norms"]
-        change = abs(obj - old)
-        if same_test:  # "test" = training ratings: RMSE from the same aggregate
-            se_t, n_matched = row["se"], row["n"]
-        else:
-            t = predict_ratings(test, U, V, d, n_users, n_items).agg(
-                F.sum(F.col("delta") * F.col("delta")).alias("se"), F.count(F.lit(1)).alias("n")).first()
-            se_t, n_matched = t["se"], t["n"]
-        test_rmse = math.sqrt(se_t / n_matched) if n_matched else None
-        gamma = gain_at(i, gain, power)
-        new_U = mat(update_users(joined, gamma, lam, d))
-        new_V = mat(update_items(joined, gamma, mu, d))
-        joined.unpersist()
-        history.append((i, obj, test_rmse, n_matched, gamma, time.time() - start))
-        mat.release_all_but(train, test, new_U, new_V)
-        U, V = new_U, new_V  # same ids as before: every profile has a rating
-    return MFFit(U, V, history)
+    model = NO_FOLD if test is None else 0
+    ratings = train.select("user_id", "item_id", "rating", F.lit(1).alias("fold"))
+    if test is not None:
+        ratings = ratings.unionByName(test.select("user_id", "item_id", "rating", F.lit(0).alias("fold")))
+    fit, history = train_models(ratings, [model], d, gain, power, lam, mu, max_iter, eps, seed, side, hot_entries)
+    fit.close()
+    return MFFit(fit.profiles("user_id", model), fit.profiles("item_id", model), history[model])
 
 
 @dataclass
@@ -199,18 +331,20 @@ class CVResult:
         return spark.createDataFrame(rows, "fold int, rmse double, n_matched long, n_test long, cv_rmse double")
 
 
-def cross_validate(ratings_with_folds: DataFrame, k: int, **train_args) -> CVResult:
+def cross_validate(ratings_with_folds: DataFrame, k: int, d: int = 10, gain: float = 0.001, power: float = 0.2,
+                   lam: float = 1.0, mu: float = 1.0, max_iter: int = 20, eps: float = 1e-99, seed: int = 1234567,
+                   side: int | None = None, hot_entries: int | None = None) -> CVResult:
     """Leave-one-fold-out: train on the other folds, report the test RMSE of
-    the last iteration (measured before its update, as in the reference)."""
-    folds = []
-    for f in range(k):
-        train = ratings_with_folds.where(F.col("fold") != f)
-        test = ratings_with_folds.where(F.col("fold") == f)
-        fit = train_mf(train, test=test, **train_args)
-        last = fit.history[-1]
-        n_test = test.count()
-        folds.append((f, last[2], last[3], n_test))
-    return CVResult(folds)
+    the last iteration (measured before its update, as in the reference).
+
+    All folds are trained at once: the ratings are dealt to the grid once and
+    read once per iteration, whatever ``k`` is.
+    """
+    ratings = ratings_with_folds.select("user_id", "item_id", "rating", "fold")
+    fit, history = train_models(ratings, list(range(k)), d, gain, power, lam, mu, max_iter, eps, seed, side, hot_entries)
+    sizes = {r["fold"]: r["n"] for r in fit.grid.entries.groupBy("fold").agg(F.sum("times").alias("n")).collect()}  # one row a fold
+    fit.close()
+    return CVResult([(f, *(history[f][-1][2:4] if history[f] else (None, 0)), sizes.get(f, 0)) for f in range(k)])
 
 
 def fold_summary(ratings_with_folds: DataFrame) -> DataFrame:

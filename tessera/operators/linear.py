@@ -3,33 +3,48 @@
 Objective ``F(b) = 1/n * sum (y - <x, b>)^2 + lam * |b|^2`` (no intercept),
 minimised by gradient descent with backtracking line search.
 
-For up to ``GRAM_MAX_FEATURES`` features one aggregate pass collects the
-sufficient statistics (n, X'X, X'y, y'y); every later step (objective,
-gradient, line search, the whole lambda sweep) is exact arithmetic on that
-d x d summary, so training costs one Spark job however many iterations run.
-For wider data each iteration runs two aggregate passes instead (gradient,
-then the three sums that make the line-search objective a quadratic in t).
+One pass collects the sufficient statistics (n, X'X, X'y, y'y), whatever the
+number of features; every later step (objective, gradient, line search, the
+whole lambda sweep) is exact arithmetic on that d x d summary, so training costs
+one Spark job however many iterations run.  The summary is made of long-form
+cells: tasks multiply blocks of columns of their rows (``gram_cells``), and the
+cells are summed by key.  ``train_ridge_passes`` is there for data so wide that
+the driver cannot hold d x d numbers: two aggregate passes per iteration.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-GRAM_MAX_FEATURES = 32
+from ..session import share_code
+
+#: Columns of one block of the cross product.
+BLOCK = 64
+#: Bytes of cells that a task sums up at a time; wider data is read once per slab of that size.
+SLAB_BYTES = 256 << 20
+#: Columns up to which the products are columns of one generated aggregate,
+#: which needs no Python workers; the cells are the same.
+GENERATED = 4
 LINE_SEARCH_A = 0.2
 LINE_SEARCH_B = 0.6
 
 
+def _sum(terms: list[Column]) -> Column:
+    """Sum as a balanced tree: hundreds of terms stay shallow."""
+    while len(terms) > 1:
+        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
 def predict(x_cols: list[str], beta) -> Column:
     """``<x, beta>`` as a Column (beta is a short driver-side vector)."""
-    terms = [F.col(c) * F.lit(float(b)) for c, b in zip(x_cols, beta)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+    return _sum([F.col(c) * F.lit(float(b)) for c, b in zip(x_cols, beta)])
 
 
 def squared_error(x_cols, y: str, beta) -> Column:
@@ -45,10 +60,10 @@ def ridge_objective(df: DataFrame, x_cols, y: str, beta, lam: float) -> DataFram
 
 def ridge_gradient(df: DataFrame, x_cols, y: str, beta, lam: float) -> DataFrame:
     """``(idx, gradient)``: mean of -2 (y - <x,b>) x_i, plus 2 lam b_i."""
-    r = F.col(y) - predict(x_cols, beta)
+    r = F.col("_r")  # computed once a row, below the aggregate
     aggs = [(F.avg(F.lit(-2.0) * r * F.col(c)) + F.lit(2.0 * lam * float(b))).alias(f"g{i}")
             for i, (c, b) in enumerate(zip(x_cols, beta))]
-    wide = df.agg(*aggs)
+    wide = df.select(*x_cols, (F.col(y) - predict(x_cols, beta)).alias("_r")).agg(*aggs)
     stack = ", ".join(f"{i}, g{i}" for i in range(len(x_cols)))
     return wide.selectExpr(f"stack({len(x_cols)}, {stack}) AS (idx, gradient)")
 
@@ -71,6 +86,74 @@ def moments(df: DataFrame, x_cols, y: str, by: tuple[str, ...] = ()) -> DataFram
     return df.groupBy(*by).agg(*aggs)
 
 
+def gram_cells(df: DataFrame, x_cols, y: str, by: str | None = None, block: int = BLOCK,
+               slab_bytes: int = SLAB_BYTES) -> DataFrame:
+    """Cells of the cross product of ``[x..., y]``: ``(by?, i_block, j_block,
+    i, j, s, n)`` for i <= j, with ``s = sum z_i z_j`` and ``n`` the rows.
+
+    Tasks multiply column blocks of their Arrow batches, add up and give one
+    row per cell; those rows are summed by key, so only cells move.  Columns
+    are taken in slabs of ``slab_bytes`` of cells, each a pass over the data.
+    A null counts as 0 in the products and its row in ``n``, as in ``moments``.
+    """
+    cols = [*x_cols, y]
+    d = len(cols)
+    keys = [by] if by else []
+    if d <= GENERATED:
+        row = moments(df, x_cols, y, by=tuple(keys))
+        cells = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"m__{a}__{cols[j]}").alias("s"))
+                 for i, a in enumerate(cols) for j in range(i, d)]
+        flat = row.select(*keys, "n", F.explode(F.array(*cells)).alias("c"))
+        return flat.select(*keys, *[F.floor(F.col(f"c.{c}") / block).cast("int").alias(f"{c}_block") for c in "ij"], "c.i", "c.j", "c.s", "n")
+
+    share_code(df.sparkSession)
+    rows = df.select(*keys, *[F.col(c).cast("double").alias(f"z{k}") for k, c in enumerate(cols)])
+    key_type = f"{by} {df.schema[by].dataType.simpleString()}, " if by else ""
+    schema = f"{key_type}i_block int, j_block int, i int, j int, s double, n long"
+    blocks = list(range(0, d, block))
+    per_slab = max(1, slab_bytes // (8 * d * block))
+    slabs = [blocks[k:k + per_slab] for k in range(0, len(blocks), per_slab)]
+    parts = [rows.mapInArrow(_products(slab, d, block, by is not None), schema) for slab in slabs]
+    cells = parts[0]
+    for more in parts[1:]:
+        cells = cells.unionByName(more)
+    return cells.groupBy(*keys, "i_block", "j_block", "i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+
+
+def _products(slab: list[int], d: int, block: int, keyed: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+        kind = None
+        for batch in batches:
+            first = batch.column(0) if keyed else None
+            kind = first.type if keyed else None
+            for key in (pc.unique(first).to_pylist() if keyed else [None]):
+                part = batch
+                if keyed:
+                    part = batch.filter(pc.is_null(first) if key is None else pc.fill_null(pc.equal(first, pa.scalar(key, kind)), False))
+                z = np.stack([c.fill_null(0.0).to_numpy() for c in part.columns[int(keyed):]], axis=1)
+                held = sums.setdefault(key, {"n": 0})
+                held["n"] += len(z)
+                for at in slab:
+                    for other in range(at, d, block):
+                        product = z[:, at:at + block].T @ z[:, other:other + block]
+                        held[at, other] = held[at, other] + product if (at, other) in held else product
+        for key, held in sums.items():
+            n = held.pop("n")
+            for (at, other), cells in held.items():
+                i, j = (x.ravel() for x in np.indices(cells.shape))
+                keep = at + i <= other + j
+                i, j = (at + i)[keep], (other + j)[keep]
+                cols = [pa.array(x.astype(np.int32)) for x in (i // block, j // block, i, j)]
+                cols += [pa.array(cells.ravel()[keep]), pa.array(np.full(len(i), n, np.int64))]
+                names = ["i_block", "j_block", "i", "j", "s", "n"]
+                if keyed:
+                    cols, names = [pa.array([key] * len(i), kind), *cols], ["key", *names]
+                yield pa.RecordBatch.from_arrays(cols, names)
+
+    return run
+
+
 @dataclass
 class Gram:
     """Second moments divided by n: ``xx = X'X/n``, ``xy = X'y/n``, ``yy = y'y/n``."""
@@ -80,16 +163,14 @@ class Gram:
     yy: float
 
     @classmethod
-    def from_row(cls, row, x_cols, y: str) -> "Gram":
-        d = len(x_cols)
-        n = int(row["n"])
-        xx = np.zeros((d, d))
-        xy = np.zeros(d)
-        for i, a in enumerate(x_cols):
-            for j in range(i, d):
-                xx[i, j] = xx[j, i] = row[f"m__{a}__{x_cols[j]}"] / n
-            xy[i] = row[f"m__{a}__{y}"] / n
-        return cls(n, xx, xy, row[f"m__{y}__{y}"] / n)
+    def from_cells(cls, cells, d: int) -> "Gram":
+        """From the rows of ``gram_cells`` over ``d`` features."""
+        z = np.zeros((d + 1, d + 1))
+        n = 0
+        for r in cells:
+            n = int(r["n"])
+            z[r["i"], r["j"]] = z[r["j"], r["i"]] = (r["s"] or 0.0) / n
+        return cls(n, z[:d, :d], z[:d, d], float(z[d, d]))
 
     def objective(self, beta, lam: float) -> float:
         beta = np.asarray(beta, float)
@@ -101,7 +182,8 @@ class Gram:
 
 
 def gram(df: DataFrame, x_cols, y: str) -> Gram:
-    return Gram.from_row(moments(df, x_cols, y).first(), x_cols, y)
+    """Collects the d x d summary, whose size does not depend on the rows."""
+    return Gram.from_cells(gram_cells(df, x_cols, y).collect(), len(x_cols))
 
 
 def backtracking(f0: float, grad_sq: float, f_of_t, a: float = LINE_SEARCH_A,
@@ -195,9 +277,7 @@ def train_ridge_passes(df: DataFrame, x_cols, y: str, lam: float, max_iter: int
 
 def train_ridge(df: DataFrame, x_cols, y: str, lam: float, max_iter: int = 100,
                 eps: float = 0.01, beta0=None) -> RidgeFit:
-    if len(x_cols) <= GRAM_MAX_FEATURES:
-        return train_ridge_gram(gram(df, x_cols, y), lam, max_iter, eps, beta0)
-    return train_ridge_passes(df, x_cols, y, lam, max_iter, eps, beta0)
+    return train_ridge_gram(gram(df, x_cols, y), lam, max_iter, eps, beta0)
 
 
 def beta_frame(spark, beta) -> DataFrame:
@@ -209,14 +289,15 @@ def lambda_sweep(df: DataFrame, x_cols, y: str, split: str, lams, max_iter: int
                  eps: float = 0.01) -> list[dict]:
     """Train per lambda on rows with ``split`` false, test on rows with it true.
 
-    One aggregate pass grouped by the split column yields both summaries;
-    every lambda is then solved and scored from them.  Rows with a null split
+    One pass keyed by the split column yields both summaries; every lambda is then solved and scored from them.  Rows with a null split
     belong to neither side.
     """
     known = df.where(F.col(split).isNotNull())
-    rows = {bool(r[split]): r for r in moments(known, x_cols, y, by=(split,)).collect()}
-    train = Gram.from_row(rows[False], x_cols, y)
-    test = Gram.from_row(rows[True], x_cols, y) if True in rows else None
+    cells: dict[bool, list] = {False: [], True: []}
+    for r in gram_cells(known, x_cols, y, split).collect():
+        cells[bool(r[split])].append(r)
+    train = Gram.from_cells(cells[False], len(x_cols))
+    test = Gram.from_cells(cells[True], len(x_cols)) if cells[True] else None
     out = []
     for lam in lams:
         fit = train_ridge_gram(train, float(lam), max_iter, eps)
@@ -234,12 +315,12 @@ def numeric_gradient(df: DataFrame, x_cols, y: str, beta, lam: float, delta: flo
     ``(-2 delta sum r x_i + delta^2 sum x_i^2) / n + lam (2 delta b_i + delta^2)``,
     so all coordinates come from one aggregate pass without cancellation.
     """
-    r = F.col(y) - predict(x_cols, beta)
+    r = F.col("_r")
     aggs = []
     for i, (c, b) in enumerate(zip(x_cols, beta)):
         diff = (F.avg(F.lit(-2.0 * delta) * r * F.col(c) + F.lit(delta * delta) * F.col(c) * F.col(c))
                 + F.lit(lam * (2 * delta * float(b) + delta * delta)))
         aggs.append((diff / F.lit(delta)).alias(f"g{i}"))
-    wide = df.agg(*aggs)
+    wide = df.select(*x_cols, (F.col(y) - predict(x_cols, beta)).alias("_r")).agg(*aggs)
     stack = ", ".join(f"{i}, g{i}" for i in range(len(x_cols)))
     return wide.selectExpr(f"stack({len(x_cols)}, {stack}) AS (idx, gradient)")

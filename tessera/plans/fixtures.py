@@ -57,12 +57,14 @@ def relabelled(edges: DataFrame) -> DataFrame:
 
 def dense(spark, sf_dir) -> DataFrame:
     """``(x1, x2, y, is_test)``: scaled lineitem measures; line 7 is the test split."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(
-        (F.col("l_quantity") / 50.0).alias("x1"),
-        (F.col("l_discount") * 10.0 + 0.0).alias("x2"),
-        (F.col("l_extendedprice") / 1e4).alias("y"),
-        (F.col("l_linenumber") == 7).alias("is_test"))
+    return table(spark, sf_dir, "lineitem").select(*_measures())
+
+
+def _measures() -> list:
+    return [(F.col("l_quantity") / 50.0).alias("x1"),
+            (F.col("l_discount") * 10.0 + 0.0).alias("x2"),
+            (F.col("l_extendedprice") / 1e4).alias("y"),
+            (F.col("l_linenumber") == 7).alias("is_test")]
 
 
 def dense_train(spark, sf_dir) -> DataFrame:
@@ -73,6 +75,21 @@ def dense_test(spark, sf_dir) -> DataFrame:
     return dense(spark, sf_dir).where(F.col("is_test")).drop("is_test")
 
 
+PART_GROUPS = 110
+
+
+def group_columns() -> list[str]:
+    return [f"c{g}" for g in range(PART_GROUPS)]
+
+
+def dense_wide(spark, sf_dir) -> DataFrame:
+    """``(x1, x2, c0 .., y, is_test)``: the measures of ``dense`` and one
+    indicator for each group of part keys."""
+    li = table(spark, sf_dir, "lineitem")
+    g = F.pmod(F.col("l_partkey"), F.lit(PART_GROUPS))
+    return li.select(*_measures(), *[(g == k).cast("double").alias(c) for k, c in enumerate(group_columns())])
+
+
 def sparse_rows(spark, sf_dir) -> DataFrame:
     """``(row_id, label)`` for labelled documents; label +1 if quality is 1."""
     labels = table(spark, sf_dir, "labels")

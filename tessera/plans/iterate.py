@@ -22,7 +22,7 @@ def _checkpoint_file(df: DataFrame) -> str | None:
         return None
 
 
-def _delete(spark, path: str) -> None:
+def delete_path(spark, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -55,5 +55,5 @@ class Materializer:
                 continue
             path = _checkpoint_file(df)
             if path:
-                _delete(self._spark, path)
+                delete_path(self._spark, path)
         self._live = still

@@ -89,7 +89,7 @@ class SkewSplitTable:
         return (self.hot_keys, self.hot)
 
     def close(self) -> None:
-        from .iterate import _delete
+        from .iterate import delete_path
 
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-        _delete(self.spark, self.path)
+        delete_path(self.spark, self.path)

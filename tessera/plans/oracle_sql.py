@@ -26,6 +26,9 @@ LINKS_IN = "SELECT l_partkey AS src, l_suppkey AS dst FROM lineitem"
 STARS = "SELECT c_custkey AS src, -1 - c_nationkey AS dst FROM customer"
 DENSE = """SELECT l_quantity / 50.0 AS x1, l_discount * 10.0 + 0.0 AS x2,
        l_extendedprice / 1e4 AS y, l_linenumber = 7 AS is_test FROM lineitem"""
+# 110: fixtures.PART_GROUPS
+DENSE_WIDE = """SELECT l_quantity / 50.0 AS x1, l_discount * 10.0 + 0.0 AS x2,
+       l_extendedprice / 1e4 AS y, l_linenumber = 7 AS is_test, l_partkey % 110 AS g FROM lineitem"""
 RATINGS = """SELECT l_suppkey AS user_id, l_partkey AS item_id,
        avg(l_quantity) / 10.0 AS rating FROM lineitem GROUP BY l_suppkey, l_partkey"""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 # Settings the operators are tuned for.  No broadcast is chosen from
@@ -39,6 +41,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return builder.getOrCreate()
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the
+    driver found it; a cluster installs it (or gets it with ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting one only if unset.
 

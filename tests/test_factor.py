@@ -70,3 +70,55 @@ def test_fit_full_writes_profiles(spark, tmp_dir):
     assert spark.read.parquet(out + "_U").count() == 4
     assert spark.read.parquet(out + "_V").count() == 5
     assert fit.history[-1][3] == len(rows)
+
+
+def test_grid_of_one_cell_and_of_many_with_hot_users_and_items_agree(spark):
+    rows = [(u, i, float((u * 7 + i * 3) % 5)) for u in range(30) for i in range(40) if (u * i) % 3 or u == 0 or i == 0]
+    rows += [rows[0]] * 4  # a repeated rating counts five times
+    R = spark.createDataFrame(rows, "user_id long, item_id long, rating double").repartition(3)
+    fits = [M.train_mf(R, d=3, gain=0.01, lam=0.1, mu=0.2, max_iter=4, side=side, hot_entries=hot)
+            for side, hot in ((1, None), (4, None), (3, 25), (70, 10))]
+    want = [{r[0]: tuple(round(x, 9) for x in r[1:]) for r in f.collect()} for f in (fits[0].U, fits[0].V)]
+    assert len(want[0]) == 30 and len(want[1]) == 40
+    for fit in fits[1:]:
+        assert [{r[0]: tuple(round(x, 9) for x in r[1:]) for r in f.collect()} for f in (fit.U, fit.V)] == want
+        assert [h[:5] for h in fit.history] == [pytest.approx(h[:5]) for h in fits[0].history]
+
+
+def test_grid_step_is_the_gradient_of_the_joined_ratings(spark):
+    rows = [(u, i, float((u + 2 * i) % 4)) for u in range(8) for i in range(9) if (u + i) % 2]
+    R = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    U, V = M.init_user_profiles(R, 2), M.init_item_profiles(R, 2)
+    joined = M.predict_ratings(R, U, V, 2)
+    gamma = M.gain_at(1, 0.01, 0.2)
+    want = {r[0]: r[1:] for r in M.update_users(joined, gamma, 0.3, 2).collect()}
+    fit = M.train_mf(R, d=2, gain=0.01, power=0.2, lam=0.3, mu=0.4, max_iter=1)
+    assert {r[0]: pytest.approx(r[1:]) for r in fit.U.collect()} == want
+    assert fit.history[0][1] == pytest.approx(M.squared_error_total(joined).first()["se"] + U.agg(M.profile_norm(U, 2, 0.3)).first()[0]
+                                              + V.agg(M.profile_norm(V, 2, 0.4)).first()[0])
+
+
+def test_folds_trained_together_are_those_trained_alone(spark):
+    rows = [(u, i, float((u * 5 + i) % 6)) for u in range(12) for i in range(10) if (u * i) % 4 != 1] + [(99, 1, 2.0)]
+    F_ = M.assign_folds(spark.createDataFrame(rows, "user_id long, item_id long, rating double"), 3)
+    got = M.cross_validate(F_, 3, d=2, gain=0.01, max_iter=3)
+    for fold, rmse, matched, tested in got.folds:
+        test = F_.where(f"fold = {fold}")
+        alone = M.train_mf(F_.where(f"fold <> {fold}"), d=2, gain=0.01, max_iter=3, test=test)
+        assert (rmse, matched) == (pytest.approx(alone.history[-1][2]), alone.history[-1][3]) and tested == test.count()
+
+
+def test_an_iteration_does_not_shuffle_the_ratings(spark):
+    R = spark.createDataFrame([(u, i, 1.0, 1) for u in range(6) for i in range(6)], "user_id long, item_id long, rating double, fold int")
+    fit = M.GridModels(R, [M.NO_FOLD], 2, 1.0, 1.0, 7)
+    plan = fit.grid.answer(fit.grid.sent(fit.state), M.cell_step([M.NO_FOLD], 2), M._answer_schema(2))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    fit.close()
+
+
+def test_ratings_with_nulls_and_without_rows(spark):
+    R = spark.createDataFrame([(1, 1, 2.0), (None, 1, 3.0), (2, None, 1.0), (2, 2, None)], "user_id long, item_id long, rating double")
+    fit = M.train_mf(R, d=2, max_iter=2)
+    assert [r[0] for r in fit.U.collect()] == [1] and fit.history[-1][3] == 1
+    none = M.train_mf(R.where("false"), d=2, max_iter=2)
+    assert none.U.collect() == [] and none.history[0][1:4] == (0.0, None, 0)

@@ -71,3 +71,35 @@ def test_lambda_sweep(spark):
     betas = [r["beta"][0] for r in res]
     assert betas[0] > betas[1] > betas[2]
     assert all(r["test_mse"] is not None for r in res)
+
+
+def test_gram_of_wide_data_in_blocks_and_slabs(spark):
+    rng = np.random.default_rng(0)
+    z = rng.normal(size=(300, 41))
+    names = [f"v{k}" for k in range(40)] + ["y"]
+    rows = [(*map(float, r), bool(k % 3 == 0) if k % 7 else None) for k, r in enumerate(z)]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names) + ", part boolean").repartition(3)
+    want = z.T @ z
+    for block, slab in ((64, 1 << 20), (7, 1 << 20), (7, 1)):  # one block; blocks; a pass over the data per block
+        got = L.Gram.from_cells(L.gram_cells(df, names[:-1], "y", block=block, slab_bytes=slab).collect(), 40)
+        assert got.n == 300 and np.allclose(got.xx * 300, want[:40, :40]) and np.allclose(got.xy * 300, want[:40, 40])
+    parts = L.gram_cells(df, names[:-1], "y", "part", block=16).collect()
+    for key in (True, False, None):
+        mine = np.array([r[-1] is key for r in rows])
+        got = L.Gram.from_cells([r for r in parts if r["part"] is key], 40)
+        assert got.n == mine.sum() and np.allclose(got.xx * got.n, z[mine][:, :40].T @ z[mine][:, :40])
+
+
+def test_cells_of_nulls_and_narrow_data_agree(spark, monkeypatch):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0), (None, 1.0, 1.0), (2.0, None, None), (0.5, 0.5, 4.0)], "a double, b double, y double")
+    one = L.gram(df, ["a", "b"], "y")
+    monkeypatch.setattr(L, "GENERATED", 0)
+    two = L.gram(df, ["a", "b"], "y")
+    assert one.n == two.n and np.allclose(one.xx, two.xx) and np.allclose(one.xy, two.xy) and one.yy == pytest.approx(two.yy)
+
+
+def test_prediction_of_many_columns(spark):
+    n = 600
+    df = spark.createDataFrame([tuple(float(k) for k in range(n))], ", ".join(f"v{k} double" for k in range(n)))
+    cols = [f"v{k}" for k in range(n)]
+    assert df.select(L.predict(cols, [1.0] * n).alias("p")).first()["p"] == n * (n - 1) / 2

@@ -16,7 +16,7 @@ def physical(df) -> str:
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 def test_split_filter_is_pushed_and_columns_pruned(spark):
-    plan = physical(QUERIES["linear_predict"](spark, SF))
+    plan = physical(QUERIES["ridge_mse"](spark, SF))
     assert "PushedFilters: [IsNotNull(l_linenumber), EqualTo(l_linenumber,7)]" in plan
     assert "l_orderkey" not in plan and "l_shipdate" not in plan
 

@@ -1,7 +1,8 @@
 """Graph operators: transition weights, nodes, degree, PageRank and
 Weisfeiler-Lehman colour refinement with graph comparison.
 
-Edges are a DataFrame ``(src, dst)``; duplicate edges are kept and count.
+Edges are a DataFrame ``(src, dst)``; duplicate edges are kept and count.  Nodes
+without any edge take part where a table ``nodes`` with their ``id`` is given.
 """
 
 from __future__ import annotations
@@ -29,27 +30,34 @@ def out_links(edges: DataFrame) -> DataFrame:
         "src", "dst", (F.col("_m") / F.col("_deg")).alias("w"))
 
 
-def graph_nodes(edges: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Distinct node ids appearing on either side: ``(*by, id)``."""
-    return (edges.select(*by, F.col("src").alias("id"))
-            .union(edges.select(*by, F.col("dst").alias("id"))).distinct())
+def graph_nodes(edges: DataFrame, by: tuple[str, ...] = (), nodes: DataFrame | None = None) -> DataFrame:
+    """Distinct ids on either side of an edge or in ``nodes``: ``(*by, id)``."""
+    ends = (edges.select(*by, F.col("src").alias("id"))
+            .union(edges.select(*by, F.col("dst").alias("id"))))
+    if nodes is not None:
+        ends = ends.union(nodes.select(*by, "id"))
+    return ends.distinct()
 
 
-def node_count(edges: DataFrame) -> DataFrame:
-    return graph_nodes(edges).agg(F.count(F.lit(1)).alias("n_nodes"))
+def node_count(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    return graph_nodes(edges, nodes=nodes).agg(F.count(F.lit(1)).alias("n_nodes"))
 
 
-def degree(edges: DataFrame) -> DataFrame:
-    """Undirected degree; multi-edges count each time, a self-loop counts 2."""
-    ends = edges.select(F.col("src").alias("id")).unionAll(edges.select(F.col("dst").alias("id")))
-    return ends.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
+def degree(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """Undirected degree; multi-edges count each time, a self-loop counts 2, a
+    node of ``nodes`` without an edge has 0."""
+    one = F.lit(1).alias("_e")
+    ends = edges.select(F.col("src").alias("id"), one).unionAll(edges.select(F.col("dst").alias("id"), one))
+    if nodes is not None:
+        ends = ends.unionAll(nodes.select("id", F.lit(0).alias("_e")))
+    return ends.groupBy("id").agg(F.sum("_e").alias("degree"))
 
 
 # --------------------------------------------------------------------------
 # PageRank
 
 def pagerank_step(weights, scores: DataFrame, gamma: float, n: int,
-                  known_nodes: int | None = None, limit: int | None = None) -> DataFrame:
+                  known_nodes: int | None = None, limit: int | None = None, row_bytes: float = 16) -> DataFrame:
     """One update: ``(1-gamma) * sum(score(src) * w) + gamma / n`` per target.
 
     Inner join: a node that receives nothing gets no row.  The score table
@@ -60,7 +68,7 @@ def pagerank_step(weights, scores: DataFrame, gamma: float, n: int,
     if isinstance(weights, joins.SkewSplitTable):
         contrib = weights.join(s)
     else:
-        contrib = weights.join(broadcast_if_bounded(s, known_nodes, limit), "src")
+        contrib = weights.join(broadcast_if_bounded(s, known_nodes, limit, row_bytes), "src")
     return (contrib.groupBy(F.col("dst").alias("id"))
             .agg((F.lit(1.0 - gamma) * F.sum(F.col("score") * F.col("w"))
                   + F.lit(gamma / n)).alias("score")))
@@ -79,6 +87,10 @@ def fill_sourceless(nodes: DataFrame, scores: DataFrame, gamma: float, n: int) -
             .select("id", F.coalesce(F.col("score"), F.lit(gamma / n)).alias("score")))
 
 
+#: A score beside its node's id.
+SCORE_BYTES = 8
+
+
 class PageRankResult:
     def __init__(self, scores: DataFrame, history: list[tuple[int, float]], n: int):
         self.scores = scores
@@ -103,7 +115,7 @@ def standard_step(received: DataFrame, scores: DataFrame, sources: DataFrame, no
 
 def pagerank(edges: DataFrame, gamma: float = 0.15, max_iter: int = 50,
              eps: float = 0.01, mode: str = "sparse",
-             broadcast_rows: int | None = None) -> PageRankResult:
+             broadcast_rows: int | None = None, nodes: DataFrame | None = None) -> PageRankResult:
     """PageRank.
 
     ``mode='sparse'`` (default) keeps the reference's semantics: start at
@@ -113,20 +125,23 @@ def pagerank(edges: DataFrame, gamma: float = 0.15, max_iter: int = 50,
     common nodes); nodes without a final score get ``gamma / n``.
     ``mode='standard'`` is the textbook variant (see ``standard_step``).
     Scores of more than ``broadcast_rows`` nodes (default: the library's
-    bound) are joined with edges bucketed by source instead of broadcast.
+    bound, and its bytes as measured) are joined with edges bucketed by source
+    instead of broadcast.  ``nodes`` adds ids without edges: they count in n,
+    pass nothing on, and end with ``gamma / n`` in the sparse mode.
     """
     spark = edges.sparkSession
     mat = Materializer(spark)
     weights = mat(out_links(edges))
-    nodes = mat(graph_nodes(edges))
-    n = nodes.count()
-    scores = mat(nodes.select("id", F.lit(1.0 / n).alias("score")))
+    nodes = mat(graph_nodes(edges, nodes=nodes))
+    n, width = joins.measured(nodes)
+    width += SCORE_BYTES
+    scores = mat(nodes.select("id", F.lit(1.0 / max(1, n)).alias("score")))
     standard = mode == "standard"
     sources = mat(weights.select(F.col("src").alias("id")).distinct()) if standard else None
     target, keep = weights, (weights,)
-    if broadcast_if_bounded(scores, n, broadcast_rows, row_bytes=16) is scores:
+    if broadcast_if_bounded(scores, n, broadcast_rows, width) is scores:
         # scores too large to broadcast: bucket the edges by source once
-        target = joins.SkewSplitTable(weights, ["src"], mat, weights.count())
+        target = joins.SkewSplitTable(weights, ["src"], mat, weights.count(), SCORE_BYTES)
         keep = target.live()
     if standard:
         keep += (sources,)
@@ -135,7 +150,7 @@ def pagerank(edges: DataFrame, gamma: float = 0.15, max_iter: int = 50,
     try:
         while i < max_iter and err > eps:
             i += 1
-            step = pagerank_step(target, scores, 0.0 if standard else gamma, n, n, broadcast_rows)
+            step = pagerank_step(target, scores, 0.0 if standard else gamma, n, n, broadcast_rows, width)
             new = mat(standard_step(step, scores, sources, nodes, gamma, n) if standard else step)
             err = float(score_change(scores, new).first()["err"])
             history.append((i, err))
@@ -152,8 +167,8 @@ def pagerank(edges: DataFrame, gamma: float = 0.15, max_iter: int = 50,
 # Weisfeiler-Lehman colour refinement
 
 INITIAL_COLOR = "1"
-# a graph number, an id and five parts of 8 bytes
-COLOR_ROW_BYTES = 56
+# five parts of 8 bytes beside a graph number and an id
+COLOR_BYTES = 40
 
 
 def _undirected(edges: DataFrame, by: tuple[str, ...]) -> DataFrame:
@@ -163,7 +178,8 @@ def _undirected(edges: DataFrame, by: tuple[str, ...]) -> DataFrame:
 
 
 def wl_refine(adjacent, colors: DataFrame, by: tuple[str, ...] = (),
-              n_nodes: int | None = None, limit: int | None = None) -> DataFrame:
+              n_nodes: int | None = None, limit: int | None = None, row_bytes: float = 16 + COLOR_BYTES,
+              isolated: DataFrame | None = None) -> DataFrame:
     """One refinement round: colour of v = hash of the multiset of its
     neighbours' colours (own colour not included, multi-edges repeated).
 
@@ -171,14 +187,19 @@ def wl_refine(adjacent, colors: DataFrame, by: tuple[str, ...] = (),
     hub node never gathers its neighbour list in one place.  The colour
     table (one row per node) is broadcast when its exact size is bounded;
     the explicit hint also keeps the planner from broadcasting the
-    adjacency list on a low size estimate.
+    adjacency list on a low size estimate.  Nodes in ``isolated`` have no
+    neighbours: theirs is the colour of the empty multiset.
     """
     parts = [p.alias(f"_p{k}") for k, p in enumerate(md5_parts(F.col("color")))]
     c = colors.select(*by, F.col("id").alias("nbr"), *parts)
     if isinstance(adjacent, joins.SkewSplitTable):
         j = adjacent.join(c)
     else:
-        j = adjacent.join(broadcast_if_bounded(c, n_nodes, limit, COLOR_ROW_BYTES), [*by, "nbr"])
+        j = adjacent.join(broadcast_if_bounded(c, n_nodes, limit, row_bytes), [*by, "nbr"])
+    if isolated is not None:
+        sums = [f"_p{k}" for k in range(len(parts))]
+        none = [F.lit(0).cast("long").alias(c) for c in sums]
+        j = j.select(*by, "node", *sums).unionByName(isolated.select(*by, F.col("id").alias("node"), *none))
     return (j.groupBy(*by, F.col("node").alias("id"))
             .agg(multiset_color([F.sum(f"_p{k}") for k in range(len(parts))]).alias("color")))
 
@@ -188,32 +209,40 @@ def _n_colors(colors: DataFrame) -> int:
 
 
 def wl_colors(edges: DataFrame, max_rounds: int | None = None,
-              by: tuple[str, ...] = (), broadcast_rows: int | None = None) -> DataFrame:
+              by: tuple[str, ...] = (), broadcast_rows: int | None = None,
+              nodes: DataFrame | None = None) -> DataFrame:
     """Final colouring ``(*by, id, color)``.
 
     Starts with one colour for all nodes and refines until the number of
     distinct colours stops changing (or ``max_rounds`` rounds ran); returns
     the newest colouring.  With ``by`` several graphs run together and their
     colours stay comparable.  Colours of more than ``broadcast_rows`` nodes
-    (default: the library's bound) are joined with an adjacency bucketed by
-    neighbour instead of broadcast.
+    (default: the library's bound, and its bytes as measured) are joined with
+    an adjacency bucketed by neighbour instead of broadcast.  ``nodes``, with
+    ``by`` and ``id``, adds ids without edges.
     """
     spark = edges.sparkSession
     mat = Materializer(spark)
     adjacent = mat(_undirected(edges, by))
-    colors = mat(graph_nodes(edges, by).select(*by, "id", F.lit(INITIAL_COLOR).alias("color")))
-    n_nodes = colors.count()
+    colors = mat(graph_nodes(edges, by, nodes).select(*by, "id", F.lit(INITIAL_COLOR).alias("color")))
+    n_nodes, width = joins.measured(colors.drop("color"))
+    width += COLOR_BYTES
+    isolated = None
+    if nodes is not None:
+        isolated = mat(colors.join(adjacent.select(*by, F.col("node").alias("id")), [*by, "id"], "left_anti").select(*by, "id"))
     target, keep = adjacent, (adjacent,)
-    if broadcast_if_bounded(colors, n_nodes, broadcast_rows, COLOR_ROW_BYTES) is colors:
+    if broadcast_if_bounded(colors, n_nodes, broadcast_rows, width) is colors:
         # colours too large to broadcast: bucket the adjacency by neighbour once
-        target = joins.SkewSplitTable(adjacent, [*by, "nbr"], mat, adjacent.count())
+        target = joins.SkewSplitTable(adjacent, [*by, "nbr"], mat, adjacent.count(), COLOR_BYTES)
         keep = target.live()
+    if isolated is not None:
+        keep += (isolated,)
     count = _n_colors(colors)
     rounds = 0
     try:
         while True:
             rounds += 1
-            new = mat(wl_refine(target, colors, by, n_nodes, broadcast_rows))
+            new = mat(wl_refine(target, colors, by, n_nodes, broadcast_rows, width, isolated))
             new_count = _n_colors(new)
             mat.release_all_but(*keep, new)
             if new_count == count or (max_rounds is not None and rounds >= max_rounds):
@@ -232,11 +261,17 @@ def color_distribution(colors: DataFrame, by: tuple[str, ...] = ()) -> DataFrame
     return sizes.groupBy(*by, "class_size").agg(F.count(F.lit(1)).alias("n_classes"))
 
 
-def joint_colors(g1: DataFrame, g2: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def joint_colors(g1: DataFrame, g2: DataFrame, max_rounds: int | None = None,
+                 nodes1: DataFrame | None = None, nodes2: DataFrame | None = None) -> DataFrame:
     """Colours of both graphs computed together: ``(g, id, color)``, g in {1, 2}."""
     joint = (g1.select(F.lit(1).alias("g"), "src", "dst")
              .unionAll(g2.select(F.lit(2).alias("g"), "src", "dst")))
-    return wl_colors(joint, max_rounds, by=("g",))
+    nodes = None
+    for g, more in ((1, nodes1), (2, nodes2)):
+        if more is not None:
+            more = more.select(F.lit(g).alias("g"), "id")
+            nodes = more if nodes is None else nodes.unionAll(more)
+    return wl_colors(joint, max_rounds, by=("g",), nodes=nodes)
 
 
 def compare_colorings(colors: DataFrame) -> DataFrame:
@@ -266,14 +301,16 @@ def compare_colorings(colors: DataFrame) -> DataFrame:
                           "n_colors_1", "n_colors_2")
 
 
-def compare_graphs(g1: DataFrame, g2: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def compare_graphs(g1: DataFrame, g2: DataFrame, max_rounds: int | None = None,
+                   nodes1: DataFrame | None = None, nodes2: DataFrame | None = None) -> DataFrame:
     """Verdict on two graphs; colours are only refined if the graphs have as
     many nodes (without refinement each graph has its one first colour)."""
-    if graph_nodes(g1).count() != graph_nodes(g2).count():
-        joint = (graph_nodes(g1).select(F.lit(1).alias("g"), "id", F.lit(INITIAL_COLOR).alias("color"))
-                 .unionAll(graph_nodes(g2).select(F.lit(2).alias("g"), "id", F.lit(INITIAL_COLOR).alias("color"))))
+    every1, every2 = graph_nodes(g1, nodes=nodes1), graph_nodes(g2, nodes=nodes2)
+    if every1.count() != every2.count():
+        joint = (every1.select(F.lit(1).alias("g"), "id", F.lit(INITIAL_COLOR).alias("color"))
+                 .unionAll(every2.select(F.lit(2).alias("g"), "id", F.lit(INITIAL_COLOR).alias("color"))))
         return compare_colorings(joint)
-    return compare_colorings(joint_colors(g1, g2, max_rounds))
+    return compare_colorings(joint_colors(g1, g2, max_rounds, nodes1, nodes2))
 
 
 def _where_equal(colors: DataFrame) -> DataFrame:

@@ -3,8 +3,11 @@
 Data: ``(row_id, label, feature, value)`` plus a rows table ``(row_id, label)``
 (so that examples without features still count), labels in {-1, +1}.
 Model and gradient: ``(feature, value)`` DataFrames -- they grow with the
-vocabulary, so they are never collected; joins with them are planned by
-AQE (broadcast below the measured-size threshold, skew-split otherwise).
+vocabulary, so they are never collected.  Single passes leave joins with them
+to AQE (broadcast below the measured-size threshold, skew-split otherwise).
+Training broadcasts the model and the per-row coefficients while their exact
+counts are bounded, and beyond that deals the examples once into a grid of row
+blocks and feature blocks (``GridProducts``).
 
 Objective ``L(b) = sum ln(1 + exp(-y <b, x>)) + lam |b|^2`` (a sum).
 """
@@ -13,11 +16,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import log1p_exp_neg, logistic_coefficient
+from ..plans.grid import COL, ROW, SparseGrid
 from ..plans.iterate import Materializer
-from ..plans.joins import broadcast_if_bounded
+from ..plans.joins import broadcast_if_bounded, measured
 from .linear import LINE_SEARCH_A, LINE_SEARCH_B
 
 
@@ -168,6 +174,122 @@ def logistic_step(data, rows, beta, lam: float) -> DataFrame:
     return frame
 
 
+class BroadcastProducts:
+    """The two products of an iteration as joins with broadcast tables, whose
+    row counts are known: the model by feature and the coefficients by row."""
+
+    def __init__(self, data: DataFrame, rows: DataFrame, beta: DataFrame, mat: Materializer, n_rows: int, n_features: int):
+        self.data, self.mat, self.n_rows, self.n_features = data, mat, n_rows, n_features
+        self.z = mat(margins(data, rows, beta, n_features=n_features))
+        self.beta = beta
+        self.held = (data,)
+
+    def gradient(self, lam: float) -> DataFrame:
+        return self.mat(gradient_from_margins(self.data, self.z, self.beta, lam, self.n_rows))
+
+    def direction(self, grad: DataFrame) -> DataFrame:
+        return self.mat(with_direction(self.data, self.z, grad, self.n_features))
+
+    def move(self, zh: DataFrame, grad: DataFrame, t: float) -> None:
+        # one narrow projection over each checkpoint
+        self.z = zh.select("row_id", "label", (F.col("z") - F.lit(t) * F.col("h")).alias("z"))
+        self.beta = grad.select("feature", (F.col("b") - F.lit(t) * F.col("g")).alias("value"))
+
+    def model(self) -> DataFrame:
+        return self.beta
+
+    def close(self) -> None:
+        pass
+
+
+class GridProducts:
+    """The two products of an iteration over examples in a grid.
+
+    The data is stored once, by cell.  An iteration sends the coefficient of
+    each row, or the value of each feature, to the cells that hold it, and sums
+    what the cells answer per feature, or per row; the data itself does not
+    move.  Very frequent features and very long rows are dealt over all cells.
+    Row ids are longs; features are numbered by a checked hash.
+    """
+
+    def __init__(self, data: DataFrame, rows: DataFrame, beta: DataFrame, mat: Materializer,
+                 side: int | None = None, hot_entries: int | None = None):
+        self.mat = mat
+        seed, self.names = self._number(data, beta)
+        code = F.xxhash64("feature", F.lit(seed))
+        # entries of one row and feature add up, so a repeated one is no hot pair
+        entries = mat(data.groupBy(F.col("row_id").cast("long").alias("row"), code.alias("col")).agg(F.sum("value").alias("value")))
+        self.grid = SparseGrid(entries, entries.count(), side, hot_entries)
+        of_rows = self.grid.masks(ROW)
+        known = rows.select(F.col("row_id").cast("long").alias("row_id"), "label")
+        self.rows = mat(known.join(of_rows, known["row_id"] == of_rows["id"], "left").select("row_id", "label", "mask"))
+        start = beta.groupBy(code.alias("id")).agg(F.sum("value").alias("b"), F.lit(None).cast("long").alias("mask"))
+        self.cols = mat(self.grid.masks(COL).select("id", "mask", F.lit(0.0).alias("b")).unionByName(start)
+                        .groupBy("id").agg(F.max("mask").alias("mask"), F.sum("b").alias("b")))
+        h = self._product(self.cols.select("id", "mask", F.col("b").alias("v")), COL)
+        self.state = self._by_row(self.rows.select("row_id", "label", "mask", F.lit(0.0).alias("z")), h, "h")
+        self.state = mat(self.state.select("row_id", "label", "mask", F.col("h").alias("z")))
+        self.held = (self.names,)
+
+    def _number(self, data: DataFrame, beta: DataFrame) -> tuple[int, DataFrame]:
+        """A hash seed under which no two features share a number, and their names by number."""
+        features = data.select("feature").union(beta.select("feature")).distinct()
+        seed = 0
+        while True:
+            names = self.mat(features.select(F.xxhash64("feature", F.lit(seed)).alias("id"), "feature"))
+            if not names.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(1):
+                return seed, names
+            seed += 1
+
+    def _product(self, values: DataFrame, kind: int) -> DataFrame:
+        """``(id, s)``: the data times ``v`` of columns (per row), or of rows (per column)."""
+        sent = self.grid.sent(values.where("mask is not null").select(F.lit(kind).alias("kind"), "id", "mask", "v"))
+        return self.grid.answer(sent, _cell_product(kind), "id long, s double").groupBy("id").agg(F.sum("s").alias("s"))
+
+    @staticmethod
+    def _by_row(rows: DataFrame, sums: DataFrame, name: str) -> DataFrame:
+        met = rows.join(sums, rows["row_id"] == sums["id"], "left")
+        return met.select(*rows.columns, F.coalesce("s", F.lit(0.0)).alias(name))
+
+    def gradient(self, lam: float) -> DataFrame:
+        coef = self.state.select(F.col("row_id").alias("id"), "mask", logistic_coefficient(F.col("label").cast("double"), F.col("z")).alias("v"))
+        sums = self._product(coef, ROW)
+        met = self.cols.join(sums, "id", "left")
+        return self.mat(met.select("id", "mask", "b", (F.coalesce("s", F.lit(0.0)) + F.lit(2.0 * lam) * F.col("b")).alias("g")))
+
+    def direction(self, grad: DataFrame) -> DataFrame:
+        sums = self._product(grad.select("id", "mask", F.col("g").alias("v")), COL)
+        return self.mat(self._by_row(self.state, sums, "h"))
+
+    def move(self, zh: DataFrame, grad: DataFrame, t: float) -> None:
+        self.state = zh.select("row_id", "label", "mask", (F.col("z") - F.lit(t) * F.col("h")).alias("z"))
+        self.cols = grad.select("id", "mask", (F.col("b") - F.lit(t) * F.col("g")).alias("b"))
+
+    def model(self) -> DataFrame:
+        return self.cols.join(self.names, "id").select("feature", F.col("b").alias("value"))
+
+    def close(self) -> None:
+        self.grid.close()
+
+
+def _cell_product(kind: int):
+    """One cell's part of a product: sums per row of values of its columns, or the other way."""
+    own, other = ("row", "col") if kind == ROW else ("col", "row")
+
+    def run(entries: pa.Table, values: pa.Table) -> pa.Table:
+        ids, sums = np.zeros(0, np.int64), np.zeros(0)
+        if entries.num_rows and values.num_rows:
+            keys, at, x = (entries[c].to_numpy() for c in (own, other, "value"))
+            order = np.argsort(values["id"].to_numpy())
+            known, v = values["id"].to_numpy()[order], values["v"].to_numpy()[order]
+            place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            ids, to = np.unique(at, return_inverse=True)
+            sums = np.bincount(to, np.where(known[place] == keys, v[place], 0.0) * x, len(ids))
+        return pa.table({"id": pa.array(ids, pa.int64()), "s": pa.array(sums, pa.float64())})
+
+    return run
+
+
 @dataclass
 class LogisticFit:
     beta: DataFrame
@@ -187,21 +309,41 @@ def empty_model(data: DataFrame) -> DataFrame:
     return data.sparkSession.createDataFrame([], "feature string, value double")
 
 
+#: Measured bytes of a model row beside its feature's name.
+MODEL_ROW_BYTES = 24
+
+
+def _bounded(features: DataFrame, n_rows: int, broadcast_rows: int | None) -> tuple[bool, int]:
+    """Whether model and coefficients may be broadcast, by the counted features
+    and the bytes of their names; and the number of features."""
+    n, width = measured(features)
+    model = broadcast_if_bounded(features, n, broadcast_rows, row_bytes=width + MODEL_ROW_BYTES) is not features
+    return model and broadcast_if_bounded(features, n_rows, broadcast_rows, row_bytes=16) is not features, n
+
+
 def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int = 100,
                    eps: float = 0.1, beta0: DataFrame | None = None,
-                   test: tuple[DataFrame, DataFrame] | None = None) -> LogisticFit:
+                   test: tuple[DataFrame, DataFrame] | None = None, broadcast_rows: int | None = None,
+                   beta_path: str | None = None, side: int | None = None, hot_entries: int | None = None) -> LogisticFit:
     """Gradient descent with backtracking, from an empty model by default.
 
-    Each iteration checkpoints two states: the gradient (data joined with
-    per-row coefficients, summed per feature, carrying the current model)
-    and the per-row directions h = <grad, x> (carrying the margins).  The
-    line search reads them in one aggregate per batch of trials; the new
-    model ``beta - t grad`` and margins ``z - t h`` stay projections of
-    those checkpoints.  As in the reference, the update is applied before
-    the loop checks the gradient norm of the pre-update model.
+    Each iteration checkpoints two states: the gradient (data times per-row
+    coefficients, summed per feature, carrying the current model) and the
+    per-row directions h = <grad, x> (carrying the margins).  The line search
+    reads them in one aggregate per batch of trials; the new model
+    ``beta - t grad`` and margins ``z - t h`` stay projections of those
+    checkpoints.  As in the reference, the update is applied before the loop
+    checks the gradient norm of the pre-update model.
+
+    More than ``broadcast_rows`` features or rows (default: the library's
+    bound) are trained in a grid, whose shape ``side`` and ``hot_entries`` set.
+    With ``beta_path`` the model after each iteration is kept there (see
+    ``sources.models``).
     """
     import time
 
+    from ..sources.models import append_version
+
     spark = data.sparkSession
     mat = Materializer(spark)
     data = mat(data.select("row_id", "feature", F.col("value").cast("double").alias("value")))
@@ -209,36 +351,42 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
     rows = mat(rows.select("row_id", "label"))
     n_rows = rows.count()
     # model and gradient keys: the data's features plus the start model's
-    n_features = data.select("feature").union(beta.select("feature")).distinct().count()
-    z = mat(margins(data, rows, beta, n_features=n_features))
+    bounded, n_features = _bounded(data.select("feature").union(beta.select("feature")).distinct(), n_rows, broadcast_rows)
+    if bounded:
+        products = BroadcastProducts(data, rows, beta, mat, n_rows, n_features)
+    else:
+        products = GridProducts(data, rows, beta, mat, side, hot_entries)
     history = []
     k, norm = 0, float("inf")  # not measured yet
     if test is not None:
         test = (mat(test[0].select("row_id", "feature", F.col("value").cast("double").alias("value"))),
                 mat(test[1].select("row_id", "label")))
-    held = test or ()
+    held = (test or ()) + products.held
     start = time.time()
-    while k < max_iter and norm > eps:
-        grad = mat(gradient_from_margins(data, z, beta, lam, n_rows))
-        zh = mat(with_direction(data, z, grad, n_features))
-        # beta and z of the previous step were projections of the previous
-        # checkpoints; both are now folded into grad and zh
-        mat.release_all_but(data, rows, *held, grad, zh)
-        _, ls = line_search(zh, grad, lam)
-        norm = float(ls["grad_norm_sq"]) ** 0.5
-        t = float(ls["step"])
-        # new state: one narrow projection over each checkpoint
-        z = zh.select("row_id", "label", (F.col("z") - F.lit(t) * F.col("h")).alias("z"))
-        beta = grad.select("feature", (F.col("b") - F.lit(t) * F.col("g")).alias("value"))
-        acc = pre = rec = None
-        if test is not None:
-            m = binary_metrics(test[0], test[1], beta).first()
-            acc, pre, rec = m["accuracy"], m["precision"], m["recall"]
-        history.append((k, float(ls["objective"]), norm, t, acc, pre, rec, time.time() - start))
-        k += 1
-        if t == 0.0 or ls["objective_after"] >= ls["objective"]:  # no further descent in double precision
-            break
-    return LogisticFit(beta, norm, k, norm <= eps, history)
+    try:
+        while k < max_iter and norm > eps:
+            grad = products.gradient(lam)
+            zh = products.direction(grad)
+            # model and margins of the previous step were projections of the previous
+            # checkpoints; both are now folded into grad and zh
+            mat.release_all_but(*held, grad, zh)
+            _, ls = line_search(zh, grad, lam)
+            norm = float(ls["grad_norm_sq"]) ** 0.5
+            t = float(ls["step"])
+            products.move(zh, grad, t)
+            acc = pre = rec = None
+            if test is not None:
+                m = binary_metrics(test[0], test[1], products.model()).first()
+                acc, pre, rec = m["accuracy"], m["precision"], m["recall"]
+            if beta_path:
+                append_version(products.model(), beta_path, k)
+            history.append((k, float(ls["objective"]), norm, t, acc, pre, rec, time.time() - start))
+            k += 1
+            if t == 0.0 or ls["objective_after"] >= ls["objective"]:  # no further descent in double precision
+                break
+    finally:
+        products.close()
+    return LogisticFit(products.model(), norm, k, norm <= eps, history)
 
 
 def binary_metrics(data, rows, beta) -> DataFrame:

@@ -49,6 +49,19 @@ def stars(spark, sf_dir) -> DataFrame:
         F.col("c_custkey").alias("src"), (-1 - F.col("c_nationkey")).alias("dst"))
 
 
+def debtor_stars(spark, sf_dir) -> DataFrame:
+    """The edges of ``stars`` of customers with a negative balance: most
+    customers have no edge."""
+    return table(spark, sf_dir, "customer").where("c_acctbal < 0").select(
+        F.col("c_custkey").alias("src"), (-1 - F.col("c_nationkey")).alias("dst"))
+
+
+def star_nodes(spark, sf_dir) -> DataFrame:
+    """``id`` of all customers and nations."""
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")).unionAll(
+        table(spark, sf_dir, "nation").select((-1 - F.col("n_nationkey")).cast("long").alias("id")))
+
+
 def relabelled(edges: DataFrame) -> DataFrame:
     """Isomorphic copy with ids ``id * 7919 + 13``."""
     return edges.select((F.col("src") * 7919 + 13).alias("src"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import COLOR_PARTS
 from ..operators import graph as G
 from . import fixtures as fx
-from .oracle_sql import LINKS_IN, LINKS_OUT, STARS, r6 as s6
+from .oracle_sql import DEBTORS, LINKS_IN, LINKS_OUT, STAR_NODES, STARS, r6 as s6
 from .registry import r6, register
 
 GAMMA = 0.15
@@ -19,16 +19,18 @@ WL_ROUNDS = 6
 WL_SQL_ROUNDS = 10
 
 
-def _w_sql(edges: str) -> str:
+def _w_sql(edges: str, more: str = "") -> str:
+    """``more``: a query of nodes that need no edge."""
+    also = f" UNION ({more})" if more else ""
     return f"""e AS ({edges}),
 w AS (SELECT src, dst, cnt::DOUBLE / sum(cnt) OVER (PARTITION BY src) AS w
       FROM (SELECT src, dst, count(*) AS cnt FROM e GROUP BY src, dst)),
-nodes AS (SELECT src AS id FROM e UNION SELECT dst FROM e),
+nodes AS (SELECT src AS id FROM e UNION SELECT dst FROM e{also}),
 n AS (SELECT count(*)::DOUBLE AS n FROM nodes)"""
 
 
-def _pagerank_sql(edges: str, k: int) -> str:
-    parts = [_w_sql(edges),
+def _pagerank_sql(edges: str, k: int, more: str = "") -> str:
+    parts = [_w_sql(edges, more),
              "s0 AS MATERIALIZED (SELECT id, 1.0::DOUBLE / (SELECT n FROM n) AS score FROM nodes)"]
     for i in range(1, k + 1):
         parts.append(
@@ -147,18 +149,22 @@ def pagerank_ranked(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Weisfeiler-Lehman
 
-def _wl_sql(graph_edges: str, k: int) -> str:
+def _wl_sql(graph_edges: str, k: int, more: str = "") -> str:
     """CTEs ``ge`` (g, src, dst) -> ... -> ``final`` (g, id, color)."""
     sums = " || ':' || ".join(f"CAST(sum(('0x' || substr(md5(c.color), {1 + 6 * p}, 6))::BIGINT) AS VARCHAR)"
                               for p in range(COLOR_PARTS))
     parts = [f"ge AS ({graph_edges})",
              "adj AS (SELECT g, src AS node, dst AS nbr FROM ge UNION ALL SELECT g, dst, src FROM ge)",
-             "c0 AS MATERIALIZED (SELECT DISTINCT g, node AS id, '1' AS color FROM adj)"]
+             f"alone AS (SELECT g, id FROM ({more}) WHERE (g, id) NOT IN (SELECT g, node FROM adj))" if more else
+             "alone AS (SELECT g, node AS id FROM adj WHERE false)",
+             "c0 AS MATERIALIZED (SELECT DISTINCT g, node AS id, '1' AS color FROM adj UNION ALL SELECT g, id, '1' FROM alone)"]
+    empty = ":".join("0" * COLOR_PARTS)
     for i in range(1, k + 1):
         parts.append(
             f"c{i} AS MATERIALIZED (SELECT a.g, a.node AS id, "
             f"md5({sums}) AS color "
-            f"FROM adj a JOIN c{i - 1} c ON c.g = a.g AND c.id = a.nbr GROUP BY a.g, a.node)")
+            f"FROM adj a JOIN c{i - 1} c ON c.g = a.g AND c.id = a.nbr GROUP BY a.g, a.node "
+            f"UNION ALL SELECT g, id, md5('{empty}') FROM alone)")
     counts = ", ".join(f"(SELECT count(DISTINCT color) FROM c{i}) AS n{i}" for i in range(k + 1))
     cases = " ".join(f"WHEN n{i} = n{i - 1} THEN {i}" for i in range(1, k + 1))
     parts.append(f"stop AS (SELECT CASE {cases} ELSE {k} END AS r FROM (SELECT {counts}))")
@@ -210,8 +216,8 @@ def color_distribution(spark, sf_dir):
     return G.color_distribution(G.wl_colors(fx.links_out(spark, sf_dir)))
 
 
-def _verdict_sql(pair: str) -> str:
-    return f"""WITH {_wl_sql(pair, WL_SQL_ROUNDS)},
+def _verdict_sql(pair: str, more: str = "") -> str:
+    return f"""WITH {_wl_sql(pair, WL_SQL_ROUNDS, more)},
 sizes AS (SELECT g, color, count(*) AS s FROM final GROUP BY g, color),
 mism AS (SELECT count(*) AS m FROM (SELECT color, s FROM sizes WHERE g = 1) a
          FULL OUTER JOIN (SELECT color, s FROM sizes WHERE g = 2) b USING (color)
@@ -265,3 +271,38 @@ SELECT class_size, count(*) AS n_classes FROM (SELECT color, count(*) AS class_s
 GROUP BY class_size""")
 def star_color_distribution(spark, sf_dir):
     return G.color_distribution(G.wl_colors(fx.stars(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------
+# graphs with nodes that have no edge
+
+_ALL_ONE = f"SELECT 1 AS g, id FROM ({STAR_NODES})"
+_ALL_TWO = f"{_ALL_ONE} UNION ALL SELECT 2 AS g, id * 7919 + 13 FROM ({STAR_NODES})"
+_DEBTORS_TWO = f"""SELECT 1 AS g, src, dst FROM ({DEBTORS}) UNION ALL
+SELECT 2 AS g, src * 7919 + 13, dst * 7919 + 13 FROM ({DEBTORS})"""
+
+
+@register("debtor_degree", f"""WITH e AS ({DEBTORS}), ends AS (SELECT src AS id FROM e UNION ALL SELECT dst FROM e)
+SELECT id, count(ends.id) AS degree FROM ({STAR_NODES}) n LEFT JOIN ends USING (id) GROUP BY id""")
+def debtor_degree(spark, sf_dir):
+    """Degrees, 0 for customers and nations without an edge."""
+    return G.degree(fx.debtor_stars(spark, sf_dir), fx.star_nodes(spark, sf_dir))
+
+
+@register("debtor_pagerank_k5", _pagerank_sql(DEBTORS, PR_ITERS, STAR_NODES) + "\n" + _final_sql(PR_ITERS))
+def debtor_pagerank(spark, sf_dir):
+    """Ranks of all nodes where most have no edge."""
+    res = G.pagerank(fx.debtor_stars(spark, sf_dir), gamma=GAMMA, max_iter=PR_ITERS, eps=0.0, nodes=fx.star_nodes(spark, sf_dir))
+    return res.scores.select("id", r6("score", 9).alias("score"))
+
+
+@register("debtor_colors", f"WITH {_wl_sql(f'SELECT 1 AS g, src, dst FROM ({DEBTORS})', WL_SQL_ROUNDS, _ALL_ONE)} SELECT id, color FROM final")
+def debtor_colors(spark, sf_dir):
+    return G.wl_colors(fx.debtor_stars(spark, sf_dir), nodes=fx.star_nodes(spark, sf_dir))
+
+
+@register("debtor_verdict", _verdict_sql(_DEBTORS_TWO, _ALL_TWO))
+def debtor_verdict(spark, sf_dir):
+    edges, nodes = fx.debtor_stars(spark, sf_dir), fx.star_nodes(spark, sf_dir)
+    other = nodes.select((F.col("id") * 7919 + 13).alias("id"))
+    return G.compare_graphs(edges, fx.relabelled(edges), nodes1=nodes, nodes2=other)

@@ -6,10 +6,14 @@ The single-step queries evaluate at a probe model derived from the data:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import logistic as LG
 from ..operators.linear import LINE_SEARCH_A, LINE_SEARCH_B
+from ..session import ensure_checkpoint_dir
+from ..sources.models import load_versions
 from . import fixtures as fx
 from .oracle_sql import r6 as s6, sparse_cte
 from .registry import r6, register
@@ -144,6 +148,26 @@ def logistic_k2(spark, sf_dir):
     return fit.beta.select("feature", r6("value").alias("value"))
 
 
+@register(f"logistic_split_k{TRAIN_ITERS}", _train_sql(TRAIN_ITERS)
+          + f"\nSELECT feature, {s6('value')} AS value FROM b{TRAIN_ITERS}")
+def logistic_split_k2(spark, sf_dir):
+    """The same training with nothing broadcast: examples in a grid of four
+    blocks a side, features in over 200 rows dealt over all cells."""
+    data, rows = _data(spark, sf_dir)
+    fit = LG.train_logistic(data, rows, LAM, max_iter=TRAIN_ITERS, eps=0.0, broadcast_rows=0, side=4, hot_entries=200)
+    return fit.beta.select("feature", r6("value").alias("value"))
+
+
+@register(f"logistic_beta_history_k{TRAIN_ITERS}", _train_sql(TRAIN_ITERS) + "\n" + "\nUNION ALL\n".join(
+    f"SELECT {i - 1}::INTEGER AS iteration, feature, {s6('value')} AS value FROM b{i}" for i in range(1, TRAIN_ITERS + 1)))
+def logistic_beta_history(spark, sf_dir):
+    """The model after every iteration, written during training and read back."""
+    data, rows = _data(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/beta-{uuid.uuid4().hex}"
+    LG.train_logistic(data, rows, LAM, max_iter=TRAIN_ITERS, eps=0.0, beta_path=path)
+    return load_versions(spark, path).select("iteration", "feature", r6("value").alias("value"))
+
+
 @register("binary_metrics", f"""{_BASE},
 z AS {_z_sql('probe')},
 c AS (SELECT count_if(z > 0 AND label = 1)::DOUBLE AS tp, count_if(z > 0 AND label <> 1)::DOUBLE AS fp,

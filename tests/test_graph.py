@@ -102,3 +102,25 @@ def test_standard_pagerank_keeps_mass(spark):
     s = scores(res)
     assert sum(s.values()) == pytest.approx(1.0)
     assert s["c"] > s["b"] > s["a"]
+
+
+def test_nodes_without_edges(spark):
+    e = edges(spark, [("a", "b"), ("b", "a"), ("b", "b")])
+    nodes = spark.createDataFrame([("a",), ("x",), ("y",), ("y",)], "id string")
+    assert G.node_count(e, nodes).first()[0] == 4
+    assert {r["id"]: r["degree"] for r in G.degree(e, nodes).collect()} == {"a": 2, "b": 4, "x": 0, "y": 0}
+    ranks = scores(G.pagerank(e, 0.2, max_iter=3, eps=0.0, nodes=nodes))
+    assert ranks["x"] == ranks["y"] == pytest.approx(0.05) and set(ranks) == {"a", "b", "x", "y"}
+    standard = scores(G.pagerank(e, 0.2, max_iter=3, eps=0.0, mode="standard", nodes=nodes))
+    assert sum(standard.values()) == pytest.approx(1.0)
+    colors = {r["id"]: r["color"] for r in G.wl_colors(e, nodes=nodes).collect()}
+    assert colors["x"] == colors["y"] and len(set(colors.values())) == 3
+    split = {r["id"]: r["color"] for r in G.wl_colors(e, nodes=nodes, broadcast_rows=0).collect()}
+    assert split == colors
+
+
+def test_graphs_that_differ_in_nodes_without_edges(spark):
+    e = edges(spark, [("a", "b"), ("b", "c")])
+    one, two = (spark.createDataFrame(rows, "id string") for rows in ([("x",)], [("x",), ("y",)]))
+    assert G.compare_graphs(e, e, nodes1=one, nodes2=two).first()["verdict"] == "not isomorphic"
+    assert G.compare_graphs(e, e, nodes1=one, nodes2=one).first()["verdict"] == "maybe isomorphic"

@@ -109,3 +109,42 @@ def test_wl_bucketed_path(spark, monkeypatch):
     assert got == expected
     joint = G.compare_graphs(e, e.selectExpr("src * 7 AS src", "dst * 7 AS dst"), 4).first()
     assert joint["verdict"] in ("isomorphic", "maybe isomorphic")
+
+
+@pytest.mark.parametrize("hot_degree", [50, 20])
+def test_salted_path_of_wide_ids(spark, monkeypatch, hot_degree):
+    """Hot keys whose measured bytes are beyond the broadcast bound are joined
+    by key and salt; results are unchanged."""
+    e = hub_edges(spark).selectExpr("concat(repeat('x', 300), src) AS src", "concat(repeat('x', 300), dst) AS dst")
+    e = e.unionAll(e.where("src like '%x0'"))  # repeated edges
+    ranks = {r["id"]: r["score"] for r in G.pagerank(e, 0.15, 4, 0.0).scores.collect()}
+    colors = sorted((r["id"], r["color"]) for r in G.wl_colors(e, 3).collect())
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 100)
+    monkeypatch.setattr(joins, "MIN_HOT_DEGREE", hot_degree)
+    made = []
+    init = joins.SkewSplitTable.__init__
+
+    def keep(self, *args, **kwargs):
+        init(self, *args, **kwargs)
+        made.append((self.salted, self.n_hot))
+
+    monkeypatch.setattr(joins.SkewSplitTable, "__init__", keep)
+    assert {r["id"]: r["score"] for r in G.pagerank(e, 0.15, 4, 0.0).scores.collect()} == pytest.approx(ranks, abs=1e-12)
+    assert sorted((r["id"], r["color"]) for r in G.wl_colors(e, 3).collect()) == colors
+    assert len(made) == 2 and all(salted and n for salted, n in made)
+
+
+def test_salted_join_reads_the_large_table_in_buckets(spark, monkeypatch):
+    from tessera.plans.iterate import Materializer
+
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 100)
+    monkeypatch.setattr(joins, "MIN_HOT_DEGREE", 50)
+    mat = Materializer(spark)
+    fact = mat(hub_edges(spark))
+    table = joins.SkewSplitTable(fact, ["src"], mat, fact.count(), 1000)
+    per_key = G.graph_nodes(fact).selectExpr("id AS src", "id * 2 AS v")
+    got = table.join(per_key)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Bucketed: true") == 2 and "BroadcastHashJoin" not in plan
+    assert sorted(map(tuple, got.select("src", "dst", "v").collect())) == sorted((r.src, r.dst, 2 * r.src) for r in fact.collect())
+    table.close()

@@ -80,3 +80,53 @@ def test_training_lowers_loss_and_keeps_featureless_rows(spark):
     b = as_dict(fit.beta)
     assert b["good"] > 0 > b["bad"]
     assert fit.history[-1][4] is not None
+
+
+def _examples(spark):
+    rows = [(i, 1 if i % 3 else -1) for i in range(40)]
+    data = [(i, lab, f"f{j}", float((i * j) % 5) - 1.0) for i, lab in rows for j in range(8) if (i + j) % 3 and i != 7]
+    data += [(i, lab, "everywhere", 1.0) for i, lab in rows] + [(3, -1, "twice", 0.5), (3, -1, "twice", 0.25)]
+    return (spark.createDataFrame(data, "row_id long, label int, feature string, value double").repartition(3),
+            spark.createDataFrame(rows, "row_id long, label int"))
+
+
+def test_grid_and_broadcast_training_agree(spark):
+    data, rows = _examples(spark)
+    start = spark.createDataFrame([("f1", 0.3), ("elsewhere", -2.0)], "feature string, value double")
+    for beta0 in (None, start):
+        one = LG.train_logistic(data, rows, 0.2, max_iter=3, eps=0.0, beta0=beta0, test=(data, rows))
+        for side, hot in ((None, None), (3, 5), (70, 3)):
+            two = LG.train_logistic(data, rows, 0.2, max_iter=3, eps=0.0, beta0=beta0, test=(data, rows), broadcast_rows=0, side=side, hot_entries=hot)
+            assert {r[0]: pytest.approx(r[1]) for r in two.beta.collect()} == {r[0]: r[1] for r in one.beta.collect()}
+            assert [h[:7] for h in two.history] == [pytest.approx(h[:7]) for h in one.history]
+
+
+def test_an_iteration_does_not_shuffle_the_examples(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.plans.iterate import Materializer
+
+    data, rows = _examples(spark)
+    grid = LG.GridProducts(data, rows, LG.empty_model(data), Materializer(spark))
+    plan = grid._product(grid.cols.select("id", "mask", F.col("b").alias("v")), 1)._jdf.queryExecution().executedPlan().toString()
+    # the sent values and the answered sums move, the examples are read in buckets
+    assert plan.count("Exchange hashpartitioning") == 2 and "Bucketed: true" in plan
+    grid.close()
+
+
+def test_model_versions(spark, tmp_dir):
+    from tessera.sources import models
+
+    data, rows = _examples(spark)
+    path = f"{tmp_dir}/beta"
+    fit = LG.train_logistic(data, rows, 0.2, max_iter=3, eps=0.0, beta_path=path)
+    last = {r[0]: r[1] for r in fit.beta.collect()}
+    assert {r.iteration for r in models.load_versions(spark, path).select("iteration").distinct().collect()} == {0, 1, 2}
+    assert {r[0]: r[1] for r in models.load_version(spark, path).collect()} == last
+    first = {r[0]: r[1] for r in models.load_version(spark, path, 0).collect()}
+    one = LG.train_logistic(data, rows, 0.2, max_iter=1, eps=0.0)
+    assert first == {r[0]: pytest.approx(r[1]) for r in one.beta.collect()}
+    moved = {r.iteration: (r.n_features, r.moved) for r in models.coefficient_changes(spark, path).collect()}
+    assert moved[0] == (len(first), pytest.approx(sum(v * v for v in first.values()) ** .5)) and len(moved) == 3
+    models.append_version(fit.beta.limit(2), path, 2)  # written again: replaced, not doubled
+    assert models.load_version(spark, path, 2).count() == 2

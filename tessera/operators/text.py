@@ -2,15 +2,21 @@
 and cosine similarity.
 
 Terms come from splitting on whitespace, lower-casing and dropping every
-non-letter; empty results are discarded.  All operators are lazy DataFrame
-transformations; nothing is collected.
+non-letter; empty results are discarded.  Operators are lazy DataFrame
+transformations, but for ``pairwise_cosine``, which stores its pairs; nothing
+is collected.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import normalize_term, split_words
+from ..plans.grid import SparseGrid, grid_side
+from ..plans.iterate import Materializer
 from ..plans.layout import spread
 
 
@@ -98,6 +104,11 @@ def corpus_tfidf(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Da
     return stats.select("term", (F.col("tf") * F.ln(n.cast("double") / F.col("df"))).alias("tfidf"))
 
 
+def ranked_scores(scores: DataFrame, score: str, term: str = "term") -> DataFrame:
+    """All rows, the largest score first, ties by term (a range-partitioned sort)."""
+    return scores.orderBy(F.desc(score), F.asc(term))
+
+
 def top_terms(scores: DataFrame, score: str, k: int = 20, term: str = "term") -> DataFrame:
     """The ``k`` rows with the largest score; ties broken by term.
 
@@ -125,29 +136,70 @@ def cosine_similarity(a: DataFrame, b: DataFrame, score: str = "score",
     return sums.select(F.when(denom > 0, F.col("_dot") / denom).alias("cosine"))
 
 
+#: Pairs of one cell, on average: a task holds the vectors of one cell's pairs.
+CELL_PAIRS = 4096
+
+
 def pairwise_cosine(vectors: DataFrame, pairs: DataFrame, key: str = "doc_id",
                     score: str = "tfidf", term: str = "term",
-                    left: str = "doc_a", right: str = "doc_b") -> DataFrame:
+                    left: str = "doc_a", right: str = "doc_b", side: int | None = None,
+                    hot_pairs: int | None = None) -> DataFrame:
     """Cosine similarity for every ``(left, right)`` pair of vector keys.
 
-    Vectors are long form ``(key, term, score)``.  Shared-term products are
-    produced by joining on (key, term), summed per pair; norms come from one
-    aggregate per key.  Pairs without shared terms get 0.0, pairs with a
-    missing or zero-norm vector get NULL.
+    Vectors are long form ``(key, term, score)``, a term once per key.  The
+    pairs are dealt into a grid of blocks of left and right keys; a vector is
+    sent once to every cell that holds one of its pairs, however many those
+    are, and a key in very many pairs has them dealt over all cells.  Cells
+    multiply and give norms and dot products.  Pairs without shared terms get
+    0.0, pairs with a missing or zero-norm vector or a null key get NULL;
+    repeated pairs stay.  ``side`` and ``hot_pairs`` set the grid's shape.
     """
-    v = vectors.select(F.col(key).alias("_k"), F.col(term).alias("_t"),
-                       F.col(score).cast("double").alias("_s"))
-    norms = v.groupBy("_k").agg(F.sum(F.col("_s") * F.col("_s")).alias("_n"))
-    p = pairs.select(F.col(left).alias(left), F.col(right).alias(right))
-    va = v.select(F.col("_k").alias(left), "_t", F.col("_s").alias("_sa"))
-    vb = v.select(F.col("_k").alias(right), "_t", F.col("_s").alias("_sb"))
-    dots = (p.join(va, left).join(vb, [right, "_t"])
-            .groupBy(left, right).agg(F.sum(F.col("_sa") * F.col("_sb")).alias("_dot")))
-    na = norms.select(F.col("_k").alias(left), F.col("_n").alias("_na"))
-    nb = norms.select(F.col("_k").alias(right), F.col("_n").alias("_nb"))
-    out = (p.join(na, left, "left").join(nb, right, "left")
-           .join(dots, [left, right], "left"))
-    denom = F.sqrt(F.col("_na") * F.col("_nb"))
-    return out.select(left, right,
-                      F.when(denom > 0, F.coalesce(F.col("_dot"), F.lit(0.0)) / denom)
-                      .alias("cosine"))
+    spark = pairs.sparkSession
+    mat = Materializer(spark)
+    p = pairs.select(F.col(left).alias("row"), F.col(right).alias("col"))
+    entries = mat(p.groupBy("row", "col").agg(F.count(F.lit(1)).alias("times")))
+    known = entries.where("row is not null and col is not null")
+    n = known.count()
+    grid = SparseGrid(known, n, side or grid_side(spark, n, CELL_PAIRS), hot_pairs)
+    cells = grid.entries
+    routes = cells.select(F.col("row").alias("id"), "cell").union(cells.select(F.col("col").alias("id"), "cell")).distinct()
+    v = vectors.select(F.col(key).alias("id"), F.col(term).alias("t"), F.col(score).cast("double").alias("s"))
+    kinds = {f.name: f.dataType.simpleString() for f in p.schema.fields}
+    found = mat(grid.answer(v.join(routes, "id").select("cell", "id", "t", "s"), _cell_cosines,
+                            f"row {kinds['row']}, col {kinds['col']}, times long, dot double, a double, b double"))
+    grid.close()
+    none = F.lit(None).cast("double")
+    rest = entries.where("row is null or col is null").select("row", "col", "times", *[none.alias(c) for c in ("dot", "a", "b")])
+    every = found.unionByName(rest).withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    denom = F.sqrt(F.col("a") * F.col("b"))
+    return every.select(F.col("row").alias(left), F.col("col").alias(right), F.when(denom > 0, F.col("dot") / denom).alias("cosine"))
+
+
+def _cell_cosines(entries: pa.Table, values: pa.Table) -> pa.Table:
+    """Dot product and squared norms of one cell's pairs; a missing vector's norm is null."""
+    if not entries.num_rows:
+        return pa.table({"row": entries["row"], "col": entries["col"], "times": entries["times"],
+                         **{c: pa.array([], pa.float64()) for c in ("dot", "a", "b")}})
+    ids = pc.unique(values["id"])
+    doc = pc.index_in(values["id"], ids).to_numpy()
+    terms = pc.index_in(values["t"], pc.unique(values["t"])).to_numpy()
+    s = values["s"].fill_null(0.0).to_numpy()
+    order = np.argsort(doc, kind="stable")
+    doc, terms, s = doc[order], terms[order], s[order]
+    at = np.searchsorted(doc, np.arange(len(ids) + 1))
+    norm = np.bincount(doc, s * s, len(ids))
+    a, b = (pc.fill_null(pc.index_in(entries[c], ids), -1).to_numpy() for c in ("row", "col"))
+    dots = np.zeros(len(a))
+    whole = np.flatnonzero((a >= 0) & (b >= 0))
+    whole = whole[np.argsort(a[whole], kind="stable")]
+    x = np.zeros(int(terms.max()) + 1 if len(terms) else 1)
+    for mine in np.split(whole, np.flatnonzero(np.diff(a[whole])) + 1):
+        if len(mine):
+            own = slice(at[a[mine[0]]], at[a[mine[0]] + 1])
+            x[terms[own]] = s[own]  # one left vector, spread over the cell's terms
+            sizes = at[b[mine] + 1] - at[b[mine]]
+            place = np.arange(sizes.sum()) + np.repeat(at[b[mine]] - (np.cumsum(sizes) - sizes), sizes)
+            dots[mine] = np.bincount(np.repeat(np.arange(len(mine)), sizes), x[terms[place]] * s[place], len(mine))
+            x[terms[own]] = 0.0
+    norms = [pa.array(np.where(k >= 0, norm[k] if len(ids) else 0.0, 0.0), mask=k < 0) for k in (a, b)]
+    return pa.table({"row": entries["row"], "col": entries["col"], "times": entries["times"], "dot": dots, "a": norms[0], "b": norms[1]})

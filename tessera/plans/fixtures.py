@@ -31,6 +31,16 @@ def consecutive_pairs(spark, sf_dir) -> DataFrame:
                   F.col("doc_b") == F.col("doc_a") + 1))
 
 
+def hub_pairs(spark, sf_dir) -> DataFrame:
+    """``(doc_a, doc_b)``: the first document with every other, and every other
+    with the two ids that follow, which need not exist."""
+    ids = corpus(spark, sf_dir).select("doc_id")
+    first = ids.agg(F.min("doc_id")).scalar()
+    others = ids.where(F.col("doc_id") != first)
+    return (others.select(first.alias("doc_a"), F.col("doc_id").alias("doc_b"))
+            .unionAll(others.select(F.col("doc_id").alias("doc_a"), F.explode(F.array(F.col("doc_id") + 1, F.col("doc_id") + 2)).alias("doc_b"))))
+
+
 def links_out(spark, sf_dir) -> DataFrame:
     """Directed edges supplier -> part, duplicates kept."""
     return table(spark, sf_dir, "lineitem").select(

@@ -52,8 +52,10 @@ class SparseGrid:
         self.side = side or grid_side(spark, n_entries)
         # at most n / most keys a side are hot: never more than side, unless the caller asks for more
         most = max(1, n_entries // self.side) if hot_entries is None else hot_entries
-        self.hot = {kind: [r[0] for r in entries.groupBy(name).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
-                           .select(name).collect()] for kind, name in ((ROW, "row"), (COL, "col"))}
+        counts = [entries.groupBy(F.lit(kind).alias("kind"), F.col(name).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+                  for kind, name in ((ROW, "row"), (COL, "col"))]
+        hot = counts[0].unionByName(counts[1]).where(F.col("n") > most).collect()
+        self.hot = {kind: [r["id"] for r in hot if r["kind"] == kind] for kind in (ROW, COL)}
         placed = entries.withColumn("cell", self._cell())
         self.buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), self.side)
         self.table = f"tessera_grid_{uuid.uuid4().hex}"
@@ -98,6 +100,7 @@ class SparseGrid:
 
     def answer(self, sent: DataFrame, step: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
         """``step(entries, values)`` per cell, both as Arrow tables."""
+        sent = sent.select(*[F.col(c).alias(c) for c in sent.columns])  # may itself come from the entries
         return (self.entries.groupBy("cell")
                 .cogroup(sent.repartition(self.buckets, "cell").groupBy("cell")).applyInArrow(step, schema))
 

@@ -26,6 +26,10 @@ LINKS_IN = "SELECT l_partkey AS src, l_suppkey AS dst FROM lineitem"
 STARS = "SELECT c_custkey AS src, -1 - c_nationkey AS dst FROM customer"
 DEBTORS = "SELECT c_custkey AS src, -1 - c_nationkey AS dst FROM customer WHERE c_acctbal < 0"
 STAR_NODES = "SELECT c_custkey AS id FROM customer UNION SELECT -1 - n_nationkey FROM nation"
+HUB_PAIRS = """SELECT (SELECT min(doc_id) FROM documents) AS doc_a, doc_id AS doc_b FROM documents
+  WHERE doc_id <> (SELECT min(doc_id) FROM documents)
+  UNION ALL SELECT doc_id, doc_id + k FROM documents, (VALUES (1), (2)) steps(k)
+  WHERE doc_id <> (SELECT min(doc_id) FROM documents)"""
 DENSE = """SELECT l_quantity / 50.0 AS x1, l_discount * 10.0 + 0.0 AS x2,
        l_extendedprice / 1e4 AS y, l_linenumber = 7 AS is_test FROM lineitem"""
 # 110: fixtures.PART_GROUPS

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_term, split_words
 from ..operators import text as T
 from . import fixtures as fx
-from .oracle_sql import CORPUS, WS, r6 as s6, terms_sql
+from .oracle_sql import CORPUS, HUB_PAIRS, WS, r6 as s6, terms_sql
 from .registry import r6, register
 
 _TOKENS = f"corpus AS ({CORPUS}), toks AS ({terms_sql('corpus')})"
@@ -84,10 +84,21 @@ def idf(spark, sf_dir):
 @register("tfidf", f"""
 WITH {_IDF},
 tf AS (SELECT term, count(*) AS tf FROM toks GROUP BY term)
-SELECT term, {s6('tf * idf')} AS tfidf FROM tf JOIN idf USING (term)""")
+SELECT term, {s6('tf * idf')} AS tfidf FROM tf JOIN idf USING (term) ORDER BY tfidf DESC, term""")
 def tfidf(spark, sf_dir):
-    out = T.corpus_tfidf(fx.corpus(spark, sf_dir))
-    return out.select("term", r6("tfidf").alias("tfidf"))
+    """TF of the corpus times IDF, joined by term, the best first."""
+    docs = fx.corpus(spark, sf_dir)
+    out = T.tfidf(T.term_frequency(docs), T.inverse_document_frequency(docs))
+    return T.ranked_scores(out.select("term", r6("tfidf").alias("tfidf")), "tfidf")
+
+
+@register("corpus_tfidf", f"""
+WITH {_IDF},
+tf AS (SELECT term, count(*) AS tf FROM toks GROUP BY term)
+SELECT term, {s6('tf * idf')} AS tfidf FROM tf JOIN idf USING (term)""")
+def corpus_tfidf(spark, sf_dir):
+    """The same scores from one aggregate."""
+    return T.corpus_tfidf(fx.corpus(spark, sf_dir)).select("term", r6("tfidf").alias("tfidf"))
 
 
 @register("doc_tfidf", f"""
@@ -136,3 +147,23 @@ def pairwise_cosine(spark, sf_dir):
     vectors = T.doc_tfidf(fx.corpus(spark, sf_dir))
     out = T.pairwise_cosine(vectors, fx.consecutive_pairs(spark, sf_dir))
     return out.select("doc_a", "doc_b", r6("cosine").alias("cosine"))
+
+
+@register("hub_cosine", f"""
+WITH {_IDF},
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY doc_id, term),
+v AS (SELECT doc_id, term, tf * idf AS s FROM tf JOIN idf USING (term)),
+pairs AS ({HUB_PAIRS}),
+norms AS (SELECT doc_id, sum(s * s) AS n FROM v GROUP BY doc_id),
+dots AS (SELECT p.doc_a, p.doc_b, sum(va.s * vb.s) AS d FROM pairs p
+         JOIN v va ON va.doc_id = p.doc_a JOIN v vb ON vb.doc_id = p.doc_b AND vb.term = va.term
+         GROUP BY p.doc_a, p.doc_b)
+SELECT p.doc_a, p.doc_b,
+       {s6('CASE WHEN na.n * nb.n > 0 THEN coalesce(dots.d, 0.0) / sqrt(na.n * nb.n) END')} AS cosine
+FROM pairs p LEFT JOIN norms na ON na.doc_id = p.doc_a LEFT JOIN norms nb ON nb.doc_id = p.doc_b
+LEFT JOIN dots ON dots.doc_a = p.doc_a AND dots.doc_b = p.doc_b""")
+def hub_cosine(spark, sf_dir):
+    """One document in a third of all pairs: the first with every other, and every other with its next two."""
+    vectors = T.doc_tfidf(fx.corpus(spark, sf_dir))
+    out = T.pairwise_cosine(vectors, fx.hub_pairs(spark, sf_dir))
+    return out.select("doc_a", "doc_b", r6("cosine").alias("cosine"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir
+from .listing import empty_files, list_files, reachable, read_files
 
 # Line patterns of the tuple text formats.
 #   scores  (u'term', 3)           -> term, value
@@ -38,28 +39,19 @@ def _or_error(ok, value, what: str):
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """One row per file below ``path``: ``(doc_id = file path, text)``.
 
-    Files are read whole by the tasks.  An empty file, which Spark's file
-    sources skip, is a document with an empty text (it counts in N for IDF);
-    names that start with ``_`` or ``.`` are no documents.
+    Tasks list the directories and read the files whole.  An empty file is a
+    document with an empty text (it counts in N for IDF); names that start
+    with ``_`` or ``.`` are no documents.  Storage that Arrow has no file
+    system for is read with Spark's file source, which skips empty files; there
+    the driver looks for those.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    empty = spark.createDataFrame([(f, "") for f in empty_files(spark, path)], "doc_id string, text string")
-    return files.select(F.col("path").alias("doc_id"), F.col("content").cast("string").alias("text")).unionByName(empty)
-
-
-def empty_files(spark: SparkSession, path: str) -> list[str]:
-    """Paths of the empty data files below a file, directory or glob (metadata only)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = []
-    for status in fs.globStatus(root) or []:
-        found = fs.listFiles(status.getPath(), True)
-        while found.hasNext():
-            entry = found.next()
-            if entry.getLen() == 0 and not entry.getPath().getName().startswith(("_", ".")):
-                out.append(entry.getPath().toString())
-    return out
+    if reachable(path):
+        files = read_files(list_files(spark, path))
+    else:
+        empty = spark.createDataFrame([(f, b"") for f in empty_files(spark, path)], "path string, content binary")
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+                 .select("path", "content").unionByName(empty))
+    return files.select(F.col("path").alias("doc_id"), F.col("content").cast("string").alias("text"))
 
 
 # The escapes of a Python string literal that its repr writes.

@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from tessera.sources import listing
 from tessera.sources import readers as S
 from tessera.sources import writers as W
 
@@ -78,3 +79,20 @@ def test_models_round_trip(spark, tmp_dir):
     beta = spark.createDataFrame([("a", 0.25)], "feature string, value double")
     W.save_sparse_model(beta, os.path.join(tmp_dir, "sbeta"))
     assert S.load_sparse_model(spark, os.path.join(tmp_dir, "sbeta")).first()["value"] == 0.25
+
+
+def test_corpus_of_nested_folders_and_odd_names(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "corpus")
+    texts = {"a.txt": "one\ntwo", "sub/b c%20é.txt": "three", "sub/deep/empty.txt": "", "sub/_hidden.txt": "no", "_skip/x.txt": "no", "sub/.y": "no"}
+    for name, text in texts.items():
+        os.makedirs(os.path.dirname(os.path.join(d, name)), exist_ok=True)
+        with open(os.path.join(d, name), "w", encoding="utf-8") as fh:
+            fh.write(text)
+    want = {k: v for k, v in texts.items() if "no" != v}
+    for path in (d, f"file:{d}", f"file://{d}", f"{tmp_dir}/cor*"):
+        got = {r.doc_id.split("/corpus/")[1]: r.text for r in S.read_corpus(spark, path).collect()}
+        assert got == want
+    assert S.read_corpus(spark, os.path.join(d, "a.txt")).first()["text"] == "one\ntwo"
+    assert listing.empty_files(spark, d)[0].endswith("empty.txt")
+    with pytest.raises(ValueError):
+        S.read_corpus(spark, os.path.join(tmp_dir, "nothing"))

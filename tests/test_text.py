@@ -72,3 +72,31 @@ def test_top_terms_tie_break(spark):
 def test_document_frequency(spark):
     df = as_dict(T.document_frequency(docs(spark, ["a a b", "a", "c"])), "term", "df")
     assert df == {"a": 2, "b": 1, "c": 1}
+
+
+def test_pairwise_cosine_in_a_grid(spark):
+    import math
+    import random
+
+    rng = random.Random(3)
+    vectors = {k: {f"t{j}": rng.random() for j in rng.sample(range(30), rng.randint(1, 12))} for k in range(40)}
+    vectors[7] = {"t1": 0.0}
+    pairs = [(0, k) for k in range(40)] + [(rng.randrange(40), rng.randrange(45)) for _ in range(60)] + [(None, 1), (2, None), (3, 5), (3, 5)]
+    V = spark.createDataFrame([(k, t, s) for k, v in vectors.items() for t, s in v.items()], "doc_id long, term string, tfidf double")
+
+    def plain(a, b):
+        if a not in vectors or b not in vectors:
+            return None
+        norm = math.prod(sum(x * x for x in vectors[k].values()) for k in (a, b))
+        return sum(s * vectors[b].get(t, 0.0) for t, s in vectors[a].items()) / math.sqrt(norm) if norm else None
+
+    want = sorted((str(a), str(b), None if plain(a, b) is None else round(plain(a, b), 9)) for a, b in pairs)
+    P = spark.createDataFrame(pairs, "doc_a long, doc_b long")
+    for side, hot in ((None, None), (1, None), (5, 6)):
+        got = T.pairwise_cosine(V, P, side=side, hot_pairs=hot).collect()
+        assert sorted((str(r.doc_a), str(r.doc_b), None if r.cosine is None else round(r.cosine, 9)) for r in got) == want
+    named = T.pairwise_cosine(V.selectExpr("concat('d', doc_id) AS doc_id", "term", "tfidf"),
+                              P.selectExpr("concat('d', doc_a) AS doc_a", "concat('d', doc_b) AS doc_b"), side=2).collect()
+    assert sorted((str(r.doc_a)[1:], str(r.doc_b)[1:], r.cosine and round(r.cosine, 9)) for r in named if r.doc_a and r.doc_b) == sorted(
+        w for w in want if "None" not in w[:2])
+    assert T.pairwise_cosine(V, P.where("false")).collect() == []

@@ -39,6 +39,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores added until no column is called so (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def spread_join(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Inner join of a written table with one that has a row per key.  Keys
     with over one in ``HOT_PART`` of the rows, which are about ``HOT_PART`` at

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .buckets import Links, compare_buckets, pairs_in_groups
-from .common import per_batch, text_parts, written
+from .common import per_batch, spread_join, text_parts, unused, written
 from .components import connected_components
 
 SEGMENTS, SEGMENT_BITS = 4, 16
@@ -44,15 +44,18 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
 
 
+def _fingerprints_of(texts: pa.Array, shingle: int, seed: int) -> pa.Array:
+    raw, at = text_parts(texts)
+    data, at = raw.tobytes(), at.tolist()
+    fps = np.array([fingerprint(data[a:b], shingle, seed) for a, b in zip(at, at[1:])], np.uint64)
+    return pa.array(fps.view(np.int64))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 3, seed: int = 42) -> DataFrame:
     """``(id, fp)``: the fingerprint of every row as a signed long."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        raw, at = text_parts(batch.column(1))
-        data = raw.tobytes()
-        at = at.tolist()
-        fps = np.array([fingerprint(data[a:b], shingle, seed) for a, b in zip(at, at[1:])], np.uint64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column(0), _fingerprints_of(batch.column(1), shingle, seed)], ["id", "fp"])
 
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
             .mapInArrow(per_batch(run), "id long, fp long"))
@@ -97,6 +100,21 @@ def _compare(max_bits: int):
     return run
 
 
+def _grouped(fps: DataFrame, max_bits: int) -> DataFrame:
+    """``(fp, group, component)`` of every distinct fingerprint in ``(id, fp)``:
+    a key of its group and the least id there, null where no row of it has one."""
+    if not 0 <= max_bits <= 3:
+        raise ValueError("the ring keys cover at most 3 bits")
+    # inside, each distinct fingerprint has a key of its own; ids may be null or repeat
+    distinct = written(fps.groupBy("fp").agg(F.min("id").alias("first")).withColumn("id", F.monotonically_increasing_id()), "distinct")
+    keyed = distinct.select(F.explode(F.array(*ring_keys(F.col("fp")))).alias("k"), "id", "fp")
+    comps = connected_components(compare_buckets(keyed, _compare(max_bits), "a long, b long"))
+    classes = written(distinct.join(comps, F.col("id") == F.col("node"), "left")
+                      .select("fp", "first", F.coalesce("component", "id").alias("group")), "classes")
+    least = written(classes.groupBy("group").agg(F.min("first").alias("component")), "least")
+    return written(spread_join(classes, least, "group").select("fp", "group", "component"), "groups")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``(id, fp, component)`` per row: rows whose fingerprints are linked,
@@ -104,30 +122,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the smallest id.  ``max_bits`` is at most 3.
 
     A null text counts as empty (fingerprint 0, linked like any other); rows
-    with a null id keep a null component unless linked to one with an id;
-    repeated rows are kept.  Other columns are ignored.
+    with a null id link and are linked through like others, and have a null
+    component only where no row of the group has an id; repeated rows are
+    kept; texts are read whole; other columns are ignored; an empty table
+    gives an empty one.
     """
-    if not 0 <= max_bits <= 3:
-        raise ValueError("the ring keys cover at most 3 bits")
     fps = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = written(fps.groupBy("fp").agg(F.min("id").alias("id")), "distinct")
-    keyed = distinct.where("id is not null").select(
-        F.explode(F.array(*ring_keys(F.col("fp")))).alias("k"), "id", "fp")
-    links = compare_buckets(keyed, _compare(max_bits), "a long, b long")
-    comps = connected_components(links)
-    classes = written(distinct.join(comps, F.col("id") == F.col("node"), "left")
-                      .select("fp", F.coalesce("component", "id").alias("component")), "classes")
-    return fps.join(classes, "fp").select("id", "fp", "component")
+    return spread_join(fps, _grouped(fps, max_bits), "fp").select("id", "fp", "component")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                max_bits: int = 3) -> DataFrame:
-    """``docs`` with one document of each group: that of the smallest id, once.
-    Rows without an id stay; all columns are kept."""
-    found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    first = written(found.where("id = component").select(F.col("id").alias(id_col)).distinct(), "first")
-    kept = docs.join(first, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    """``docs`` with one row of each group, all columns kept.
+
+    The row of the smallest id stays, of rows with that id the one whose text
+    has the least hash, once where it repeats.  Rows that share an id but not a
+    group do not affect each other.  A row without an id stays only where no
+    row of its group has one.  A null text counts as empty; an empty table
+    gives an empty one.
+    """
+    mark = unused("text_hash", docs.columns)
+    hashed = docs.withColumn(mark, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    rows = hashed.select(F.col(id_col).cast("long").alias("id"), F.col(mark).alias("hash"), F.col(text_col).alias("text"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _fingerprints_of(batch.column(2), shingle, 42)], ["id", "hash", "fp"])
+
+    fps = written(rows.mapInArrow(per_batch(run), "id long, hash long, fp long"), "fingerprints")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
+    first = (spread_join(fps, _grouped(fps.select("id", "fp"), max_bits), "fp")
+             .groupBy("group").agg(F.min(order).alias("first")).select("first.id", "first.hash"))
+    first = written(first, "first")
+    kept = hashed.join(first, F.col(id_col).eqNullSafe(first["id"]) & (F.col(mark) == first["hash"]), "left_semi")
+    return kept.dropDuplicates([id_col, mark]).select(*docs.columns)
 
 
 def op10(docs: DataFrame) -> DataFrame:

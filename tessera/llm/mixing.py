@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .common import unused
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -72,15 +74,21 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
-    """Every row of ``docs`` as many times as the mix takes it, all columns kept."""
+    """Every row of ``docs`` as many times as the mix takes it, all columns kept.
+
+    A null text has size 0, a null source is a source of its own, and rows that
+    share an id share their draw; texts of any length are counted whole; a
+    column may have any name; an empty table gives an empty one.
+    """
     cols = docs.columns
+    name, rate, copy = (unused(n, cols) for n in ("source_of", "rate_of", "copy_of"))
     sized = docs.select(F.col(source_col).alias("source"), size_of(text_col).alias("size"))
     targets = source_targets(sized, weights=weights, cap=cap).select(
-        F.col("source").alias("_source"),
-        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("_rate"))
-    copies = (F.floor("_rate") + (draw(id_col, seed) < F.col("_rate") - F.floor("_rate")).cast("long")).cast("int")
-    return (docs.join(targets, docs[source_col].eqNullSafe(targets["_source"]))
-            .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*cols))
+        F.col("source").alias(name),
+        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias(rate))
+    copies = (F.floor(rate) + (draw(id_col, seed) < F.col(rate) - F.floor(rate)).cast("long")).cast("int")
+    return (docs.join(targets, F.col(source_col).eqNullSafe(F.col(name)))
+            .withColumn(copy, F.explode(F.array_repeat(F.lit(1), copies))).select(*cols))
 
 
 def op6(docs: DataFrame) -> DataFrame:

@@ -32,6 +32,13 @@ LIMIT = 512
 #: The tokenizer's own split pattern (a fixed value of its file format).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
+#: Characters of blocks in which the tables of letters and digits of ``regex``
+#: and of the tokenizer agree (tested over all code points).  Text with any
+#: other goes through the tokenizer's own split, which is slower.
+PLAIN = ("\u0000-\u0557\u2000-\u206F\u20A0-\u2BFF\u3000-\u9FFF\uAC00-\uD7A3\uFB00-\uFFFF"
+         "\U0001F000-\U0001FAFF")
+NOT_PLAIN = regex.compile(f"[^{PLAIN}]")
+
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
@@ -52,14 +59,21 @@ def _tokenizer(path: str):
     return t, regex.compile(SPLIT), cut, frozenset(specials)
 
 
+def _split(text: str, path: str) -> list[str]:
+    tokenizer, split, _, _ = _tokenizer(path)
+    if NOT_PLAIN.search(text):
+        return [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+    return split.findall(text)
+
+
 def pre_tokens(text: str, path: str) -> list[str]:
     """Pre-tokens of a text; a special string is one of its own."""
-    _, split, cut, specials = _tokenizer(path)
+    _, _, cut, specials = _tokenizer(path)
     if cut is None or not cut.search(text):
-        return split.findall(text)
+        return _split(text, path)
     out = []
     for part in cut.split(text):
-        out += [part] if part in specials else split.findall(part)
+        out += [part] if part in specials else _split(part, path)
     return out
 
 

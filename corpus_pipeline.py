@@ -26,7 +26,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest id of each SimHash group (3-word shingles, 3 bits);
-    of repeated rows of that id, one.  A document without an id stays."""
+    of repeated rows of that id, one.  A document without an id stays where no
+    document of its group has one."""
     share_package(spark)
     return simhash.keep_first(docs)
 

@@ -46,6 +46,11 @@ RANGE_BYTES = 16 << 20
 CHUNK = 900_000  # places hashed at a time; with a window more it fits in PLACE bits
 PLACE = np.uint64((1 << 20) - 1)
 HOT_CONTEXTS = 4096
+#: The same for an anchor with more entries than this, also where all are alike:
+#: a passage that stands in every block.
+HOT_ENTRIES = 1 << 16
+#: Anchors that the driver takes splitters from, at most about.
+SPLIT_SAMPLE = 1 << 20
 MARK_BITS = np.uint64(16)
 SAMPLES, PREFIX = 64, 16
 
@@ -198,6 +203,8 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataF
         cols += [(F.lit(None).cast(docs.schema[c].dataType) if c == text_col else F.col(c)).alias(f"c{k}")
                  for k, c in enumerate(docs.columns)]
 
+    most = BLOCK_BYTES
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = first_block_number()
         ids, texts, extra, size = [], [], [], 0
@@ -209,7 +216,7 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataF
             start = 0
             for k, (i, t) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 t = t or b""
-                if ids and size + len(t) > BLOCK_BYTES:
+                if ids and size + len(t) > most:
                     if carry:
                         extra.append(batch.slice(start, k - start).select(range(2, batch.num_columns)))
                         start = k
@@ -238,14 +245,16 @@ def _codes(blocks: DataFrame, parts: int) -> DataFrame:
     compared in full later.
     """
     edges = np.array(range_edges(parts), np.uint64)
+    most_contexts, most_entries = HOT_CONTEXTS, HOT_ENTRIES
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in dicts(batches):
             g, mark, _, _ = Block(row).entries()
             cut = np.concatenate([[0], np.searchsorted(g, edges), [len(g)]])
             key = (g >> MARK_BITS << MARK_BITS) | mark
+            full = np.flatnonzero(np.diff(cut))  # the ranges that the block has entries of
             yield from rows_of(PART_SCHEMA, [(p, 0, row["block"], key[a:b].tobytes())
-                                             for p, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if a < b])
+                                             for p, a, b in zip(full.tolist(), cut[full].tolist(), cut[full + 1].tolist())])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, who, keys = 0, [], []
@@ -265,7 +274,7 @@ def _codes(blocks: DataFrame, parts: int) -> DataFrame:
         times = np.bincount(group)
         contexts = np.bincount(group, other)
         code = np.empty(len(key), np.uint8)
-        code[order] = ((times > 1).astype(np.uint8) + (contexts > HOT_CONTEXTS).astype(np.uint8))[group]
+        code[order] = ((times > 1).astype(np.uint8) + ((contexts > most_contexts) | (times > most_entries)).astype(np.uint8))[group]
         at, rows = 0, []
         packer = zstandard.ZstdCompressor(level=1)
         for b, x in zip(who, keys):
@@ -295,7 +304,7 @@ def _runs(splitters: list[bytes], parts: int):
     wide = parts - 1
 
     def run(row: dict, notes: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-        from bisect import bisect_left
+        from bisect import bisect_left, bisect_right
 
         block, number = Block(row), row["block"]
         if not len(block.place):
@@ -321,17 +330,20 @@ def _runs(splitters: list[bytes], parts: int):
                 kept.append(item)
         if kept:
             texts = [x[0] for x in kept]
-            cuts = [0] + [bisect_left(texts, s) for s in splitters] + [len(texts)]
+            if len(texts) < len(splitters):
+                to = np.array([bisect_right(splitters, t) for t in texts], np.int64)
+            else:
+                cuts = [bisect_left(texts, s) for s in splitters]
+                to = np.searchsorted(np.array(cuts, np.int64), np.arange(len(texts)), side="right")
+            full, begin = np.unique(to, return_index=True)  # the ranges that the run has elements of
             where = np.array([x[2] for x in kept], np.int64)
             sizes = np.array([x[1] for x in kept], np.uint8)
             ids = block.id_at(where)
-            for p in range(len(cuts) - 1):
-                a, b = cuts[p], cuts[p + 1]
-                if a < b:
-                    shared, rest, rests = encode(texts[a:b])
-                    out.append((p, RUN, number, b"".join([
-                        np.int32(b - a).tobytes(), shared.astype(np.uint8).tobytes(), rest.astype(np.uint8).tobytes(),
-                        sizes[a:b].tobytes(), where[a:b].astype(np.int32).tobytes(), ids[a:b].tobytes(), rests])))
+            for p, a, b in zip(full.tolist(), begin.tolist(), [*begin[1:].tolist(), len(texts)]):
+                shared, rest, rests = encode(texts[a:b])
+                out.append((p, RUN, number, b"".join([
+                    np.int32(b - a).tobytes(), shared.astype(np.uint8).tobytes(), rest.astype(np.uint8).tobytes(),
+                    sizes[a:b].tobytes(), where[a:b].astype(np.int32).tobytes(), ids[a:b].tobytes(), rests])))
         # anchors in very many contexts: window by window, by hash
         seen: dict[bytes, int] = {}
         digest = xxhash.xxh3_128_digest
@@ -346,11 +358,9 @@ def _runs(splitters: list[bytes], parts: int):
             ids = block.id_at(at)
             to = (h[:, :4].copy().view(np.uint32)[:, 0].astype(np.uint64) * np.uint64(wide + 1) >> np.uint64(32)).astype(np.int64)
             order = np.argsort(to, kind="stable")
-            cut = np.searchsorted(to[order], np.arange(wide + 2))
-            for p in range(wide + 1):
-                o = order[cut[p]:cut[p + 1]]
-                if len(o):
-                    out.append((p, HOT, number, h[o].tobytes() + ids[o].tobytes() + at[o].astype(np.int32).tobytes()))
+            full, begin = np.unique(to[order], return_index=True)
+            for p, o in zip(full.tolist(), np.split(order, begin[1:])):
+                out.append((p, HOT, number, h[o].tobytes() + ids[o].tobytes() + at[o].astype(np.int32).tobytes()))
         if later:
             done.append(np.array(later))
         if done:
@@ -445,9 +455,9 @@ def _merge_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def later_windows(blocks: DataFrame, parts: int) -> DataFrame:
     """``(block, note, blob)``: ranges of windows that also start earlier."""
-    # splitters: quantiles of a bounded sample of the least hashed anchors
+    # splitters: quantiles of a sample of the least hashed anchors, of at most about SPLIT_SAMPLE rows
     n_blocks = max(1, blocks.count())
-    share = min(1.0, 200.0 * parts / (n_blocks * SAMPLES))
+    share = min(1.0, min(200.0 * parts, SPLIT_SAMPLE) / (n_blocks * SAMPLES))
     sample = blocks.select(F.explode("sample").alias("s")).where(F.rand(7) <= share)
     cuts = sorted(bytes(r.s) for r in sample.collect())
     splitters = sorted({cuts[len(cuts) * k // parts] for k in range(1, parts)}) if cuts else []

@@ -18,23 +18,30 @@ BLOCK_ROWS = 2048
 CHUNK_ROWS = 1 << 16
 
 
-def compare_buckets(keyed: DataFrame, compare: Callable[[pa.Table, np.ndarray], pa.RecordBatch],
-                    schema: str, block: int = BLOCK_ROWS) -> DataFrame:
-    """Run ``compare(rows, group)`` over chunks of whole groups of ``keyed``.
-
-    ``keyed`` has columns ``k`` (bucket), ``id`` and payload.  ``group``
-    numbers the rows' groups in ascending order.  Rows carry ``lo``, ``hi``
-    (the pair of blocks) and ``side`` (the row's own block): a pair is to be
-    counted only where ``lo = hi`` or the sides differ.  Buckets with one row
-    are left out before their payload moves.
-    """
+def deal(keyed: DataFrame, block: int = BLOCK_ROWS) -> DataFrame:
+    """Rows of ``keyed`` (``k``: bucket, ``id``, payload) that are not alone in
+    their bucket, with ``lo``, ``hi`` (the pair of blocks) and ``side`` (the
+    row's own block): a pair is to be counted only where ``lo = hi`` or the
+    sides differ."""
     counts = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = (keyed.join(counts, "k")
+    return (keyed.join(counts, "k")
             .withColumn("s", F.ceil(F.col("n") / block).cast("int"))
             .withColumn("side", F.pmod(F.xxhash64("id"), F.col("s")).cast("int"))
             .withColumn("t", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
             .withColumn("lo", F.least("side", "t")).withColumn("hi", F.greatest("side", "t"))
             .drop("t", "s", "n"))
+
+
+def compare_buckets(keyed: DataFrame, compare: Callable[[pa.Table, np.ndarray], pa.RecordBatch],
+                    schema: str, block: int = BLOCK_ROWS) -> DataFrame:
+    """``compare_dealt`` of the buckets of ``keyed``; buckets with one row are
+    left out before their payload moves."""
+    return compare_dealt(deal(keyed, block), compare, schema)
+
+
+def compare_dealt(rows: DataFrame, compare: Callable[[pa.Table, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+    """Run ``compare(rows, group)`` over chunks of whole groups ``(k, lo, hi)``
+    of what ``deal`` gave; ``group`` numbers the rows' groups in ascending order."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = rows.repartition(parts, "k", "lo", "hi").sortWithinPartitions("k", "lo", "hi")
 

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..plans.iterate import delete_path
 from ..session import ensure_checkpoint_dir
 
 #: Keys that hold more than one in so many of a table's rows are joined by broadcast.
@@ -36,7 +37,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the files of a ``written`` table that nothing will read again."""
+    path = getattr(table, "written_path", None)
+    if path:
+        delete_path(table.sparkSession, path)
 
 
 def unused(name: str, columns: list[str]) -> str:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -21,7 +21,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     repeated edges and edges with a null end are ignored; no edges give an
     empty table."""
     x, y = F.col(a).cast("long"), F.col(b).cast("long")
-    state = written(edges.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v"))
+    held = state = written(edges.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v"))
                     .where("u > v").distinct(), "edges")
     while True:
         parent = written(state.groupBy("u").agg(F.min("v").alias("p")), "parents")
@@ -32,6 +32,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         short = (parent.join(up, "p", "left")
                  .select("u", F.coalesce("pp", "p").alias("v"), F.col("pp").isNotNull().alias("moved")))
         after = written(hooked.unionByName(short).groupBy("u", "v").agg(F.max("moved").alias("moved")), "edges")
+        discard(held)
         if not after.where("moved").take(1):
+            discard(after)
             return parent.select(F.col("u").alias("node"), F.col("p").alias("component"))
-        state = after.select("u", "v")
+        discard(parent)
+        held, state = after, after.select("u", "v")

@@ -92,6 +92,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def op6(docs: DataFrame) -> DataFrame:
+    """How often the mix takes every ``documents`` row, in the contract's columns;
+    see ``mix_plan`` for nulls and repeated rows; an empty table gives an empty one."""
     return mix_plan(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target",
                                  (F.col("size") * F.col("copies")).alias("taken"))
 

@@ -228,4 +228,8 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
 
 
 def op8(docs: DataFrame) -> DataFrame:
+    """Ids and decoded text of every ``documents`` row as digests, in the
+    contract's columns; a null text is empty, rows repeat as they come, texts of
+    any length are read whole, other columns are ignored, an empty table gives
+    an empty one."""
     return digests(docs).withColumnRenamed("id", "doc_id")

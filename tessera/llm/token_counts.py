@@ -203,5 +203,8 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def op4(docs: DataFrame) -> DataFrame:
+    """Token counts of every ``documents`` text, in the contract's columns; see
+    ``token_counts`` for nulls, repeated rows and empty tables.  Texts of any
+    length are read whole."""
     return token_counts(docs).select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens",
                                      (F.col("n_tokens") > LIMIT).alias("over_limit"))

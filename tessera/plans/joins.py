@@ -105,6 +105,8 @@ class SkewSplitTable:
             self.cold = self._bucketed(fact.join(F.broadcast(self.hot_keys), self.keys, "left_anti"), self.keys)
             self.hot = mat(fact.join(F.broadcast(self.hot_keys.select(*keys)), self.keys))
 
+        self.table, self.path = self.tables[0]
+
     def _bucketed(self, rows: DataFrame, by: list[str]) -> DataFrame:
         import uuid
 

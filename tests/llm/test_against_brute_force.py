@@ -13,7 +13,7 @@ import sentencepiece
 import xxhash
 from tokenizers import Tokenizer
 
-from tessera.llm import components, front_coding, html_extract, piece_codec, quality, queries, simhash, spotsigs, suffix_dedup, token_counts, url_filter
+from tessera.llm import components, embedding_dedup, front_coding, html_extract, piece_codec, quality, queries, simhash, spotsigs, suffix_dedup, token_counts, url_filter
 from tessera.llm.common import read_table, share_package
 
 SF = "/root/testdata/sf0.001"
@@ -48,14 +48,28 @@ def brute_repeats(texts, width=100):
     return out
 
 
-@pytest.mark.parametrize("hot,block", [(4096, 4 << 20), (2, 50_000)])
-def test_suffix_dedup(spark, texts, monkeypatch, hot, block):
+@pytest.mark.parametrize("hot,block,entries", [(4096, 4 << 20, 1 << 16), (2, 50_000, 1 << 16), (4096, 20_000, 5)])
+def test_suffix_dedup(spark, texts, monkeypatch, hot, block, entries):
     monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
+    monkeypatch.setattr(suffix_dedup, "HOT_ENTRIES", entries)
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", block)
     got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.op2(read_table(spark, SF, "documents").repartition(3)).collect()}
     assert got == brute_repeats(texts)
 
 
+def test_a_passage_in_every_block(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(suffix_dedup, "SPLIT_SAMPLE", 50)
+    rng = random.Random(11)
+    passage = " ".join(f"p{rng.randrange(999)}" for _ in range(60))
+    rows = {k: " ".join(f"w{rng.randrange(9999)}" for _ in range(100)) + passage + " ".join(f"w{rng.randrange(9999)}" for _ in range(100)) for k in range(40)}
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(4)
+    want = brute_repeats(rows)
+    for entries in (1 << 16, 3):
+        monkeypatch.setattr(suffix_dedup, "HOT_ENTRIES", entries)
+        assert {r.doc_id: tuple(r)[1:] for r in suffix_dedup.op2(df).collect()} == want
+
+
 def test_suffix_dedup_of_periodic_and_overlapping_texts(spark):
     rng = random.Random(3)
     base = "".join(rng.choice("abcdef ") for _ in range(400))
@@ -93,6 +107,29 @@ def test_simhash(spark, texts):
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in run(spark, "op10_simhash")} == {i: (f"{fps[i]:016x}", comp[i]) for i in fps}
 
 
+def test_simhash_of_rows_without_an_id_and_of_repeated_ids(spark):
+    from pyspark.sql import functions as F
+
+    def groups(rows):
+        df = spark.createDataFrame(rows, "id long, fp long")
+        got = df.join(simhash._grouped(df, 3), "fp").select("id", "fp", "component").collect()
+        return sorted((str(r.id), r.fp, str(r.component)) for r in got)
+
+    assert groups([(1, 0), (None, 7), (2, 63)]) == [("1", 0, "1"), ("2", 63, "1"), ("None", 7, "1")]
+    assert groups([(1, 0), (None, 1)]) == [("1", 0, "1"), ("None", 1, "1")]
+    assert groups([(None, 0), (None, 1 << 40), (None, 0)]) == [("None", 0, "None")] * 2 + [("None", 1 << 40, "None")]
+    assert groups([(3, 0), (2, 1 << 50), (2, 1), (3, 7)]) == [("2", 1, "2"), ("2", 1 << 50, "2"), ("3", 0, "2"), ("3", 7, "2")]
+
+    share_package(spark)
+    rng = random.Random(4)
+    a, b, c, d = (" ".join(f"w{rng.randrange(9999)}" for _ in range(80)) for _ in range(4))
+    rows = [(1, a), (1, b), (2, c), (1, a), (3, c), (None, c), (None, d), (None, d), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_hash", F.lit(1)).withColumn("id", F.lit("x")).repartition(3)
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text or "") for r in kept.collect()) == sorted([("1", a), ("1", b), ("2", c), ("None", d), ("4", "")])
+
+
 def test_simhash_finds_every_pair_within_three_bits(spark):
     rng = random.Random(2)
     fps = [rng.getrandbits(64) for _ in range(60)]
@@ -119,6 +156,33 @@ def test_components_of_paths_and_stars(spark):
     assert got == {i: c for i, c in want.items() if i != c}
 
 
+def test_urls_of_any_length(spark):
+    share_package(spark)
+    rows = [(1, "http://a.com/" + "x" * 1_000_000), (2, "http://" + "loan" * 25_000 + ".com/"), (3, "http://loan-casino.com/a/b"), (4, None),
+            (5, "http://good-news.org/" + "/ab12" * 200_000), (6, "http://" + "q" * 200 + ".example/")]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules=()).collect()}
+    want = slow_url_scores([(got[k].host, got[k].path) for k in range(1, 7)])
+    for k, x in enumerate(want, 1):
+        assert got[k].score == pytest.approx(x, rel=1e-9, abs=1e-6) and got[k].verdict == ("block" if x > 0 else "allow")
+    assert [(len(got[k].host), len(got[k].path)) for k in (1, 2, 5)] == [(5, 1_000_001), (100_004, 1), (13, 1_000_001)]
+
+
+def test_every_code_point_is_split_as_the_tokenizer_does():
+    path = token_counts.tokenizer_path()
+    pre = token_counts._tokenizer(path)[0].pre_tokenizer
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    plain = [c for c in points if not token_counts.NOT_PLAIN.search(c)]
+    assert len(plain) > 48_000
+    # one text of many: each code point beside a letter, a digit, a space and a symbol
+    for at in range(0, len(plain), 5000):
+        text = "".join(f"a{c}1{c} {c}!{c}\n" for c in plain[at:at + 5000])
+        assert token_counts.pre_tokens(text, path) == [text[a:b] for _, (a, b) in pre.pre_tokenize_str(text)]
+    t = Tokenizer.from_file(path)
+    for text in ("\U00016ea7's", "a\u0558b", "x<|endoftext|>\u088f1 \u0c5c", "\U0003d000 \u208f9"):
+        words = token_counts.pre_tokens(text, path)
+        assert sum(token_counts.count_pieces(words, path)) == len(t.encode(text, add_special_tokens=False).ids)
+
+
 def test_token_counts_and_codec(spark, texts):
     t = Tokenizer.from_file(token_counts.tokenizer_path())
     assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in run(spark, "op4_token_counts")} == {
@@ -144,16 +208,37 @@ def test_odd_texts_round_trip():
         assert sum(token_counts.count_pieces(words, token_counts.tokenizer_path())) == len(t.encode(x, add_special_tokens=False).ids)
 
 
-def test_embedding_links(spark):
-    rows = read_table(spark, SF, "embeddings").collect()
-    x = np.array([r.embedding for r in rows], float)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    near = x @ x.T >= 0.95
-    ids = [r.vec_id for r in rows]
-    want = {i: int(n) - 1 for i, n in zip(ids, near.sum(1))}
-    got = {r.vec_id: r.n_links for r in run(spark, "op3_embedding_dedup")}
-    assert all(got[i] <= want[i] for i in ids)
-    assert sum(got.values()) >= 0.95 * sum(want.values())
+@pytest.mark.parametrize("dim", [8, 64, 768])
+def test_embedding_links_of_planted_vectors(spark, dim):
+    """Counts, components and kept rows against all pairs; recall of the hashing is 0.97 or more."""
+    share_package(spark)
+    rng = np.random.default_rng(dim)
+    x = list(rng.normal(size=(300, dim)))
+    near = lambda v, cosine: v / np.linalg.norm(v) * cosine + (lambda r: r / np.linalg.norm(r) * math.sqrt(1 - cosine * cosine))(
+        (lambda r: r - v * (r @ v) / (v @ v))(rng.normal(size=dim)))
+    for k in range(150):
+        x.append(near(x[k], rng.uniform(0.951, 0.999)) * rng.uniform(0.1, 9))
+    for k in range(20):  # chains, and vectors that are just too far
+        x += [near(x[300 + k], 0.96), near(x[k + 200], 0.949)]
+    x += [x[k] * 1.0 for k in range(30)]  # copies
+    x = np.array(x)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    cosines = unit @ unit.T
+    linked = cosines >= 0.95
+    np.fill_diagonal(linked, False)
+    got = {r.vec_id: r for r in embedding_dedup.op3(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    assert len(got) == len(x) and linked.sum() > 300
+    found = sum(r.n_links for r in got.values())
+    assert all(got[i].n_links <= linked[i].sum() for i in got) and found >= 0.97 * linked.sum()
+    if found == linked.sum():
+        comp = np.arange(len(x))
+        while True:
+            new = np.array([min(comp[i], comp[linked[i]].min(initial=len(x))) for i in range(len(x))])
+            if (new == comp).all():
+                break
+            comp = new
+        assert [got[i].component_id for i in range(len(x))] == comp.tolist()
+        assert [got[i].kept for i in range(len(x))] == (comp == np.arange(len(x))).tolist()
 
 
 def test_spotsigs(spark, texts):
@@ -205,6 +290,37 @@ def test_article_text():
     assert [t for t, m, o in html_extract.blocks(PAGE) if m and not o] == ["A & B", "one two three", "four < five", "x", "y"]
 
 
+def main_of(page):
+    return [t for t, m, o in html_extract.blocks(page) if m and not o]
+
+
+def test_parts_are_named_by_whole_tokens():
+    keep = ["<h2 id='social-history'>A</h2>", "<section id='search-methods'>A</section>", "<p class='share-of-market'>A</p>",
+            "<div class='notice-period'>A</div>", "<div class='post-content entry'>A</div>", "<header>A</header>", "<span class='ad-free'>A</span>",
+            "<div id='main-header'>A</div>", "<p>A</p>", "<a class='external'>A</a>", "<div class=''>A</div>"]
+    cut = ["<p class='advert'>A</p>", "<p class='cookie-notice'>A</p>", "<a class='share'>A</a>", "<div id='commentList'>A</div>",
+           "<section class='related_posts ads'>A</section>", "<div class='post-comments'>A</div>", "<div hidden>A</div>", "<span class='ad'>A</span>",
+           "<div class='site-footer'>A</div>", "<ul class='social-share-buttons'>A</ul>", "<article class='comment'>A</article>",
+           "<div style='display: none'>A</div>", "<div role='navigation'>A</div>", "<p class='ad'>A<b>B</b></p>"]
+    for part in keep:
+        assert main_of(f"<article><p>one</p>{part}<p>two</p></article>") == ["one", "A", "two"], part
+    for part in cut:
+        assert main_of(f"<article><p>one</p>{part}<p>two</p></article>") == ["one", "two"], part
+    assert main_of("<article><p>one <a class='share' href=x>Share <b>this</b></a> two <em>three</em></p></article>") == ["one two three"]
+    assert main_of("<article><p class=advert>buy<p>one<p class=ad>buy<div>two</div></article>") == ["one", "two"]
+
+
+def test_main_parts_inside_other_parts():
+    own = "<article><h1>T</h1><p>text</p></article>"
+    for more in ("<aside><article>teaser</article></aside>", "<article class='ad sponsored'>buy</article>", "<section id=comments><article>nice</article></section>",
+                 "<div class='comments'><article class='comment'><p>nice</p></article></div>", "<article class='comment'><p>nice</p></article>",
+                 "<nav><article>link</article></nav>", "<div hidden><main>old</main></div>"):
+        assert main_of(f"<body>{own}{more}</body>") == ["T", "text"] == main_of(f"<body>{more}{own}</body>"), more
+    assert main_of(f"<body><div class='cookie-notice'>We use{own}</body>") == ["T", "text"]  # left open
+    assert main_of("<body><main class='search content'><p>found</p></main></body>") == ["found"]
+    assert main_of("<article class='post ad-free'><p>x</p></article>") == ["x"]
+
+
 def test_pages_without_article_lose_what_their_host_repeats(spark):
     line = "All rights reserved by the people who run this site"
     page = "<body><div>{0}</div><div>{1}</div><p>{2}</p></body>"
@@ -277,9 +393,10 @@ def test_known_words_of_any_length_stay_whole(spark):
     rng = random.Random(12)
     long = "pneumonoultramicroscopicsilicovolcanoconiosis"
     counts = spark.createDataFrame([(long, 4), ("blog", 9), ("my", 9)], "w string, n long")
-    labels = spark.createDataFrame([("my" + long + "blog",), (long,), ("q" * 40,)], "label string")
-    got = {r.label: r.words for r in url_filter.split_labels(labels, counts).collect()}
-    assert got == {"my" + long + "blog": ["my", long, "blog"], long: [long], "q" * 40: ["q" * 40]}
+    names = ["my" + long + "blog", long, "q" * 40, "my" * 50_000]
+    labels = spark.createDataFrame([(str(k).encode(), x) for k, x in enumerate(names)], "label_key binary, label string")
+    got = {names[int(r.label_key)]: {x.w: x.times for x in r.words} for r in url_filter.split_labels(labels, counts).collect()}
+    assert got == {names[0]: {"my": 1, long: 1, "blog": 1}, long: {long: 1}, "q" * 40: {"q" * 40: 1}, names[3]: {"my": 50_000}}
     for _ in range(300):  # every split of a name, against the cheapest one
         name = "".join(rng.choices("ab", k=rng.randint(1, 9)))
         cost = {"".join(rng.choices("ab", k=rng.randint(1, 5))): rng.uniform(1, 6) for _ in range(6)}

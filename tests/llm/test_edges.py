@@ -17,7 +17,8 @@ def docs(spark):
     share_package(spark)
     return (spark.createDataFrame(TEXTS, "doc_id long, text string")
             .withColumn("source", F.lit(None).cast("string")).withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long"))
-            .withColumn("id", F.lit("x")).withColumn("fp", F.lit(None).cast("int")).withColumn("size", F.lit(7)).withColumn("k", F.lit(0)))
+            .withColumn("id", F.lit("x")).withColumn("fp", F.lit(None).cast("int")).withColumn("size", F.lit(7)).withColumn("k", F.lit(0))
+            .withColumn("_copy", F.lit(3)).withColumn("_rate", F.lit("r")).withColumn("copy_of", F.lit(1)).withColumn("text_hash", F.lit(2)))
 
 
 OPS = {"op2": suffix_dedup.op2, "op4": token_counts.op4, "op6": mixing.op6, "op8": piece_codec.op8,

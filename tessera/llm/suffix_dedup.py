@@ -541,6 +541,9 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op2(docs: DataFrame) -> DataFrame:
+    """What repeats of earlier bytes leave of every ``documents`` text, in the
+    contract's columns; see ``remove_repeats`` for nulls, repeated rows and empty
+    tables.  Texts of any length are read whole."""
     found = remove_repeats(docs, digest=True)
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
                         F.lower(F.hex("kept")).alias("kept_sha256"))

@@ -5,9 +5,9 @@ A signature is a common word (the anchor) with the chain of the next
 kind at every size: its signatures, the words and symbols that no chain spans,
 and its ``FEW`` words of least hash.  An edit of one word changes the chains it
 stands in and a few words, never the whole set of a longer text.  The likeness
-of two texts is the Jaccard index of their sets.
-Sets are matched by length: a pair can reach a threshold only if the shorter
-set has at least that share of the longer one.
+of two texts is the Jaccard index of their sets; given a threshold, ``likeness``
+skips pairs whose lengths alone rule it out.  Each text is compared with its
+edit and with the next text; there is no match of all texts.
 """
 
 from __future__ import annotations
@@ -65,8 +65,15 @@ def signatures(text: str, chain: int = CHAIN) -> np.ndarray:
     chains one edit can change all at once, comparable.  White space alone
     gives an empty set.
     """
-    tokens = TOKEN.findall(text.lower())
-    h = np.array(list(map(_hash, tokens)), np.uint64)
+    return members(_hashes(text), chain)
+
+
+def _hashes(text: str) -> np.ndarray:
+    return np.array(list(map(_hash, TOKEN.findall(text.lower()))), np.uint64)
+
+
+def members(h: np.ndarray, chain: int = CHAIN) -> np.ndarray:
+    """``signatures`` of a text given by its tokens' hashes."""
     anchors = np.flatnonzero(h & np.uint64(1))
     contents = np.flatnonzero((h & np.uint64(3)) == 0)
     after = np.searchsorted(contents, anchors)  # content words before each anchor
@@ -121,9 +128,21 @@ RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 _EDGE = RESULT + ", part int, place string, text string"
 
 
-def _row(doc_id, text: str, following: str, sig: np.ndarray, next_sig: np.ndarray) -> tuple:
+def _head(text: str) -> int:
+    """End of the part that a text shares with its edit, at white space: no
+    token reaches across it."""
+    return max(text.rfind(" ", 0, len(text) - len(text) // 4), 0)
+
+
+def _read(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shared head's tokens, and a text's set."""
+    head = _hashes(text[:_head(text)])
+    return head, members(np.concatenate([head, _hashes(text[_head(text):])]))
+
+
+def _row(doc_id, text: str, following: str, head: np.ndarray, sig: np.ndarray, next_sig: np.ndarray) -> tuple:
     other = edited(text, following)
-    other_sig = sig if other == text else signatures(other)
+    other_sig = sig if other == text else members(np.concatenate([head, _hashes(other[_head(text):])]))
     return (doc_id, len(text), hashlib.sha256(other.encode()).hexdigest(), as_text(sig), as_text(other_sig),
             likeness(sig, other_sig), likeness(sig, next_sig))
 
@@ -159,12 +178,12 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         edge = lambda doc_id, text, place: (doc_id,) + (None,) * 6 + (part, place, text)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sig = signatures(text)
+                head, sig = _read(text)
                 if last is None:
                     rows.append(edge(doc_id, text, "first"))
                 else:
-                    rows.append(_row(*last[:2], text, last[2], sig) + (part, None, None))
-                last = doc_id, text, sig
+                    rows.append(_row(*last[:2], text, *last[2:], sig) + (part, None, None))
+                last = doc_id, text, head, sig
                 if len(rows) >= 512:
                     yield batch_of(rows)
                     rows = []
@@ -186,7 +205,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     def outside(batches):
         for batch in batches:
-            rows = [_row(i, t, n, signatures(t), signatures(n)) + (None,) * 3
+            rows = [_row(i, t, n, *_read(t), signatures(n)) + (None,) * 3
                     for i, t, n in zip(*(batch.column(k).to_pylist() for k in range(3)))]
             if rows:
                 yield batch_of(rows).select(names[:-3])
@@ -195,4 +214,6 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def op9(docs: DataFrame) -> DataFrame:
+    """Fingerprints of every ``documents`` row, its edit and its neighbour, in the
+    contract's columns; see ``with_next`` for nulls, repeated rows and empty tables."""
     return with_next(docs)

@@ -3,9 +3,15 @@
 A vector is padded to a power of two and turned by three rounds of random signs
 and a fast Hadamard transform; its hash is the coordinate of largest size with
 its sign.  A bucket joins ``width`` such hashes, and each vector also stands in
-the buckets where one hash is its second best (multiprobe).  Pairs of a bucket
-are verified by their cosine in double precision; a pair met in several buckets
-counts in the first they share.  Exact copies are one entry with a count.
+the buckets where one hash is its second best (multiprobe).  Exact copies are
+one entry with a count.
+
+Buckets are made of ids alone.  Those with more than one get a sketch beside
+each id, ``SKETCH`` signs of random projections, and only rows whose sketch is
+near that of another row of the bucket are verified: their vectors follow, and
+pairs are compared by their cosine in double precision.  A sketch rules out a pair at the
+threshold with a probability of about one in 10^9.  A pair met in several
+buckets counts in the first they share.
 """
 
 from __future__ import annotations
@@ -16,12 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .buckets import Links, compare_buckets, pairs_in_groups
+from .buckets import Links, compare_dealt, deal, pairs_in_groups
 from .common import per_batch, spread_join, written
 from .components import connected_components
 
 COSINE = 0.95
 TABLES, SEED = 8, 17
+SKETCH = 256
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -36,8 +43,20 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 def bucket_width(n: int, dim: int) -> int:
-    """Hashes per bucket: enough for a handful of unrelated vectors in each."""
-    return max(1, math.ceil(math.log(max(2, n / 8)) / math.log(2 * max(2, dim))))
+    """Hashes per bucket: so many that most vectors without a neighbour are alone."""
+    return max(1, math.ceil(math.log(max(2, 4 * n)) / math.log(2 * max(2, dim))))
+
+
+def sketches(x: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """Signs of random projections, packed: ``(rows, SKETCH / 8)``."""
+    plane = np.random.default_rng([seed, x.shape[1], 1]).normal(size=(x.shape[1], SKETCH))
+    return np.packbits(x @ plane > 0, axis=1)
+
+
+def sketch_bound(least: float) -> int:
+    """Differing signs that pairs of cosine ``least`` stay below: six deviations above the mean."""
+    share = math.acos(least) / math.pi
+    return math.ceil(SKETCH * share + 6 * math.sqrt(SKETCH * share * (1 - share)))
 
 
 def probes(x: np.ndarray, width: int, tables: int = TABLES, seed: int = SEED) -> np.ndarray:
@@ -77,6 +96,24 @@ def _unit(raw: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _maybe(most: int):
+    """Rows of each group whose sketch is within ``most`` signs of another row's."""
+    def run(rows: pa.Table, group: np.ndarray) -> pa.RecordBatch:
+        sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint64).reshape(len(group), -1)
+        dims, near = rows["dim"].to_numpy(), np.zeros(len(group), bool)
+        for i, j in pairs_in_groups(group):
+            for a in range(0, len(i), 1 << 16):
+                p, q = i[a:a + (1 << 16)], j[a:a + (1 << 16)]
+                ok = (dims[p] == dims[q]) & (np.bitwise_count(sketch[p] ^ sketch[q]).sum(axis=1) <= most)
+                near[p[ok]] = near[q[ok]] = True
+        return pa.RecordBatch.from_arrays([pa.array(rows[c].to_numpy()[near]) for c in MAYBE], MAYBE)
+
+    return run
+
+
+MAYBE = ["k", "lo", "hi", "side", "id", "bucket"]
+
+
 def _compare(least: float):
     def run(rows: pa.Table, group: np.ndarray) -> pa.RecordBatch:
         ids, times, dims = (rows[c].to_numpy() for c in ("id", "times", "dim"))
@@ -110,6 +147,10 @@ def _compare(least: float):
     return run
 
 
+INDEX_SCHEMA = "id long, vector binary, times long, dim int, buckets array<long>, marks binary, sketch binary"
+INDEX = [f.split()[0] for f in INDEX_SCHEMA.split(", ")]
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                     least: float = COSINE) -> DataFrame:
     """``(id, n_links, component)`` per row.
@@ -140,18 +181,23 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         ids, raw, dims = (batch.column(c) for c in ("id", "vector", "dim"))
         dims, raw = dims.to_numpy(), raw.to_pylist()
         marks: list = [None] * len(raw)
+        signs: list = [None] * len(raw)
         for dim in np.unique(dims):
             at = np.flatnonzero(dims == dim)
-            for i, m in zip(at, probes(_unit([raw[i] for i in at]), widths[int(dim)])):
-                marks[i] = m.tobytes()
+            x = _unit([raw[i] for i in at])
+            for i, m, s in zip(at, probes(x, widths[int(dim)]), sketches(x)):
+                marks[i], signs[i] = m.tobytes(), s.tobytes()
         return pa.RecordBatch.from_arrays([ids, batch.column("vector"), batch.column("times"), batch.column("dim"),
                                            pa.array([list(np.frombuffer(m, np.int64)) for m in marks], pa.list_(pa.int64())),
-                                           pa.array(marks, pa.binary())], ["id", "vector", "times", "dim", "buckets", "marks"])
-
-    keyed = (written(distinct.mapInArrow(per_batch(index), "id long, vector binary, times long, dim int, buckets array<long>, marks binary"), "index")
-             .select("id", "vector", "times", "dim", "marks", F.explode("buckets").alias("bucket"))
-             .withColumn("k", F.xxhash64("dim", "bucket")))
-    found = written(compare_buckets(keyed, _compare(least), "a long, b long, n long"), "links")
+                                           pa.array(marks, pa.binary()), pa.array(signs, pa.binary())], INDEX)
+
+    indexed = written(distinct.mapInArrow(per_batch(index), INDEX_SCHEMA), "index")
+    keyed = (indexed.select("id", "dim", F.explode("buckets").alias("bucket"))
+             .select("id", "bucket", F.xxhash64("dim", "bucket").alias("k")))
+    near = written(compare_dealt(deal(keyed).join(indexed.select("id", "dim", "sketch"), "id"), _maybe(sketch_bound(least)),
+                                 "k long, lo int, hi int, side int, id long, bucket long"), "near")
+    found = written(compare_dealt(near.join(indexed.select("id", "vector", "times", "dim", "marks"), "id"), _compare(least),
+                                  "a long, b long, n long"), "links")
     comps = connected_components(found)
     counts = found.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     # inside, each distinct vector has a key of its own; ids may be null
@@ -160,12 +206,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                               F.coalesce("component", "id").alias("group")), "groups")
     least_id = written(grouped.groupBy("group").agg(F.min("first").alias("component")), "least")
     classes = written(spread_join(grouped, least_id, "group").select("vector", "n_links", "component"), "classes")
-    linked = good.join(classes, "vector").select("id", "n_links", "component")
+    linked = spread_join(good, classes, "vector").select("id", "n_links", "component")
     alone = rows.where(~usable).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     return linked.unionByName(alone)
 
 
 def op3(vectors: DataFrame) -> DataFrame:
+    """Links and groups of every ``embeddings`` row, in the contract's columns;
+    see ``near_duplicates`` for nulls, repeated rows and empty tables."""
     found = near_duplicates(vectors)
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
                         F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))

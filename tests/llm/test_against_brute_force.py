@@ -352,6 +352,74 @@ def test_near_copies_and_shared_passages_of_a_host_are_kept(spark):
     assert [got[100 + k] for k in range(2)] == [f"{t}\n{line}" for t in two]
 
 
+def slow_main_texts(rows):
+    """Main text of pages without a main part, every page held against every other of its host."""
+    hosts = {}
+    for k, url, page in rows:
+        found = html_extract.blocks(page or "")
+        hosts.setdefault(url.split("://")[1].split("/")[0], []).append((k, [t for t, _, _ in found], [o for _, _, o in found]))
+    out = {}
+    for pages in hosts.values():
+        marks = [np.frombuffer(html_extract.sketch(" ".join(b).split()), "<u2") for _, b, _ in pages]
+        cls = list(range(len(pages)))
+        for i in range(len(pages)):
+            for j in range(i):
+                if len(marks[i]) and len(marks[j]) and (marks[i] == marks[j]).mean() >= html_extract.NEAR:
+                    cls = [cls[j] if c == cls[i] else c for c in cls]
+        streams = [" ".join(b).split() for _, b, _ in pages]
+        on, width = {}, html_extract.RUN
+        for c, tokens in zip(cls, streams):
+            for k in range(len(tokens) - width + 1):
+                on.setdefault(tuple(tokens[k:k + width]), set()).add(c)
+        of = len({c for c, m in zip(cls, marks) if len(m)})
+        for (page, texts, other), tokens in zip(pages, streams):
+            gone = set()
+            for k in range(len(tokens) - width + 1):
+                n = len(on[tuple(tokens[k:k + width])])
+                if n >= html_extract.LEAST and n >= html_extract.SHARE * of:
+                    gone |= set(range(k, k + width))
+            kept, k = [], 0
+            for text, o in zip(texts, other):
+                left = [t for i, t in enumerate(text.split(), k) if i not in gone]
+                k += len(text.split())
+                kept += [" ".join(left)] if left and not o else []
+            out[page] = "\n".join(kept)
+    return out
+
+
+def test_suffix_array_of_hosts_equals_plain_counts(spark):
+    rows = [(r.page_id, r.url, re.sub(r"<(/?)(article|main)\b", r"<\1div", r.html or ""))
+            for r in read_table(spark, SF, "pages").where("url like '%://%'").collect()]
+    line = "this line of more than eight words stands on every third page of the one host " + "x" * 100_000
+    rows += [(10_000 + k, "http://one.example.com/", f"<div>{'y' * 40} {line if k % 3 == 0 else ''} {' '.join(f'v{k}w{i}' for i in range(40))}</div>") for k in range(90)]
+    rows += [(20_000 + k, "http://one.example.com/", rows[-1][2]) for k in range(60)]  # copies of one page
+    got = {r.page_id: r.text for r in html_extract.op1(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    expected = slow_main_texts(rows)
+    assert got == expected
+    assert line not in got[10_000] and "v3w0 " in got[10_003]
+
+
+def test_repeats_that_reach_over_ranges_and_batches():
+    import pyarrow as pa
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int64()))],
+                                          ["host", "suffix", "class"])
+
+    entries = sorted([("h", "a", c) for c in (1, 1, 2, 3)] + [("h", "b", c) for c in (1, 2)] + [("h", "c", 5)] + [("i", "a", c) for c in range(9)])
+    expected = {("h", "a"): 3, ("i", "a"): 9}
+    for cut in range(1, len(entries)):
+        if entries[cut - 1] == entries[cut]:
+            continue  # ranges part only between different entries
+        for step in (1, 3, 100):
+            total = Counter()
+            for part in (entries[:cut], entries[cut:]):
+                for out in html_extract._repeats(batch(part[k:k + step]) for k in range(0, len(part), step)):
+                    for host, head, n in zip(*(out.column(k).to_pylist() for k in range(3))):
+                        total[host, head] += n
+            assert {k: n for k, n in total.items() if n >= html_extract.LEAST} == {(h, html_extract._head(h, s)): n for (h, s), n in expected.items()}
+
+
 def slow_url_scores(urls):
     """Scores of ``(host, path)`` with every word in one dictionary."""
     uni = Counter(url_filter.SEEDS)

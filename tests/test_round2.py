@@ -79,6 +79,20 @@ def test_corpus_keeps_every_file(spark, tmp_dir):
     assert got == {"a b.txt": "one", "c.txt": "two\nlines", "empty": ""}
 
 
+def test_corpus_is_written_by_tasks_without_a_commit(spark, tmp_dir):
+    import os
+
+    rows = [(7, "a\nb"), (8, ""), (9, None), (None, "no id"), (-3, "x"), (7, "a\nb"), (10, " tail\x00\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert writers.write_corpus(docs, f"{tmp_dir}/c") == 6
+    names = [os.path.join(d, f) for d, _, files in os.walk(f"{tmp_dir}/c") for f in files]
+    assert len(names) == 6 and all(f.endswith(".txt") for f in names)  # no commit marker, nothing half written
+    got = {r.doc_id.rsplit("/", 1)[1]: r.text for r in readers.read_corpus(spark, f"{tmp_dir}/c").collect()}
+    assert got == {"7.txt": "a\nb\x00a\nb", "8.txt": "", "9.txt": "", "null.txt": "no id", "-3.txt": "x", "10.txt": " tail\x00\n"}
+    assert writers.write_corpus(docs.limit(0), f"{tmp_dir}/none") == 0
+    assert readers.read_corpus(spark, f"{tmp_dir}/none").count() == 0
+
+
 def test_other_lines_are_refused(spark, tmp_dir):
     with open(f"{tmp_dir}/r", "w") as f:
         f.write("1,2,3.5\n1,x,2\n")

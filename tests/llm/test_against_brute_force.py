@@ -352,6 +352,22 @@ def test_near_copies_and_shared_passages_of_a_host_are_kept(spark):
     assert [got[100 + k] for k in range(2)] == [f"{t}\n{line}" for t in two]
 
 
+def test_main_parts_lose_what_their_host_repeats_outside(spark):
+    notice = "Our newsletter brings you the best of the week every Friday morning free of charge"
+    shared = "Every article of this site opens with the very same words and they are its own"
+    own = lambda k: f"own{k} text{k} of{k} this{k} page{k} that{k} nothing{k} repeats{k} anywhere{k}"
+    page = "<body><article><p>{0}</p><p>{1}</p><div>{2}</div></article><div>{3}</div></body>"
+    rows = [(k, f"http://h.example.com/{k}", page.format(shared, own(k), "the end", notice)) for k in range(6)]
+    rows += [(6, "http://h.example.com/6", page.format(shared, own(6), notice, "")),
+             (7, "http://h.example.com/7", page.format(shared, f"{own(7)} {notice}", "quoted", "")),
+             (8, "http://h.example.com/8", page.format(notice + " and what begins alike stays", own(8), "", ""))]
+    rows += [(20 + k, f"http://g.example.com/{k}", page.format(own(k), own(k + 50), notice, "")) for k in range(9)]  # never outside
+    got = {r.page_id: r.text for r in html_extract.op1(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == {**{k: f"{shared}\n{own(k)}\nthe end" for k in range(6)}, 6: f"{shared}\n{own(6)}",
+                   7: f"{shared}\n{own(7)} {notice}\nquoted", 8: f"{notice} and what begins alike stays\n{own(8)}",
+                   **{20 + k: f"{own(k)}\n{own(k + 50)}\n{notice}" for k in range(9)}}
+
+
 def slow_main_texts(rows):
     """Main text of pages without a main part, every page held against every other of its host."""
     hosts = {}

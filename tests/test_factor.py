@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +123,55 @@ def test_ratings_with_nulls_and_without_rows(spark):
     assert [r[0] for r in fit.U.collect()] == [1] and fit.history[-1][3] == 1
     none = M.train_mf(R.where("false"), d=2, max_iter=2)
     assert none.U.collect() == [] and none.history[0][1:4] == (0.0, None, 0)
+
+
+def test_a_cell_holds_profiles_of_few_entries_at_once():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, d, rng = 400_000, 10, np.random.default_rng(3)
+    entries = pa.table({"row": rng.integers(0, 50, n), "col": rng.integers(0, 60, n), "rating": rng.random(n),
+                        "fold": rng.integers(0, 2, n).astype("i4"), "times": np.ones(n, "i8")})
+    values = pa.concat_tables(pa.table({"kind": np.full(k, kind, "i4"), "model": np.full(k, 0, "i4"), "id": rng.permutation(k),
+                                        **{c: rng.standard_normal(k) for c in M.fcols(d)}}) for kind, k in ((0, 50), (1, 60)))
+    tracemalloc.start()
+    out = M.cell_step([0], d)(entries, values)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6  # the profiles of all entries are 64 MB
+    u, v = ({i: np.array([values[c][k].as_py() for c in M.fcols(d)]) for k, i in enumerate(values["id"].to_pylist())
+             if values["kind"][k].as_py() == kind} for kind in (0, 1))
+    row, col, rating, fold = (entries[c].to_numpy() for c in ("row", "col", "rating", "fold"))
+    U, V = (np.array([p[k] for k in range(len(p))]) for p in (u, v))
+    delta = np.einsum("ij,ij->i", U[row], V[col]) - rating
+    rows = out.to_pylist()
+    errors = next(r for r in rows if r["kind"] == M.ERROR_ROWS)
+    assert abs(errors["se"] - (delta[fold != 0] ** 2).sum()) < 1e-6 * errors["se"] and errors["test_n"] == (fold == 0).sum()
+    for r in rows[:3]:
+        mine = (row == r["id"]) & (fold != 0)
+        assert np.allclose([r[f"g{k}"] for k in range(d)], (2 * delta[mine, None] * V[col[mine]]).sum(axis=0))
+
+
+def test_grid_shape_follows_rows_and_columns(spark):
+    from tessera.plans import grid
+
+    assert grid.grid_shape(400, 1000, 20_000) == (4, 100) and grid.grid_shape(16, 0, 0) == (4, 4) and grid.grid_shape(7, 10**9, 1) == (7, 1)
+    entries = spark.range(4000).selectExpr("id % 20 as row", "id % 2000 as col", "1.0D as value")
+    g = grid.SparseGrid(entries, 4000)
+    assert g.blocks[grid.ROW] < g.blocks[grid.COL]
+    for kind, key in ((grid.ROW, "row"), (grid.COL, "col")):
+        sent = g.sent(g.masks(kind).withColumn("kind", F.lit(kind))).select("id", "cell").distinct()
+        needed = g.entries.select(F.col(key).alias("id"), "cell").distinct()
+        assert needed.exceptAll(sent).count() == 0
+    g.close()
+
+
+def test_a_given_side_grows_with_the_entries(spark, monkeypatch):
+    from tessera.plans import grid
+
+    monkeypatch.setattr(grid, "CELL_ENTRIES", 10)
+    entries = spark.range(1000).selectExpr("id % 40 as row", "id % 77 as col", "1.0D as value")
+    g = grid.SparseGrid(entries, 1000, side=2)
+    assert g.blocks == {grid.ROW: 10, grid.COL: 10} and g.entries.count() == 1000
+    g.close()

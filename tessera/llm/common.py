@@ -31,12 +31,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it
-    back: cuts the lineage and survives lost executors."""
+    back: cuts the lineage and survives lost executors.  ``codec`` is its
+    compression, by default the session's."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_path = path
     return out

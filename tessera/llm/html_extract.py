@@ -8,9 +8,11 @@ run of ``RUN`` or more tokens of that stream is boilerplate where it stands on
 ``LEAST`` distinct pages and on the share ``SHARE`` of the host's distinct pages.
 
 Every page loses boilerplate.  One with a main part keeps its main blocks but
-those that boilerplate covers from their first to their last token: a notice
-that other pages of the host have outside.  What only articles share is no
-boilerplate, and a block that merely quotes some stays whole.  A page without
+those that boilerplate covers from their first to their last token and that
+are in no element of running text: a notice that other pages of the host have
+outside.  A paragraph, heading, list or table of an article is its own even if
+an advert says the same, what only articles share is no boilerplate, and a
+block that merely quotes some stays whole.  A page without
 ``article`` or ``main`` keeps the runs that are left, again without what markup
 names as something else.
 
@@ -81,6 +83,8 @@ BLOCK = MAIN | OTHER | {
     "address", "blockquote", "body", "caption", "center", "dd", "details", "dir", "div", "dl", "dt", "figcaption", "figure",
     "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "ol", "p", "pre", "search",
     "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
+#: Elements of running text: inside a main part they are its own, whatever the host repeats.
+PROSE = {"blockquote", "caption", "dd", "dt", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "li", "p", "pre", "td", "th"}
 #: Elements that are followed until they close: any of them may be named.
 HELD = BLOCK - {"hr", "html", "body"}
 #: Elements inside a block that are followed where they have attributes.
@@ -121,8 +125,9 @@ def _balanced(page: str, name: str) -> bool:
     return len(re.findall(rf"<{name}(?=[\s/>])", page, re.I)) == len(re.findall(rf"</{name}(?=[\s>])", page, re.I))
 
 
-def blocks(page: str) -> list[tuple[str, bool, bool]]:
-    """``(text, in main part, something other)`` of each block in page order.
+def blocks(page: str, prose: list[bool] | None = None) -> list[tuple[str, bool, bool]]:
+    """``(text, in main part, something other)`` of each block in page order;
+    ``prose``, if given, gets whether each stands in an element of ``PROSE``.
 
     Markup errors are met as browsers meet them where it matters: an end tag
     closes what is open inside it, an end tag without a start is ignored, a
@@ -142,6 +147,8 @@ def blocks(page: str) -> list[tuple[str, bool, bool]]:
             parts.clear()
             if text:
                 out.append((text, in_main, other))
+                if prose is not None:
+                    prose.append(any(x[0] in PROSE for x in open_))
 
     while True:
         tag = TAG.search(page, at)
@@ -233,7 +240,7 @@ def sketch(tokens: list[str]) -> bytes:
     return (least * _MIX >> np.uint64(48)).astype("<u2").tobytes()
 
 
-PARSED = ("page_id long, url string, host string, has_main boolean, main array<string>, outside array<string>, other array<boolean>, "
+PARSED = ("page_id long, url string, host string, has_main boolean, main array<string>, prose array<boolean>, outside array<string>, other array<boolean>, "
           "sketch binary")
 ARROW = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()),
          "array<boolean>": pa.list_(pa.bool_())}
@@ -248,11 +255,13 @@ def _parse(batch: pa.RecordBatch) -> pa.RecordBatch:
     """The main blocks of pages, what they have outside their main parts, and sketches of the whole."""
     rows = []
     for page_id, url, page, host in zip(*(batch.column(k).to_pylist() for k in range(4))):
-        found = blocks(page or "")
+        marks: list[bool] = []
+        found = blocks(page or "", marks)
         main = [t for t, m, o in found if m and not o]
+        prose = [mark for (_, m, o), mark in zip(found, marks) if m and not o]
         outside = [(t, o) for t, m, o in found if not m]
         whole = sketch([t for block, _, _ in found for t in block.split()])
-        rows.append((page_id, url, host, bool(main), main, [t for t, _ in outside], [o for _, o in outside], whole))
+        rows.append((page_id, url, host, bool(main), main, prose, [t for t, _ in outside], [o for _, o in outside], whole))
     return _batch(rows, PARSED)
 
 
@@ -273,12 +282,12 @@ def _heads(host: str, outside: list[str]) -> list[int]:
     return [_head(host, s) for s in suffixes(outside)]
 
 
-def _first_heads(host: str, has_main: bool, main: list[str], outside: list[str]) -> set[int]:
+def _first_heads(host: str, has_main: bool, main: list[str], prose: list[bool], outside: list[str]) -> set[int]:
     """Heads by which a page is judged: of what stands outside without a main
-    part, else of the beginnings of its main blocks."""
+    part, else of the beginnings of its main blocks that are not prose."""
     if not has_main:
         return set(_heads(host, outside))
-    return {head for block in main for head in _heads(host, [" ".join(block.split()[:RUN])])}
+    return {head for block, p in zip(main, prose) if not p for head in _heads(host, [" ".join(block.split()[:RUN])])}
 
 
 def _cover(host: str, block: str) -> list[int]:
@@ -287,17 +296,17 @@ def _cover(host: str, block: str) -> list[int]:
     return heads[::RUN] + heads[-1:]
 
 
-def _cover_heads(host: str, main: list[str], known: list[int]) -> set[int]:
+def _cover_heads(host: str, main: list[str], prose: list[bool], known: list[int]) -> set[int]:
     """Heads that cover the main blocks which begin with a known repeat."""
-    covers = (_cover(host, block) for block in main)
+    covers = (_cover(host, block) for block, p in zip(main, prose) if not p)
     return {head for cover in covers if cover and cover[0] in known for head in cover}
 
 
-def _kept_main(host: str, main: list[str], repeated: set[int]) -> str:
-    """Main blocks but those that the host's repeats cover from end to end."""
+def _kept_main(host: str, main: list[str], prose: list[bool], repeated: set[int]) -> str:
+    """Main blocks but those that are not prose and that the host's repeats cover from end to end."""
     if not repeated:
         return "\n".join(main)
-    covers = ((block, _cover(host, block)) for block in main)
+    covers = ((block, [] if p else _cover(host, block)) for block, p in zip(main, prose))
     return "\n".join(block for block, cover in covers if not cover or not repeated.issuperset(cover))
 
 
@@ -438,7 +447,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """
     raw = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                        host_and_path(F.coalesce(F.col(url_col), F.lit("")))[0].alias("host"))
-    parsed = written(raw.mapInArrow(per_batch(_parse), PARSED).withColumn("row", F.monotonically_increasing_id()), "pages")
+    parsed = written(raw.mapInArrow(per_batch(_parse), PARSED).withColumn("row", F.monotonically_increasing_id()), "pages", "zstd")
     repeated = boilerplate(parsed)
 
     def repeated_of(rows: DataFrame, heads: Callable[..., set[int]]) -> DataFrame:
@@ -453,21 +462,21 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         discard(all_heads)
         return out
 
-    known = repeated_of(parsed.select("row", "host", "has_main", "main", "outside"), _first_heads)
+    known = repeated_of(parsed.select("row", "host", "has_main", "main", "prose", "outside"), _first_heads)
     # main blocks that begin with a repeat are looked at whole
-    begun = parsed.where("has_main").select("row", "host", "main").join(known, "row")
+    begun = parsed.where("has_main").select("row", "host", "main", "prose").join(known, "row")
     covered = (known.unionByName(repeated_of(begun, _cover_heads))
                .groupBy("row").agg(F.flatten(F.collect_list("repeated")).alias("repeated")))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = []
-        for host, has_main, main, outside, other, heads in zip(*(batch.column(k).to_pylist() for k in range(2, 8))):
+        for host, has_main, main, prose, outside, other, heads in zip(*(batch.column(k).to_pylist() for k in range(2, 9))):
             heads = set(heads or [])
-            texts.append(_kept_main(host, main, heads) if has_main else
+            texts.append(_kept_main(host, main, prose, heads) if has_main else
                          unique_runs(outside, other, _heads(host, outside) if heads else [], heads))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    out = (parsed.join(covered, "row", "left").select("page_id", "url", "host", "has_main", "main", "outside", "other", "repeated")
+    out = (parsed.join(covered, "row", "left").select("page_id", "url", "host", "has_main", "main", "prose", "outside", "other", "repeated")
            .mapInArrow(per_batch(cut), "page_id long, url string, text string"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
 

@@ -360,11 +360,12 @@ def test_main_parts_lose_what_their_host_repeats_outside(spark):
     rows = [(k, f"http://h.example.com/{k}", page.format(shared, own(k), "the end", notice)) for k in range(6)]
     rows += [(6, "http://h.example.com/6", page.format(shared, own(6), notice, "")),
              (7, "http://h.example.com/7", page.format(shared, f"{own(7)} {notice}", "quoted", "")),
-             (8, "http://h.example.com/8", page.format(notice + " and what begins alike stays", own(8), "", ""))]
+             (8, "http://h.example.com/8", page.format(own(8), "", notice + " and what begins alike stays", "")),
+             (9, "http://h.example.com/9", page.format(notice, own(9), "", ""))]  # a paragraph is the article's own
     rows += [(20 + k, f"http://g.example.com/{k}", page.format(own(k), own(k + 50), notice, "")) for k in range(9)]  # never outside
     got = {r.page_id: r.text for r in html_extract.op1(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
     assert got == {**{k: f"{shared}\n{own(k)}\nthe end" for k in range(6)}, 6: f"{shared}\n{own(6)}",
-                   7: f"{shared}\n{own(7)} {notice}\nquoted", 8: f"{notice} and what begins alike stays\n{own(8)}",
+                   7: f"{shared}\n{own(7)} {notice}\nquoted", 8: f"{own(8)}\n{notice} and what begins alike stays", 9: f"{notice}\n{own(9)}",
                    **{20 + k: f"{own(k)}\n{own(k + 50)}\n{notice}" for k in range(9)}}
 
 

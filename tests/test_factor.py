@@ -175,3 +175,17 @@ def test_a_given_side_grows_with_the_entries(spark, monkeypatch):
     g = grid.SparseGrid(entries, 1000, side=2)
     assert g.blocks == {grid.ROW: 10, grid.COL: 10} and g.entries.count() == 1000
     g.close()
+
+
+def test_small_profiles_are_broadcast_and_joined_last(spark, monkeypatch):
+    from tessera.plans import joins
+
+    R = spark.range(400).selectExpr("id % 5 as user_id", "id as item_id", "1.0D as rating")
+    U, V = M.init_user_profiles(R, 2), M.init_item_profiles(R, 2)
+    expected = {(r.user_id, r.item_id): r.delta for r in M.predict_ratings(R, U, V, 2).collect()}
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 5 * 24)  # bounds the users, not the items
+    j = M.predict_ratings(R, U, V, 2)
+    plan = j._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 1 and "rightHint=(strategy=broadcast)" in plan.split("Join Inner")[1]  # the outer join
+    got = {(r.user_id, r.item_id): r.delta for r in j.collect()}
+    assert len(got) == 400 and got == pytest.approx(expected)

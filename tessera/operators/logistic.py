@@ -346,6 +346,7 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
 
     spark = data.sparkSession
     mat = Materializer(spark)
+    given = (data, rows)
     data = mat(data.select("row_id", "feature", F.col("value").cast("double").alias("value")))
     beta = mat(beta0 if beta0 is not None else empty_model(data))
     rows = mat(rows.select("row_id", "label"))
@@ -359,8 +360,9 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
     history = []
     k, norm = 0, float("inf")  # not measured yet
     if test is not None:
-        test = (mat(test[0].select("row_id", "feature", F.col("value").cast("double").alias("value"))),
-                mat(test[1].select("row_id", "label")))
+        # the training examples as test set are stored already
+        test = (data if test[0] is given[0] else mat(test[0].select("row_id", "feature", F.col("value").cast("double").alias("value"))),
+                rows if test[1] is given[1] else mat(test[1].select("row_id", "label")))
     held = (test or ()) + products.held
     start = time.time()
     try:

@@ -3,8 +3,8 @@ and cosine similarity.
 
 Terms come from splitting on whitespace, lower-casing and dropping every
 non-letter; empty results are discarded.  Operators are lazy DataFrame
-transformations, but for ``pairwise_cosine``, which stores its pairs; nothing
-is collected.
+transformations, but for ``doc_tfidf``, which stores the IDF, and
+``pairwise_cosine``, which stores its pairs; nothing is collected.
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import normalize_term, split_words
 from ..plans.grid import SparseGrid, grid_side
 from ..plans.iterate import Materializer
-from ..plans.layout import spread
+from ..plans.joins import broadcast_if_bounded, measured
+from ..plans.layout import spread, text_parts
 
 
 def tokenize(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -34,11 +35,36 @@ def tokenize(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> D
 def term_frequency(df: DataFrame, text: str = "text", by: tuple[str, ...] = ()) -> DataFrame:
     """Raw occurrence count per term, optionally per ``by`` key (e.g. doc id).
 
-    ``groupBy`` runs a partial aggregate before the shuffle, so a term that
-    makes up a large share of all tokens costs one row per map task.
+    Without keys ``groupBy`` runs a partial aggregate before the shuffle, so a
+    term that makes up a large share of all tokens costs one row per map task.
+    With keys the normalised words move once, a row per text, and are counted
+    where they meet (see ``term_lists``); the counts stay dealt by key.
     """
-    return (tokenize(df, text, keep=tuple(by))
-            .groupBy(*by, "term").agg(F.count(F.lit(1)).alias("tf")))
+    if by:
+        return counted_terms(term_lists(df, text, by), by).drop("n_terms")
+    return tokenize(df, text).groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def term_lists(df: DataFrame, text: str = "text", by: tuple[str, ...] = ("doc_id",), parts: int | None = None) -> DataFrame:
+    """``(*by, words)``: per key the terms of all its texts, joined by spaces
+    (terms hold letters only); empty where there are none."""
+    own = df.select(*by, text)
+    terms = F.filter(F.transform(split_words(text), normalize_term), lambda t: t != "")
+    words = spread(own).select(*by, F.concat_ws(" ", terms).alias("words"))
+    met = words.repartition(parts or text_parts(own), *by).groupBy(*by)
+    return met.agg(F.concat_ws(" ", F.collect_list(F.when(F.col("words") != "", F.col("words")))).alias("words"))
+
+
+def counted_terms(lists: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """``(*keep, n_terms, term, tf)``, one row per list and distinct term;
+    ``n_terms`` counts all terms of the list.  No row leaves its task: a list
+    is sorted, and each run of equal terms is its term's count."""
+    terms = lists.where("words != ''").select(*keep, F.sort_array(F.split("words", " ")).alias("_t"))
+    new = F.filter(F.sequence(F.lit(0), F.size("_t") - 1), lambda i: (i == 0) | (F.get("_t", i - 1) != F.get("_t", i)))
+    runs = terms.select(*keep, "_t", F.size("_t").alias("_n"), new.alias("_at"))
+    tf = F.transform("_at", lambda i, k: F.struct(
+        F.get("_t", i).alias("term"), (F.coalesce(F.get("_at", k + 1), F.col("_n")) - i).cast("long").alias("tf")))
+    return runs.select(*keep, F.col("_n").cast("long").alias("n_terms"), F.inline(tf))
 
 
 def document_frequency(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -89,12 +115,19 @@ def tfidf(tf: DataFrame, idf: DataFrame, tf_col: str = "tf", idf_col: str = "idf
             .select(*keys, "term", (F.col(tf_col) * F.col(idf_col)).alias("tfidf")))
 
 
+#: Measured bytes of a broadcast IDF row beside its term and value.
+IDF_ROW_BYTES = 24
+
+
 def doc_tfidf(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, term, tfidf)`` for every document in one job (the corpus is
-    tokenised once; the per-document counts feed both sides of the join)."""
+    """``(doc_id, term, tfidf)`` for every document.
+
+    The IDF of each term is stored first and counted: while it is bounded it
+    is broadcast, and the documents' terms stay where they were counted."""
     tf = term_frequency(docs, text, by=(doc,))
-    idf = inverse_document_frequency(docs, doc, text)
-    return tfidf(tf, idf, keys=(doc,))
+    idf = Materializer(docs.sparkSession)(inverse_document_frequency(docs, doc, text))
+    n, width = measured(idf)
+    return tfidf(tf, broadcast_if_bounded(idf, n, row_bytes=width + IDF_ROW_BYTES), keys=(doc,))
 
 
 def corpus_tfidf(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -148,9 +181,11 @@ def pairwise_cosine(vectors: DataFrame, pairs: DataFrame, key: str = "doc_id",
 
     Vectors are long form ``(key, term, score)``, a term once per key.  The
     pairs are dealt into a grid of blocks of left and right keys; a vector is
-    sent once to every cell that holds one of its pairs, however many those
-    are, and a key in very many pairs has them dealt over all cells.  Cells
-    multiply and give norms and dot products.  Pairs without shared terms get
+    sent once, as one row, to every cell that holds one of its pairs, however
+    many those are, and a key in very many pairs has them dealt over all cells.
+    By default only right keys make blocks: a right vector goes to one cell and
+    a left one to those of its partners.  Cells multiply and give norms and dot
+    products.  Pairs without shared terms get
     0.0, pairs with a missing or zero-norm vector or a null key get NULL;
     repeated pairs stay.  ``side`` and ``hot_pairs`` set the grid's shape.
     """
@@ -160,10 +195,13 @@ def pairwise_cosine(vectors: DataFrame, pairs: DataFrame, key: str = "doc_id",
     entries = mat(p.groupBy("row", "col").agg(F.count(F.lit(1)).alias("times")))
     known = entries.where("row is not null and col is not null")
     n = known.count()
-    grid = SparseGrid(known, n, side or grid_side(spark, n, CELL_PAIRS), hot_pairs)
+    blocks = None if side else (1, grid_side(spark, n, CELL_PAIRS) ** 2)
+    grid = SparseGrid(known, n, side, hot_pairs, blocks)
     cells = grid.entries
     routes = cells.select(F.col("row").alias("id"), "cell").union(cells.select(F.col("col").alias("id"), "cell")).distinct()
-    v = vectors.select(F.col(key).alias("id"), F.col(term).alias("t"), F.col(score).cast("double").alias("s"))
+    entry = F.struct(_packed(F.col(term)).alias("t"), F.col(score).cast("double").alias("s"))
+    v = (vectors.groupBy(F.col(key).alias("id")).agg(F.collect_list(entry).alias("_v"))
+         .select("id", F.concat_ws(BETWEEN, F.transform("_v", lambda e: e["t"])).alias("t"), F.transform("_v", lambda e: e["s"]).alias("s")))
     kinds = {f.name: f.dataType.simpleString() for f in p.schema.fields}
     found = mat(grid.answer(v.join(routes, "id").select("cell", "id", "t", "s"), _cell_cosines,
                             f"row {kinds['row']}, col {kinds['col']}, times long, dot double, a double, b double"))
@@ -175,11 +213,36 @@ def pairwise_cosine(vectors: DataFrame, pairs: DataFrame, key: str = "doc_id",
     return every.select(F.col("row").alias(left), F.col("col").alias(right), F.when(denom > 0, F.col("dot") / denom).alias("cosine"))
 
 
+#: A vector's terms are sent as one string: this stands between them, and what starts with ``ESCAPE`` for other things.
+BETWEEN, ESCAPE = "\x1e", "\x1f"
+ESCAPED = ((ESCAPE, ESCAPE + "e"), (BETWEEN, ESCAPE + "b"))
+NO_TERM = ESCAPE + "n"
+
+
+def _packed(term: Column) -> Column:
+    out = term.cast("string")
+    for plain, coded in ESCAPED:
+        out = F.replace(out, F.lit(plain), F.lit(coded))
+    return F.coalesce(out, F.lit(NO_TERM))
+
+
+def _unpacked(vectors: pa.Table) -> pa.Table:
+    """One row per entry ``(id, t, s)`` of the vectors sent to a cell."""
+    scores = vectors["s"].combine_chunks()
+    terms = pc.list_flatten(pc.split_pattern(vectors["t"].combine_chunks(), BETWEEN))
+    if pc.any(pc.match_substring(terms, ESCAPE)).as_py():
+        terms = pc.if_else(pc.equal(terms, NO_TERM), None, terms)
+        for plain, coded in reversed(ESCAPED):
+            terms = pc.replace_substring(terms, coded, plain)
+    return pa.table({"id": vectors["id"].combine_chunks().take(pc.list_parent_indices(scores)), "t": terms, "s": pc.list_flatten(scores)})
+
+
 def _cell_cosines(entries: pa.Table, values: pa.Table) -> pa.Table:
     """Dot product and squared norms of one cell's pairs; a missing vector's norm is null."""
     if not entries.num_rows:
         return pa.table({"row": entries["row"], "col": entries["col"], "times": entries["times"],
                          **{c: pa.array([], pa.float64()) for c in ("dot", "a", "b")}})
+    values = _unpacked(values)
     ids = pc.unique(values["id"])
     doc = pc.index_in(values["id"], ids).to_numpy()
     terms = pc.index_in(values["t"], pc.unique(values["t"])).to_numpy()

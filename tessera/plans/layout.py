@@ -33,3 +33,17 @@ def spread(df: DataFrame) -> DataFrame:
     if size >= target * FULL_PARTITION or len(df.inputFiles()) >= target:
         return df
     return df.repartition(target)
+
+
+#: Optimizer's bytes of compressed texts for one task; their terms take many times that.
+TEXT_PART = 4 << 20
+
+
+def text_parts(df: DataFrame) -> int:
+    """Into how many parts texts are dealt by key, one number for all uses of
+    a table, so that what is counted of it can be joined where it lies."""
+    spark = df.sparkSession
+    least = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # of a table that is no file or a join Spark only knows that it may be huge
+    return least if size > 1 << 50 else max(least, -(-size // TEXT_PART))

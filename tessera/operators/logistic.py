@@ -16,12 +16,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import log1p_exp_neg, logistic_coefficient
-from ..plans.grid import COL, ROW, SparseGrid
+from ..plans.grid import COL, ROW, PackedGrid
 from ..plans.iterate import Materializer
 from ..plans.joins import broadcast_if_bounded, measured
 from .linear import LINE_SEARCH_A, LINE_SEARCH_B
@@ -180,9 +178,10 @@ class BroadcastProducts:
 
     def __init__(self, data: DataFrame, rows: DataFrame, beta: DataFrame, mat: Materializer, n_rows: int, n_features: int):
         self.data, self.mat, self.n_rows, self.n_features = data, mat, n_rows, n_features
+        self.rows = rows
         self.z = mat(margins(data, rows, beta, n_features=n_features))
         self.beta = beta
-        self.held = (data,)
+        self.held = (data, rows)
 
     def gradient(self, lam: float) -> DataFrame:
         return self.mat(gradient_from_margins(self.data, self.z, self.beta, lam, self.n_rows))
@@ -198,53 +197,55 @@ class BroadcastProducts:
     def model(self) -> DataFrame:
         return self.beta
 
+    def model_margins(self) -> DataFrame:
+        """``(row_id, label, z)`` of the examples by the present model, from the model itself."""
+        return margins(self.data, self.rows, self.beta, n_features=self.n_features)
+
     def close(self) -> None:
         pass
 
 
 class GridProducts:
-    """The two products of an iteration over examples in a grid.
+    """The two products of an iteration over examples in a packed grid.
 
     The data is stored once, by cell.  An iteration sends the coefficient of
     each row, or the value of each feature, to the cells that hold it, and sums
     what the cells answer per feature, or per row; the data itself does not
-    move.  Very frequent features and very long rows are dealt over all cells.
+    move.  Very frequent features and very long rows are dealt over many cells.
     Row ids are longs; features are numbered by a checked hash.
     """
 
     def __init__(self, data: DataFrame, rows: DataFrame, beta: DataFrame, mat: Materializer,
-                 side: int | None = None, hot_entries: int | None = None):
+                 side: int | None = None, hot_entries: int | None = None, features: DataFrame | None = None):
         self.mat = mat
-        seed, self.names = self._number(data, beta)
+        seed, self.names = self._number(feature_counts(data, beta) if features is None else features)
         code = F.xxhash64("feature", F.lit(seed))
-        # entries of one row and feature add up, so a repeated one is no hot pair
-        entries = mat(data.groupBy(F.col("row_id").cast("long").alias("row"), code.alias("col")).agg(F.sum("value").alias("value")))
-        self.grid = SparseGrid(entries, entries.count(), side, hot_entries)
-        of_rows = self.grid.masks(ROW)
+        entries = data.where("row_id is not null").select(F.col("row_id").cast("long").alias("row"), code.alias("col"), "value")
+        size = self.names.agg(F.count(F.lit(1)).alias("cols"), F.coalesce(F.sum("n"), F.lit(0)).alias("entries")).first()
+        self.grid = PackedGrid(entries, size["entries"], self.names.select(F.col("id").alias("col"), "n"), size["cols"], side, hot_entries)
+        of_rows = self.grid.routes(ROW)
         known = rows.select(F.col("row_id").cast("long").alias("row_id"), "label")
         self.rows = mat(known.join(of_rows, known["row_id"] == of_rows["id"], "left").select("row_id", "label", "mask"))
-        start = beta.groupBy(code.alias("id")).agg(F.sum("value").alias("b"), F.lit(None).cast("long").alias("mask"))
-        self.cols = mat(self.grid.masks(COL).select("id", "mask", F.lit(0.0).alias("b")).unionByName(start)
-                        .groupBy("id").agg(F.max("mask").alias("mask"), F.sum("b").alias("b")))
-        h = self._product(self.cols.select("id", "mask", F.col("b").alias("v")), COL)
-        self.state = self._by_row(self.rows.select("row_id", "label", "mask", F.lit(0.0).alias("z")), h, "h")
-        self.state = mat(self.state.select("row_id", "label", "mask", F.col("h").alias("z")))
-        self.held = (self.names,)
-
-    def _number(self, data: DataFrame, beta: DataFrame) -> tuple[int, DataFrame]:
-        """A hash seed under which no two features share a number, and their names by number."""
-        features = data.select("feature").union(beta.select("feature")).distinct()
+        start = beta.groupBy(code.alias("id")).agg(F.sum("value").alias("b"))
+        self.cols = mat(self.names.select("id").join(self.grid.routes(COL), "id", "left").join(start, "id", "left")
+                        .select("id", "mask", F.coalesce("b", F.lit(0.0)).alias("b")))
+        self.state = self.rows.select("row_id", "label", "mask", F.lit(0.0).alias("z"))
+        if beta.take(1):
+            self.state = mat(self.model_margins("mask"))
+        self.held = (self.names, self.rows)
+
+    def _number(self, features: DataFrame) -> tuple[int, DataFrame]:
+        """A hash seed under which no two features share a number, and their names and counts by number."""
         seed = 0
         while True:
-            names = self.mat(features.select(F.xxhash64("feature", F.lit(seed)).alias("id"), "feature"))
+            names = self.mat(features.select(F.xxhash64("feature", F.lit(seed)).alias("id"), "feature", "n"))
             if not names.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(1):
                 return seed, names
             seed += 1
 
     def _product(self, values: DataFrame, kind: int) -> DataFrame:
         """``(id, s)``: the data times ``v`` of columns (per row), or of rows (per column)."""
-        sent = self.grid.sent(values.where("mask is not null").select(F.lit(kind).alias("kind"), "id", "mask", "v"))
-        return self.grid.answer(sent, _cell_product(kind), "id long, s double").groupBy("id").agg(F.sum("s").alias("s"))
+        return self.grid.product(values, kind)
 
     @staticmethod
     def _by_row(rows: DataFrame, sums: DataFrame, name: str) -> DataFrame:
@@ -268,28 +269,15 @@ class GridProducts:
     def model(self) -> DataFrame:
         return self.cols.join(self.names, "id").select("feature", F.col("b").alias("value"))
 
+    def model_margins(self, *keep: str) -> DataFrame:
+        """``(row_id, label, *keep, z)`` of the examples by the present model, from the model itself."""
+        sums = self._product(self.cols.select("id", "mask", F.col("b").alias("v")), COL)
+        return self._by_row(self.rows.select("row_id", "label", *keep), sums, "z")
+
     def close(self) -> None:
         self.grid.close()
 
 
-def _cell_product(kind: int):
-    """One cell's part of a product: sums per row of values of its columns, or the other way."""
-    own, other = ("row", "col") if kind == ROW else ("col", "row")
-
-    def run(entries: pa.Table, values: pa.Table) -> pa.Table:
-        ids, sums = np.zeros(0, np.int64), np.zeros(0)
-        if entries.num_rows and values.num_rows:
-            keys, at, x = (entries[c].to_numpy() for c in (own, other, "value"))
-            order = np.argsort(values["id"].to_numpy())
-            known, v = values["id"].to_numpy()[order], values["v"].to_numpy()[order]
-            place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-            ids, to = np.unique(at, return_inverse=True)
-            sums = np.bincount(to, np.where(known[place] == keys, v[place], 0.0) * x, len(ids))
-        return pa.table({"id": pa.array(ids, pa.int64()), "s": pa.array(sums, pa.float64())})
-
-    return run
-
-
 @dataclass
 class LogisticFit:
     beta: DataFrame
@@ -306,19 +294,30 @@ class LogisticFit:
 
 def empty_model(data: DataFrame) -> DataFrame:
     """The all-zero model: no ``(feature, value)`` rows."""
-    return data.sparkSession.createDataFrame([], "feature string, value double")
+    return data.sparkSession.range(0).select(F.lit("").alias("feature"), F.lit(0.0).alias("value"))
 
 
 #: Measured bytes of a model row beside its feature's name.
 MODEL_ROW_BYTES = 24
 
 
+#: Entries beyond which examples are packed in a grid whatever a broadcast would take.
+BROADCAST_ENTRIES = 2_000_000
+
+
+def feature_counts(data: DataFrame, beta: DataFrame) -> DataFrame:
+    """``(feature, n)``: the features of data and model and how many entries each has."""
+    both = data.select("feature", F.lit(1).alias("_n")).unionByName(beta.select("feature", F.lit(0).alias("_n")))
+    return both.groupBy("feature").agg(F.sum("_n").alias("n"))
+
+
 def _bounded(features: DataFrame, n_rows: int, broadcast_rows: int | None) -> tuple[bool, int]:
-    """Whether model and coefficients may be broadcast, by the counted features
-    and the bytes of their names; and the number of features."""
-    n, width = measured(features)
+    """Whether model and coefficients may be broadcast, by the counted features,
+    the bytes of their names and their entries; and the number of features."""
+    n, width = measured(features.select("feature"))
     model = broadcast_if_bounded(features, n, broadcast_rows, row_bytes=width + MODEL_ROW_BYTES) is not features
-    return model and broadcast_if_bounded(features, n_rows, broadcast_rows, row_bytes=16) is not features, n
+    few = features.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] <= BROADCAST_ENTRIES
+    return few and model and broadcast_if_bounded(features, n_rows, broadcast_rows, row_bytes=16) is not features, n
 
 
 def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int = 100,
@@ -327,16 +326,16 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
                    beta_path: str | None = None, side: int | None = None, hot_entries: int | None = None) -> LogisticFit:
     """Gradient descent with backtracking, from an empty model by default.
 
-    Each iteration checkpoints two states: the gradient (data times per-row
+    Each iteration stores two states: the gradient (data times per-row
     coefficients, summed per feature, carrying the current model) and the
     per-row directions h = <grad, x> (carrying the margins).  The line search
     reads them in one aggregate per batch of trials; the new model
     ``beta - t grad`` and margins ``z - t h`` stay projections of those
-    checkpoints.  As in the reference, the update is applied before the loop
+    states.  As in the reference, the update is applied before the loop
     checks the gradient norm of the pre-update model.
 
     More than ``broadcast_rows`` features or rows (default: the library's
-    bound) are trained in a grid, whose shape ``side`` and ``hot_entries`` set.
+    bound) or ``BROADCAST_ENTRIES`` entries are trained in a grid, whose shape ``side`` and ``hot_entries`` set.
     With ``beta_path`` the model after each iteration is kept there (see
     ``sources.models``).
     """
@@ -345,25 +344,27 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
     from ..sources.models import append_version
 
     spark = data.sparkSession
-    mat = Materializer(spark)
+    mat = Materializer(spark, columnar=True)
     given = (data, rows)
     data = mat(data.select("row_id", "feature", F.col("value").cast("double").alias("value")))
     beta = mat(beta0 if beta0 is not None else empty_model(data))
     rows = mat(rows.select("row_id", "label"))
     n_rows = rows.count()
     # model and gradient keys: the data's features plus the start model's
-    bounded, n_features = _bounded(data.select("feature").union(beta.select("feature")).distinct(), n_rows, broadcast_rows)
+    features = mat(feature_counts(data, beta))
+    bounded, n_features = _bounded(features, n_rows, broadcast_rows)
     if bounded:
         products = BroadcastProducts(data, rows, beta, mat, n_rows, n_features)
     else:
-        products = GridProducts(data, rows, beta, mat, side, hot_entries)
+        products = GridProducts(data, rows, beta, mat, side, hot_entries, features)
     history = []
     k, norm = 0, float("inf")  # not measured yet
-    if test is not None:
-        # the training examples as test set are stored already
+    own_test = test is not None and test[0] is given[0] and test[1] is given[1]
+    if test is not None and not own_test:
         test = (data if test[0] is given[0] else mat(test[0].select("row_id", "feature", F.col("value").cast("double").alias("value"))),
                 rows if test[1] is given[1] else mat(test[1].select("row_id", "label")))
-    held = (test or ()) + products.held
+    # the training examples as test set are stored already, as the products have them
+    held = (() if test is None or own_test else test) + products.held
     start = time.time()
     try:
         while k < max_iter and norm > eps:
@@ -378,7 +379,8 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
             products.move(zh, grad, t)
             acc = pre = rec = None
             if test is not None:
-                m = binary_metrics(test[0], test[1], products.model()).first()
+                z = products.model_margins() if own_test else margins(test[0], test[1], products.model())
+                m = margin_metrics(z).first()
                 acc, pre, rec = m["accuracy"], m["precision"], m["recall"]
             if beta_path:
                 append_version(products.model(), beta_path, k)
@@ -394,7 +396,11 @@ def train_logistic(data: DataFrame, rows: DataFrame, lam: float, max_iter: int =
 def binary_metrics(data, rows, beta) -> DataFrame:
     """Accuracy, precision, recall with positive iff ``<beta, x> > 0``;
     NULL where a denominator is zero.  One conditional aggregate."""
-    z = margins(data, rows, beta)
+    return margin_metrics(margins(data, rows, beta))
+
+
+def margin_metrics(z: DataFrame) -> DataFrame:
+    """``binary_metrics`` of ``(row_id, label, z)``."""
     pos = F.col("z") > 0
     agg = z.agg(F.count_if(pos & (F.col("label") == 1)).alias("tp"),
                 F.count_if(pos & (F.col("label") != 1)).alias("fp"),

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import normalize_term, split_words
+from ..functions.text import normalize_term, plain_words, split_words
 from ..plans.grid import SparseGrid, grid_side
 from ..plans.iterate import Materializer
 from ..plans.joins import broadcast_if_bounded, measured
@@ -49,8 +49,7 @@ def term_lists(df: DataFrame, text: str = "text", by: tuple[str, ...] = ("doc_id
     """``(*by, words)``: per key the terms of all its texts, joined by spaces
     (terms hold letters only); empty where there are none."""
     own = df.select(*by, text)
-    terms = F.filter(F.transform(split_words(text), normalize_term), lambda t: t != "")
-    words = spread(own).select(*by, F.concat_ws(" ", terms).alias("words"))
+    words = spread(own).select(*by, plain_words(text).alias("words"))
     met = words.repartition(parts or text_parts(own), *by).groupBy(*by)
     return met.agg(F.concat_ws(" ", F.collect_list(F.when(F.col("words") != "", F.col("words")))).alias("words"))
 

@@ -55,3 +55,13 @@ def test_training_rows_as_test_set_are_stored_once(spark, monkeypatch):
     monkeypatch.setattr(iterate.Materializer, "__call__", lambda self, df: kept.append(df.columns) or store(self, df))
     fit = LG.train_logistic(data, rows, 0.1, max_iter=1, eps=0.0, test=(data, rows))
     assert fit.history[0][4] == 1.0 and kept.count(["row_id", "feature", "value"]) == 1
+
+
+def test_a_text_read_as_a_whole_gives_the_words_normalised_one_by_one(spark):
+    from tessera.functions.text import normalize_term, plain_words, split_words
+
+    odd = ["", None, " ", "a  b", "\t(A-b)\u0085c\u2003D9 \u180e x", "ΟΔΟΣ ΟΔΟΣ. ΣΑΣ9Σ", "İstanbul 123 ... \x1cé\u0301 \U00010400z", "\u00a0q\u200bw\u3000"]
+    df = spark.createDataFrame([(t,) for t in odd], "text string")
+    old = F.concat_ws(" ", F.filter(F.transform(split_words("text"), normalize_term), lambda t: t != ""))
+    rows = df.select(plain_words("text").alias("new"), old.alias("old")).collect()
+    assert [r.new for r in rows] == [r.old for r in rows] and rows[3].new == "a b"

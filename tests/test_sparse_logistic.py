@@ -130,3 +130,52 @@ def test_model_versions(spark, tmp_dir):
     assert moved[0] == (len(first), pytest.approx(sum(v * v for v in first.values()) ** .5)) and len(moved) == 3
     models.append_version(fit.beta.limit(2), path, 2)  # written again: replaced, not doubled
     assert models.load_version(spark, path, 2).count() == 2
+
+
+def test_hot_features_and_rows_go_only_to_cells_that_hold_them(spark):
+    from tessera.plans.grid import COL, ROW
+    from tessera.plans.iterate import Materializer
+
+    n, side = 60, 6
+    rows = spark.createDataFrame([(i, 1 if i % 3 else -1) for i in range(n)], "row_id long, label int")
+    data = spark.createDataFrame([(i, 1 if i % 3 else -1, f"f{(7 * i + j) % 40}", 1.0 + j) for i in range(n) for j in range(4)],
+                                 "row_id long, label int, feature string, value double")
+    grid = LG.GridProducts(data, rows, LG.empty_model(data), Materializer(spark), side=side, hot_entries=3)
+    cols = {r.id: r.mask for r in grid.cols.collect()}
+    # every feature is in 4 to 8 rows, over the bound of 3: at most 8 of the 36 cells hold it
+    assert len(cols) == 40 and all(1 <= len(m) == len(set(m)) <= 8 for m in cols.values())
+    # rows of 4 entries, over the bound too, lie in one row block: their cells are of one block
+    assert all(len({c // side for c in r.mask}) == 1 for r in grid.rows.collect())
+    sums = {r.id: r.s for r in grid._product(grid.rows.selectExpr("row_id as id", "mask", "1.0D as v"), ROW).collect()}
+    assert set(sums) == set(cols) and sum(sums.values()) == 10.0 * n
+    sums = {r.id: r.s for r in grid._product(grid.cols.selectExpr("id", "mask", "1.0D as v"), COL).collect()}
+    assert sums == {i: 10.0 for i in range(n)}
+    grid.close()
+
+
+def test_repeated_entries_of_a_chunk_and_of_a_cell_add_up():
+    import numpy as np
+    import pyarrow as pa
+
+    from tessera.plans import grid as G
+
+    def batch(*entries):
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.float64())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*entries), kinds)], ["cell", "row", "col", "x"])
+
+    chunks = [pa.Table.from_batches(G._chunks([b])) for b in (batch((1, 5, 7, 1.0), (0, 2, 7, 4.0), (1, 5, 7, 2.0)), batch((1, 5, 7, 3.0), (1, 6, 7, 8.0)))]
+    assert [c.num_rows for c in chunks] == [2, 1]
+    both = pa.concat_tables(chunks)
+    cell = G._packed_cell(both.filter(pa.compute.equal(both["cell"], 1)))
+    assert np.frombuffer(cell["x"][0].as_py()).tolist() == [6.0, 8.0] and np.frombuffer(cell["rows"][0].as_py(), np.int64).tolist() == [5, 6]
+
+
+def test_many_entries_are_packed_and_give_the_same_history(spark, monkeypatch):
+    data, rows = _examples(spark)
+    one = LG.train_logistic(data, rows, 0.2, max_iter=2, eps=0.0, test=(data, rows))
+    monkeypatch.setattr(LG, "BROADCAST_ENTRIES", 10)
+    made = []
+    monkeypatch.setattr(LG, "GridProducts", lambda *a, f=LG.GridProducts: made.append(f(*a)) or made[-1])
+    two = LG.train_logistic(data, rows, 0.2, max_iter=2, eps=0.0, test=(data, rows))
+    assert len(made) == 1 and [h[:7] for h in two.history] == [pytest.approx(h[:7]) for h in one.history]
+    assert {r[0]: pytest.approx(r[1]) for r in two.beta.collect()} == {r[0]: r[1] for r in one.beta.collect()}

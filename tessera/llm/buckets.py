@@ -34,8 +34,9 @@ def deal(keyed: DataFrame, block: int = BLOCK_ROWS) -> DataFrame:
 
 def compare_buckets(keyed: DataFrame, compare: Callable[[pa.Table, np.ndarray], pa.RecordBatch],
                     schema: str, block: int = BLOCK_ROWS) -> DataFrame:
-    """``compare_dealt`` of the buckets of ``keyed``; buckets with one row are
-    left out before their payload moves."""
+    """``compare_dealt`` of the buckets of ``keyed``.  Every row of ``keyed`` moves
+    to be counted in its bucket, so a wide payload is better joined by ``id`` to
+    what ``deal`` gives for keys and ids alone."""
     return compare_dealt(deal(keyed, block), compare, schema)
 
 

@@ -41,7 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .buckets import Links, compare_buckets, pairs_in_groups
+from .buckets import Links, compare_dealt, deal, pairs_in_groups
 from .common import discard, per_batch, spread_join, written
 from .components import connected_components
 from .url_filter import host_and_path
@@ -401,14 +401,21 @@ def _page_key() -> Column:
     return F.unhex(F.md5(F.concat(F.col("host").cast("binary"), F.lit(b"\0"), F.col("sketch"))))
 
 
+def near_links(distinct: DataFrame) -> DataFrame:
+    """``(a, b)`` that span the near copies among a written ``(id, host, sketch)``.
+    Bands move as keys and ids; a sketch moves once by its id, then only to the
+    bands that it shares."""
+    bands = [F.xxhash64("host", F.lit(b), F.expr(f"substring(sketch, {2 * BAND * b + 1}, {2 * BAND})")) for b in range(SLOTS // BAND)]
+    keyed = distinct.select(F.explode(F.array(*bands)).alias("k"), "id")
+    return compare_dealt(deal(keyed).join(distinct.select("id", "sketch"), "id"), _near, "a long, b long")
+
+
 def distinct_pages(pages: DataFrame) -> DataFrame:
     """``(key, host, class)`` of ``(row, host, sketch)``: sketches of a host
     that are linked as near copies, directly or through others, are one class."""
     distinct = written(pages.where("length(sketch) > 0").groupBy(_page_key().alias("key"))
                        .agg(F.min("row").alias("id"), F.any_value("host").alias("host"), F.any_value("sketch").alias("sketch")), "sketches")
-    bands = [F.xxhash64("host", F.lit(b), F.expr(f"substring(sketch, {2 * BAND * b + 1}, {2 * BAND})")) for b in range(SLOTS // BAND)]
-    keyed = distinct.select(F.explode(F.array(*bands)).alias("k"), "id", "sketch")
-    comps = connected_components(compare_buckets(keyed, _near, "a long, b long"))
+    comps = connected_components(near_links(distinct))
     classes = written(distinct.join(comps, F.col("id") == F.col("node"), "left")
                       .select("key", "host", F.coalesce("component", "id").alias("class")), "classes")
     discard(distinct)

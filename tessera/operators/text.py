@@ -3,8 +3,8 @@ and cosine similarity.
 
 Terms come from splitting on whitespace, lower-casing and dropping every
 non-letter; empty results are discarded.  Operators are lazy DataFrame
-transformations, but for ``doc_tfidf``, which stores the IDF, and
-``pairwise_cosine``, which stores its pairs; nothing is collected.
+transformations, but for ``doc_tfidf``, which stores the IDF (and what it
+packs), and ``pairwise_cosine``, which stores its pairs; nothing is collected.
 """
 
 from __future__ import annotations
@@ -12,13 +12,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import normalize_term, plain_words, split_words
-from ..plans.grid import SparseGrid, grid_side
+from ..plans import joins
+from ..plans.grid import CHUNK_ENTRIES, SparseGrid, grid_side
 from ..plans.iterate import Materializer
 from ..plans.joins import broadcast_if_bounded, measured
 from ..plans.layout import spread, text_parts
+from ..session import share_code
 
 
 def tokenize(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -118,17 +120,167 @@ def tfidf(tf: DataFrame, idf: DataFrame, tf_col: str = "tf", idf_col: str = "idf
 IDF_ROW_BYTES = 24
 
 
-def doc_tfidf(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def doc_tfidf(docs: DataFrame, doc: str = "doc_id", text: str = "text", packed: Materializer | None = None) -> DataFrame:
     """``(doc_id, term, tfidf)`` for every document.
 
     The IDF of each term is stored first and counted: while it is bounded it
-    is broadcast, and the documents' terms stay where they were counted."""
+    is broadcast, and the documents' terms stay where they were counted.
+
+    With ``packed`` the same vectors come in rows of many entries, ``(doc_id,
+    n_docs, *PACKED)``, for ``pairwise_cosine``; a vector may have several rows
+    (see ``_vector_parts``).  Words are counted once and ``packed`` stores the
+    counts; terms are numbered, the most frequent first.  These, as many as are
+    bounded, are broadcast, and only the entries of the other terms move."""
+    if packed:
+        return _packed_tfidf(docs, doc, text, packed)
     tf = term_frequency(docs, text, by=(doc,))
     idf = Materializer(docs.sparkSession)(inverse_document_frequency(docs, doc, text))
     n, width = measured(idf)
     return tfidf(tf, broadcast_if_bounded(idf, n, row_bytes=width + IDF_ROW_BYTES), keys=(doc,))
 
 
+def counted_texts(docs: DataFrame, mat: Materializer, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc, term, tf)`` as ``term_frequency`` counts them by document, but a
+    text whose key comes once is counted where it is read; only texts of
+    repeated keys, which ``mat`` stores, move to be counted together."""
+    own = docs.select(doc, text)
+    again = own.groupBy(doc).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    again = mat.table(again.select(F.col(doc).alias("_again")), "repeated")
+    n, width = measured(again)
+    few = broadcast_if_bounded(again, n, row_bytes=width + IDF_ROW_BYTES)
+    if few is again:
+        return counted_terms(term_lists(own, text, (doc,)), (doc,)).drop("n_terms")
+    lists = spread(own)
+    if n:
+        lists = lists.join(few, lists[doc].eqNullSafe(few["_again"]), "left_anti")
+    lists = lists.select(doc, plain_words(text).alias("words"))
+    if n:
+        lists = lists.unionByName(term_lists(own.join(few, own[doc].eqNullSafe(few["_again"]), "left_semi"), text, (doc,)))
+    return counted_terms(lists, (doc,)).drop("n_terms")
+
+
+#: Measured bytes of a broadcast term beside its characters, number and count.
+TERM_ROW_BYTES = 64
+
+
+def least_bounded_df(terms: DataFrame) -> int | None:
+    """The least document count from which on all of ``(no, term, df)`` may be
+    broadcast; none if not even the most frequent terms may."""
+    width = F.octet_length("term") + F.lit(16 + TERM_ROW_BYTES)
+    # few rows: n different counts take n * n / 2 entries at least
+    upto = Window.orderBy(F.desc("df")).rowsBetween(Window.unboundedPreceding, 0)
+    per_df = terms.groupBy("df").agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
+    every = per_df.select("df", F.sum("n").over(upto).alias("n"), F.sum("b").over(upto).alias("b"))
+    return every.where((F.col("n") <= joins.MAX_BROADCAST_ROWS) & (F.col("b") <= joins.MAX_BROADCAST_BYTES)).agg(F.min("df")).first()[0]
+
+
+#: Columns of a packed vector's rows: what ``_vector_parts`` makes of the numbers, counts and document counts of its terms.
+PACKED = ("nos", "tfs", "dfs")
+
+
+def _packed_tfidf(docs: DataFrame, doc: str, text: str, mat: Materializer) -> DataFrame:
+    share_code(docs.sparkSession)
+    texts = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
+    counts = mat.table(counted_texts(texts, mat, "doc"), "counts", codec="zstd")
+    stats = term_stats(counts).select("term", "df").orderBy(F.desc("df"), "term")
+    terms = mat.table(stats.select(F.monotonically_increasing_id().alias("no"), "term", "df"), "terms")
+    least = least_bounded_df(terms)
+    kind = counts.schema["doc"].dataType.simpleString()
+
+    def parts(entries: DataFrame) -> DataFrame:
+        return entries.select("doc", "no", "tf", "df").mapInArrow(_vector_parts, f"doc {kind}, nos binary, tfs binary, dfs binary")
+
+    if least is None:
+        every = parts(counts.join(terms, "term").select("doc", "no", "tf", "df").repartition("doc"))
+    else:
+        known = counts.join(F.broadcast(terms.where(F.col("df") >= least)), "term", "left")
+        every = parts(known.where("no is not null"))
+        if least > 1:
+            rare = known.where("no is null").select(*counts.columns).join(terms.where(F.col("df") < least), "term")
+            every = every.unionByName(parts(rare.select("doc", "no", "tf", "df").repartition("doc")))
+    n = corpus_size(docs).first()["n_docs"]
+    return every.select(F.col("doc").alias(doc), F.lit(n).cast("long").alias("n_docs"), *PACKED)
+
+
+def _packed_numbers(v: np.ndarray, at: np.ndarray) -> pa.Array:
+    """A binary column of numbers from 0 on, row by row between places ``at``:
+    seven bits a byte, the lowest first, with the eighth bit where more follow."""
+    v = v.astype(np.uint64)
+    size = np.ones(len(v), np.int64)
+    for k in range(1, 10):
+        if not len(more := np.flatnonzero(v >> np.uint64(7 * k))):
+            break
+        size[more] = k + 1
+    ends = np.append(0, np.cumsum(size))
+    out = np.empty(ends[-1], np.uint8)
+    for k in range(int(size.max(initial=0))):
+        mine = np.flatnonzero(size > k)
+        byte = (v[mine] >> np.uint64(7 * k)).astype(np.uint8) & 127
+        out[ends[mine] + k] = byte | np.where(size[mine] > k + 1, 128, 0).astype(np.uint8)
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(ends[at].astype(np.int32)), pa.py_buffer(out)])
+
+
+def _unpacked_numbers(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a binary column, and the places between which each row's lie."""
+    rows = column.to_pylist()
+    b = np.frombuffer(b"".join(rows), np.uint8)
+    ends = np.flatnonzero(b < 128) + 1
+    starts = np.append(0, ends[:-1])[:len(ends)]
+    size = ends - starts
+    v = np.zeros(len(ends), np.int64)
+    for k in range(int(size.max(initial=0))):
+        mine = np.flatnonzero(size > k)
+        v[mine] |= (b[starts[mine] + k] & 127).astype(np.int64) << (7 * k)
+    return v, np.searchsorted(ends, np.append(0, np.cumsum([len(r) for r in rows], dtype=np.int64)), side="right")
+
+
+def _vector_parts(batches):
+    """Entries ``(doc, no, tf, df)``, some ``CHUNK_ENTRIES`` at a time, as a row
+    per document: the numbers of its terms upwards, each as what it adds to the
+    one before, their counts, and their document counts, each as what it takes
+    off the one before (terms are numbered by falling document count)."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+
+    def packed() -> pa.RecordBatch:
+        t = pa.Table.from_batches(held).combine_chunks()
+        keys = t["doc"].combine_chunks().dictionary_encode(null_encoding="encode")
+        doc, (no, tf, df) = keys.indices.to_numpy(), (t[c].to_numpy() for c in ("no", "tf", "df"))
+        order = np.lexsort((no, doc))
+        doc, no, tf, df = (c[order] for c in (doc, no, tf, df))
+        first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+        gaps, falls = np.append(0, no[1:] - no[:-1]), np.append(0, df[:-1] - df[1:])
+        gaps[first], falls[first] = no[first], df[first]
+        at = np.append(first, len(doc))
+        return pa.RecordBatch.from_arrays(
+            [keys.dictionary.take(pa.array(doc[first])), *(_packed_numbers(v, at) for v in (gaps, tf, falls))], ["doc", *PACKED])
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= CHUNK_ENTRIES:
+                yield packed()
+                held.clear()
+                n = 0
+    if held:
+        yield packed()
+
+
+def _scores_of_parts(parts: pa.Table) -> pa.Table:
+    """One row per entry ``(id, t, s)`` of packed vectors: ``t`` is the term's number."""
+    (gaps, at), (tf, _), (falls, _) = (_unpacked_numbers(parts[c]) for c in PACKED)
+    sizes = np.diff(at)
+
+    def summed(v: np.ndarray) -> np.ndarray:
+        total = np.append(0, np.cumsum(v))
+        return total[1:] - np.repeat(total[at[:-1]], sizes)
+
+    df = 2 * np.repeat(falls[at[:-1]], sizes) - summed(falls)
+    idf = np.log(np.repeat(parts["n_docs"].to_numpy(), sizes) / df)
+    return pa.table({"id": parts["id"].combine_chunks().take(pa.array(np.repeat(np.arange(len(sizes)), sizes))), "t": summed(gaps), "s": tf * idf})
+
+
 def corpus_tfidf(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Corpus-wide ``(term, tfidf)``: count * ln(N / df) from one aggregate."""
     n = corpus_size(docs).scalar()
@@ -178,18 +330,19 @@ def pairwise_cosine(vectors: DataFrame, pairs: DataFrame, key: str = "doc_id",
                     hot_pairs: int | None = None) -> DataFrame:
     """Cosine similarity for every ``(left, right)`` pair of vector keys.
 
-    Vectors are long form ``(key, term, score)``, a term once per key.  The
-    pairs are dealt into a grid of blocks of left and right keys; a vector is
+    Vectors are long form ``(key, term, score)``, a term once per key, or what
+    ``doc_tfidf`` packs, which takes far fewer bytes to send.  The pairs are dealt into a grid of blocks of left and right keys; a vector is
     sent once, as one row, to every cell that holds one of its pairs, however
     many those are, and a key in very many pairs has them dealt over all cells.
     By default only right keys make blocks: a right vector goes to one cell and
     a left one to those of its partners.  Cells multiply and give norms and dot
     products.  Pairs without shared terms get
     0.0, pairs with a missing or zero-norm vector or a null key get NULL;
-    repeated pairs stay.  ``side`` and ``hot_pairs`` set the grid's shape.
+    repeated pairs stay.  What the cells give is stored: the vectors are read
+    no more.  ``side`` and ``hot_pairs`` set the grid's shape.
     """
     spark = pairs.sparkSession
-    mat = Materializer(spark)
+    mat = Materializer(spark, columnar=True)
     p = pairs.select(F.col(left).alias("row"), F.col(right).alias("col"))
     entries = mat(p.groupBy("row", "col").agg(F.count(F.lit(1)).alias("times")))
     known = entries.where("row is not null and col is not null")
@@ -198,11 +351,14 @@ def pairwise_cosine(vectors: DataFrame, pairs: DataFrame, key: str = "doc_id",
     grid = SparseGrid(known, n, side, hot_pairs, blocks)
     cells = grid.entries
     routes = cells.select(F.col("row").alias("id"), "cell").union(cells.select(F.col("col").alias("id"), "cell")).distinct()
-    entry = F.struct(_packed(F.col(term)).alias("t"), F.col(score).cast("double").alias("s"))
-    v = (vectors.groupBy(F.col(key).alias("id")).agg(F.collect_list(entry).alias("_v"))
-         .select("id", F.concat_ws(BETWEEN, F.transform("_v", lambda e: e["t"])).alias("t"), F.transform("_v", lambda e: e["s"]).alias("s")))
+    if set(PACKED) <= set(vectors.columns):
+        v = vectors.select(F.col(key).alias("id"), "n_docs", *PACKED)
+    else:
+        entry = F.struct(_packed(F.col(term)).alias("t"), F.col(score).cast("double").alias("s"))
+        v = (vectors.groupBy(F.col(key).alias("id")).agg(F.collect_list(entry).alias("_v"))
+             .select("id", F.concat_ws(BETWEEN, F.transform("_v", lambda e: e["t"])).alias("t"), F.transform("_v", lambda e: e["s"]).alias("s")))
     kinds = {f.name: f.dataType.simpleString() for f in p.schema.fields}
-    found = mat(grid.answer(v.join(routes, "id").select("cell", "id", "t", "s"), _cell_cosines,
+    found = mat(grid.answer(v.join(routes, "id").select("cell", *v.columns), _cell_cosines,
                             f"row {kinds['row']}, col {kinds['col']}, times long, dot double, a double, b double"))
     grid.close()
     none = F.lit(None).cast("double")
@@ -241,7 +397,7 @@ def _cell_cosines(entries: pa.Table, values: pa.Table) -> pa.Table:
     if not entries.num_rows:
         return pa.table({"row": entries["row"], "col": entries["col"], "times": entries["times"],
                          **{c: pa.array([], pa.float64()) for c in ("dot", "a", "b")}})
-    values = _unpacked(values)
+    values = _scores_of_parts(values) if "n_docs" in values.column_names else _unpacked(values)
     ids = pc.unique(values["id"])
     doc = pc.index_in(values["id"], ids).to_numpy()
     terms = pc.index_in(values["t"], pc.unique(values["t"])).to_numpy()

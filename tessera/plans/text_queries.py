@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_term, split_words
 from ..operators import text as T
 from . import fixtures as fx
+from .iterate import Materializer
 from .oracle_sql import CORPUS, HUB_PAIRS, WS, r6 as s6, terms_sql
 from .registry import r6, register
 
@@ -164,6 +165,8 @@ FROM pairs p LEFT JOIN norms na ON na.doc_id = p.doc_a LEFT JOIN norms nb ON nb.
 LEFT JOIN dots ON dots.doc_a = p.doc_a AND dots.doc_b = p.doc_b""")
 def hub_cosine(spark, sf_dir):
     """One document in a third of all pairs: the first with every other, and every other with its next two."""
-    vectors = T.doc_tfidf(fx.corpus(spark, sf_dir))
+    mat = Materializer(spark)
+    vectors = T.doc_tfidf(fx.corpus(spark, sf_dir), packed=mat)
     out = T.pairwise_cosine(vectors, fx.hub_pairs(spark, sf_dir))
+    mat.release_all_but()
     return out.select("doc_a", "doc_b", r6("cosine").alias("cosine"))

@@ -58,7 +58,7 @@ def test_cosines_whether_terms_are_broadcast_or_move(spark, monkeypatch, bound):
         (str(a), str(b), cosine(want, a, b)) for a, b in pairs)
 
 
-@pytest.mark.parametrize("query", ["hub_cosine"])
+@pytest.mark.parametrize("query", ["hub_cosine", "pairwise_cosine"])
 def test_queries_send_few_bytes_an_entry_and_no_text_of_a_key_of_its_own(spark, monkeypatch, tmp_path, query):
     rows, docs = corpus(spark, 300)
     docs.write.parquet(f"{tmp_path}/documents.parquet")

@@ -160,7 +160,7 @@ def counted_texts(docs: DataFrame, mat: Materializer, doc: str = "doc_id", text:
 
 
 #: Measured bytes of a broadcast term beside its characters, number and count.
-TERM_ROW_BYTES = 64
+TERM_ROW_BYTES = 128
 
 
 def least_bounded_df(terms: DataFrame) -> int | None:
